@@ -149,10 +149,74 @@ class Dimensions:
         }
 
 
-def build_dimensions(clean: DataFrame, week_start: str = "monday") -> Dimensions:
+# Natural-key columns of the clean table feeding each dimension, in the order
+# of the grouping sets below.
+_SOURCE_COLUMNS = ["transaction_date", "property_type", "region", "city", "registration_status"]
+_GROUPING_SETS = {
+    "date": ["transaction_date"],
+    "property_type": ["property_type"],
+    "location": ["region", "city"],
+    "registration_status": ["registration_status"],
+}
+
+
+def _grouping_id(grouped: list[str]) -> int:
+    """``grouping_id()`` of a set: bit i (from the left) is 1 when column i is
+    not grouped."""
+    n = len(_SOURCE_COLUMNS)
+    return sum(1 << (n - 1 - i) for i, c in enumerate(_SOURCE_COLUMNS) if c not in grouped)
+
+
+def dimension_members(clean: DataFrame) -> DataFrame:
+    """All members of all four dimensions from ONE scan and ONE shuffle.
+
+    A grouping-sets aggregation expands each clean row once per dimension and
+    pre-aggregates per map task, so the shuffle carries at most one row per
+    member per task.  ``_gid`` tells which dimension a row belongs to (a null
+    city inside the location set is a real member, told apart from "not
+    grouped" by ``_gid``).
+    """
+    return clean.groupingSets(list(_GROUPING_SETS.values()), *_SOURCE_COLUMNS).agg(
+        F.grouping_id().alias("_gid")
+    )
+
+
+def build_dimensions(clean: DataFrame, week_start: str = "monday", persist: bool = True) -> Dimensions:
+    """The four dimensions, keyed, with their member counts.
+
+    With ``persist`` the member table (the sum of the four dimension sizes) is
+    written once to the shared folder, so counting and keying read a small
+    file instead of re-aggregating the clean table.
+    """
+    from txlake.sources.files import materialize
+
+    members = dimension_members(clean)
+    if persist:
+        members = materialize(members, "dim_members")
+    counts = {gid: n for gid, n in members.groupBy("_gid").count().collect()}  # <= 4 rows
+
+    def part(name: str, not_null: str, renames: dict[str, str]) -> tuple[DataFrame, int]:
+        gid = _grouping_id(_GROUPING_SETS[name])
+        cols = [F.col(c).alias(renames.get(c, c)) for c in _GROUPING_SETS[name]]
+        df = members.where((F.col("_gid") == gid) & F.col(not_null).isNotNull()).select(*cols)
+        return df, counts.get(gid, 0)
+
+    d_date, n_date = part("date", "transaction_date", {"transaction_date": "full_date"})
+    d_type, n_type = part("property_type", "property_type", {"property_type": "property_type_name"})
+    d_loc, n_loc = part("location", "region", {})
+    d_status, n_status = part("registration_status", "registration_status", {"registration_status": "status_name"})
+
+    # counts include a possible null member; that only over-states the bound.
+    date = Dimension(with_surrogate_key(d_date, "date_id", ["full_date"], rows=n_date), n_date)
+    parts = date_parts(F.col("full_date"), week_start)
+    date.df = date.df.select("date_id", "full_date", *[v.alias(k) for k, v in parts.items()])
     return Dimensions(
-        date=build_dim_date(clean, week_start),
-        property_type=build_dim_property_type(clean),
-        location=build_dim_location(clean),
-        registration_status=build_dim_registration_status(clean),
+        date=date,
+        property_type=Dimension(
+            with_surrogate_key(d_type, "property_type_id", ["property_type_name"], rows=n_type), n_type
+        ),
+        location=Dimension(with_surrogate_key(d_loc, "location_id", ["region", "city"], rows=n_loc), n_loc),
+        registration_status=Dimension(
+            with_surrogate_key(d_status, "registration_status_id", ["status_name"], rows=n_status), n_status
+        ),
     )

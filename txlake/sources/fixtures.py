@@ -8,10 +8,10 @@ only, so the rows grow with the tables and a SQL engine can rebuild them
 identically.
 
 Join plan: nation and region are fixed-size reference tables (25 and 5 rows by
-the TPC-H spec) and are broadcast into the customer scan; orders joins the
-customer geography on ``o_custkey``.  Catalyst broadcasts the customer side only
-while its estimated size is under ``spark.sql.autoBroadcastJoinThreshold`` and
-sort-merge joins it otherwise, so nothing unbounded is ever broadcast.
+the TPC-H spec) and are broadcast into the customer scan.  Orders is always the
+streamed side: the customer geography is broadcast only after its row count is
+proven under a bound, and sort-merge joined on ``o_custkey`` otherwise, so
+nothing unbounded is ever broadcast.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from txlake.operators.joins import checked_broadcast
 from txlake.schemas import RAW_COLUMNS
 
 # Defect moduli and label tables of the derived fixture.
@@ -39,6 +40,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin an under-partitioned scan over the cluster's cores.
+
+    A scan is split by file and row group; one file with one row group is one
+    task.  When the streamed side of a pipeline has fewer partitions than the
+    default parallelism, the per-row work after it would run on a few cores, so
+    the narrow scan output is repartitioned first.  A large input already has
+    more partitions than cores, and this is a no-op.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
 def _property_type(k: Column) -> Column:
     expr = F.lit(PROPERTY_TYPES[-1])
     for i in reversed(range(len(PROPERTY_TYPES) - 1)):
@@ -63,10 +79,13 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw transaction export: ten text columns, defects included.
 
     One row per order plus a second, identical copy of every order whose key is
-    a multiple of ``DUPLICATE_MOD``.
+    a multiple of ``DUPLICATE_MOD`` (emitted by ``explode``, so the orders scan
+    and joins run once).
     """
-    orders = table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority"
+    orders = spread(
+        table(spark, sf_dir, "orders").select(
+            "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority"
+        )
     )
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
@@ -80,7 +99,8 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("o_orderkey")
     price = F.col("o_totalprice").cast("decimal(12,2)")
     tenths = _surface_tenths(k)
-    rows = orders.join(geo, orders.o_custkey == geo.c_custkey).select(
+    # every geo row is a customer row, so the customer count bounds the broadcast
+    rows = orders.join(checked_broadcast(geo, rows=customer.count()), orders.o_custkey == geo.c_custkey).select(
         F.format_string("TX%07d", k).alias("transaction_id"),
         F.format_string("LST%07d", k).alias("listing_id"),
         _property_type(k).alias("property_type"),
@@ -96,15 +116,15 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         _status("o_orderkey").alias("registration_status"),
         F.col("o_orderpriority").alias("source_office"),
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("transaction_date"),
-        (k % DUPLICATE_MOD == 0).alias("_dup"),
+        # duplicated exports: one extra, identical copy, generated in the same pass
+        F.explode(F.sequence(F.lit(1), F.when(k % DUPLICATE_MOD == 0, 2).otherwise(1))).alias("_copy"),
     )
-    dups = rows.filter("_dup")
-    return rows.drop("_dup").unionByName(dups.drop("_dup")).select(*RAW_COLUMNS)
+    return rows.select(*RAW_COLUMNS)
 
 
 def event_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One stream event per ``events`` row, as typed columns (not yet JSON)."""
-    events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value")
+    events = spread(table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value"))
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     region = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     geo = nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey).select(
