@@ -31,6 +31,22 @@ RECOMMENDED_CONF = {
 }
 
 
+def object_store_conf(endpoint: str, path_style: bool = True, ssl: bool = True) -> dict[str, str]:
+    """S3A settings for an S3-compatible object store (a self-hosted store
+    typically needs path-style access and, inside a private network, no TLS).
+
+    Credentials are deliberately not parameters: they come from the cluster's
+    credential provider chain (environment, instance profile, secrets).
+    Apply with ``SparkSession.builder.config(map=...)`` or ``spark-submit --conf``.
+    """
+    return {
+        "spark.hadoop.fs.s3a.endpoint": endpoint,
+        "spark.hadoop.fs.s3a.path.style.access": str(path_style).lower(),
+        "spark.hadoop.fs.s3a.connection.ssl.enabled": str(ssl).lower(),
+        "spark.hadoop.fs.s3a.impl": "org.apache.hadoop.fs.s3a.S3AFileSystem",
+    }
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "txlake") -> SparkSession:
     """A local session for tests and the bench (UI off, AQE on)."""
     builder = (

@@ -54,3 +54,23 @@ def run_available(messages: DataFrame, path: str, checkpoint: str, timeout_s: fl
         raise TimeoutError(f"stream to {path} did not finish within {timeout_s}s")
     if q.exception() is not None:
         raise q.exception()
+
+
+def run_stream(
+    messages: DataFrame,
+    path: str,
+    checkpoint: str,
+    processing_time: str = "10 seconds",
+    timeout_s: float | None = None,
+) -> StreamingQuery:
+    """Run the landing query until it is stopped (or ``timeout_s`` passes).
+
+    The first start reads from the source's starting position; every restart
+    on the same checkpoint resumes after the last committed micro-batch.
+    """
+    q = start_stream_to_lake(messages, path, checkpoint, processing_time=processing_time)
+    if timeout_s is None:
+        q.awaitTermination()
+    else:
+        q.awaitTermination(timeout_s)
+    return q
