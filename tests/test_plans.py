@@ -47,3 +47,49 @@ def test_checked_broadcast_respects_bound(spark):
         assert "BroadcastHashJoin" not in _plan(big.join(checked_broadcast(small, max_rows=5), big.k == small.id))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def _partial_before_exchange(plan: str) -> bool:
+    """True when every hash exchange is fed directly by a (map-side) aggregate."""
+    lines = plan.splitlines()
+    ok = False
+    for i, line in enumerate(lines):
+        if "Exchange hashpartitioning" in line:
+            below = lines[i + 1] if i + 1 < len(lines) else ""
+            if not re.search(r"(HashAggregate|SortAggregate|ObjectHashAggregate)\(", below):
+                return False
+            ok = True
+    return ok
+
+
+def test_dedup_and_dimension_members_pre_aggregate(spark):
+    from txlake.operators import clean_transactions, dedup_by_key
+    from txlake.operators.dimensions import dimension_members
+
+    raw = raw_transactions(spark, SF001)
+    for df in (
+        dedup_by_key(raw, ["transaction_id"]),
+        dedup_by_key(raw, ["transaction_id"], keep="any"),
+        dimension_members(clean_transactions(raw)),
+    ):
+        assert _partial_before_exchange(df._jdf.queryExecution().executedPlan().toString())
+
+
+def test_hot_key_holding_a_third_of_rows(spark):
+    """One id (and the null id) carry a third of all rows each: every row
+    survives the cleaning rules, each key keeps exactly one row."""
+    from pyspark.sql import functions as F
+
+    from txlake.operators import clean_transactions, defect_profile
+
+    base = raw_transactions(spark, SF001)
+    n = base.count()
+    hot = base.limit(n // 3).withColumn("transaction_id", F.lit("TX_HOT"))
+    nulls = base.limit(n // 3).withColumn("transaction_id", F.lit(None).cast("string"))
+    skewed = base.unionByName(hot).unionByName(nulls).repartition(16)
+    clean = clean_transactions(skewed)
+    assert clean.count() == 1500 + 2
+    assert clean.where(F.col("transaction_id") == "TX_HOT").count() == 1
+    assert clean.where(F.col("transaction_id").isNull()).count() == 1
+    dup = {r.defect: r.n_rows for r in defect_profile(skewed).collect()}["duplicate_rows"]
+    assert dup == skewed.count() - (1500 + 2)

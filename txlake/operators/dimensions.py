@@ -23,7 +23,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from txlake.functions import date_parts
@@ -191,9 +191,14 @@ def build_dimensions(clean: DataFrame, week_start: str = "monday", persist: bool
     from txlake.sources.files import materialize
 
     members = dimension_members(clean)
+    gids = {name: _grouping_id(cols) for name, cols in _GROUPING_SETS.items()}
+    per_dim = [F.count_if(F.col("_gid") == gid).alias(str(gid)) for gid in gids.values()]
     if persist:
-        members = materialize(members, "dim_members")
-    counts = {gid: n for gid, n in members.groupBy("_gid").count().collect()}  # <= 4 rows
+        obs = Observation("dim_members")
+        members = materialize(members, "dim_members", obs, *per_dim)
+        counts = {int(k): v for k, v in obs.get.items()}  # filled by the write, no extra scan
+    else:
+        counts = {int(k): v for k, v in members.agg(*per_dim).first().asDict().items()}
 
     def part(name: str, not_null: str, renames: dict[str, str]) -> tuple[DataFrame, int]:
         gid = _grouping_id(_GROUPING_SETS[name])

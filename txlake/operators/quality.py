@@ -218,8 +218,12 @@ def constraint_report(
     """Violations per rule: columns rule, table_name, kind, violations."""
     rules = RULES if rules is None else rules
     tables = {"fact_transactions": fact, **dims.tables()}
-    by_table = {name: dims_obj for name, dims_obj in zip(DIM_KEYS, (
-        dims.date, dims.property_type, dims.location, dims.registration_status))}
+    dimension = {
+        "dim_date": dims.date,
+        "dim_property_type": dims.property_type,
+        "dim_location": dims.location,
+        "dim_registration_status": dims.registration_status,
+    }
     reports = []
     for tname, df in tables.items():
         trules = [r for r in rules if r.table == tname]
@@ -227,8 +231,8 @@ def constraint_report(
             continue
         for r in trules:
             if r.kind == "foreign_key":
-                dim = by_table[r.param]
-                keys = dim.for_join(max_broadcast_rows).select(
+                # one broadcast join per key, all in the same pass over the fact
+                keys = dimension[r.param].for_join(max_broadcast_rows).select(
                     F.col(DIM_KEYS[r.param]).alias(r.columns[0]), F.lit(True).alias(f"_has_{r.param}")
                 )
                 df = df.join(keys, r.columns[0], "left")

@@ -1,8 +1,8 @@
 """End-to-end plans: the batch pipeline, the registered queries and their
 reference SQL."""
 
-from txlake.plans.batch import BatchResult, StarSchema, build_star, load_star, run_batch
+from txlake.plans.batch import BatchResult, StarSchema, build_star, export_to_warehouse, load_star, run_batch
 from txlake.plans.oracle import oracle_sql
 from txlake.plans.queries import FLAGSHIP, QUERIES
 
-__all__ = ["FLAGSHIP", "QUERIES", "BatchResult", "StarSchema", "build_star", "load_star", "oracle_sql", "run_batch"]
+__all__ = ["FLAGSHIP", "QUERIES", "BatchResult", "StarSchema", "build_star", "export_to_warehouse", "load_star", "oracle_sql", "run_batch"]

@@ -10,9 +10,10 @@ Plan shape, per stage:
 3. The clean table is written to the lake once.  Dimensions and fact read it
    back, so the dedup shuffle runs once, lineage is cut, and a lost executor
    recomputes from files rather than from the whole pipeline.
-4. The four dimensions are distinct sets of the clean table's key columns
-   (each scan reads one or two columns), keyed 1..n, written, and their
-   counted sizes decide whether they are broadcast into the fact build.
+4. All four dimensions come from one grouping-sets aggregation over the clean
+   table (one scan, one pre-aggregated shuffle); their member counts are
+   observed during that write and decide whether each is broadcast into the
+   fact build.  Each is keyed 1..n and written.
 5. The fact build is a map-only pipeline over the clean table: four broadcast
    hash joins and a projection -- the fact is never shuffled.
 
@@ -28,7 +29,15 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from txlake.operators import Dimension, Dimensions, build_dimensions, build_fact, clean_transactions
-from txlake.sources import materialize, read_raw_csv, read_raw_zone, read_table, write_raw_zone, write_table
+from txlake.sources import (
+    materialize,
+    read_raw_csv,
+    read_raw_zone,
+    read_table,
+    write_jdbc,
+    write_raw_zone,
+    write_table,
+)
 
 
 @dataclass
@@ -83,14 +92,16 @@ def run_batch(
             "fact_transactions",
         )
     }
-    spark.conf.set("spark.sql.files.maxRecordsPerFile", str(max_records_per_file))
-
     raw_obs = Observation("raw")
     write_raw_zone(read_raw_csv(spark, csv_path).observe(raw_obs, F.count(F.lit(1)).alias("rows")), paths["raw"])
     raw = read_raw_zone(spark, paths["raw"])
 
     clean_obs = Observation("clean")
-    write_table(clean_transactions(raw, keep=keep).observe(clean_obs, F.count(F.lit(1)).alias("rows")), paths["clean"])
+    write_table(
+        clean_transactions(raw, keep=keep).observe(clean_obs, F.count(F.lit(1)).alias("rows")),
+        paths["clean"],
+        max_records_per_file=max_records_per_file,
+    )
     clean = read_table(spark, paths["clean"])
 
     built = build_dimensions(clean, week_start=week_start)
@@ -109,7 +120,11 @@ def run_batch(
     )
 
     fact_obs = Observation("fact")
-    write_table(build_fact(clean, dims).observe(fact_obs, F.count(F.lit(1)).alias("rows")), paths["fact_transactions"])
+    write_table(
+        build_fact(clean, dims).observe(fact_obs, F.count(F.lit(1)).alias("rows")),
+        paths["fact_transactions"],
+        max_records_per_file=max_records_per_file,
+    )
 
     return BatchResult(
         raw_rows=raw_obs.get["rows"],
@@ -140,3 +155,27 @@ def load_star(spark: SparkSession, lake_root: str) -> StarSchema:
         dims=dims,
         fact=read_table(spark, f"{root}/fact_transactions"),
     )
+
+
+def export_to_warehouse(
+    star: StarSchema,
+    url: str,
+    properties: dict[str, str],
+    mode: str = "append",
+    fact_connections: int = 32,
+) -> None:
+    """Append the finished star to a relational warehouse over JDBC.
+
+    Keys were assigned in Spark, so every column is written (the database
+    does not generate them).  Dimensions are small and go through one
+    connection each; the fact is written by ``fact_connections`` parallel
+    connections in batches.  A second append of the same load violates the
+    warehouse keys, as a one-shot full load does.
+
+    Pass a star opened with ``load_star``: the tables are then files, so
+    limiting the fact to ``fact_connections`` partitions (``coalesce``, no
+    shuffle) only limits database connections, not upstream computation.
+    """
+    for name, df in star.dims.tables().items():
+        write_jdbc(df, url, name, properties, mode=mode, num_partitions=1)
+    write_jdbc(star.fact, url, "fact_transactions", properties, mode=mode, num_partitions=fact_connections)

@@ -14,7 +14,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 from txlake.schemas import RAW_SCHEMA
 from txlake.session import shared_dir
@@ -45,8 +45,16 @@ def read_raw_zone(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RAW_SCHEMA).parquet(path)
 
 
-def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None) -> None:
+def write_table(
+    df: DataFrame,
+    path: str,
+    mode: str = "overwrite",
+    partition_by: list[str] | None = None,
+    max_records_per_file: int | None = None,
+) -> None:
     writer = df.write.mode(mode)
+    if max_records_per_file:
+        writer = writer.option("maxRecordsPerFile", str(max_records_per_file))
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
@@ -56,9 +64,15 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to a fresh folder under the shared checkpoint dir, read it back."""
+def materialize(df: DataFrame, name: str, observation: Observation | None = None, *metrics: Column) -> DataFrame:
+    """Write ``df`` to a fresh folder under the shared checkpoint dir, read it back.
+
+    ``observation`` with ``metrics`` collects aggregates (counts, ...) during
+    the same write, without a second pass.
+    """
     spark = df.sparkSession
     path = shared_dir(spark, name)
+    if observation is not None:
+        df = df.observe(observation, *metrics)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
