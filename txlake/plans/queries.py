@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from txlake.operators import (
     avg_price_by_region_type_quarter,
-    build_dim_date,
     clean_transactions,
     constraint_report,
     dedup_by_key,
@@ -101,8 +100,7 @@ def _dim(attr: str) -> Query:
 
 def dim_date_sunday_start(spark: SparkSession, sf_dir: str) -> DataFrame:
     """dim_date with Spark's ``dayofweek`` numbering (Sunday = 1)."""
-    clean = clean_transactions(raw_transactions(spark, sf_dir))
-    return build_dim_date(clean, week_start="sunday").df
+    return build_star(raw_transactions(spark, sf_dir), week_start="sunday").dims.date.df
 
 
 def fact_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:

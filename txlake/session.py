@@ -31,6 +31,27 @@ RECOMMENDED_CONF = {
 }
 
 
+def scale_conf(input_bytes: int, total_cores: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Partition sizing for a run over ``input_bytes`` of Parquet on
+    ``total_cores`` executor cores.
+
+    * scans: splits of ``partition_bytes`` (row groups permitting);
+    * shuffles: enough initial partitions that each holds about
+      ``partition_bytes`` of the largest shuffle (the keyed dedup moves about
+      the whole clean table), capped so map-status tracking stays small; AQE
+      then coalesces small partitions to the advisory size and splits skewed
+      ones in joins.
+    """
+    wanted = -(-input_bytes // partition_bytes)
+    shuffle_partitions = max(2 * total_cores, min(wanted, 100_000))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle_partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes * 4),
+    }
+
+
 def object_store_conf(endpoint: str, path_style: bool = True, ssl: bool = True) -> dict[str, str]:
     """S3A settings for an S3-compatible object store (a self-hosted store
     typically needs path-style access and, inside a private network, no TLS).
