@@ -22,6 +22,7 @@ from txlake.operators.quality import (
     constraint_report,
     defect_profile,
     defect_reconciliation,
+    missing_surface_by_type,
     stage_counts,
 )
 from txlake.operators.reports import avg_price_by_region_type_quarter, null_aware_measures, status_breakdown
@@ -49,6 +50,7 @@ __all__ = [
     "defect_profile",
     "defect_reconciliation",
     "flatten",
+    "missing_surface_by_type",
     "null_aware_measures",
     "stage_counts",
     "star_join",

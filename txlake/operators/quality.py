@@ -70,6 +70,21 @@ def defect_profile(raw: DataFrame, key: str = "transaction_id") -> DataFrame:
     )
 
 
+def missing_surface_by_type(raw: DataFrame) -> DataFrame:
+    """Missing surface per property type (the defect is documented for land).
+
+    Columns: property_type, n_rows, n_missing_surface, share.
+    """
+    return (
+        raw.groupBy("property_type")
+        .agg(
+            F.count(F.lit(1)).alias("n_rows"),
+            F.count_if(_is_missing("surface_m2")).alias("n_missing_surface"),
+        )
+        .withColumn("share", F.col("n_missing_surface").cast("double") / F.col("n_rows").cast("double"))
+    )
+
+
 def clean_defects(clean: DataFrame, key: str = "transaction_id") -> DataFrame:
     """Rows of the clean table still showing each defect.
 

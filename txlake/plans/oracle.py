@@ -302,6 +302,15 @@ UNION ALL SELECT 'fact', CAST(count(*) AS BIGINT) FROM fact""",
             RAW_CTE + "," + _defect_profile_body("raw"),
             "SELECT defect, n_rows, total_rows, CAST(n_rows AS DOUBLE) / CAST(total_rows AS DOUBLE) AS share FROM defects",
         ),
+        "missing_surface_by_type": _with(
+            RAW_CTE,
+            """
+SELECT property_type,
+       CAST(count(*) AS BIGINT) AS n_rows,
+       CAST(count_if(surface_m2 IS NULL OR surface_m2 = '') AS BIGINT) AS n_missing_surface,
+       CAST(count_if(surface_m2 IS NULL OR surface_m2 = '') AS DOUBLE) / CAST(count(*) AS DOUBLE) AS share
+FROM raw GROUP BY property_type""",
+        ),
         "defect_reconciliation": _with(
             CLEAN_CTE
             + ","

@@ -22,6 +22,7 @@ from txlake.operators import (
     defect_profile,
     defect_reconciliation,
     flatten,
+    missing_surface_by_type,
     null_aware_measures,
     stage_counts,
     status_breakdown,
@@ -142,6 +143,10 @@ def defect_profile_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return defect_profile(raw_transactions(spark, sf_dir))
 
 
+def missing_surface_by_type_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return missing_surface_by_type(raw_transactions(spark, sf_dir))
+
+
 def defect_reconciliation_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = raw_transactions(spark, sf_dir)
     return defect_reconciliation(raw, clean_transactions(raw))
@@ -214,6 +219,7 @@ QUERIES: dict[str, Query] = {
     "null_aware_measures": null_aware_measures_q,
     "stage_counts": stage_counts_q,
     "defect_profile": defect_profile_q,
+    "missing_surface_by_type": missing_surface_by_type_q,
     "defect_reconciliation": defect_reconciliation_q,
     "constraint_report": constraint_report_q,
     "stream_parse": stream_parse,

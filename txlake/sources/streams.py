@@ -28,7 +28,15 @@ def kafka_stream(
     )
     if max_offsets_per_trigger:
         reader = reader.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
-    return reader.load()
+    try:
+        return reader.load()
+    except Exception as ex:
+        if "kafka" in str(ex).lower() and "data source" in str(ex).lower():
+            raise RuntimeError(
+                "the Kafka source is not on this cluster's classpath; add the "
+                "spark-sql-kafka connector package matching the Spark version"
+            ) from ex
+        raise
 
 
 def text_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
