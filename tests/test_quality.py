@@ -49,3 +49,20 @@ def test_constraint_report_clean_then_broken(spark):
     assert broken["fact_transactions.transaction_id:max_length"] == 1
     assert broken["fact_transactions.location_id:foreign_key"] == 1
     assert broken["dim_location.region+city:unique"] == 1
+
+
+def test_empty_and_all_null_groups_give_null_not_errors(spark):
+    """ANSI mode is on in Spark 4: averages and shares over nothing are null."""
+    from txlake.operators import build_dimensions, build_fact, clean_transactions, null_aware_measures
+    from txlake.schemas import RAW_SCHEMA
+
+    assert spark.conf.get("spark.sql.ansi.enabled") == "true"
+    rows = [("TX1", "L1", "land", "R", "C", None, "10", "registered", "o", "2024-01-01")]
+    clean = clean_transactions(spark.createDataFrame(rows, RAW_SCHEMA))
+    dims = build_dimensions(clean, persist=False)
+    (m,) = null_aware_measures(build_fact(clean, dims), dims).collect()
+    assert (m.n_rows, m.n_surface, m.avg_surface_m2, m.sum_surface_m2) == (1, 0, None, None)
+    empty = spark.createDataFrame([], RAW_SCHEMA)
+    shares = [r.share for r in defect_profile(empty).collect()]
+    assert shares == [None, None, None, None]
+    assert {r.defect: r.n_rows for r in defect_profile(empty).collect()}["duplicate_rows"] == 0

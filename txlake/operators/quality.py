@@ -31,7 +31,7 @@ def _is_missing(c: str) -> Column:
 
 def _key_groups(key: str) -> Column:
     """Number of groups a keyed dedup forms (null keys make one group)."""
-    return F.count_distinct(F.col(key)) + F.max(F.when(F.col(key).isNull(), 1).otherwise(0))
+    return F.count_distinct(F.col(key)) + F.coalesce(F.max(F.when(F.col(key).isNull(), 1).otherwise(0)), F.lit(0))
 
 
 def _long_format(one_row: DataFrame, names: list[str], name_col: str, value_col: str, keep: list[str]) -> DataFrame:
@@ -66,7 +66,7 @@ def defect_profile(raw: DataFrame, key: str = "transaction_id") -> DataFrame:
         "defect",
         "n_rows",
         "total_rows",
-        (F.col("n_rows").cast("double") / F.col("total_rows").cast("double")).alias("share"),
+        F.try_divide(F.col("n_rows").cast("double"), F.col("total_rows").cast("double")).alias("share"),
     )
 
 
@@ -81,7 +81,7 @@ def missing_surface_by_type(raw: DataFrame) -> DataFrame:
             F.count(F.lit(1)).alias("n_rows"),
             F.count_if(_is_missing("surface_m2")).alias("n_missing_surface"),
         )
-        .withColumn("share", F.col("n_missing_surface").cast("double") / F.col("n_rows").cast("double"))
+        .withColumn("share", F.try_divide(F.col("n_missing_surface").cast("double"), F.col("n_rows").cast("double")))
     )
 
 

@@ -21,7 +21,8 @@ WIDE_SURFACE = "decimal(28,1)"
 
 
 def _mean(total: Column, n: Column) -> Column:
-    return total.cast("double") / n
+    """double(sum) / count; null (not an ANSI error) when nothing was counted."""
+    return F.try_divide(total.cast("double"), n)
 
 
 def avg_price_by_region_type_quarter(fact: DataFrame, dims: Dimensions) -> DataFrame:

@@ -181,7 +181,7 @@ profile AS (
   SELECT
     CAST(count(*) AS BIGINT) AS total_rows,
     CAST(count(*) - (count(DISTINCT transaction_id)
-         + max(CASE WHEN transaction_id IS NULL THEN 1 ELSE 0 END)) AS BIGINT) AS duplicate_rows,
+         + coalesce(max(CASE WHEN transaction_id IS NULL THEN 1 ELSE 0 END), 0)) AS BIGINT) AS duplicate_rows,
     CAST(count_if(contains(price_mad, ',')) AS BIGINT) AS comma_prices,
     CAST(count_if(surface_m2 IS NULL OR surface_m2 = '') AS BIGINT) AS missing_surface,
     CAST(count_if(city IS NULL OR city = '') AS BIGINT) AS missing_city
@@ -319,7 +319,7 @@ FROM raw GROUP BY property_type""",
 clean_profile AS (
   SELECT
     CAST(count(*) - (count(DISTINCT transaction_id)
-         + max(CASE WHEN transaction_id IS NULL THEN 1 ELSE 0 END)) AS BIGINT) AS duplicate_rows,
+         + coalesce(max(CASE WHEN transaction_id IS NULL THEN 1 ELSE 0 END), 0)) AS BIGINT) AS duplicate_rows,
     CAST(count_if(price_mad IS NULL) AS BIGINT) AS comma_prices,
     CAST(count_if(surface_m2 IS NULL) AS BIGINT) AS missing_surface,
     CAST(count_if(city IS NULL) AS BIGINT) AS missing_city

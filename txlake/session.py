@@ -88,13 +88,24 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+def _context_checkpoint_dir(spark: SparkSession) -> str | None:
+    try:
+        sc_dir = spark.sparkContext._jsc.sc().getCheckpointDir()
+    except Exception:  # no JVM context handle (client session)
+        return None
+    return sc_dir.get() if sc_dir.isDefined() else None
+
+
 def _configured_checkpoint_dir(spark: SparkSession) -> str | None:
-    sc_dir = spark.sparkContext._jsc.sc().getCheckpointDir()
-    if sc_dir.isDefined():
-        return sc_dir.get()
-    conf_dir = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if conf_dir:
-        return conf_dir
+    d = _context_checkpoint_dir(spark)
+    if d:
+        return d
+    try:
+        conf_dir = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+        if conf_dir:
+            return conf_dir
+    except Exception:
+        pass
     try:
         return spark.conf.get("spark.checkpoint.dir")
     except Exception:
@@ -108,8 +119,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         d = tempfile.mkdtemp(prefix="txlake-ckpt-")
         spark.sparkContext.setCheckpointDir(d)
         d = _configured_checkpoint_dir(spark) or d
-    elif not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        spark.sparkContext.setCheckpointDir(d)
+    elif _context_checkpoint_dir(spark) is None:
+        try:
+            spark.sparkContext.setCheckpointDir(d)  # so DataFrame.checkpoint() uses it
+        except Exception:
+            pass
     return d
 
 
