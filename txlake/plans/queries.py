@@ -15,7 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txlake.operators import (
+    Dimensions,
     avg_price_by_region_type_quarter,
+    build_dimensions,
     clean_transactions,
     constraint_report,
     dedup_by_key,
@@ -92,16 +94,22 @@ def _clean_column(column: str) -> Query:
 # --- star schema -------------------------------------------------------------
 
 
+def _dims(spark: SparkSession, sf_dir: str, week_start: str = "monday") -> Dimensions:
+    # the member table is materialized by the build, so a dimension alone
+    # needs no persisted clean table: clean feeds the one members pass only
+    return build_dimensions(clean_transactions(raw_transactions(spark, sf_dir)), week_start=week_start)
+
+
 def _dim(attr: str) -> Query:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return getattr(_star(spark, sf_dir).dims, attr).df
+        return getattr(_dims(spark, sf_dir), attr).df
 
     return q
 
 
 def dim_date_sunday_start(spark: SparkSession, sf_dir: str) -> DataFrame:
     """dim_date with Spark's ``dayofweek`` numbering (Sunday = 1)."""
-    return build_star(raw_transactions(spark, sf_dir), week_start="sunday").dims.date.df
+    return _dims(spark, sf_dir, week_start="sunday").date.df
 
 
 def fact_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
