@@ -194,7 +194,7 @@ def build_dimensions(clean: DataFrame, week_start: str = "monday", persist: bool
     gids = {name: _grouping_id(cols) for name, cols in _GROUPING_SETS.items()}
     per_dim = [F.count_if(F.col("_gid") == gid).alias(str(gid)) for gid in gids.values()]
     if persist:
-        obs = Observation("dim_members")
+        obs = Observation()
         members = materialize(members, "dim_members", obs, *per_dim)
         counts = {int(k): v for k, v in obs.get.items()}  # filled by the write, no extra scan
     else:

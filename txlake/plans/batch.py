@@ -92,11 +92,11 @@ def run_batch(
             "fact_transactions",
         )
     }
-    raw_obs = Observation("raw")
+    raw_obs = Observation()
     write_raw_zone(read_raw_csv(spark, csv_path).observe(raw_obs, F.count(F.lit(1)).alias("rows")), paths["raw"])
     raw = read_raw_zone(spark, paths["raw"])
 
-    clean_obs = Observation("clean")
+    clean_obs = Observation()
     write_table(
         clean_transactions(raw, keep=keep).observe(clean_obs, F.count(F.lit(1)).alias("rows")),
         paths["clean"],
@@ -119,7 +119,7 @@ def run_batch(
         registration_status=stored["dim_registration_status"],
     )
 
-    fact_obs = Observation("fact")
+    fact_obs = Observation()
     write_table(
         build_fact(clean, dims).observe(fact_obs, F.count(F.lit(1)).alias("rows")),
         paths["fact_transactions"],
