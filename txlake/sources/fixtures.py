@@ -77,6 +77,18 @@ def _surface_tenths(k: Column) -> Column:
     return F.lit(SURFACE_BASE) + (F.lit(SURFACE_STEP) * k) % SURFACE_MOD
 
 
+def _padded(prefix: str, k: Column, width: int = 7) -> Column:
+    """``prefix`` + k zero-padded to ``width`` digits (like ``%07d`` for k >= 0;
+    a wider key is kept whole, never truncated)."""
+    digits = k.cast("string")
+    return F.concat(F.lit(prefix), F.when(F.length(digits) >= width, digits).otherwise(F.lpad(digits, width, "0")))
+
+
+def _tenths_text(tenths: Column) -> Column:
+    """Tenths as a one-decimal number text: 4003 -> "400.3"."""
+    return F.concat((tenths / 10).cast("long").cast("string"), F.lit("."), (tenths % 10).cast("string"))
+
+
 def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw transaction export: ten text columns, defects included.
 
@@ -103,13 +115,13 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     tenths = _surface_tenths(k)
     # every geo row is a customer row, so the customer count bounds the broadcast
     rows = orders.join(checked_broadcast(geo, rows=customer.count()), orders.o_custkey == geo.c_custkey).select(
-        F.format_string("TX%07d", k).alias("transaction_id"),
-        F.format_string("LST%07d", k).alias("listing_id"),
+        _padded("TX", k).alias("transaction_id"),
+        _padded("LST", k).alias("listing_id"),
         _property_type(k).alias("property_type"),
         F.col("r_name").alias("region"),
         F.when(k % CITY_MISSING_MOD == 0, F.lit("")).otherwise(F.col("n_name")).alias("city"),
         F.when((k % 4 == LAND) & (k % SURFACE_MISSING_MOD == 0), F.lit(""))
-        .otherwise(F.format_string("%d.%d", F.floor(tenths / 10), tenths % 10))
+        .otherwise(_tenths_text(tenths))
         .alias("surface_m2"),
         # legacy export: whole units with thousands separators (rounded half up first)
         F.when(k % COMMA_PRICE_MOD == 0, F.format_number(F.round(price, 0), 0))
@@ -134,15 +146,15 @@ def event_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     e = F.col("event_id")
     return events.join(F.broadcast(geo), (events.user_id % 25) == geo.n_nationkey).select(
-        F.format_string("STREAM%07d", e).alias("transaction_id"),
-        F.format_string("LSTS%07d", e).alias("listing_id"),
+        _padded("STREAM", e).alias("transaction_id"),
+        _padded("LSTS", e).alias("listing_id"),
         _property_type(e).alias("property_type"),
         F.col("r_name").alias("region"),
         F.col("n_name").alias("city"),
         (_surface_tenths(e) / F.lit(10.0)).alias("surface_m2"),
         F.col("value").alias("price_mad"),
         _status("event_id").alias("registration_status"),
-        F.format_string("office_%d", e % OFFICE_COUNT).alias("source_office"),
+        F.concat(F.lit("office_"), (e % OFFICE_COUNT).cast("string")).alias("source_office"),
         F.date_format("ts", "yyyy-MM-dd").alias("transaction_date"),
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("event_timestamp"),
     )
