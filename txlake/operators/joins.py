@@ -15,12 +15,12 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
-def bounded_count(df: DataFrame, bound: int) -> int:
-    """Row count, or ``bound + 1`` as soon as the count is known to exceed it."""
-    return df.limit(bound + 1).count()
-
-
 def checked_broadcast(df: DataFrame, rows: int | None = None, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint when ``df`` is proven small, else ``df`` unchanged."""
-    n = rows if rows is not None else bounded_count(df, max_rows)
+    """Broadcast hint when ``df`` is proven small, else ``df`` unchanged.
+
+    ``rows`` is a known row count (or upper bound); without it the frame is
+    counted -- a distributed count (per-task partial counts, one row per task
+    shuffled), never a limit that would funnel rows into one task.
+    """
+    n = rows if rows is not None else df.count()
     return F.broadcast(df) if n <= max_rows else df
