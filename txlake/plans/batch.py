@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from txlake.operators import Dimension, Dimensions, build_dimensions, build_fact, clean_transactions
+from txlake.operators.dimensions import SINGLE_TASK_ROWS
 from txlake.sources import (
     materialize,
     read_raw_csv,
@@ -110,7 +111,8 @@ def run_batch(
         ("dim_date", "dim_property_type", "dim_location", "dim_registration_status"),
         (built.date, built.property_type, built.location, built.registration_status),
     ):
-        write_table(dim.df.coalesce(1), paths[name])
+        # a small dimension is one file; an oversized one keeps its partitions
+        write_table(dim.df.coalesce(1) if dim.rows <= SINGLE_TASK_ROWS else dim.df, paths[name])
         stored[name] = Dimension(read_table(spark, paths[name]), dim.rows)
     dims = Dimensions(
         date=stored["dim_date"],
