@@ -89,3 +89,28 @@ def test_unresolved_keys_stay_null_not_dropped(spark):
     assert set(fact) == {"TX1", "TX2"}
     assert fact["TX2"].date_id is None and fact["TX2"].location_id is None
     assert fact["TX1"].date_id == 1 and fact["TX1"].location_id == 1
+
+
+def test_fallback_paths_equal_fast_paths(spark):
+    """Beyond the size bounds: shuffle joins instead of broadcasts, and the
+    distributed numbering instead of one task -- same results."""
+    clean = clean_transactions(raw_transactions(spark, SF001))
+    dims = build_dimensions(clean, persist=False)
+    fast = build_fact(clean, dims)
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        slow = build_fact(clean, dims, max_broadcast_rows=0)
+        slow.write.format("noop").mode("overwrite").save()
+        plan = slow._jdf.queryExecution().executedPlan().toString()
+        # the fixture's own inner joins may broadcast; the fact's left joins may not
+        assert not [line for line in plan.splitlines() if "BroadcastHashJoin" in line and "LeftOuter" in line]
+        assert sorted(map(tuple, slow.collect()), key=str) == sorted(map(tuple, fast.collect()), key=str)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+    loc_members = dims.location.df.drop("location_id")
+    many = with_surrogate_key(loc_members, "location_id", ["region", "city"], rows=dims.location.rows, single_task_rows=3)
+    assert sorted(map(tuple, many.collect()), key=str) == sorted(map(tuple, dims.location.df.collect()), key=str)
