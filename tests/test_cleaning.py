@@ -1,6 +1,8 @@
 """Edge rows for every cleaning rule (hand-written inputs)."""
 
 import datetime as dt
+
+import pytest
 from decimal import Decimal
 
 from pyspark.sql import functions as F
@@ -57,24 +59,28 @@ def _raw(spark, rows):
     return spark.createDataFrame(rows, RAW_SCHEMA)
 
 
-def test_dedup_null_ids_collapse(spark):
+@pytest.mark.parametrize("strategy", ["shuffle", "split"])
+def test_dedup_null_ids_collapse(spark, strategy):
     a = (None, "L1", "land", "R", "C", "1.0", "10", "registered", "o", "2024-01-01")
     b = (None, "L2", "villa", "R", "C", "2.0", "20", "registered", "o", "2024-01-02")
-    out = dedup_by_key(_raw(spark, [a, b]), ["transaction_id"]).collect()
+    c = ("TX9", "L3", "villa", "R", "C", "2.0", "20", "registered", "o", "2024-01-02")
+    out = dedup_by_key(_raw(spark, [a, b, c]), ["transaction_id"], strategy=strategy).collect()
+    out = [r for r in out if r["transaction_id"] is None]
     assert len(out) == 1
     assert out[0]["listing_id"] == "L1"  # the smallest full row is kept
 
 
-def test_dedup_min_is_deterministic_and_any_keeps_one(spark):
+@pytest.mark.parametrize("strategy", ["shuffle", "split"])
+def test_dedup_min_is_deterministic_and_any_keeps_one(spark, strategy):
     rows = [
         ("TX1", "L9", "land", "R", "C", "1.0", "10", "registered", "o", "2024-01-01"),
         ("TX1", "L1", "land", "R", "C", "1.0", "10", "registered", "o", "2024-01-01"),
         ("TX2", "L2", "land", "R", "C", "1.0", "10", "registered", "o", "2024-01-01"),
     ]
     df = _raw(spark, rows).repartition(3)
-    kept = {r["transaction_id"]: r["listing_id"] for r in dedup_by_key(df, ["transaction_id"]).collect()}
+    kept = {r["transaction_id"]: r["listing_id"] for r in dedup_by_key(df, ["transaction_id"], strategy=strategy).collect()}
     assert kept == {"TX1": "L1", "TX2": "L2"}
-    assert dedup_by_key(df, ["transaction_id"], keep="any").count() == 2
+    assert dedup_by_key(df, ["transaction_id"], keep="any", strategy=strategy).count() == 2
 
 
 def test_clean_transactions_types_and_values(spark):
@@ -94,3 +100,15 @@ def test_clean_transactions_types_and_values(spark):
     assert schema["price_mad"].dataType.simpleString() == "decimal(12,2)"
     assert schema["surface_m2"].dataType.simpleString() == "decimal(10,1)"
     assert schema["transaction_date"].dataType.simpleString() == "date"
+
+
+def test_dedup_strategies_agree_on_fixture(spark):
+    from conftest import SF01
+
+    from txlake.sources import raw_transactions
+
+    raw = raw_transactions(spark, SF01)
+    a = clean_transactions(raw, dedup_strategy="shuffle")
+    b = clean_transactions(raw, dedup_strategy="split")
+    assert a.count() == b.count() == 15000
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

@@ -68,13 +68,26 @@ def test_dedup_and_dimension_members_pre_aggregate(spark):
 
     raw = raw_transactions(spark, SF001)
     for df in (
-        dedup_by_key(raw, ["transaction_id"]),
-        dedup_by_key(raw, ["transaction_id"], keep="any"),
+        dedup_by_key(raw, ["transaction_id"], strategy="shuffle"),
+        dedup_by_key(raw, ["transaction_id"], keep="any", strategy="shuffle"),
+        dedup_by_key(raw, ["transaction_id"], strategy="split"),
         dimension_members(clean_transactions(raw)),
     ):
         assert _partial_before_exchange(df._jdf.queryExecution().executedPlan().toString())
 
 
+def test_split_dedup_shuffles_only_repeated_keys(spark):
+    from txlake.operators import dedup_by_key
+
+    df = dedup_by_key(raw_transactions(spark, SF001), ["transaction_id"], strategy="split")
+    plan = _plan(df)
+    # unique keys leave through a broadcast anti join, no exchange on that branch
+    assert "LeftAnti" in plan and "LeftSemi" in plan
+    anti = [line for line in plan.splitlines() if "LeftAnti" in line]
+    assert anti and all("BroadcastHashJoin" in line for line in anti)
+    assert plan.count("Exchange hashpartitioning") == 1  # only the repeated rows
+
+
 def test_hot_key_holding_a_third_of_rows(spark):
     """One id (and the null id) carry a third of all rows each: every row
     survives the cleaning rules, each key keeps exactly one row."""
@@ -87,9 +100,10 @@ def test_hot_key_holding_a_third_of_rows(spark):
     hot = base.limit(n // 3).withColumn("transaction_id", F.lit("TX_HOT"))
     nulls = base.limit(n // 3).withColumn("transaction_id", F.lit(None).cast("string"))
     skewed = base.unionByName(hot).unionByName(nulls).repartition(16)
-    clean = clean_transactions(skewed)
-    assert clean.count() == 1500 + 2
-    assert clean.where(F.col("transaction_id") == "TX_HOT").count() == 1
-    assert clean.where(F.col("transaction_id").isNull()).count() == 1
+    for strategy in ("shuffle", "split"):
+        clean = clean_transactions(skewed, dedup_strategy=strategy)
+        assert clean.count() == 1500 + 2
+        assert clean.where(F.col("transaction_id") == "TX_HOT").count() == 1
+        assert clean.where(F.col("transaction_id").isNull()).count() == 1
     dup = {r.defect: r.n_rows for r in defect_profile(skewed).collect()}["duplicate_rows"]
     assert dup == skewed.count() - (1500 + 2)

@@ -6,24 +6,53 @@ row and dimensions and facts stay consistent.  ``keep="any"`` is
 ``dropDuplicates``: an arbitrary row per key (exact copies make the choice
 irrelevant).  Null keys form one group (one row survives).
 
-Both plan as partial aggregation before the shuffle on the key: a key that
-holds a large share of all rows (a hot duplicated id, or many null ids) is
-collapsed to one row per map task before it is shuffled, so no task receives
-the hot group.  A ``row_number`` window would ship every copy to one task and
-is deliberately not used.
+Two physical strategies, same result:
+
+* ``shuffle``: one aggregation on the key, pre-aggregated per map task.  Every
+  row crosses the shuffle.
+* ``split``: duplicates are rare, so first find the keys that occur more than
+  once -- a shuffle of the key column only, pre-aggregated per map task.  When
+  that set is proven small (counted while it is written to the shared folder)
+  it is broadcast: rows whose key is unique pass through a map-side anti join
+  untouched, and only rows with a repeated key go through the keyed
+  aggregation.  Beyond the bound, the ``shuffle`` strategy is used.  It costs
+  one extra scan of the input and saves shuffling and sorting all of it.
+* ``auto`` (default): ``split`` when the input files the plan reads add up to
+  at least ``SPLIT_MIN_INPUT_BYTES`` (Catalyst's statistics of the plan's leaf
+  relations -- the listed file sizes), else ``shuffle``, whose single job is
+  cheaper on small inputs.
+
+In every strategy, a key holding a large share of all rows (a hot duplicated id, or many
+null ids) is collapsed to one row per map task before any shuffle, so no task
+receives the hot group.  A ``row_number`` window would ship every copy to one
+task and is deliberately not used.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from txlake.operators.joins import DEFAULT_BROADCAST_ROWS
+
+SPLIT_MIN_INPUT_BYTES = 1 << 30
 
-def dedup_by_key(df: DataFrame, keys: list[str], keep: str = "min") -> DataFrame:
+
+def input_bytes(df: DataFrame) -> int | None:
+    """Bytes of the relations the plan reads (sum of its leaves' statistics),
+    or None when the plan does not expose them."""
+    try:
+        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+        return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    except Exception:
+        return None
+
+
+def _keyed_aggregate(df: DataFrame, keys: list[str], keep: str) -> DataFrame:
     if keep == "any":
         return df.dropDuplicates(keys)
-    if keep != "min":
-        raise ValueError(f"keep must be 'min' or 'any', not {keep!r}")
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.select(*keys).distinct()
@@ -33,3 +62,39 @@ def dedup_by_key(df: DataFrame, keys: list[str], keep: str = "min") -> DataFrame
         .select(*keys, *[F.col(f"_kept.{c}").alias(c) for c in rest])
         .select(*df.columns)
     )
+
+
+def repeated_keys(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys that occur on more than one row (null keys included)."""
+    return df.groupBy(*keys).count().where(F.col("count") > 1).drop("count")
+
+
+def dedup_by_key(
+    df: DataFrame,
+    keys: list[str],
+    keep: str = "min",
+    strategy: str = "auto",
+    max_repeated_keys: int = DEFAULT_BROADCAST_ROWS,
+) -> DataFrame:
+    if keep not in ("min", "any"):
+        raise ValueError(f"keep must be 'min' or 'any', not {keep!r}")
+    if strategy == "auto":
+        size = input_bytes(df)
+        strategy = "split" if size is None or size >= SPLIT_MIN_INPUT_BYTES else "shuffle"
+    if strategy == "shuffle":
+        return _keyed_aggregate(df, keys, keep)
+    if strategy != "split":
+        raise ValueError(f"strategy must be 'split' or 'shuffle', not {strategy!r}")
+
+    from txlake.sources.files import materialize
+
+    obs = Observation()
+    dup = materialize(repeated_keys(df, keys), "repeated_keys", obs, F.count(F.lit(1)).alias("n"))
+    if obs.get["n"] > max_repeated_keys:
+        return _keyed_aggregate(df, keys, keep)
+
+    dup = F.broadcast(dup.select(*[F.col(k).alias(f"_dup_{k}") for k in keys]))
+    same_key = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_dup_{k}")) for k in keys])
+    unique_rows = df.join(dup, same_key, "left_anti")
+    repeated_rows = df.join(dup, same_key, "left_semi")
+    return unique_rows.unionByName(_keyed_aggregate(repeated_rows, keys, keep))
