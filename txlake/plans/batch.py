@@ -8,8 +8,10 @@ Plan shape, per stage:
    Re-cleaning from the raw zone without re-extracting is the same code path
    (``raw_replay``).
 3. The clean table is written to the lake once.  Dimensions and fact read it
-   back, so the dedup shuffle runs once, lineage is cut, and a lost executor
-   recomputes from files rather than from the whole pipeline.
+   back, so the dedup runs once, lineage is cut, and a lost executor
+   recomputes from files rather than from the whole pipeline.  On a large
+   input the dedup shuffles only the key column and the rows whose key
+   repeats (``dedup_by_key``).
 4. All four dimensions come from one grouping-sets aggregation over the clean
    table (one scan, one pre-aggregated shuffle); their member counts are
    observed during that write and decide whether each is broadcast into the
@@ -78,6 +80,7 @@ def run_batch(
     keep: str = "min",
     week_start: str = "monday",
     max_records_per_file: int = 5_000_000,
+    dedup_strategy: str = "auto",
 ) -> BatchResult:
     """Run the whole batch load into ``lake_root`` and return the stage counts."""
     root = lake_root.rstrip("/")
@@ -99,7 +102,9 @@ def run_batch(
 
     clean_obs = Observation()
     write_table(
-        clean_transactions(raw, keep=keep).observe(clean_obs, F.count(F.lit(1)).alias("rows")),
+        clean_transactions(raw, keep=keep, dedup_strategy=dedup_strategy).observe(
+            clean_obs, F.count(F.lit(1)).alias("rows")
+        ),
         paths["clean"],
         max_records_per_file=max_records_per_file,
     )
