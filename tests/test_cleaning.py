@@ -112,3 +112,12 @@ def test_dedup_strategies_agree_on_fixture(spark):
     b = clean_transactions(raw, dedup_strategy="split")
     assert a.count() == b.count() == 15000
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_split_dedup_without_any_duplicate(spark):
+    rows = [
+        ("TX1", "L1", "land", "R", "C", "1.0", "10", "registered", "o", "2024-01-01"),
+        ("TX2", "L2", "land", "R", "C", "1.0", "10", "registered", "o", "2024-01-01"),
+    ]
+    out = dedup_by_key(_raw(spark, rows), ["transaction_id"], strategy="split")
+    assert sorted(r["transaction_id"] for r in out.collect()) == ["TX1", "TX2"]
