@@ -196,7 +196,7 @@ def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     sink = shared_dir(spark, "stream_sink")
     ckpt = shared_dir(spark, "stream_ckpt")
     msgs = event_messages(spark, sf_dir)
-    half = F.abs(F.xxhash64("value")) % 2
+    half = F.pmod(F.xxhash64("value"), F.lit(2))
     msgs.where(half == 0).write.mode("append").text(src)
     run_available(text_stream(spark, src), sink, ckpt)
     msgs.where(half == 1).write.mode("append").text(src)
