@@ -14,7 +14,7 @@ from txlake.plans import build_star
 from txlake.sources import raw_transactions
 
 
-def test_defect_profile_sf001(spark):
+def test_defect_profile_sf0_01(spark):
     raw = raw_transactions(spark, SF01)
     got = {r.defect: r.n_rows for r in defect_profile(raw).collect()}
     assert got == {"duplicate_rows": 149, "comma_prices": 1378, "missing_surface": 122, "missing_city": 287}

@@ -38,7 +38,7 @@ def test_raw_zone_round_trip_is_unmodified(spark, tmp_path):
     assert any(f.endswith(".parquet") for f in os.listdir(zone))
 
 
-def test_fixture_defect_counts_sf001(spark):
+def test_fixture_defect_counts_sf0_01(spark):
     raw = raw_transactions(spark, SF01)
     got = raw.agg(
         F.count(F.lit(1)).alias("rows"),
