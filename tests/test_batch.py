@@ -24,3 +24,20 @@ def test_run_batch_and_reload(spark):
     got = avg_price_by_region_type_quarter(star.fact, star.dims)
     want = QUERIES["avg_price_region_type_quarter"](spark, SF001)
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_command_line_entry_points(spark):
+    from txlake.__main__ import main
+    from txlake.sources import event_messages
+
+    csv = shared_dir(spark, "t_cli_csv")
+    write_csv(raw_transactions(spark, SF001), csv)
+    summary = main(["batch", "--csv", csv, "--lake", shared_dir(spark, "t_cli_lake")], spark=spark)
+    assert (summary["raw_rows"], summary["clean_rows"], summary["fact_rows"]) == (1515, 1500, 1500)
+
+    landing = shared_dir(spark, "t_cli_landing")
+    event_messages(spark, SF001).write.text(landing)
+    sink = shared_dir(spark, "t_cli_sink")
+    args = ["stream", "--landing", landing, "--sink", sink, "--checkpoint", shared_dir(spark, "t_cli_ckpt")]
+    main(args + ["--available-now"], spark=spark)
+    assert spark.read.parquet(sink).count() == event_messages(spark, SF001).count()
