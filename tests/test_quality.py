@@ -49,6 +49,12 @@ def test_constraint_report_clean_then_broken(spark):
     assert broken["fact_transactions.transaction_id:max_length"] == 1
     assert broken["fact_transactions.location_id:foreign_key"] == 1
     assert broken["dim_location.region+city:unique"] == 1
+    # a duplicated dimension key is reported, and does not multiply the facts
+    loc = star.dims.location
+    star.dims.location = Dimension(loc.df.unionByName(loc.df.limit(1)), loc.rows + 1)
+    again = {r.rule: r.violations for r in constraint_report(star.fact, star.dims).collect()}
+    assert again["dim_location.location_id:primary_key"] == 1
+    assert again["fact_transactions.transaction_id:primary_key"] == 0
 
 
 def test_empty_and_all_null_groups_give_null_not_errors(spark):

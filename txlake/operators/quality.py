@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txlake.operators.dimensions import Dimensions
-from txlake.operators.joins import DEFAULT_BROADCAST_ROWS
+from txlake.operators.joins import DEFAULT_BROADCAST_ROWS, checked_broadcast
 from txlake.schemas import SMALLINT_MAX, SMALLINT_MIN, VARCHAR_LIMITS
 
 
@@ -246,11 +246,15 @@ def constraint_report(
             continue
         for r in trules:
             if r.kind == "foreign_key":
-                # one broadcast join per key, all in the same pass over the fact
-                keys = dimension[r.param].for_join(max_broadcast_rows).select(
-                    F.col(DIM_KEYS[r.param]).alias(r.columns[0]), F.lit(True).alias(f"_has_{r.param}")
+                # one broadcast join per key, all in the same pass over the fact;
+                # keys are de-duplicated so a broken dimension cannot multiply facts
+                dim = dimension[r.param]
+                keys = (
+                    dim.df.select(F.col(DIM_KEYS[r.param]).alias(r.columns[0]))
+                    .distinct()
+                    .withColumn(f"_has_{r.param}", F.lit(True))
                 )
-                df = df.join(keys, r.columns[0], "left")
+                df = df.join(checked_broadcast(keys, rows=dim.rows, max_rows=max_broadcast_rows), r.columns[0], "left")
         one = df.agg(*[_rule_agg(r).cast("long").alias(f"r{i}") for i, r in enumerate(trules)])
         pairs = ", ".join(f"'{r.name}', r{i}" for i, r in enumerate(trules))
         reports.append(one.select(F.expr(f"stack({len(trules)}, {pairs}) as (rule, violations)")))
