@@ -57,7 +57,11 @@ def with_surrogate_key(
 
     spark = members.sparkSession
     ensure_checkpoint_dir(spark)
-    parts = max(1, min(spark.sparkContext.defaultParallelism * 4, -(-n // single_task_rows) * 4))
+    try:
+        cores = spark.sparkContext.defaultParallelism
+    except Exception:  # client session
+        cores = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    parts = max(1, min(cores * 4, -(-n // single_task_rows) * 4))
     ordered = members.repartitionByRange(parts, *order).sortWithinPartitions(*order).checkpoint(eager=True)
     tagged = ordered.withColumn("_mid", F.monotonically_increasing_id()).withColumn(
         "_pid", F.shiftright("_mid", 33)

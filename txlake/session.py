@@ -117,7 +117,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     d = _configured_checkpoint_dir(spark)
     if d is None:
         d = tempfile.mkdtemp(prefix="txlake-ckpt-")
-        spark.sparkContext.setCheckpointDir(d)
+        try:
+            spark.sparkContext.setCheckpointDir(d)
+        except Exception:  # client session: the server owns the context
+            return d
         d = _configured_checkpoint_dir(spark) or d
     elif _context_checkpoint_dir(spark) is None:
         try:
