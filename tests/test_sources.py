@@ -49,3 +49,26 @@ def test_fixture_defect_counts_sf0_01(spark):
     ).first()
     # figures stated for the sf0.01 fixture
     assert (got.rows, got.ids, got.empty_city, got.empty_surface, got.comma) == (15149, 15000, 287, 122, 1378)
+
+
+def test_quoted_empty_city_cleans_to_null(spark, tmp_path):
+    from txlake.operators import clean_transactions
+
+    path = tmp_path / "export.csv"
+    path.write_text(CSV)
+    clean = {r["transaction_id"]: r for r in clean_transactions(read_raw_csv(spark, str(path))).collect()}
+    assert clean["TX0000002"]["city"] is None  # quoted empty
+    assert clean["TX0000001"]["city"] is None  # unquoted empty
+    assert clean["TX0000003"]["city"] == " "  # blank kept
+    assert clean["TX0000003"]["transaction_date"] is None  # 2024-02-31
+
+
+def test_session_helpers():
+    from txlake.session import object_store_conf, scale_conf
+
+    conf = scale_conf(100 * 10**12, total_cores=4000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 100_000  # capped
+    assert int(scale_conf(10**9, total_cores=16)["spark.sql.shuffle.partitions"]) == 32
+    s3 = object_store_conf("http://store:9000", ssl=False)
+    assert s3["spark.hadoop.fs.s3a.connection.ssl.enabled"] == "false"
+    assert not any("secret" in k or "access.key" in k for k in s3)
