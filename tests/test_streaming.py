@@ -90,3 +90,20 @@ def test_kafka_source_reports_missing_connector(spark):
     else:  # connector present on this classpath: the frame has the broker columns
         assert "value" in df.columns
         pytest.skip("kafka connector available")
+
+
+def test_partitioned_sink_prunes(spark):
+    from txlake.streaming import start_stream_to_lake
+
+    src = shared_dir(spark, "t_src")
+    sink = shared_dir(spark, "t_sink")
+    event_messages(spark, SF001).write.text(src)
+    q = start_stream_to_lake(
+        text_stream(spark, src), sink, shared_dir(spark, "t_ckpt"), available_now=True, partition_by=["transaction_date"]
+    )
+    q.awaitTermination(300)
+    landed = spark.read.parquet(sink)
+    assert landed.count() == event_messages(spark, SF001).count()
+    day = landed.select("transaction_date").first()[0]
+    plan = landed.where(F.col("transaction_date") == day)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(transaction_date" in plan

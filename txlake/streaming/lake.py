@@ -26,9 +26,12 @@ def start_stream_to_lake(
     processing_time: str | None = "10 seconds",
     available_now: bool = False,
     query_name: str | None = None,
+    partition_by: list[str] | None = None,
 ) -> StreamingQuery:
     """Start the landing query.  ``available_now`` processes what the source
-    holds and stops (tests, backfills); otherwise a processing-time trigger."""
+    holds and stops (tests, backfills); otherwise a processing-time trigger.
+    ``partition_by`` (e.g. ``["transaction_date"]``) lays the sink out in
+    folders that later scans can prune; by default the sink is flat."""
     writer = (
         landing_plan(messages)
         .writeStream.format("parquet")
@@ -36,6 +39,8 @@ def start_stream_to_lake(
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
     )
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
     if query_name:
         writer = writer.queryName(query_name)
     if available_now:
