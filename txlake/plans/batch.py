@@ -26,6 +26,7 @@ tripping over the keys of the previous one.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -145,16 +146,19 @@ def run_batch(
 def load_star(spark: SparkSession, lake_root: str) -> StarSchema:
     """Open a star written by ``run_batch`` (dimension sizes are re-counted)."""
     root = lake_root.rstrip("/")
-
-    def dim(name: str) -> Dimension:
-        df = read_table(spark, f"{root}/{name}")
-        return Dimension(df, df.count())
-
+    names = ["dim_date", "dim_property_type", "dim_location", "dim_registration_status"]
+    tables = {name: read_table(spark, f"{root}/{name}") for name in names}
+    # all four sizes in one job (four rows to the driver)
+    counted = reduce(
+        DataFrame.unionByName,
+        [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("t"), "n") for name, df in tables.items()],
+    )
+    rows = {r.t: r.n for r in counted.collect()}
     dims = Dimensions(
-        date=dim("dim_date"),
-        property_type=dim("dim_property_type"),
-        location=dim("dim_location"),
-        registration_status=dim("dim_registration_status"),
+        date=Dimension(tables["dim_date"], rows["dim_date"]),
+        property_type=Dimension(tables["dim_property_type"], rows["dim_property_type"]),
+        location=Dimension(tables["dim_location"], rows["dim_location"]),
+        registration_status=Dimension(tables["dim_registration_status"], rows["dim_registration_status"]),
     )
     return StarSchema(
         raw=read_raw_zone(spark, f"{root}/raw"),
