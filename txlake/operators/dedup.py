@@ -16,7 +16,10 @@ Two physical strategies, same result:
   it is broadcast: rows whose key is unique pass through a map-side anti join
   untouched, and only rows with a repeated key go through the keyed
   aggregation.  Beyond the bound, the ``shuffle`` strategy is used.  It costs
-  one extra scan of the input and saves shuffling and sorting all of it.
+  one extra scan of the input and saves shuffling and sorting all of it: the
+  keyed ``min``/``first`` over string-valued rows cannot use a hash aggregate
+  (its buffers must be fixed-width), so Spark plans it as a sort aggregate,
+  and with ``split`` only the rows whose key repeats are sorted.
 * ``auto`` (default): ``split`` when the input files the plan reads add up to
   at least ``SPLIT_MIN_INPUT_BYTES`` (Catalyst's statistics of the plan's leaf
   relations -- the listed file sizes), else ``shuffle``, whose single job is
