@@ -342,4 +342,8 @@ FROM defects d JOIN clean_defects c ON d.defect = c.defect JOIN handling h ON d.
         "stream_to_lake": EVENTS_SQL.strip(),
         "stream_restart": EVENTS_SQL.strip(),
     }
+    # scale-path variants compute the same tables as their base queries
+    sql["dedup_by_key_split"] = sql["dedup_by_key"]
+    sql["dim_date_distributed_keys"] = sql["dim_date"]
+    sql["fact_transactions_shuffle_joins"] = sql["fact_transactions"]
     return sql

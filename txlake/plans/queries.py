@@ -18,6 +18,7 @@ from txlake.operators import (
     Dimensions,
     avg_price_by_region_type_quarter,
     build_dimensions,
+    build_fact,
     clean_transactions,
     constraint_report,
     dedup_by_key,
@@ -28,6 +29,7 @@ from txlake.operators import (
     null_aware_measures,
     stage_counts,
     status_breakdown,
+    with_surrogate_key,
 )
 from txlake.plans.batch import StarSchema, build_star
 from txlake.schemas import EVENT_COLUMNS
@@ -80,6 +82,12 @@ def dedup_by_key_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_by_key(raw_transactions(spark, sf_dir), ["transaction_id"])
 
 
+def dedup_by_key_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The large-input dedup plan (repeated keys broadcast, unique rows not
+    shuffled), forced on the whole table so the oracle gate covers it."""
+    return dedup_by_key(raw_transactions(spark, sf_dir), ["transaction_id"], strategy="split")
+
+
 def clean_transactions_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_transactions(raw_transactions(spark, sf_dir))
 
@@ -112,10 +120,26 @@ def dim_date_sunday_start(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _dims(spark, sf_dir, week_start="sunday").date.df
 
 
+def dim_date_distributed_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """dim_date keyed by the distributed numbering (range partitions plus
+    per-partition offsets) that dimensions over the one-task bound use."""
+    dim = _dims(spark, sf_dir).date
+    members = dim.df.select("full_date")
+    keyed = with_surrogate_key(members, "date_id", ["full_date"], rows=dim.rows, single_task_rows=256)
+    return keyed.join(dim.df.drop("date_id"), "full_date").select(*dim.df.columns)
+
+
 def fact_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _star(spark, sf_dir).fact
 
 
+def fact_transactions_shuffle_joins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact with no broadcast hint (the path for dimensions over the
+    broadcast bound: shuffle joins, AQE decides at run time)."""
+    s = _star(spark, sf_dir)
+    return build_fact(s.clean, s.dims, max_broadcast_rows=0)
+
+
 def star_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = _star(spark, sf_dir)
     return flatten(s.fact, s.dims)
@@ -210,6 +234,7 @@ QUERIES: dict[str, Query] = {
     "raw_zone_parquet": raw_zone_parquet,
     "raw_replay": raw_replay,
     "dedup_by_key": dedup_by_key_q,
+    "dedup_by_key_split": dedup_by_key_split,
     "price_clean": _clean_column("price_mad"),
     "surface_clean": _clean_column("surface_m2"),
     "city_clean": _clean_column("city"),
@@ -217,10 +242,12 @@ QUERIES: dict[str, Query] = {
     "clean_transactions": clean_transactions_q,
     "dim_date": _dim("date"),
     "dim_date_sunday_start": dim_date_sunday_start,
+    "dim_date_distributed_keys": dim_date_distributed_keys,
     "dim_property_type": _dim("property_type"),
     "dim_location": _dim("location"),
     "dim_registration_status": _dim("registration_status"),
     "fact_transactions": fact_transactions,
+    "fact_transactions_shuffle_joins": fact_transactions_shuffle_joins,
     "star_flatten": star_flatten,
     "avg_price_region_type_quarter": avg_price_region_type_quarter,
     "status_breakdown": status_breakdown_q,
