@@ -72,3 +72,19 @@ def test_session_helpers():
     s3 = object_store_conf("http://store:9000", ssl=False)
     assert s3["spark.hadoop.fs.s3a.connection.ssl.enabled"] == "false"
     assert not any("secret" in k or "access.key" in k for k in s3)
+
+
+def test_csv_embedded_quotes_round_trip(spark, tmp_path):
+    from txlake.sources import write_csv
+    from txlake.schemas import RAW_SCHEMA
+
+    text = CSV + 'TX0000004,LST0000004,land,R,"Dar ""Bouazza""",,"1,000",registered,o,2024-01-01\n'
+    path = tmp_path / "export.csv"
+    path.write_text(text)
+    rows = {r["transaction_id"]: r for r in read_raw_csv(spark, str(path)).collect()}
+    assert rows["TX0000004"]["city"] == 'Dar "Bouazza"'
+    assert rows["TX0000004"]["price_mad"] == "1,000"
+    out = str(tmp_path / "again")
+    write_csv(spark.createDataFrame([tuple(rows["TX0000004"])], RAW_SCHEMA), out)
+    (back,) = read_raw_csv(spark, out).collect()
+    assert back["city"] == 'Dar "Bouazza"' and back["price_mad"] == "1,000"

@@ -1,7 +1,8 @@
 """File sources and sinks: the CSV export, the Parquet raw zone, lake tables.
 
 * CSV is read with a declared all-text schema and a header row; quoted fields
-  (prices such as "1,250,000") are honoured and an empty field reads as null.
+  (prices such as "1,250,000") are honoured, an embedded quote is a doubled
+  quote (as standard CSV writers produce), and an empty field reads as null.
   A CSV scan is row-at-a-time, so a pipeline scans it exactly once into the
   Parquet raw zone and works from there (vectorized, column-pruned,
   predicate push-down).
@@ -25,6 +26,7 @@ def read_raw_csv(spark: SparkSession, path: str, schema=RAW_SCHEMA) -> DataFrame
     return (
         spark.read.option("header", True)
         .option("mode", "PERMISSIVE")
+        .option("escape", '"')  # standard CSV: an embedded quote is doubled
         .schema(schema)
         .csv(path)
     )
@@ -32,7 +34,7 @@ def read_raw_csv(spark: SparkSession, path: str, schema=RAW_SCHEMA) -> DataFrame
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write a CSV export with a header (standard quoting of embedded commas)."""
-    df.write.mode(mode).option("header", True).csv(path)
+    df.write.mode(mode).option("header", True).option("escape", '"').csv(path)
 
 
 def write_raw_zone(raw: DataFrame, path: str) -> None:
