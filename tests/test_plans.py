@@ -107,3 +107,16 @@ def test_hot_key_holding_a_third_of_rows(spark):
         assert clean.where(F.col("transaction_id").isNull()).count() == 1
     dup = {r.defect: r.n_rows for r in defect_profile(skewed).collect()}["duplicate_rows"]
     assert dup == skewed.count() - (1500 + 2)
+
+
+def test_distinct_counts_shuffle_only_the_key(spark):
+    """Exact distinct counts must not drag other aggregates' buffers through
+    the key shuffle."""
+    from txlake.operators import defect_profile
+
+    plan = _plan(defect_profile(raw_transactions(spark, SF001)))
+    lines = plan.splitlines()
+    for i, line in enumerate(lines):
+        if "Exchange hashpartitioning" in line:
+            below = lines[i + 1]
+            assert "functions=[]" in below, below

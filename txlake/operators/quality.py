@@ -7,9 +7,13 @@ aggregation per table -- a report of violations per rule, so a bad load is
 detected without aborting it.  Foreign keys are checked in the same pass over
 the fact through broadcast joins to the (size-checked) dimension keys.
 
-Every report is a handful of conditional aggregates over one scan; the only
-shuffle is the exact distinct count of a key, which is pre-aggregated per map
-task, so a hot key cannot overload a task.
+Plain counts are conditional aggregates in one pass that shuffle one row per
+task.  Each exact distinct count (duplicate keys, primary keys, uniqueness) is
+its own distinct-only aggregation: its shuffle carries the counted column and
+nothing else (in one combined aggregation Spark would carry every other
+aggregate's buffer through the key shuffle), and it is pre-aggregated per map
+task, so a hot key cannot overload a task.  The one-row results are combined
+without a join.
 """
 
 from __future__ import annotations
@@ -29,9 +33,23 @@ def _is_missing(c: str) -> Column:
     return F.col(c).isNull() | (F.col(c) == "")
 
 
-def _key_groups(key: str) -> Column:
-    """Number of groups a keyed dedup forms (null keys make one group)."""
-    return F.count_distinct(F.col(key)) + F.coalesce(F.max(F.when(F.col(key).isNull(), 1).otherwise(0)), F.lit(0))
+def _key_groups(df: DataFrame, key: str, alias: str = "key_groups") -> DataFrame:
+    """One row: the number of groups a keyed dedup forms (a null key is one
+    group).  A distinct-only aggregation, so its shuffle carries the key column
+    and nothing else."""
+    return df.agg(F.count_distinct(F.struct(F.col(key))).alias(alias))
+
+
+def _combine(frames: list[DataFrame], names: list[str]) -> DataFrame:
+    """Merge one-row frames of bigint columns (distinct names) into one row,
+    without a join: each becomes (name, value) rows, and one aggregation over
+    those few rows pivots them back."""
+    parts = []
+    for f in frames:
+        pairs = ", ".join(f"'{c}', `{c}`" for c in f.columns)
+        parts.append(f.select(F.expr(f"stack({len(f.columns)}, {pairs}) as (name, value)")))
+    long = reduce(DataFrame.unionByName, parts)
+    return long.agg(*[F.max(F.when(F.col("name") == n, F.col("value"))).alias(n) for n in names])
 
 
 def _long_format(one_row: DataFrame, names: list[str], name_col: str, value_col: str, keep: list[str]) -> DataFrame:
@@ -55,13 +73,16 @@ def defect_profile(raw: DataFrame, key: str = "transaction_id") -> DataFrame:
 
     Columns: defect, n_rows, total_rows, share.
     """
-    one = raw.agg(
+    flags = raw.agg(
         F.count(F.lit(1)).alias("total_rows"),
-        (F.count(F.lit(1)) - _key_groups(key)).alias("duplicate_rows"),
         F.count_if(F.col("price_mad").contains(",")).alias("comma_prices"),
         F.count_if(_is_missing("surface_m2")).alias("missing_surface"),
         F.count_if(_is_missing("city")).alias("missing_city"),
     )
+    names = ["total_rows", "comma_prices", "missing_surface", "missing_city", "key_groups"]
+    one = _combine([flags, _key_groups(raw, key)], names).withColumn(
+        "duplicate_rows", F.col("total_rows") - F.col("key_groups")
+    )
     return _long_format(one, DEFECTS, "defect", "n_rows", ["total_rows"]).select(
         "defect",
         "n_rows",
@@ -91,12 +112,16 @@ def clean_defects(clean: DataFrame, key: str = "transaction_id") -> DataFrame:
     duplicate_rows: surplus rows per key; comma_prices: prices that did not
     parse (null); missing_surface / missing_city: nulls kept on purpose.
     """
-    one = clean.agg(
-        (F.count(F.lit(1)) - _key_groups(key)).alias("duplicate_rows"),
+    flags = clean.agg(
+        F.count(F.lit(1)).alias("total_rows"),
         F.count_if(F.col("price_mad").isNull()).alias("comma_prices"),
         F.count_if(F.col("surface_m2").isNull()).alias("missing_surface"),
         F.count_if(F.col("city").isNull()).alias("missing_city"),
     )
+    names = ["total_rows", "comma_prices", "missing_surface", "missing_city", "key_groups"]
+    one = _combine([flags, _key_groups(clean, key)], names).withColumn(
+        "duplicate_rows", F.col("total_rows") - F.col("key_groups")
+    )
     return _long_format(one, DEFECTS, "defect", "clean_rows", [])
 
 
@@ -204,17 +229,25 @@ DIM_KEYS = {
 }
 
 
+_DISTINCT_KINDS = ("primary_key", "unique")
+
+
+def _counted(rule: Rule) -> Column:
+    """Rows a distinct rule counts: non-null keys, or every row for a
+    multi-column (null-safe) uniqueness rule."""
+    return F.count(F.col(rule.columns[0])) if len(rule.columns) == 1 else F.count(F.lit(1))
+
+
+def _distinct_values(rule: Rule) -> Column:
+    cols = [F.col(c) for c in rule.columns]
+    # null-safe for several columns: (r, null) twice is a duplicate member
+    return F.count_distinct(cols[0]) if len(cols) == 1 else F.count_distinct(F.struct(*cols))
+
+
 def _rule_agg(rule: Rule) -> Column:
     cols = [F.col(c) for c in rule.columns]
-    if rule.kind == "primary_key":
-        return F.count(cols[0]) - F.count_distinct(cols[0])
     if rule.kind == "not_null":
         return F.count_if(cols[0].isNull())
-    if rule.kind == "unique":
-        if len(cols) == 1:
-            return F.count(cols[0]) - F.count_distinct(cols[0])
-        # null-safe: (r, null) twice is a duplicate member
-        return F.count(F.lit(1)) - F.count_distinct(F.struct(*cols))
     if rule.kind == "max_length":
         return F.count_if(F.length(cols[0]) > F.lit(rule.param))
     if rule.kind == "smallint":
@@ -240,10 +273,11 @@ def constraint_report(
         "dim_registration_status": dims.registration_status,
     }
     reports = []
-    for tname, df in tables.items():
+    for tname, base in tables.items():
         trules = [r for r in rules if r.table == tname]
         if not trules:
             continue
+        df = base
         for r in trules:
             if r.kind == "foreign_key":
                 # one broadcast join per key, all in the same pass over the fact;
@@ -255,8 +289,26 @@ def constraint_report(
                     .withColumn(f"_has_{r.param}", F.lit(True))
                 )
                 df = df.join(checked_broadcast(keys, rows=dim.rows, max_rows=max_broadcast_rows), r.columns[0], "left")
-        one = df.agg(*[_rule_agg(r).cast("long").alias(f"r{i}") for i, r in enumerate(trules)])
-        pairs = ", ".join(f"'{r.name}', r{i}" for i, r in enumerate(trules))
+        # plain counts in one pass (one row per task shuffled); each exact
+        # distinct count in its own aggregation over the base table, whose
+        # shuffle carries only the counted column
+        plain = [
+            (_counted(r) if r.kind in _DISTINCT_KINDS else _rule_agg(r)).cast("long").alias(f"r{i}")
+            for i, r in enumerate(trules)
+        ]
+        distinct = [
+            base.agg(_distinct_values(r).alias(f"d{i}")) for i, r in enumerate(trules) if r.kind in _DISTINCT_KINDS
+        ]
+        names = [f"r{i}" for i in range(len(trules))] + [
+            f"d{i}" for i, r in enumerate(trules) if r.kind in _DISTINCT_KINDS
+        ]
+        one = _combine([df.agg(*plain), *distinct], names)
+        values = [
+            (F.col(f"r{i}") - F.col(f"d{i}")) if r.kind in _DISTINCT_KINDS else F.col(f"r{i}")
+            for i, r in enumerate(trules)
+        ]
+        one = one.select(*[v.alias(f"v{i}") for i, v in enumerate(values)])
+        pairs = ", ".join(f"'{r.name}', v{i}" for i, r in enumerate(trules))
         reports.append(one.select(F.expr(f"stack({len(trules)}, {pairs}) as (rule, violations)")))
     kinds = fact.sparkSession.createDataFrame(
         [(r.name, r.table, r.kind) for r in rules], "rule string, table_name string, kind string"
