@@ -8,12 +8,13 @@ detected without aborting it.  Foreign keys are checked in the same pass over
 the fact through broadcast joins to the (size-checked) dimension keys.
 
 Plain counts are conditional aggregates in one pass that shuffle one row per
-task.  Each exact distinct count (duplicate keys, primary keys, uniqueness) is
-its own distinct-only aggregation: its shuffle carries the counted column and
-nothing else (in one combined aggregation Spark would carry every other
-aggregate's buffer through the key shuffle), and it is pre-aggregated per map
-task, so a hot key cannot overload a task.  The one-row results are combined
-without a join.
+task.  On unbounded tables (raw, clean, fact) each exact distinct count
+(duplicate keys, primary keys) is its own distinct-only aggregation: its
+shuffle carries the counted column and nothing else (in one combined
+aggregation Spark would carry every other aggregate's buffer through the key
+shuffle), and it is pre-aggregated per map task, so a hot key cannot overload
+a task.  The one-row results are combined without a join.  Dimensions, bounded
+by their counted sizes, are checked in a single aggregation each.
 """
 
 from __future__ import annotations
@@ -289,20 +290,20 @@ def constraint_report(
                     .withColumn(f"_has_{r.param}", F.lit(True))
                 )
                 df = df.join(checked_broadcast(keys, rows=dim.rows, max_rows=max_broadcast_rows), r.columns[0], "left")
-        # plain counts in one pass (one row per task shuffled); each exact
-        # distinct count in its own aggregation over the base table, whose
-        # shuffle carries only the counted column
         plain = [
             (_counted(r) if r.kind in _DISTINCT_KINDS else _rule_agg(r)).cast("long").alias(f"r{i}")
             for i, r in enumerate(trules)
         ]
-        distinct = [
-            base.agg(_distinct_values(r).alias(f"d{i}")) for i, r in enumerate(trules) if r.kind in _DISTINCT_KINDS
-        ]
-        names = [f"r{i}" for i in range(len(trules))] + [
-            f"d{i}" for i, r in enumerate(trules) if r.kind in _DISTINCT_KINDS
-        ]
-        one = _combine([df.agg(*plain), *distinct], names)
+        distinct = [(f"d{i}", _distinct_values(r)) for i, r in enumerate(trules) if r.kind in _DISTINCT_KINDS]
+        names = [f"r{i}" for i in range(len(trules))] + [n for n, _ in distinct]
+        if tname == "fact_transactions":
+            # the unbounded table: plain counts in one pass (one row per task
+            # shuffled), each exact distinct count in its own aggregation over
+            # the base table, whose shuffle carries only the counted column
+            one = _combine([df.agg(*plain), *[base.agg(d.alias(n)) for n, d in distinct]], names)
+        else:
+            # a dimension, bounded by its counted size: one aggregation
+            one = df.agg(*plain, *[d.alias(n) for n, d in distinct])
         values = [
             (F.col(f"r{i}") - F.col(f"d{i}")) if r.kind in _DISTINCT_KINDS else F.col(f"r{i}")
             for i, r in enumerate(trules)
