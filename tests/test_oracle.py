@@ -35,3 +35,12 @@ def test_entry_smoke(spark):
         "sum_price_mad",
         "avg_price_mad",
     ]
+
+
+def test_flagship_sf0_01_matches_stated_figures(spark):
+    from conftest import SF01
+
+    name = "avg_price_region_type_quarter"
+    result = compare(entry_mod.queries()[name](spark, SF01), entry_mod.oracle_sql()[name], duck(SF01))
+    assert result["rows_spark"] == result["rows_oracle"] == 540  # groups stated for the sf0.01 fixture
+    assert result["match"], result
