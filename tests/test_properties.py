@@ -80,3 +80,41 @@ def date_text(draw):
 @given(st.lists(date_text(), min_size=20, max_size=60))
 def test_date_rule_property(spark, cases):
     assert _run(spark, [t for t, _ in cases], date_parse) == [v for _, v in cases]
+
+
+def _min_row_reference(rows):
+    """Per key (None is one key), the smallest (a, b) with nulls first."""
+    def order(v):
+        return (0, "") if v is None else (1, v)
+
+    best = {}
+    for k, a, b in rows:
+        cand = (order(a), order(b), a, b)
+        if k not in best or cand[:2] < best[k][:2]:
+            best[k] = cand
+    return sorted(((k, c[2], c[3]) for k, c in best.items()), key=lambda r: (order(r[0]), order(r[1]), order(r[2])))
+
+
+@SETTINGS
+@given(
+    st.lists(
+        st.tuples(
+            st.sampled_from([None, "k1", "k2", "k3"]),
+            st.sampled_from([None, "", "a", "b", "B"]),
+            st.sampled_from([None, "x", "y"]),
+        ),
+        min_size=1,
+        max_size=40,
+    )
+)
+def test_dedup_min_equals_brute_force(spark, rows):
+    from txlake.operators import dedup_by_key
+
+    def order(v):
+        return (0, "") if v is None else (1, v)
+
+    df = spark.createDataFrame(rows, "k string, a string, b string").repartition(3)
+    want = _min_row_reference(rows)
+    for strategy in ("shuffle", "split"):
+        got = sorted(map(tuple, dedup_by_key(df, ["k"], strategy=strategy).collect()), key=lambda r: tuple(order(v) for v in r))
+        assert got == want, strategy
