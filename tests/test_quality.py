@@ -72,3 +72,16 @@ def test_empty_and_all_null_groups_give_null_not_errors(spark):
     shares = [r.share for r in defect_profile(empty).collect()]
     assert shares == [None, None, None, None]
     assert {r.defect: r.n_rows for r in defect_profile(empty).collect()}["duplicate_rows"] == 0
+
+
+def test_parse_failures_counts_bad_values_not_missing_ones(spark):
+    from txlake.operators import parse_failures
+    from txlake.schemas import RAW_SCHEMA
+
+    rows = [
+        ("TX1", "L", "land", "R", "C", "", "1,000", "registered", "o", "2024-01-01"),  # missing surface: not a failure
+        ("TX2", "L", "land", "R", "C", "abc", "bad", "registered", "o", "2024-02-31"),  # three failures
+        ("TX3", "L", "land", "R", "C", "12345678901", "12345678901", "registered", "o", None),  # two overflows
+    ]
+    got = {r.field: r.n_failed for r in parse_failures(spark.createDataFrame(rows, RAW_SCHEMA)).collect()}
+    assert got == {"price_mad": 2, "surface_m2": 2, "transaction_date": 1}

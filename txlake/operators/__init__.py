@@ -23,6 +23,7 @@ from txlake.operators.quality import (
     defect_profile,
     defect_reconciliation,
     missing_surface_by_type,
+    parse_failures,
     stage_counts,
 )
 from txlake.operators.reports import avg_price_by_region_type_quarter, null_aware_measures, status_breakdown
@@ -51,6 +52,7 @@ __all__ = [
     "flatten",
     "missing_surface_by_type",
     "null_aware_measures",
+    "parse_failures",
     "stage_counts",
     "star_join",
     "status_breakdown",

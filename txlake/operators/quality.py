@@ -107,6 +107,26 @@ def missing_surface_by_type(raw: DataFrame) -> DataFrame:
     )
 
 
+# The typed cleaning rules whose failures are counted.
+PARSED_FIELDS = ["price_mad", "surface_m2", "transaction_date"]
+
+
+def parse_failures(raw: DataFrame) -> DataFrame:
+    """Non-empty raw values that a typed rule could not parse (one pass).
+
+    Cleaning turns unparsable or overflowing text into null, where the
+    warehouse would have rejected the load; this report keeps those rows
+    visible instead of letting them pass as missing values.
+    Columns: field, n_failed.
+    """
+    from txlake.functions import date_parse, price_clean, surface_clean
+
+    rules = {"price_mad": price_clean, "surface_m2": surface_clean, "transaction_date": date_parse}
+    present = {c: F.col(c).isNotNull() & (F.col(c) != "") for c in PARSED_FIELDS}
+    one = raw.agg(*[F.count_if(present[c] & rules[c](c).isNull()).alias(c) for c in PARSED_FIELDS])
+    return _long_format(one, PARSED_FIELDS, "field", "n_failed", [])
+
+
 def clean_defects(clean: DataFrame, key: str = "transaction_id") -> DataFrame:
     """Rows of the clean table still showing each defect.
 

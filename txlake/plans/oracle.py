@@ -310,6 +310,24 @@ SELECT property_type,
        CAST(count_if(surface_m2 IS NULL OR surface_m2 = '') AS BIGINT) AS n_missing_surface,
        CAST(count_if(surface_m2 IS NULL OR surface_m2 = '') AS DOUBLE) / CAST(count(*) AS DOUBLE) AS share
 FROM raw GROUP BY property_type""",
+        ),
+        "parse_failures": _with(
+            RAW_CTE,
+            """
+SELECT 'price_mad' AS field,
+       CAST(count_if(price_mad IS NOT NULL AND price_mad <> ''
+            AND TRY_CAST(replace(price_mad, ',', '') AS DECIMAL(12,2)) IS NULL) AS BIGINT) AS n_failed
+FROM raw
+UNION ALL
+SELECT 'surface_m2',
+       CAST(count_if(surface_m2 IS NOT NULL AND surface_m2 <> ''
+            AND TRY_CAST(surface_m2 AS DECIMAL(10,1)) IS NULL) AS BIGINT)
+FROM raw
+UNION ALL
+SELECT 'transaction_date',
+       CAST(count_if(transaction_date IS NOT NULL AND transaction_date <> ''
+            AND try_strptime(transaction_date, '%Y-%m-%d') IS NULL) AS BIGINT)
+FROM raw""",
         ),
         "defect_reconciliation": _with(
             CLEAN_CTE

@@ -27,6 +27,7 @@ from txlake.operators import (
     flatten,
     missing_surface_by_type,
     null_aware_measures,
+    parse_failures,
     stage_counts,
     status_breakdown,
     with_surrogate_key,
@@ -179,6 +180,10 @@ def missing_surface_by_type_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return missing_surface_by_type(raw_transactions(spark, sf_dir))
 
 
+def parse_failures_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parse_failures(raw_transactions(spark, sf_dir))
+
+
 def defect_reconciliation_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = raw_transactions(spark, sf_dir)
     return defect_reconciliation(raw, clean_transactions(raw))
@@ -255,6 +260,7 @@ QUERIES: dict[str, Query] = {
     "stage_counts": stage_counts_q,
     "defect_profile": defect_profile_q,
     "missing_surface_by_type": missing_surface_by_type_q,
+    "parse_failures": parse_failures_q,
     "defect_reconciliation": defect_reconciliation_q,
     "constraint_report": constraint_report_q,
     "stream_parse": stream_parse,
