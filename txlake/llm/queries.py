@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from txlake.llm import secrets, sharding
+from txlake.llm import near_dedup, secrets, sharding
 from txlake.llm.common import table
 
 
@@ -12,15 +12,20 @@ def op4_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(table(spark, sf_dir, "documents"), 16)
 
 
+def op6_bayes_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), width=2, percent=80)
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_digest(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
     "op4_sampled_splitters": op4_sampled_splitters,
+    "op6_bayes_minhash": op6_bayes_minhash,
     "op8_secret_scan": op8_secret_scan,
 }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_secret_scan": secrets.oracle()}
+    return {"op6_bayes_minhash": near_dedup.ORACLE, "op8_secret_scan": secrets.oracle()}
