@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from txlake.llm import near_dedup, secrets, sharding
+from txlake.llm import decontaminate, near_dedup, secrets, sharding
 from txlake.llm.common import table
 
 
@@ -16,6 +16,10 @@ def op6_bayes_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), width=2, percent=80)
 
 
+def op7_containment_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_digest(table(spark, sf_dir, "documents"))
 
@@ -23,9 +27,14 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op4_sampled_splitters": op4_sampled_splitters,
     "op6_bayes_minhash": op6_bayes_minhash,
+    "op7_containment_search": op7_containment_search,
     "op8_secret_scan": op8_secret_scan,
 }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_bayes_minhash": near_dedup.ORACLE, "op8_secret_scan": secrets.oracle()}
+    return {
+        "op6_bayes_minhash": near_dedup.ORACLE,
+        "op7_containment_search": decontaminate.ORACLE,
+        "op8_secret_scan": secrets.oracle(),
+    }
