@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from txlake.llm import decontaminate, near_dedup, secrets, sharding
+from txlake.llm import decontaminate, embedding_dedup, near_dedup, secrets, sharding
 from txlake.llm.common import table
 
 
@@ -24,11 +24,16 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_digest(table(spark, sf_dir, "documents"))
 
 
+def op10_pivot_permutations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op4_sampled_splitters": op4_sampled_splitters,
     "op6_bayes_minhash": op6_bayes_minhash,
     "op7_containment_search": op7_containment_search,
     "op8_secret_scan": op8_secret_scan,
+    "op10_pivot_permutations": op10_pivot_permutations,
 }
 
 
@@ -37,4 +42,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_bayes_minhash": near_dedup.ORACLE,
         "op7_containment_search": decontaminate.ORACLE,
         "op8_secret_scan": secrets.oracle(),
+        "op10_pivot_permutations": embedding_dedup.ORACLE,
     }
