@@ -123,15 +123,17 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each byte span, equal for equal bytes wherever they stand:
-    a polynomial over random byte values modulo 2^64, shifted to exponent 0 by
-    the inverse multiplier, then mixed with the length."""
+    """64-bit hash of each span of bytes (or of 32-bit code points), equal for
+    equal content wherever it stands: a polynomial over random values modulo
+    2^64, shifted to exponent 0 by the inverse multiplier, then mixed with the
+    length."""
     if not len(starts):
         return np.empty(0, dtype=np.uint64)
     power, inverse = powers(len(buf) + 1)
     acc = np.empty(len(buf) + 1, dtype=np.uint64)
     acc[0] = 0
-    np.cumsum(_TABLE[buf] * power[: len(buf)], out=acc[1:])
+    values = _TABLE[buf] if buf.dtype == np.uint8 else mix64(buf.astype(np.uint64) + np.uint64(_MULT))
+    np.cumsum(values * power[: len(buf)], out=acc[1:])
     h = (acc[ends] - acc[starts]) * inverse[starts]
     return mix64(h + (ends - starts).astype(np.uint64))
 

@@ -4,10 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from txlake.llm import decontaminate, embedding_dedup, near_dedup, secrets, sharding
+from txlake.llm import bpe, decontaminate, embedding_dedup, near_dedup, secrets, sharding
 from txlake.llm.common import table
 
 
+def tokenizer_path() -> str:
+    """The public byte-level vocabulary; a path, never a copy."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op3_distinct_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.token_digests(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op4_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(table(spark, sf_dir, "documents"), 16)
 
@@ -29,6 +40,7 @@ def op10_pivot_permutations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_distinct_words": op3_distinct_words,
     "op4_sampled_splitters": op4_sampled_splitters,
     "op6_bayes_minhash": op6_bayes_minhash,
     "op7_containment_search": op7_containment_search,
