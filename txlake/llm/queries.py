@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from txlake.llm import bpe, decontaminate, embedding_dedup, near_dedup, secrets, sharding
+from txlake.llm import bpe, decontaminate, embedding_dedup, near_dedup, secrets, sharding, toxicity
 from txlake.llm.common import table
 
 
@@ -35,6 +35,10 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_digest(table(spark, sf_dir, "documents"))
 
 
+def op9_fuzzy_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_pivot_permutations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
 
@@ -45,6 +49,7 @@ QUERIES = {
     "op6_bayes_minhash": op6_bayes_minhash,
     "op7_containment_search": op7_containment_search,
     "op8_secret_scan": op8_secret_scan,
+    "op9_fuzzy_lexicon": op9_fuzzy_lexicon,
     "op10_pivot_permutations": op10_pivot_permutations,
 }
 
