@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from txlake.llm import bpe, decontaminate, embedding_dedup, near_dedup, secrets, sharding, toxicity
+from txlake.llm import bpe, decontaminate, embedding_dedup, near_dedup, quality, secrets, sharding, toxicity
 from txlake.llm.common import table
 
 
+def op2_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def tokenizer_path() -> str:
     """The public byte-level vocabulary; a path, never a copy."""
     import public_tokenizers
@@ -44,6 +48,7 @@ def op10_pivot_permutations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_byte_cnn": op2_byte_cnn,
     "op3_distinct_words": op3_distinct_words,
     "op4_sampled_splitters": op4_sampled_splitters,
     "op6_bayes_minhash": op6_bayes_minhash,
