@@ -10,8 +10,10 @@
    is dropped when the posterior probability that its similarity reaches the
    threshold is below ``MISS`` (uniform prior: a Beta tail).  The survivors are
    verified exactly on their full shingle sets, made again from the texts.
-4. Components of the verified pairs.  Buckets whose members are still in more
-   than one component get a second round: all members against those outside the
+4. Components of the verified pairs.  In buckets whose members are still in more
+   than one component, the members outside the largest one are paired with a
+   random member of it, another one in every bucket and round, while that links
+   many of them.  A last round compares all members with those outside the
    bucket's largest component, in chunks, signatures only; survivors are
    verified exactly.  Every candidate pair is therefore either inside one
    component or compared; pairs inside one component are never emitted.
@@ -38,7 +40,7 @@ from txlake.llm.common import connected_components, doc_chunks, joined, mix64, s
 BANDS, BAND_ROWS = 40, 5
 N_HASHES = BANDS * BAND_ROWS
 BATCH = 20
-MISS = 1e-6
+MISS = 1e-4
 #: Ids up to this many are broadcast (8 bytes each) to pick the texts to verify.
 MAX_BROADCAST_IDS = 1_000_000
 CHUNK = 256
@@ -234,9 +236,20 @@ def near_duplicates(
     first = members.select(F.col("rep").alias("a"), F.col("lead").alias("b")).where("a <> b").distinct()
     links = verify(surviving(first), docs, width, percent, "near_first")
     comps = written(connected_components(links, "a", "b", "near1"), "near_comps")
-    second = verify(_cross(members, classes, comps, percent, miss), docs, width, percent, "near_second")
-    if second.head(1):
-        comps = written(connected_components(links.union(second), "a", "b", "near2"), "near_comps2")
+    salt, tried, linked = 0, 1, 1
+    while linked >= 0.05 * tried:
+        salt += 1
+        pairs = written(_random_leaders(members, comps, salt), f"near_random{salt}")
+        tried = pairs.count()
+        more = verify(surviving(pairs), docs, width, percent, f"near_round{salt}")
+        linked = more.count() if tried else 0
+        if not linked:
+            break
+        links = links.union(more)
+        comps = written(connected_components(links, "a", "b", f"near_r{salt}"), "near_comps")
+    last = verify(_cross(members, classes, comps, percent, miss), docs, width, percent, "near_last")
+    if last.head(1):
+        comps = written(connected_components(links.union(last), "a", "b", "near_last"), "near_comps")
     # a row's component is that of its class's representative, or of its own id
     # where another text of the id is linked
     by_class = classes.select("s1", "s2", "rep")
@@ -267,18 +280,35 @@ def _merge_ids(per_id: DataFrame, top: DataFrame) -> DataFrame:
     return per_id.select("doc_id", "c").join(merged, "c", "left").select("doc_id", F.coalesce("component", "c").alias("c"))
 
 
-def _cross(members: DataFrame, classes: DataFrame, comps: DataFrame, percent: int, miss: float) -> DataFrame:
-    """Surviving pairs across components inside one bucket."""
-    least = bounds_table(percent, miss)
+def _placed(members: DataFrame, comps: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(key, rep, comp) of the members, and (key, main, rest) of the buckets that
+    hold more than one component: the largest one and the members outside it."""
     placed = members.join(comps.withColumnRenamed("id", "rep"), "rep", "left").select(
         "key", "rep", F.coalesce("component", "rep").alias("comp")
     )
     sizes = placed.groupBy("key", "comp").agg(F.count("*").alias("n"))
-    main = sizes.groupBy("key").agg(F.max(F.struct("n", "comp")).alias("top"), F.sum("n").alias("all"))
-    mixed = written(
-        main.select("key", F.col("top.comp").alias("main"), (F.col("all") - F.col("top.n")).alias("rest")).where("rest > 0"),
-        "near_mixed",
+    top = sizes.groupBy("key").agg(F.max(F.struct("n", "comp")).alias("top"), F.sum("n").alias("all"))
+    mixed = top.select("key", F.col("top.comp").alias("main"), (F.col("all") - F.col("top.n")).alias("rest")).where("rest > 0")
+    return placed, mixed
+
+
+def _random_leaders(members: DataFrame, comps: DataFrame, salt: int) -> DataFrame:
+    placed, mixed = _placed(members, comps)
+    open_ = written(placed.join(mixed, "key"), f"near_mixed{salt}")
+    lead = (
+        open_.where("comp = main")
+        .groupBy("key")
+        .agg(F.min(F.struct(F.xxhash64("rep", "key", F.lit(salt)).alias("h"), "rep")).alias("lead"))
+        .select("key", F.col("lead.rep").alias("b"))
     )
+    return open_.where("comp <> main").select("key", F.col("rep").alias("a")).join(lead, "key").select("a", "b").distinct()
+
+
+def _cross(members: DataFrame, classes: DataFrame, comps: DataFrame, percent: int, miss: float) -> DataFrame:
+    """Surviving pairs across components inside one bucket."""
+    least = bounds_table(percent, miss)
+    placed, mixed = _placed(members, comps)
+    mixed = written(mixed, "near_mixed")
     open_ = written(
         placed.join(mixed, "key").join(classes.select("rep", "sig", "bands"), "rep").select("key", "rep", "comp", "sig", "bands", "main", "rest"),
         "near_open",
