@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from txlake.llm import bpe, decontaminate, embedding_dedup, near_dedup, quality, secrets, sharding, toxicity
+from txlake.llm import bpe, decontaminate, embedding_dedup, near_dedup, quality, secrets, sharding, substring_dedup, toxicity
 from txlake.llm.common import table
 
 
@@ -27,6 +27,10 @@ def op4_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(table(spark, sf_dir, "documents"), 16)
 
 
+def op5_induced_sorting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op6_bayes_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), width=2, percent=80)
 
@@ -51,6 +55,7 @@ QUERIES = {
     "op2_byte_cnn": op2_byte_cnn,
     "op3_distinct_words": op3_distinct_words,
     "op4_sampled_splitters": op4_sampled_splitters,
+    "op5_induced_sorting": op5_induced_sorting,
     "op6_bayes_minhash": op6_bayes_minhash,
     "op7_containment_search": op7_containment_search,
     "op8_secret_scan": op8_secret_scan,
