@@ -160,6 +160,54 @@ def scan_secrets(
     )
 
 
+MASK = "[SECRET]"
+
+
+def mask_secrets(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    owner_col: str = "source",
+    count_col: str | None = None,
+    mask: str = MASK,
+) -> DataFrame:
+    """``docs`` with the ``live`` spans of the text replaced by ``mask``, same
+    columns; ``count_col``, if given, is set to the new number of characters of
+    a changed text.  Rows without a live span keep every column as it was; only
+    rows with candidates are shuffled."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    plain = docs.where(~text.rlike(ANY))
+    suspect = docs.where(text.rlike(ANY))
+    live = (
+        scan_secrets(suspect, id_col, text_col, owner_col)
+        .select("doc_id", "twin", F.filter("spans", lambda s: s["kind"] == "live").alias("_live"))
+        .where(F.size("_live") > 0)
+        .select(F.col("doc_id").alias("_id"), F.col("twin").alias("_twin"), "_live")
+        .distinct()
+    )
+    same = suspect[id_col].cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(text, F.col(owner_col).cast("string")) == F.col("_twin"))
+    cut = F.aggregate(
+        "_live",
+        F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out")),
+        lambda acc, s: F.when(s["start"] < acc["at"], F.struct(F.greatest(acc["at"], s["stop"]).alias("at"), acc["out"].alias("out"))).otherwise(
+            F.struct(
+                s["stop"].alias("at"),
+                F.concat(acc["out"], F.substr(text, (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int")), F.lit(mask)).alias("out"),
+            )
+        ),
+    )
+    changed = F.concat(cut["out"], F.substr(text, (cut["at"] + 1).cast("int")))
+    masked = suspect.join(live, same, "left").withColumn(
+        text_col, F.when(F.col("_live").isNull(), F.col(text_col)).otherwise(changed)
+    )
+    if count_col in docs.columns:
+        kind = docs.schema[count_col].dataType
+        masked = masked.withColumn(
+            count_col, F.when(F.col("_live").isNull(), F.col(count_col)).otherwise(F.length(F.col(text_col)).cast(kind))
+        )
+    return plain.unionByName(masked.select(*docs.columns))
+
+
 def joined_spans(spans: Column) -> Column:
     """``kind:start:end`` of each span, comma-joined."""
     return F.array_join(
