@@ -12,8 +12,10 @@
    pieces' bytes are joined by position and read as UTF-8.
 
 Blocks and buckets are packed (compressed arrays in one row), so that a shuffle
-moves a word once per block and never a row per token.  The split texts are
-written to the shared folder: a lost executor repeats single tasks.
+moves a word once per block and never a row per token.  The words of a block
+travel sorted, each without what it shares with the one before.  Splitting is
+deterministic and runs once for the words and once for the codes, which is less
+work than to store the split texts; a lost executor repeats single tasks.
 
 Defined cases: null and empty texts have no tokens; null and repeated ids and
 repeated rows are encoded row by row; the special token's string in a text is
@@ -34,11 +36,11 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txlake.llm.common import buckets_for, doc_chunks, span_hashes, text_bytes, written
+from txlake.llm.common import buckets_for, doc_chunks, span_hashes, text_bytes
 
 BLOCK_CHARS = 16 << 20
 #: Text bytes for each bucket of distinct words.
-BUCKET_BYTES = 64 << 20
+BUCKET_BYTES = 16 << 20
 
 SEP, LETTER, NUMBER, OTHER, SPACE, SPECIAL = range(6)
 #: Unicode white space (fixed values of the pattern's \\s).
@@ -111,10 +113,42 @@ def _unpack(b: bytes, dtype) -> np.ndarray:
     return np.ascontiguousarray(raw.reshape(size, -1).T).view(dtype).ravel() if len(raw) else np.empty(0, dtype)
 
 
-SPLIT = "kind string, block long, bucket int, ids array<long>, counts array<int>, body binary"
+def pack_words(words: list[str]) -> bytes:
+    """Sorted words, front-coded: shared lengths, other lengths, other letters."""
+    shared, rest, before = [], [], ""
+    for w in words:
+        k, m = 0, min(len(before), len(w))
+        while k < m and before[k] == w[k]:
+            k += 1
+        shared.append(k)
+        rest.append(w[k:])
+        before = w
+    heads = _pack(np.array(shared, dtype=np.uint32)), _pack(np.array([len(r) for r in rest], dtype=np.uint32))
+    body = zstandard.ZstdCompressor(level=9).compress("".join(rest).encode("utf-8", "surrogatepass"))
+    sizes = np.array([len(heads[0]), len(heads[1])], dtype="<u4").tobytes()
+    return sizes + heads[0] + heads[1] + body
+
+
+def unpack_words(b: bytes) -> list[str]:
+    one, two = np.frombuffer(b[:8], dtype="<u4").tolist()
+    shared = _unpack(b[8 : 8 + one], np.uint32).tolist()
+    sizes = _unpack(b[8 + one : 8 + one + two], np.uint32).tolist()
+    rest = zstandard.ZstdDecompressor().decompress(b[8 + one + two :]).decode("utf-8", "surrogatepass")
+    out, at, word = [], 0, ""
+    for k, n in zip(shared, sizes, strict=True):
+        word = word[:k] + rest[at : at + n]
+        at += n
+        out.append(word)
+    return out
+
+
+WORDS = "bucket int, block long, body binary"
+TEXTS = "block long, kind string, ids array<long>, counts array<int>, body binary"
 
 
-def _split(special: list[str], n_buckets: int):
+def _split(special: list[str], n_buckets: int, want: str):
+    """``want``: ``words`` (rows of WORDS) or ``texts`` (rows of TEXTS)."""
+
     def run(batches):
         from pyspark import TaskContext
 
@@ -128,27 +162,31 @@ def _split(special: list[str], n_buckets: int):
             uniq, where, code, n = np.unique(hashes, return_index=True, return_inverse=True, return_counts=True)
             rank = np.empty(len(uniq), dtype=np.uint32)  # the commonest words get the smallest codes
             rank[np.argsort(-n, kind="stable")] = np.arange(len(uniq), dtype=np.uint32)
-            code = rank[code]
-            out, at = [], 0
-            for h in held:
-                m = len(h["hash"])
-                out.append(("text", block, 0, h["ids"], h["counts"], _pack(code[at : at + m])))
-                at += m
             bounds = np.cumsum([0] + [len(h["hash"]) for h in held])
-            bucket = (uniq % np.uint64(n_buckets)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            out.append(("order", block, 0, None, None, _pack(rank[order])))
             piece = np.searchsorted(bounds, where, side="right") - 1
-            for b in np.unique(bucket):
-                mine = order[np.searchsorted(bucket[order], b) : np.searchsorted(bucket[order], b, side="right")]
-                words = []
-                for w, p in zip(where[mine].tolist(), piece[mine].tolist(), strict=True):
-                    h, w = held[p], w - bounds[p]
-                    words.append(h["whole"][h["first"][w] : h["end"][w]])
-                lens = np.fromiter(map(len, words), dtype=np.uint32, count=len(words))
-                body = zstandard.ZstdCompressor(level=3).compress("".join(words).encode("utf-8", "surrogatepass"))
-                out.append(("word", block, int(b), None, lens.astype(np.int32), body))
-            return pd.DataFrame(out, columns=["kind", "block", "bucket", "ids", "counts", "body"])
+            words = []
+            for w, p in zip((where - bounds[piece]).tolist(), piece.tolist(), strict=True):
+                h = held[p]
+                words.append(h["whole"][h["first"][w] : h["end"][w]])
+            bucket = (uniq % np.uint64(n_buckets)).astype(np.int64)
+            order = np.array(sorted(range(len(words)), key=lambda i: (bucket[i], words[i])), dtype=np.int64)
+            if want == "words":
+                ends = np.searchsorted(bucket[order], np.arange(n_buckets + 1))
+                return pd.DataFrame(
+                    [
+                        (b, block, pack_words([words[i] for i in order[ends[b] : ends[b + 1]]]))
+                        for b in range(n_buckets)
+                        if ends[b] < ends[b + 1]
+                    ],
+                    columns=["bucket", "block", "body"],
+                )
+            code = rank[code]
+            out = [
+                (block, "text", h["ids"], h["counts"], _pack(code[at : at + len(h["hash"])]))
+                for h, at in zip(held, bounds, strict=False)
+            ]
+            out.append((block, "order", None, None, _pack(rank[order])))
+            return pd.DataFrame(out, columns=["block", "kind", "ids", "counts", "body"])
 
         for pdf in batches:
             for chunk in doc_chunks(pdf, "text"):
@@ -183,13 +221,9 @@ def _encode(spec: str):
         tok = _tokenizer(spec)
         number: dict[str, int] = {}
         codes = []
-        for lens, body in zip(pdf["counts"], pdf["body"], strict=True):
-            text = zstandard.ZstdDecompressor().decompress(body).decode("utf-8", "surrogatepass")
-            ends = np.cumsum(lens).tolist()
-            starts = [0, *ends[:-1]]
-            codes.append(
-                np.fromiter((number.setdefault(text[a:b], len(number)) for a, b in zip(starts, ends, strict=True)), dtype=np.int64, count=len(ends))
-            )
+        for body in pdf["body"]:
+            words = unpack_words(body)
+            codes.append(np.fromiter((number.setdefault(w, len(number)) for w in words), dtype=np.int64, count=len(words)))
         ids, words = [], list(number)
         for i in range(0, len(words), 8192):
             ids += [e.ids for e in tok.encode_batch(words[i : i + 8192], add_special_tokens=False)]
@@ -298,14 +332,12 @@ def encode_decode(
     special = [t["content"] for t in json.loads(spec)["added_tokens"]]
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     n_buckets = buckets_for(text_bytes(docs), BUCKET_BYTES)
-    split = written(docs.mapInPandas(_split(special, n_buckets), SPLIT), "bpe_split")
     replies = (
-        split.where("kind = 'word'")
-        .select("bucket", "block", "counts", "body")
+        docs.mapInPandas(_split(special, n_buckets, "words"), WORDS)
         .groupBy("bucket")
         .applyInPandas(_encode(spec), "block long, bucket int, sizes binary, flat binary")
     )
-    texts = split.where("kind <> 'word'").select("block", "kind", "ids", "counts", "body")
+    texts = docs.mapInPandas(_split(special, n_buckets, "texts"), TEXTS)
     want = list(want)
     schema = "doc_id long, " + ", ".join(COLUMNS[w] for w in want)
     return texts.groupBy("block").cogroup(replies.groupBy("block")).applyInPandas(_assemble(spec, want), schema)
