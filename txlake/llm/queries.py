@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from txlake.llm import bpe, decontaminate, embedding_dedup, near_dedup, quality, secrets, sharding, substring_dedup, toxicity
+from txlake.llm import bpe, decontaminate, embedding_dedup, lm, near_dedup, quality, secrets, sharding, substring_dedup, toxicity
 from txlake.llm.common import table
 
 
+def op1_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.language_model_scores(table(spark, sf_dir, "documents"))
+
+
 def op2_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -52,6 +56,7 @@ def op10_pivot_permutations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_pitman_yor": op1_pitman_yor,
     "op2_byte_cnn": op2_byte_cnn,
     "op3_distinct_words": op3_distinct_words,
     "op4_sampled_splitters": op4_sampled_splitters,
