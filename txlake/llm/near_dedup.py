@@ -43,7 +43,8 @@ BATCH = 20
 MISS = 1e-4
 #: Ids up to this many are broadcast (8 bytes each) to pick the texts to verify.
 MAX_BROADCAST_IDS = 1_000_000
-CHUNK = 256
+#: Members of a bucket that are compared with as many others at a time.
+CHUNK = 32
 
 _RNG = np.random.default_rng(6)
 _A = _RNG.integers(0, 2**32, N_HASHES, dtype=np.uint32) | np.uint32(1)
@@ -220,7 +221,7 @@ def near_duplicates(
         linkable.groupBy("s1", "s2").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig"), F.first("bands").alias("bands")),
         "near_classes",
     )
-    rows = classes.select(F.explode("bands").alias("key"), "rep")
+    rows = classes.select(F.posexplode("bands").alias("band", "key"), "rep")
     shared = written(
         rows.groupBy("key").agg(F.min("rep").alias("lead"), F.max("rep").alias("last")).where("lead < last").drop("last"),
         "near_buckets",
@@ -281,14 +282,17 @@ def _merge_ids(per_id: DataFrame, top: DataFrame) -> DataFrame:
 
 
 def _placed(members: DataFrame, comps: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(key, rep, comp) of the members, and (key, main, rest) of the buckets that
-    hold more than one component: the largest one and the members outside it."""
+    """(key, rep, comp) of the members, and (key, main, all, rest) of the buckets
+    that hold more than one component: the largest one, and the numbers of all
+    members and of those outside it."""
     placed = members.join(comps.withColumnRenamed("id", "rep"), "rep", "left").select(
-        "key", "rep", F.coalesce("component", "rep").alias("comp")
+        "key", "band", "rep", F.coalesce("component", "rep").alias("comp")
     )
     sizes = placed.groupBy("key", "comp").agg(F.count("*").alias("n"))
     top = sizes.groupBy("key").agg(F.max(F.struct("n", "comp")).alias("top"), F.sum("n").alias("all"))
-    mixed = top.select("key", F.col("top.comp").alias("main"), (F.col("all") - F.col("top.n")).alias("rest")).where("rest > 0")
+    mixed = top.select(
+        "key", F.col("top.comp").alias("main"), "all", (F.col("all") - F.col("top.n")).alias("rest")
+    ).where("rest > 0")
     return placed, mixed
 
 
@@ -308,42 +312,37 @@ def _cross(members: DataFrame, classes: DataFrame, comps: DataFrame, percent: in
     """Surviving pairs across components inside one bucket."""
     least = bounds_table(percent, miss)
     placed, mixed = _placed(members, comps)
-    mixed = written(mixed, "near_mixed")
     open_ = written(
-        placed.join(mixed, "key").join(classes.select("rep", "sig", "bands"), "rep").select("key", "rep", "comp", "sig", "bands", "main", "rest"),
+        placed.join(mixed, "key").join(classes.select("rep", "sig"), "rep"),
         "near_open",
     )
-    n_chunks = F.ceil(F.col("rest") / CHUNK)
-    chunks = (
-        open_.where("comp <> main")
-        .withColumn("chunk", F.pmod(F.xxhash64("rep"), n_chunks))
-        .groupBy("key", "chunk")
-        .agg(F.collect_list(F.struct("rep", "comp", "sig", "bands")).alias("others"))
-        .select("key", "others")
-    )
+
+    def chunks(df: DataFrame, size: str, side: str) -> DataFrame:
+        """Members of a bucket, ``CHUNK`` or so to a row."""
+        part = F.pmod(F.xxhash64("rep"), F.ceil(F.col(size) / CHUNK)).alias("part")
+        columns = [F.collect_list(c).alias(f"{c}_{side}") for c in ("rep", "comp", "sig")]
+        return df.groupBy("key", "band", part).agg(*columns).drop("part")
 
     def compare(batches):
         for pdf in batches:
-            a, b = [], []
-            for key, rep, comp, sig, bands, others in zip(
-                pdf["key"], pdf["rep"], pdf["comp"], pdf["sig"], pdf["bands"], pdf["others"], strict=True
-            ):
-                bands = np.asarray(bands)
-                at = int(np.flatnonzero(bands == key)[0])
+            found = []
+            for r in pdf.itertuples(index=False):
+                x, y = _sigs(r.sig_a), _sigs(r.sig_b)
+                i, j = np.nonzero(np.asarray(r.comp_a)[:, None] != np.asarray(r.comp_b)[None, :])
+                if not len(i):
+                    continue
                 # a pair is compared in the first bucket that it shares only
-                todo = [
-                    o for o in others if o["comp"] != comp and not (np.asarray(o["bands"])[:at] == bands[:at]).any()
-                ]
-                if todo:
-                    mine = np.repeat(_sigs([sig]), len(todo), axis=0)
-                    for o, ok in zip(todo, survives(mine, _sigs([o["sig"] for o in todo]), least), strict=True):
-                        if ok:
-                            a.append(max(rep, o["rep"]))
-                            b.append(min(rep, o["rep"]))
-            yield pd.DataFrame({"a": np.array(a, dtype=np.int64), "b": np.array(b, dtype=np.int64)})
-
-    joined_ = open_.select("key", "rep", "comp", "sig", "bands").join(chunks, "key")
-    return joined_.mapInPandas(compare, "a long, b long").distinct()
+                earlier = (x[i, : r.band * BAND_ROWS] == y[j, : r.band * BAND_ROWS]).reshape(len(i), r.band, BAND_ROWS)
+                fresh = ~earlier.all(axis=2).any(axis=1)
+                i, j = i[fresh], j[fresh]
+                ok = survives(x[i], y[j], least)
+                a, b = np.asarray(r.rep_a)[i[ok]], np.asarray(r.rep_b)[j[ok]]
+                found.append(np.stack((np.maximum(a, b), np.minimum(a, b)), axis=1))
+            pairs = np.unique(np.concatenate(found), axis=0) if found else np.empty((0, 2), dtype=np.int64)
+            yield pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
+
+    both = chunks(open_, "all", "a").join(chunks(open_.where("comp <> main"), "rest", "b"), ["key", "band"])
+    return both.mapInPandas(compare, "a long, b long").distinct()
 
 
 ORACLE = """
