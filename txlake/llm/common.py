@@ -89,9 +89,12 @@ _TABLE = np.random.default_rng(20240229).integers(1, 2**63, 256, dtype=np.uint64
 
 def mix64(x: np.ndarray) -> np.ndarray:
     """A fixed bijective mix of 64-bit values (two multiply-xorshift rounds)."""
-    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    return x ^ (x >> np.uint64(32))
+    x = x ^ (x >> np.uint64(32))
+    x *= np.uint64(0xD6E8FEB86659FD93)
+    x ^= x >> np.uint64(32)
+    x *= np.uint64(0xD6E8FEB86659FD93)
+    x ^= x >> np.uint64(32)
+    return x
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:

@@ -44,7 +44,8 @@ WIDTH = 100
 GRAM = 32
 BLOCK = 2 << 20
 #: Text bytes for each bucket of questions and for each shard.
-BUCKET_BYTES, SHARD_BYTES = 48 << 20, 4 << 20
+BUCKET_BYTES, SHARD_BYTES = 32 << 20, 3 << 20
+PIECE = 1 << 15
 #: Segments of one anchor in one shard.
 SEGMENTS = 2048
 
@@ -91,23 +92,27 @@ class Segments:
         np.cumsum(_TABLE[self.buf] * power[: len(self.buf)], out=acc[1:])
         self.acc, self.inverse = acc, inverse
         windows = max(0, n - width + 1)
-        low = mix64((acc[GRAM : GRAM + n] - acc[:n]) * inverse[:n])
-        grams = low
-        at = np.arange(n, dtype=np.int32)
-        span, want = 1, width - GRAM + 1
-        while span < want:  # leftmost minimum over 2, 4, ... and then exactly ``want`` grams
-            step = min(span, want - span)
-            later = low[step:] < low[: len(low) - step]
-            at = np.where(later, at[step:], at[: len(at) - step])
-            low = np.where(later, low[step:], low[: len(low) - step])
-            span += step
-        at = at[:windows].astype(np.int64)
+        at = np.empty(windows, dtype=np.int32)
+        grams = np.empty(n, dtype=np.uint64)
+        want = width - GRAM + 1
+        for p in range(0, windows, PIECE):  # pieces that stay in a core's cache
+            q = min(p + PIECE, windows) + want - 1
+            low = mix64((acc[p + GRAM : q + GRAM] - acc[p:q]) * inverse[p:q])
+            grams[p:q] = low
+            where, span = np.arange(p, q, dtype=np.int32), 1
+            while span < want:  # leftmost minimum over 2, 4, ... and then exactly ``want`` grams
+                step = min(span, want - span)
+                later = low[step:] < low[:-step]
+                where = np.where(later, where[step:], where[:-step])
+                low = np.where(later, low[step:], low[:-step])
+                span += step
+            at[p : p + len(where)] = where
         # a window must not cross the end of its text
-        valid = np.zeros(windows + 1, dtype=np.int64)
+        valid = np.zeros(windows + 1, dtype=np.int8)
         fits = self.lens >= width
         np.add.at(valid, self.starts[fits], 1)
         np.add.at(valid, self.starts[fits] + self.lens[fits] - width + 1, -1)
-        valid = np.cumsum(valid)[:windows] > 0
+        valid = np.cumsum(valid, dtype=np.int8)[:windows] > 0
         first = np.empty(windows, dtype=bool)
         if windows:
             first[0] = True
@@ -254,18 +259,21 @@ def _sorted_shard(width: int):
         size = windows + width - 1
         # letters 2..257; every segment ends with a 1
         at = np.cumsum(size + 1) - (size + 1)
-        t = np.ones(int((size + 1).sum()), dtype=np.int64)
+        t = np.ones(int((size + 1).sum()), dtype=np.int32)
         inside = np.ones(len(t), dtype=bool)
         inside[at + size] = False
-        t[inside] = raw.astype(np.int64) + 2
-        sa = suffix_array(t)
-        common = permuted_common_prefixes(t, sa, width)
-        # equal windows: runs of the array with common prefixes of the whole width
-        new = np.empty(len(sa), dtype=np.int64)
-        new[sa] = np.cumsum(common[sa] < width)
+        t[inside] = raw.astype(np.int32) + 2
+        sa = suffix_array(t, width)
         n = windows
         seg = np.repeat(np.arange(len(n)), n)
         k = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+        is_window = np.zeros(len(t), dtype=bool)
+        is_window[at[seg] + k] = True
+        sa = sa[is_window[sa]]
+        common = permuted_common_prefixes(t, sa, width)
+        # equal windows: runs of the array with common prefixes of the whole width
+        new = np.empty(len(t), dtype=np.int64)
+        new[sa] = np.cumsum(common[sa] < width)
         group = new[at[seg] + k]
         start = a[seg] + k
         order = np.lexsort((start, block[seg], ties[seg], ids[seg], group))
@@ -289,14 +297,14 @@ def _cut(n_buckets: int, width: int, with_text: bool):
             answer = _answers(seg, first, notes, n_buckets)
             stays = np.zeros(len(seg.a), dtype=bool)
             stays[first[answer & 1 == 1]] = True
-            cover = np.zeros(len(seg.buf) + width + 1, dtype=np.int64)
+            cover = np.zeros(len(seg.buf) + width + 1, dtype=np.int32)
             np.add.at(cover, seg.a[~stays], 1)
             np.add.at(cover, seg.b[~stays] + width, -1)
             for marks in notes.loc[notes["kind"] == 1, "body"]:
                 w = _unpack(marks, np.uint32).astype(np.int64)
                 np.add.at(cover, w, 1)
                 np.add.at(cover, w + width, -1)
-            gone = np.cumsum(cover)[: len(seg.buf)] > 0
+            gone = np.cumsum(cover, dtype=np.int32)[: len(seg.buf)] > 0
             for d, at, n in zip(ids, seg.starts.tolist(), lens, strict=True):
                 g, text = gone[at : at + n], seg.buf[at : at + n]
                 spans = int(g[:1].sum() + (g[1:] & ~g[:-1]).sum()) if n else 0

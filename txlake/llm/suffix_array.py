@@ -1,14 +1,25 @@
-"""Suffix arrays by induced sorting, and permuted common prefixes.
+"""Suffix arrays by induced sorting, and permuted common prefixes, in numpy.
 
 ``suffix_array`` classifies suffixes as S or L, sorts the leftmost-smaller (LMS)
-substrings by one induction, names them, recurses where names repeat, and
-induces the whole array from the sorted LMS suffixes in linear time.
+substrings by one induction, names them, sorts the string of names, and induces
+the whole array from the sorted LMS suffixes.  An induction goes through the
+letters' buckets in order and moves whole buckets at a time: a suffix's
+predecessor takes its place after the suffix, so a stable grouping by letter of
+a bucket's predecessors, in order, appends them to their buckets.  Work is
+linear in the text, and one step for each letter.
+
+The string of names is sorted by the same method while its alphabet is small
+(``MAX_LETTERS``), and by doubling ranks beyond, as an induction by letters would
+then take a step for each name.  ``depth`` bounds how far suffixes are compared:
+those that agree on ``depth`` letters stand together, in any order.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
+MAX_LETTERS = 512
+
 
 def _types(t: np.ndarray) -> np.ndarray:
     """True where a suffix is smaller than the next one (S); the last one is S."""
@@ -18,104 +29,161 @@ def _types(t: np.ndarray) -> np.ndarray:
     if n > 1:
         differs = np.flatnonzero(t[1:] != t[:-1])
         smaller = t[differs] < t[differs + 1]
-        # an equal run takes the type of its last member
-        at = np.searchsorted(differs, np.arange(n - 1))
-        known = at < len(differs)
-        out[:-1][known] = smaller[at[known]]
-        out[:-1][~known] = False  # a run that reaches the end: the sentinel side is smaller
+        # an equal run takes the type of its last member; one that reaches the end
+        # is larger than the sentinel's side
+        runs = np.diff(differs, prepend=-1)
+        out[: int(runs.sum())] = np.repeat(smaller, runs)
     return out
 
 
-def _induce(t: list, types: list, order: list, heads: list, tails: list, n: int) -> list:
-    """Array with the suffixes in ``order`` (LMS, sorted) at their buckets' ends,
-    then L suffixes from left to right and S suffixes from right to left."""
-    sa = [-1] * n
-    at = tails[:]
-    for i in reversed(order):
-        c = t[i]
-        at[c] -= 1
-        sa[at[c]] = i
-    at = heads[:]
-    for k in range(n):
-        j = sa[k] - 1
-        if j >= 0 and not types[j]:
-            c = t[j]
-            sa[at[c]] = j
-            at[c] += 1
-    at = tails[:]
-    for k in range(n - 1, -1, -1):
-        j = sa[k] - 1
-        if j >= 0 and types[j]:
-            c = t[j]
-            at[c] -= 1
-            sa[at[c]] = j
-    return sa
-
-
-def suffix_array(t: np.ndarray) -> np.ndarray:
+class _Buckets:
+    """Lists of suffixes by first letter, filled from one end."""
+
+    def __init__(self, size: int):
+        self.parts: list[list[np.ndarray]] = [[] for _ in range(size)]
+
+    def append(self, suffixes: np.ndarray, letters: np.ndarray) -> None:
+        letters = letters.astype(np.uint16)  # small letters: a radix sort
+        grouped = suffixes[np.argsort(letters, kind="stable")]
+        count = np.bincount(letters)
+        found = np.flatnonzero(count)
+        for c, part in zip(found.tolist(), np.split(grouped, np.cumsum(count[found])[:-1]), strict=True):
+            self.parts[c].append(part)
+
+    def take(self, c: int) -> np.ndarray:
+        parts, self.parts[c] = self.parts[c], []
+        return np.concatenate(parts) if parts else _NONE
+
+
+_NONE = np.empty(0, dtype=np.int32)
+
+
+def _induce(t: np.ndarray, is_s: np.ndarray, lms: np.ndarray, size: int) -> np.ndarray:
+    """The array, given the LMS suffixes in order: L suffixes by ascending
+    letters, then S suffixes by descending letters."""
+    seeds = _Buckets(size)
+    seeds.append(lms, t[lms])
+    waiting = _Buckets(size)
+    l_part: list[np.ndarray] = []
+    for c in range(size):
+        own, todo = [], waiting.take(c)
+        while len(todo):  # runs of one letter
+            own.append(todo)
+            before = todo[todo > 0] - 1
+            todo = before[(t[before] == c) & ~is_s[before]]
+        own = np.concatenate(own) if own else _NONE
+        l_part.append(own)
+        all_ = np.concatenate((own, seeds.take(c)))
+        before = all_[all_ > 0] - 1
+        before = before[(t[before] > c) & ~is_s[before]]
+        if len(before):
+            waiting.append(before, t[before])
+    out: list[np.ndarray] = []
+    for c in range(size - 1, -1, -1):
+        own, todo = [], waiting.take(c)
+        while len(todo):
+            own.append(todo)
+            before = todo[todo > 0] - 1
+            todo = before[(t[before] == c) & is_s[before]]
+        own = np.concatenate(own) if own else _NONE
+        if c == 0:
+            own = np.array([len(t) - 1], dtype=np.int32)  # the sentinel
+        all_ = np.concatenate((own, l_part[c][::-1]))
+        out.append(all_)
+        before = all_[all_ > 0] - 1
+        before = before[(t[before] < c) & is_s[before]]
+        if len(before):
+            waiting.append(before, t[before])
+    return np.concatenate(out)[::-1]
+
+
+def _by_doubling(names: np.ndarray, letters: int) -> np.ndarray:
+    """Order of the suffixes of ``names``, exact for so many letters."""
+    rank, span, n = names.astype(np.int64), 1, len(names)
+    while True:
+        order = np.argsort(rank)
+        if span >= letters or rank[order[-1]] == n - 1:
+            return order
+        later = np.zeros(n, dtype=np.int64)
+        later[: max(0, n - span)] = rank[span:] + 1
+        key = rank * (n + 1) + later
+        order = np.argsort(key)
+        new = np.zeros(n, dtype=np.int64)
+        new[order[1:]] = np.cumsum(key[order[1:]] != key[order[:-1]])
+        rank, span = new, 2 * span
+
+
+def suffix_array(t: np.ndarray, depth: int | None = None) -> np.ndarray:
     """Suffix array of integers >= 1; a sentinel 0 is appended and dropped."""
     if not len(t):
         return np.empty(0, dtype=np.int64)
-    return _sais(np.append(np.asarray(t, dtype=np.int64), 0), int(t.max()) + 1)[1:]
+    text = np.append(np.asarray(t, dtype=np.int32), np.int32(0))
+    return _sais(text, int(text.max()) + 1, depth or len(t))[1:]
 
 
-def _sais(t: np.ndarray, size: int) -> np.ndarray:
+def _sais(t: np.ndarray, size: int, depth: int) -> np.ndarray:
     n = len(t)
     if n == 1:
         return np.zeros(1, dtype=np.int64)
-    types = _types(t)
-    count = np.bincount(t, minlength=size)
-    tails = np.cumsum(count)
-    heads = (tails - count).tolist()
-    tails = tails.tolist()
+    is_s = _types(t)
     is_lms = np.zeros(n, dtype=bool)
-    is_lms[1:] = types[1:] & ~types[:-1]
-    lms = np.flatnonzero(is_lms)
-    letters, kinds = t.tolist(), types.tolist()
-    sa = np.array(_induce(letters, kinds, lms.tolist(), heads, tails, n), dtype=np.int64)
-    by_substring = sa[is_lms[sa]]
-    # names: equal LMS substrings (with their types, which follow from the letters
-    # and the end) get equal names
-    length = np.empty(n, dtype=np.int64)
+    is_lms[1:] = is_s[1:] & ~is_s[:-1]
+    lms = np.flatnonzero(is_lms).astype(np.int32)
+    first = _induce(t, is_s, lms, size)
+    by_substring = first[is_lms[first]]
+    # names: equal LMS substrings, from one LMS place to the next, are equal names
+    length = np.zeros(n, dtype=np.int64)
     length[lms] = np.append(np.diff(lms), 0) + 1
     a, b = by_substring[:-1], by_substring[1:]
     same = length[a] == length[b]
     at, offset = np.flatnonzero(same), 0
     while len(at):
-        alive = offset < length[a[at]]
-        at = at[alive]
+        at = at[offset < length[a[at]]]
         differ = t[np.minimum(a[at] + offset, n - 1)] != t[np.minimum(b[at] + offset, n - 1)]
         same[at[differ]] = False
         at, offset = at[~differ], offset + 1
-    name = np.empty(n, dtype=np.int64)
+    name = np.zeros(n, dtype=np.int32)
     name[by_substring] = np.concatenate(([0], np.cumsum(~same)))
-    reduced = name[lms]
-    names = int(reduced.max()) + 1
-    if names == len(lms):
+    names = name[lms]
+    count = int(names.max()) + 1
+    if count == len(lms):
         order = np.empty(len(lms), dtype=np.int64)
-        order[reduced] = lms
-    else:
-        order = lms[_sais(reduced, names)]
-    return np.array(_induce(letters, kinds, order.tolist(), heads, tails, n), dtype=np.int64)
+        order[names] = np.arange(len(lms))
+    elif count <= MAX_LETTERS:
+        order = _sais(names, count, depth)
+    else:  # an LMS substring adds two letters at least
+        order = _by_doubling(names, depth // 2 + 2)
+    return _induce(t, is_s, lms[order], size)
 
 
 def permuted_common_prefixes(t: np.ndarray, sa: np.ndarray, cap: int) -> np.ndarray:
     """By text position: letters, ``cap`` at most, that a suffix shares with its
-    predecessor in the array (0 for the first).  All positions are compared side
-    by side, one letter a round, until they differ."""
+    predecessor in ``sa``, the array or some of its suffixes in order (0 for the
+    first, and for suffixes that are left out).
+
+    Letters are below 2^16.  Four of them are packed in a word, and all positions
+    are compared side by side, a word a round, while they agree."""
     n = len(t)
     out = np.zeros(n, dtype=np.int64)
-    if n < 2:
+    if len(sa) < 2:
         return out
-    before = np.empty(n, dtype=np.int64)
-    before[sa[1:]], before[sa[0]] = sa[:-1], -1
-    at = np.flatnonzero(before >= 0)
-    for offset in range(cap):
-        x, y = at + offset, before[at] + offset
-        fits = (x < n) & (y < n)
-        at, x, y = at[fits], x[fits], y[fits]
-        at = at[t[x] == t[y]]
-        if not len(at):
-            break
-        out[at] = offset + 1
+    wide = np.zeros(n + 4, dtype=np.uint64)  # the letter 0 stands after the end
+    wide[:n] = t
+    word = wide[:n].copy()
+    for k in range(1, 4):
+        word |= wide[k : n + k] << np.uint64(16 * k)
+    at, other = sa[1:], sa[:-1]
+    offset = 0
+    while len(at) and offset < cap:
+        x, y = at + offset, other + offset
+        inside = np.minimum(n - x, n - y)
+        x, y = np.minimum(x, n - 1), np.minimum(y, n - 1)
+        differ = word[x] ^ word[y]
+        same = np.full(len(at), 4)
+        for k in (3, 2, 1, 0):
+            same[(differ >> np.uint64(16 * k)) & np.uint64(0xFFFF) != 0] = k
+        same = np.clip(np.minimum(same, inside), 0, cap - offset)
+        out[at] = offset + same
+        on = (same == 4) & (inside > 4)
+        at, other, offset = at[on], other[on], offset + 4
     return out
