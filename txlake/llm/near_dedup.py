@@ -242,14 +242,17 @@ def near_duplicates(
         salt += 1
         pairs = written(_random_leaders(members, comps, salt), f"near_random{salt}")
         tried = pairs.count()
+        if not tried:
+            break
         more = verify(surviving(pairs), docs, width, percent, f"near_round{salt}")
-        linked = more.count() if tried else 0
+        linked = more.count()
         if not linked:
             break
         links = links.union(more)
         comps = written(connected_components(links, "a", "b", f"near_r{salt}"), "near_comps")
-    last = verify(_cross(members, classes, comps, percent, miss), docs, width, percent, "near_last")
-    if last.head(1):
+    # without a bucket of several components there is nothing left to compare
+    last = verify(_cross(members, classes, comps, percent, miss), docs, width, percent, "near_last") if tried else None
+    if last is not None and last.head(1):
         comps = written(connected_components(links.union(last), "a", "b", "near_last"), "near_comps")
     # a row's component is that of its class's representative, or of its own id
     # where another text of the id is linked
