@@ -169,7 +169,8 @@ def _split(special: list[str], n_buckets: int, want: str):
                 h = held[p]
                 words.append(h["whole"][h["first"][w] : h["end"][w]])
             bucket = (uniq % np.uint64(n_buckets)).astype(np.int64)
-            order = np.array(sorted(range(len(words)), key=lambda i: (bucket[i], words[i])), dtype=np.int64)
+            order = np.array(sorted(range(len(words)), key=words.__getitem__), dtype=np.int64)
+            order = order[np.argsort(bucket[order], kind="stable")]
             if want == "words":
                 ends = np.searchsorted(bucket[order], np.arange(n_buckets + 1))
                 return pd.DataFrame(
