@@ -5,6 +5,7 @@ from conftest import SF001
 from oracle_compare import compare, duck
 
 import __spark_entry__ as entry_mod
+from txlake.plans import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -12,7 +13,7 @@ def con():
     return duck(SF001)
 
 
-@pytest.mark.parametrize("name", list(entry_mod.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_matches_oracle(spark, con, name):
     sql = entry_mod.oracle_sql()
     assert name in sql, f"{name} has no reference SQL"

@@ -83,9 +83,9 @@ def test_date_rule_property(spark, cases):
 
 
 def _min_row_reference(rows):
-    """Per key (None is one key), the smallest (a, b) with nulls first."""
+    """Per key (None is one key), the smallest (a, b) with nulls last."""
     def order(v):
-        return (0, "") if v is None else (1, v)
+        return (1, "") if v is None else (0, v)
 
     best = {}
     for k, a, b in rows:
@@ -111,7 +111,7 @@ def test_dedup_min_equals_brute_force(spark, rows):
     from txlake.operators import dedup_by_key
 
     def order(v):
-        return (0, "") if v is None else (1, v)
+        return (1, "") if v is None else (0, v)
 
     df = spark.createDataFrame(rows, "k string, a string, b string").repartition(3)
     want = _min_row_reference(rows)

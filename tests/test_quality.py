@@ -22,11 +22,11 @@ def test_defect_profile_sf0_01(spark):
 
 def test_reconciliation_and_counts(spark):
     star = build_star(raw_transactions(spark, SF01))
-    rec = {r.defect: r for r in defect_reconciliation(star.raw, star.clean).collect()}
-    assert rec["duplicate_rows"].clean_rows == 0 and rec["duplicate_rows"].handling == "removed"
-    assert rec["comma_prices"].clean_rows == 0
-    assert rec["missing_surface"].clean_rows == 121
-    assert rec["missing_city"].clean_rows == 284
+    rec = {r.defect: tuple(r)[1:] for r in defect_reconciliation(star.raw).collect()}
+    assert rec["duplicate_rows"] == ("removed", 149, 149, 149)
+    assert rec["comma_prices"][0] == "repaired" and rec["comma_prices"][2] == rec["comma_prices"][3]
+    assert rec["missing_surface"] == ("kept_null", 122, 121, 121)
+    assert rec["missing_city"] == ("kept_null", 287, 284, 284)
     counts = {r.stage: r.n_rows for r in stage_counts(star.raw, star.clean, star.fact).collect()}
     assert counts == {"raw": 15149, "clean": 15000, "fact": 15000}
 

@@ -67,7 +67,7 @@ def test_session_helpers():
     from txlake.session import object_store_conf, scale_conf
 
     conf = scale_conf(100 * 10**12, total_cores=4000)
-    assert int(conf["spark.sql.shuffle.partitions"]) == 100_000  # capped
+    assert int(conf["spark.sql.shuffle.partitions"]) == -(-100 * 10**12 // (256 << 20))
     assert int(scale_conf(10**9, total_cores=16)["spark.sql.shuffle.partitions"]) == 32
     s3 = object_store_conf("http://store:9000", ssl=False)
     assert s3["spark.hadoop.fs.s3a.connection.ssl.enabled"] == "false"

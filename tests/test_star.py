@@ -5,15 +5,15 @@ from conftest import SF001, SF01
 from pyspark.sql import functions as F
 
 from txlake.operators import (
-    build_dim_location,
     build_dimensions,
     build_fact,
     clean_transactions,
     flatten,
+    split_rejects,
     with_surrogate_key,
 )
 from txlake.plans import build_star
-from txlake.sources import raw_transactions
+from txlake.sources import raw_transactions, raw_transactions_dirty
 
 
 @pytest.fixture(scope="module")
@@ -69,11 +69,21 @@ def test_distributed_keys_equal_single_task_keys(spark):
     assert sorted(r.date_id for r in many.collect()) == list(range(1, n + 1))
 
 
-def test_dim_builder_variants_agree(spark):
+def test_members_persisted_or_not_agree(spark):
     clean = clean_transactions(raw_transactions(spark, SF001))
-    single = build_dim_location(clean).df
-    together = build_dimensions(clean, persist=False).location.df
-    assert sorted(map(tuple, single.collect()), key=str) == sorted(map(tuple, together.collect()), key=str)
+    written = build_dimensions(clean).stored()
+    lazy = build_dimensions(clean, persist=False)
+    assert written.location.rows == lazy.location.rows and written.location.size == lazy.location.size > 0
+    a, b = written.location.df.collect(), lazy.location.df.collect()
+    assert sorted(map(tuple, a), key=str) == sorted(map(tuple, b), key=str)
+
+
+def test_fact_and_rejects_are_the_clean_table(spark):
+    star = build_star(raw_transactions_dirty(spark, SF001))
+    accepted, rejects = split_rejects(star.fact)
+    assert rejects.count() > 0 and accepted.count() + rejects.count() == star.clean.count()
+    rules = {r for row in rejects.select("broken_rules").distinct().collect() for r in row[0].split(",")}
+    assert rules == {"transaction_id", "date_id", "location_id", "price_mad"}
 
 
 def test_unresolved_keys_stay_null_not_dropped(spark):

@@ -2,23 +2,18 @@
 joins, reports and data-quality checks."""
 
 from txlake.operators.clean import clean_columns, clean_transactions
-from txlake.operators.dedup import dedup_by_key
+from txlake.operators.dedup import dedup_by_key, dedup_conflicts
 from txlake.operators.dimensions import (
     Dimension,
     Dimensions,
-    build_dim_date,
-    build_dim_location,
-    build_dim_property_type,
-    build_dim_registration_status,
     build_dimensions,
     with_surrogate_key,
 )
-from txlake.operators.fact import build_fact
+from txlake.operators.fact import build_fact, split_rejects
 from txlake.operators.joins import checked_broadcast
 from txlake.operators.quality import (
     RULES,
     Rule,
-    clean_defects,
     constraint_report,
     defect_profile,
     defect_reconciliation,
@@ -35,24 +30,21 @@ __all__ = [
     "Dimensions",
     "Rule",
     "avg_price_by_region_type_quarter",
-    "build_dim_date",
-    "build_dim_location",
-    "build_dim_property_type",
-    "build_dim_registration_status",
     "build_dimensions",
     "build_fact",
     "checked_broadcast",
     "clean_columns",
-    "clean_defects",
     "clean_transactions",
     "constraint_report",
     "dedup_by_key",
+    "dedup_conflicts",
     "defect_profile",
     "defect_reconciliation",
     "flatten",
     "missing_surface_by_type",
     "null_aware_measures",
     "parse_failures",
+    "split_rejects",
     "stage_counts",
     "star_join",
     "status_breakdown",

@@ -29,7 +29,7 @@ def clean_columns(raw: DataFrame) -> DataFrame:
     )
 
 
-def clean_transactions(raw: DataFrame, keep: str = "min", dedup_strategy: str = "auto") -> DataFrame:
+def clean_transactions(raw: DataFrame, keep: str = "min", dedup_strategy: str = "shuffle") -> DataFrame:
     """Raw export -> one typed row per transaction_id."""
     return dedup_by_key(clean_columns(raw), ["transaction_id"], keep=keep, strategy=dedup_strategy)
 

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from txlake.functions import date_parts
-from txlake.operators.joins import DEFAULT_BROADCAST_ROWS, checked_broadcast
+from txlake.operators.joins import DEFAULT_BROADCAST_ROWS, checked_broadcast, row_bytes
 from txlake.session import ensure_checkpoint_dir
 
 SINGLE_TASK_ROWS = 1_000_000
@@ -55,13 +55,8 @@ def with_surrogate_key(
         numbered = members.withColumn(key, F.row_number().over(Window.orderBy(*order)))
         return numbered.select(key, *members.columns)
 
-    spark = members.sparkSession
-    ensure_checkpoint_dir(spark)
-    try:
-        cores = spark.sparkContext.defaultParallelism
-    except Exception:  # client session
-        cores = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    parts = max(1, min(cores * 4, -(-n // single_task_rows) * 4))
+    ensure_checkpoint_dir(members.sparkSession)
+    parts = -(-n // single_task_rows) * 4  # from the member count alone
     ordered = members.repartitionByRange(parts, *order).sortWithinPartitions(*order).checkpoint(eager=True)
     tagged = ordered.withColumn("_mid", F.monotonically_increasing_id()).withColumn(
         "_pid", F.shiftright("_mid", 33)
@@ -86,55 +81,22 @@ def with_surrogate_key(
 
 @dataclass
 class Dimension:
-    """A dimension table with its member count (the proven broadcast bound)."""
+    """A dimension table with its member count and bytes (the proven broadcast
+    bounds)."""
 
     df: DataFrame
     rows: int
+    size: int | None = None
 
     def for_join(self, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-        return checked_broadcast(self.df, rows=self.rows, max_rows=max_rows)
+        return checked_broadcast(self.df, rows=self.rows, max_rows=max_rows, size=self.size)
 
+    def stored(self, name: str) -> Dimension:
+        """The keyed table written once, so no consumer numbers it again."""
+        from txlake.sources.files import materialize
 
-def _build(members: DataFrame, key: str, order_cols: list[str]) -> Dimension:
-    n = members.count()
-    return Dimension(with_surrogate_key(members, key, order_cols, rows=n), n)
-
-
-def build_dim_date(clean: DataFrame, week_start: str = "monday") -> Dimension:
-    members = (
-        clean.select(F.col("transaction_date").alias("full_date"))
-        .where(F.col("full_date").isNotNull())
-        .distinct()
-    )
-    dim = _build(members, "date_id", ["full_date"])
-    parts = date_parts(F.col("full_date"), week_start)
-    dim.df = dim.df.select("date_id", "full_date", *[v.alias(k) for k, v in parts.items()])
-    return dim
-
-
-def build_dim_property_type(clean: DataFrame) -> Dimension:
-    members = (
-        clean.select(F.col("property_type").alias("property_type_name"))
-        .where(F.col("property_type_name").isNotNull())
-        .distinct()
-    )
-    return _build(members, "property_type_id", ["property_type_name"])
-
-
-def build_dim_location(clean: DataFrame) -> Dimension:
-    # distinct treats two null cities as the same member, so (region, null)
-    # appears once and the null-safe fact join cannot double a fact.
-    members = clean.select("region", "city").where(F.col("region").isNotNull()).distinct()
-    return _build(members, "location_id", ["region", "city"])
-
-
-def build_dim_registration_status(clean: DataFrame) -> Dimension:
-    members = (
-        clean.select(F.col("registration_status").alias("status_name"))
-        .where(F.col("status_name").isNotNull())
-        .distinct()
-    )
-    return _build(members, "registration_status_id", ["status_name"])
+        df = self.df.coalesce(1) if self.rows <= SINGLE_TASK_ROWS else self.df
+        return Dimension(materialize(df, name), self.rows, self.size)
 
 
 @dataclass
@@ -144,6 +106,14 @@ class Dimensions:
     location: Dimension
     registration_status: Dimension
 
+    def stored(self) -> Dimensions:
+        return Dimensions(
+            date=self.date.stored("dim_date"),
+            property_type=self.property_type.stored("dim_property_type"),
+            location=self.location.stored("dim_location"),
+            registration_status=self.registration_status.stored("dim_registration_status"),
+        )
+
     def tables(self) -> dict[str, DataFrame]:
         return {
             "dim_date": self.date.df,
@@ -197,35 +167,40 @@ def build_dimensions(clean: DataFrame, week_start: str = "monday", persist: bool
     members = dimension_members(clean)
     gids = {name: _grouping_id(cols) for name, cols in _GROUPING_SETS.items()}
     per_dim = [F.count_if(F.col("_gid") == gid).alias(str(gid)) for gid in gids.values()]
+    per_dim += [
+        # the key and date parts come on top of the natural key
+        F.sum(F.when(F.col("_gid") == gid, row_bytes(_GROUPING_SETS[name]) + 64)).alias(f"b{gid}")
+        for name, gid in gids.items()
+    ]
     if persist:
         obs = Observation()
         members = materialize(members, "dim_members", obs, *per_dim)
-        counts = {int(k): v for k, v in obs.get.items()}  # filled by the write, no extra scan
+        counts = dict(obs.get)  # filled by the write, no extra scan
     else:
-        counts = {int(k): v for k, v in members.agg(*per_dim).first().asDict().items()}
+        counts = members.agg(*per_dim).first().asDict()
 
-    def part(name: str, not_null: str, renames: dict[str, str]) -> tuple[DataFrame, int]:
+    def part(name: str, not_null: str, renames: dict[str, str]) -> tuple[DataFrame, int, int]:
         gid = _grouping_id(_GROUPING_SETS[name])
         cols = [F.col(c).alias(renames.get(c, c)) for c in _GROUPING_SETS[name]]
         df = members.where((F.col("_gid") == gid) & F.col(not_null).isNotNull()).select(*cols)
-        return df, counts.get(gid, 0)
+        return df, counts.get(str(gid)) or 0, counts.get(f"b{gid}") or 0
 
-    d_date, n_date = part("date", "transaction_date", {"transaction_date": "full_date"})
-    d_type, n_type = part("property_type", "property_type", {"property_type": "property_type_name"})
-    d_loc, n_loc = part("location", "region", {})
-    d_status, n_status = part("registration_status", "registration_status", {"registration_status": "status_name"})
+    d_date, n_date, b_date = part("date", "transaction_date", {"transaction_date": "full_date"})
+    d_type, n_type, b_type = part("property_type", "property_type", {"property_type": "property_type_name"})
+    d_loc, n_loc, b_loc = part("location", "region", {})
+    d_status, n_status, b_status = part("registration_status", "registration_status", {"registration_status": "status_name"})
 
     # counts include a possible null member; that only over-states the bound.
-    date = Dimension(with_surrogate_key(d_date, "date_id", ["full_date"], rows=n_date), n_date)
+    date = Dimension(with_surrogate_key(d_date, "date_id", ["full_date"], rows=n_date), n_date, b_date)
     parts = date_parts(F.col("full_date"), week_start)
     date.df = date.df.select("date_id", "full_date", *[v.alias(k) for k, v in parts.items()])
     return Dimensions(
         date=date,
         property_type=Dimension(
-            with_surrogate_key(d_type, "property_type_id", ["property_type_name"], rows=n_type), n_type
+            with_surrogate_key(d_type, "property_type_id", ["property_type_name"], rows=n_type), n_type, b_type
         ),
-        location=Dimension(with_surrogate_key(d_loc, "location_id", ["region", "city"], rows=n_loc), n_loc),
+        location=Dimension(with_surrogate_key(d_loc, "location_id", ["region", "city"], rows=n_loc), n_loc, b_loc),
         registration_status=Dimension(
-            with_surrogate_key(d_status, "registration_status_id", ["status_name"], rows=n_status), n_status
+            with_surrogate_key(d_status, "registration_status_id", ["status_name"], rows=n_status), n_status, b_status
         ),
     )

@@ -127,41 +127,34 @@ def parse_failures(raw: DataFrame) -> DataFrame:
     return _long_format(one, PARSED_FIELDS, "field", "n_failed", [])
 
 
-def clean_defects(clean: DataFrame, key: str = "transaction_id") -> DataFrame:
-    """Rows of the clean table still showing each defect.
+def defect_reconciliation(raw: DataFrame, key: str = "transaction_id") -> DataFrame:
+    """What cleaning did with each documented defect.
 
-    duplicate_rows: surplus rows per key; comma_prices: prices that did not
-    parse (null); missing_surface / missing_city: nulls kept on purpose.
+    Columns: defect, handling, raw_rows (rows with the defect), n_ids (ids with
+    it; a null id is one) and n_handled: rows removed as duplicates, ids whose
+    comma price parsed, ids whose missing value is kept null.  One
+    pre-aggregated pass by id; nothing can be negative.
     """
-    flags = clean.agg(
-        F.count(F.lit(1)).alias("total_rows"),
-        F.count_if(F.col("price_mad").isNull()).alias("comma_prices"),
-        F.count_if(F.col("surface_m2").isNull()).alias("missing_surface"),
-        F.count_if(F.col("city").isNull()).alias("missing_city"),
-    )
-    names = ["total_rows", "comma_prices", "missing_surface", "missing_city", "key_groups"]
-    one = _combine([flags, _key_groups(clean, key)], names).withColumn(
-        "duplicate_rows", F.col("total_rows") - F.col("key_groups")
-    )
-    return _long_format(one, DEFECTS, "defect", "clean_rows", [])
+    from txlake.functions import price_clean
 
-
-def defect_reconciliation(raw: DataFrame, clean: DataFrame) -> DataFrame:
-    """Per defect: raw count, count left in the clean table, and the handling."""
-    handling = raw.sparkSession.createDataFrame(list(HANDLING.items()), "defect string, handling string")
-    return (
-        defect_profile(raw)
-        .select("defect", F.col("n_rows").alias("raw_rows"))
-        .join(clean_defects(clean), "defect")
-        .join(F.broadcast(handling), "defect")
-        .select(
-            "defect",
-            "handling",
-            "raw_rows",
-            "clean_rows",
-            (F.col("raw_rows") - F.col("clean_rows")).alias("rows_resolved"),
-        )
+    comma = F.coalesce(F.col("price_mad").contains(","), F.lit(False))
+    parsed = comma & price_clean("price_mad").isNotNull()
+    flags = {"comma": comma, "parsed": parsed, "surface": _is_missing("surface_m2"), "city": _is_missing("city")}
+    per_id = raw.groupBy(F.struct(key).alias("id")).agg(
+        F.count(F.lit(1)).alias("n"), *[F.count_if(f).alias(name) for name, f in flags.items()]
     )
+    rows = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    ids = lambda c: F.count_if(F.col(c) > 0)
+    surplus = F.col("n") - 1
+    cells = {
+        "duplicate_rows": (rows(surplus), F.count_if(surplus > 0), rows(surplus)),
+        "comma_prices": (rows("comma"), ids("comma"), ids("parsed")),
+        "missing_surface": (rows("surface"), ids("surface"), ids("surface")),
+        "missing_city": (rows("city"), ids("city"), ids("city")),
+    }
+    one = per_id.agg(*[c.cast("long").alias(f"{d}_{k}") for d in DEFECTS for k, c in enumerate(cells[d])])
+    stacked = ", ".join(f"'{d}', '{HANDLING[d]}', {d}_0, {d}_1, {d}_2" for d in DEFECTS)
+    return one.select(F.expr(f"stack({len(DEFECTS)}, {stacked}) as (defect, handling, raw_rows, n_ids, n_handled)"))
 
 
 def stage_counts(raw: DataFrame, clean: DataFrame, fact: DataFrame) -> DataFrame:
@@ -199,6 +192,7 @@ class Rule:
 
 
 def _rules() -> list[Rule]:
+    # fixed values: the rules that the warehouse declares
     R = Rule
     rules = [
         R("fact_transactions", "primary_key", ("transaction_id",)),
@@ -220,17 +214,21 @@ def _rules() -> list[Rule]:
         R("fact_transactions", "foreign_key", ("location_id",), "dim_location"),
         R("fact_transactions", "foreign_key", ("registration_status_id",), "dim_registration_status"),
         R("dim_date", "primary_key", ("date_id",)),
+        R("dim_date", "not_null", ("date_id",)),
         R("dim_date", "not_null", ("full_date",)),
         R("dim_date", "unique", ("full_date",)),
         *[R("dim_date", "not_null", (c,)) for c in ("year", "quarter", "month", "day_of_week")],
         *[R("dim_date", "smallint", (c,)) for c in ("year", "quarter", "month", "day_of_week")],
         R("dim_property_type", "primary_key", ("property_type_id",)),
+        R("dim_property_type", "not_null", ("property_type_id",)),
         R("dim_property_type", "not_null", ("property_type_name",)),
         R("dim_property_type", "unique", ("property_type_name",)),
         R("dim_location", "primary_key", ("location_id",)),
+        R("dim_location", "not_null", ("location_id",)),
         R("dim_location", "not_null", ("region",)),
         R("dim_location", "unique", ("region", "city")),
         R("dim_registration_status", "primary_key", ("registration_status_id",)),
+        R("dim_registration_status", "not_null", ("registration_status_id",)),
         R("dim_registration_status", "not_null", ("status_name",)),
         R("dim_registration_status", "unique", ("status_name",)),
     ]
@@ -309,7 +307,7 @@ def constraint_report(
                     .distinct()
                     .withColumn(f"_has_{r.param}", F.lit(True))
                 )
-                df = df.join(checked_broadcast(keys, rows=dim.rows, max_rows=max_broadcast_rows), r.columns[0], "left")
+                df = df.join(checked_broadcast(keys, rows=dim.rows, max_rows=max_broadcast_rows, size=dim.size), r.columns[0], "left")
         plain = [
             (_counted(r) if r.kind in _DISTINCT_KINDS else _rule_agg(r)).cast("long").alias(f"r{i}")
             for i, r in enumerate(trules)

@@ -10,10 +10,13 @@ realistic row count (decimal(38,2) result).
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txlake.operators.dimensions import Dimensions
+from txlake.operators.fact import YEAR_COLUMN
 from txlake.operators.star import star_join
 
 WIDE_PRICE = "decimal(28,2)"
@@ -25,8 +28,14 @@ def _mean(total: Column, n: Column) -> Column:
     return F.try_divide(total.cast("double"), n)
 
 
-def avg_price_by_region_type_quarter(fact: DataFrame, dims: Dimensions) -> DataFrame:
-    """Average price by region, property type and calendar quarter."""
+def avg_price_by_region_type_quarter(fact: DataFrame, dims: Dimensions, year: int | None = None) -> DataFrame:
+    """Average price by region, property type and calendar quarter; with ``year``
+    of that year only, which on a fact stored by year reads that year alone."""
+    if year is not None:
+        if YEAR_COLUMN in fact.columns:
+            fact = fact.where(F.col(YEAR_COLUMN) == year)
+        dims = replace(dims, date=replace(dims.date, df=dims.date.df.where(F.col("year") == year)))
+        fact = fact.join(dims.date.for_join().select("date_id"), "date_id", "left_semi")
     price = F.col("price_mad").cast(WIDE_PRICE)
     return (
         star_join(fact, dims, use=("date", "property_type", "location"))

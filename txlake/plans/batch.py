@@ -33,6 +33,11 @@ from pyspark.sql import functions as F
 
 from txlake.operators import Dimension, Dimensions, build_dimensions, build_fact, clean_transactions
 from txlake.operators.dimensions import SINGLE_TASK_ROWS
+from txlake.operators.fact import YEAR_COLUMN
+from txlake.operators.fact import split_rejects as fact_and_rejects
+from txlake.operators.joins import row_bytes
+from txlake.schemas import FACT_COLUMNS
+from txlake.session import size_session
 from txlake.sources import (
     materialize,
     read_raw_csv,
@@ -57,11 +62,12 @@ def build_star(raw: DataFrame, keep: str = "min", week_start: str = "monday", pe
 
     With ``persist_clean`` the clean table is written once into the shared
     folder and read back before the dimensions and fact are derived from it.
+    The keyed dimensions are written once, so no consumer numbers them again.
     """
     clean = clean_transactions(raw, keep=keep)
     if persist_clean:
         clean = materialize(clean, "clean")
-    dims = build_dimensions(clean, week_start=week_start)
+    dims = build_dimensions(clean, week_start=week_start).stored()
     return StarSchema(raw=raw, clean=clean, dims=dims, fact=build_fact(clean, dims))
 
 
@@ -70,6 +76,7 @@ class BatchResult:
     raw_rows: int
     clean_rows: int
     fact_rows: int
+    reject_rows: int
     dim_rows: dict[str, int]
     paths: dict[str, str]
 
@@ -81,9 +88,16 @@ def run_batch(
     keep: str = "min",
     week_start: str = "monday",
     max_records_per_file: int = 5_000_000,
-    dedup_strategy: str = "auto",
+    dedup_strategy: str = "shuffle",
+    split_rejects: bool = True,
 ) -> BatchResult:
-    """Run the whole batch load into ``lake_root`` and return the stage counts."""
+    """Run the whole batch load into ``lake_root`` and return the stage counts.
+
+    Partition sizes follow the bytes of the export.  The raw zone is replaced
+    only by a load that has rows: it is written beside the old one first.  With
+    ``split_rejects`` the fact rows that break a NOT NULL rule go to
+    ``fact_rejects`` with the rules' names, else they stay in the fact."""
+    size_session(spark, csv_path)
     root = lake_root.rstrip("/")
     paths = {
         name: f"{root}/{name}"
@@ -95,10 +109,15 @@ def run_batch(
             "dim_location",
             "dim_registration_status",
             "fact_transactions",
+            "fact_rejects",
         )
     }
     raw_obs = Observation()
-    write_raw_zone(read_raw_csv(spark, csv_path).observe(raw_obs, F.count(F.lit(1)).alias("rows")), paths["raw"])
+    staged = f"{root}/_raw_staged"
+    write_raw_zone(read_raw_csv(spark, csv_path).observe(raw_obs, F.count(F.lit(1)).alias("rows")), staged)
+    if not raw_obs.get["rows"]:
+        raise ValueError(f"no rows in {csv_path}; the tables under {root} are unchanged")
+    _replace(spark, staged, paths["raw"])
     raw = read_raw_zone(spark, paths["raw"])
 
     clean_obs = Observation()
@@ -119,7 +138,7 @@ def run_batch(
     ):
         # a small dimension is one file; an oversized one keeps its partitions
         write_table(dim.df.coalesce(1) if dim.rows <= SINGLE_TASK_ROWS else dim.df, paths[name])
-        stored[name] = Dimension(read_table(spark, paths[name]), dim.rows)
+        stored[name] = Dimension(read_table(spark, paths[name]), dim.rows, dim.size)
     dims = Dimensions(
         date=stored["dim_date"],
         property_type=stored["dim_property_type"],
@@ -128,9 +147,17 @@ def run_batch(
     )
 
     fact_obs = Observation()
+    fact = build_fact(clean, dims, with_year=True)
+    reject_obs = Observation()
+    counted = F.count(F.lit(1)).alias("rows")
+    if split_rejects:
+        fact, rejects = fact_and_rejects(fact)
+        write_table(rejects.observe(reject_obs, counted), paths["fact_rejects"])
     write_table(
-        build_fact(clean, dims).observe(fact_obs, F.count(F.lit(1)).alias("rows")),
+        # rows of a year together, so that a year is few files
+        fact.observe(fact_obs, counted).sortWithinPartitions(YEAR_COLUMN, "date_id"),
         paths["fact_transactions"],
+        partition_by=[YEAR_COLUMN],
         max_records_per_file=max_records_per_file,
     )
 
@@ -138,11 +165,21 @@ def run_batch(
         raw_rows=raw_obs.get["rows"],
         clean_rows=clean_obs.get["rows"],
         fact_rows=fact_obs.get["rows"],
+        reject_rows=reject_obs.get["rows"] if split_rejects else 0,
         dim_rows={name: d.rows for name, d in stored.items()},
         paths=paths,
     )
 
 
+def _replace(spark: SparkSession, source: str, target: str) -> None:
+    """Put the folder ``source`` in the place of ``target``."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    files = path(target).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.delete(path(target), True)
+    if not files.rename(path(source), path(target)):
+        raise OSError(f"could not rename {source} to {target}")
+
+
 def load_star(spark: SparkSession, lake_root: str) -> StarSchema:
     """Open a star written by ``run_batch`` (dimension sizes are re-counted)."""
     root = lake_root.rstrip("/")
@@ -151,14 +188,17 @@ def load_star(spark: SparkSession, lake_root: str) -> StarSchema:
     # all four sizes in one job (four rows to the driver)
     counted = reduce(
         DataFrame.unionByName,
-        [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("t"), "n") for name, df in tables.items()],
+        [
+            df.agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes(df.columns)).alias("b")).select(F.lit(name).alias("t"), "n", "b")
+            for name, df in tables.items()
+        ],
     )
-    rows = {r.t: r.n for r in counted.collect()}
+    size = {r.t: (r.n, r.b or 0) for r in counted.collect()}
     dims = Dimensions(
-        date=Dimension(tables["dim_date"], rows["dim_date"]),
-        property_type=Dimension(tables["dim_property_type"], rows["dim_property_type"]),
-        location=Dimension(tables["dim_location"], rows["dim_location"]),
-        registration_status=Dimension(tables["dim_registration_status"], rows["dim_registration_status"]),
+        date=Dimension(tables["dim_date"], *size["dim_date"]),
+        property_type=Dimension(tables["dim_property_type"], *size["dim_property_type"]),
+        location=Dimension(tables["dim_location"], *size["dim_location"]),
+        registration_status=Dimension(tables["dim_registration_status"], *size["dim_registration_status"]),
     )
     return StarSchema(
         raw=read_raw_zone(spark, f"{root}/raw"),
@@ -178,8 +218,8 @@ def export_to_warehouse(
     """Append the finished star to a relational warehouse over JDBC.
 
     Keys were assigned in Spark, so every column is written (the database
-    does not generate them).  Dimensions are small and go through one
-    connection each; the fact is written by ``fact_connections`` parallel
+    does not generate them).  A dimension takes one connection per
+    ``SINGLE_TASK_ROWS`` rows; the fact is written by ``fact_connections`` parallel
     connections in batches.  A second append of the same load violates the
     warehouse keys, as a one-shot full load does.
 
@@ -187,6 +227,13 @@ def export_to_warehouse(
     limiting the fact to ``fact_connections`` partitions (``coalesce``, no
     shuffle) only limits database connections, not upstream computation.
     """
-    for name, df in star.dims.tables().items():
-        write_jdbc(df, url, name, properties, mode=mode, num_partitions=1)
-    write_jdbc(star.fact, url, "fact_transactions", properties, mode=mode, num_partitions=fact_connections)
+    by_name = {
+        "dim_date": star.dims.date,
+        "dim_property_type": star.dims.property_type,
+        "dim_location": star.dims.location,
+        "dim_registration_status": star.dims.registration_status,
+    }
+    for name, dim in by_name.items():
+        connections = min(fact_connections, -(-max(dim.rows, 1) // SINGLE_TASK_ROWS))
+        write_jdbc(dim.df, url, name, properties, mode=mode, num_partitions=connections)
+    write_jdbc(star.fact.select(*FACT_COLUMNS), url, "fact_transactions", properties, mode=mode, num_partitions=fact_connections)

@@ -9,8 +9,69 @@ results.
 
 from __future__ import annotations
 
-from txlake.operators.quality import DEFECTS, DIM_KEYS, HANDLING, RULES, Rule
-from txlake.schemas import SMALLINT_MAX, SMALLINT_MIN
+# Fixed values, written here by hand so that a wrong rule in the library shows:
+# the documented defects with their handling, and the warehouse's rules as
+# (table, kind, columns, parameter).
+HANDLING = {
+    "duplicate_rows": "removed",
+    "comma_prices": "repaired",
+    "missing_surface": "kept_null",
+    "missing_city": "kept_null",
+}
+DEFECTS = list(HANDLING)
+SMALLINT_MIN, SMALLINT_MAX = -32768, 32767
+DIM_KEYS = {
+    "dim_date": "date_id",
+    "dim_property_type": "property_type_id",
+    "dim_location": "location_id",
+    "dim_registration_status": "registration_status_id",
+}
+RULES = [
+    ("fact_transactions", "primary_key", "transaction_id", None),
+    ("fact_transactions", "not_null", "transaction_id", None),
+    ("fact_transactions", "not_null", "listing_id", None),
+    ("fact_transactions", "not_null", "date_id", None),
+    ("fact_transactions", "not_null", "property_type_id", None),
+    ("fact_transactions", "not_null", "location_id", None),
+    ("fact_transactions", "not_null", "registration_status_id", None),
+    ("fact_transactions", "not_null", "source_office", None),
+    ("fact_transactions", "not_null", "price_mad", None),
+    ("fact_transactions", "foreign_key", "date_id", "dim_date"),
+    ("fact_transactions", "foreign_key", "property_type_id", "dim_property_type"),
+    ("fact_transactions", "foreign_key", "location_id", "dim_location"),
+    ("fact_transactions", "foreign_key", "registration_status_id", "dim_registration_status"),
+    ("fact_transactions", "max_length", "transaction_id", 20),
+    ("fact_transactions", "max_length", "listing_id", 20),
+    ("fact_transactions", "max_length", "source_office", 50),
+    ("dim_date", "primary_key", "date_id", None),
+    ("dim_date", "not_null", "date_id", None),
+    ("dim_date", "not_null", "full_date", None),
+    ("dim_date", "unique", "full_date", None),
+    ("dim_date", "not_null", "year", None),
+    ("dim_date", "not_null", "quarter", None),
+    ("dim_date", "not_null", "month", None),
+    ("dim_date", "not_null", "day_of_week", None),
+    ("dim_date", "smallint", "year", None),
+    ("dim_date", "smallint", "quarter", None),
+    ("dim_date", "smallint", "month", None),
+    ("dim_date", "smallint", "day_of_week", None),
+    ("dim_property_type", "primary_key", "property_type_id", None),
+    ("dim_property_type", "not_null", "property_type_id", None),
+    ("dim_property_type", "not_null", "property_type_name", None),
+    ("dim_property_type", "unique", "property_type_name", None),
+    ("dim_property_type", "max_length", "property_type_name", 50),
+    ("dim_location", "primary_key", "location_id", None),
+    ("dim_location", "not_null", "location_id", None),
+    ("dim_location", "not_null", "region", None),
+    ("dim_location", "unique", "region+city", None),
+    ("dim_location", "max_length", "region", 100),
+    ("dim_location", "max_length", "city", 100),
+    ("dim_registration_status", "primary_key", "registration_status_id", None),
+    ("dim_registration_status", "not_null", "registration_status_id", None),
+    ("dim_registration_status", "not_null", "status_name", None),
+    ("dim_registration_status", "unique", "status_name", None),
+    ("dim_registration_status", "max_length", "status_name", 30),
+]
 
 _RAW_COLS = (
     "transaction_id, listing_id, property_type, region, city, surface_m2, price_mad, "
@@ -77,7 +138,7 @@ raw_csv AS (
 )
 
 _CLEAN_ORDER = ", ".join(
-    f"{c} NULLS FIRST"
+    f"{c} NULLS LAST"
     for c in (
         "listing_id",
         "property_type",
@@ -126,9 +187,8 @@ dim_date AS (
 )"""
 
 
-STAR_CTE = (
-    CLEAN_CTE
-    + _dim_date_cte("isodow(full_date)")
+_STAR = (
+    _dim_date_cte("isodow(full_date)")
     + """,
 dim_property_type AS (
   SELECT CAST(row_number() OVER (ORDER BY property_type_name) AS INTEGER) AS property_type_id, property_type_name
@@ -153,6 +213,52 @@ fact AS (
 )"""
 )
 
+STAR_CTE = CLEAN_CTE + _STAR
+
+_K = "CAST(substr(listing_id, 4) AS BIGINT)"
+DIRTY_CTE = (
+    RAW_CTE
+    + f""",
+dirty AS (
+  SELECT {_K} AS k,
+    CASE WHEN {_K} % 37 = 13 THEN NULL WHEN {_K} % 41 = 17 THEN transaction_id || '-' || repeat('x', 20)
+         ELSE transaction_id END AS transaction_id,
+    listing_id, property_type,
+    CASE WHEN {_K} % 29 = 11 THEN NULL ELSE region END AS region,
+    city, surface_m2,
+    CASE WHEN {_K} % 17 = 3 THEN 'n/a' WHEN {_K} % 19 = 5 THEN '12345678901.00' ELSE price_mad END AS price_mad,
+    registration_status, source_office,
+    CASE WHEN {_K} % 23 = 7 THEN '2024-02-31' ELSE transaction_date END AS transaction_date
+  FROM raw
+),
+raw_dirty AS (
+  SELECT {_RAW_COLS} FROM dirty
+  UNION ALL
+  SELECT transaction_id, listing_id, property_type, region, NULL, '1.0', price_mad, registration_status,
+         source_office, transaction_date FROM dirty WHERE k % 43 = 19
+)"""
+)
+DIRTY_CLEAN_CTE = DIRTY_CTE + _clean_cte("raw_dirty")
+DIRTY_STAR_CTE = DIRTY_CLEAN_CTE + _STAR
+
+_NOT_NULL = [columns for table_name, kind, columns, _ in RULES if (table_name, kind) == ("fact_transactions", "not_null")]
+
+
+def _reconciliation(source: str) -> str:
+    missing = lambda c: f"({c} IS NULL OR {c} = '')"
+    ids = lambda cond: f"CAST(count(DISTINCT CASE WHEN {cond} THEN coalesce(transaction_id, chr(1)) END) AS BIGINT)"
+    rows = lambda cond: f"CAST(count_if({cond}) AS BIGINT)"
+    comma = "contains(price_mad, ',')"
+    parsed = f"({comma} AND TRY_CAST(replace(price_mad, ',', '') AS DECIMAL(12,2)) IS NOT NULL)"
+    return f"""
+SELECT 'duplicate_rows' AS defect, 'removed' AS handling, CAST(sum(n - 1) AS BIGINT) AS raw_rows,
+       CAST(count_if(n > 1) AS BIGINT) AS n_ids, CAST(sum(n - 1) AS BIGINT) AS n_handled
+FROM (SELECT count(*) AS n FROM {source} GROUP BY transaction_id)
+UNION ALL SELECT 'comma_prices', 'repaired', {rows(comma)}, {ids(comma)}, {ids(parsed)} FROM {source}
+UNION ALL SELECT 'missing_surface', 'kept_null', {rows(missing('surface_m2'))}, {ids(missing('surface_m2'))}, {ids(missing('surface_m2'))} FROM {source}
+UNION ALL SELECT 'missing_city', 'kept_null', {rows(missing('city'))}, {ids(missing('city'))}, {ids(missing('city'))} FROM {source}"""
+
+
 EVENTS_SQL = f"""
 SELECT
   printf('STREAM%07d', e.event_id) AS transaction_id,
@@ -194,35 +300,31 @@ defects AS (
     return one
 
 
-def _rule_sql(rule: Rule) -> str:
-    table = "fact" if rule.table == "fact_transactions" else rule.table
-    c = rule.columns
-    head = f"SELECT '{rule.name}' AS rule, '{rule.table}' AS table_name, '{rule.kind}' AS kind, "
-    if rule.kind in ("primary_key",) or (rule.kind == "unique" and len(c) == 1):
-        expr = f"count({c[0]}) - count(DISTINCT {c[0]})"
-        return f"{head}CAST({expr} AS BIGINT) AS violations FROM {table}"
-    if rule.kind == "unique":
+def _rule_sql(rule: tuple) -> str:
+    table_name, kind, columns, param = rule
+    table = "fact" if table_name == "fact_transactions" else table_name
+    c = columns.split("+")
+    head = f"SELECT '{table_name}.{columns}:{kind}' AS rule, '{table_name}' AS table_name, '{kind}' AS kind, "
+    if kind == "primary_key" or (kind == "unique" and len(c) == 1):
+        return f"{head}CAST(count({c[0]}) - count(DISTINCT {c[0]}) AS BIGINT) AS violations FROM {table}"
+    if kind == "unique":
         cols = ", ".join(c)
         return (
             f"{head}CAST((SELECT count(*) FROM {table}) - "
             f"(SELECT count(*) FROM (SELECT DISTINCT {cols} FROM {table})) AS BIGINT) AS violations"
         )
-    if rule.kind == "not_null":
-        return f"{head}CAST(count_if({c[0]} IS NULL) AS BIGINT) AS violations FROM {table}"
-    if rule.kind == "max_length":
-        return f"{head}CAST(count_if(length({c[0]}) > {rule.param}) AS BIGINT) AS violations FROM {table}"
-    if rule.kind == "smallint":
-        return (
-            f"{head}CAST(count_if({c[0]} < {SMALLINT_MIN} OR {c[0]} > {SMALLINT_MAX}) AS BIGINT) "
-            f"AS violations FROM {table}"
-        )
-    if rule.kind == "foreign_key":
-        key = DIM_KEYS[rule.param]
+    if kind == "foreign_key":
+        key = DIM_KEYS[param]
         return (
             f"{head}CAST(count_if(f.{c[0]} IS NOT NULL AND d.{key} IS NULL) AS BIGINT) AS violations "
-            f"FROM {table} f LEFT JOIN {rule.param} d ON f.{c[0]} = d.{key}"
+            f"FROM {table} f LEFT JOIN {param} d ON f.{c[0]} = d.{key}"
         )
-    raise ValueError(rule.kind)
+    broken = {
+        "not_null": f"{c[0]} IS NULL",
+        "max_length": f"length({c[0]}) > {param}",
+        "smallint": f"{c[0]} < {SMALLINT_MIN} OR {c[0]} > {SMALLINT_MAX}",
+    }[kind]
+    return f"{head}CAST(count_if({broken}) AS BIGINT) AS violations FROM {table}"
 
 
 _FLAT = """
@@ -241,12 +343,30 @@ FROM clean
 GROUP BY region, property_type, year(transaction_date), quarter(transaction_date)"""
 
 
+_PARSE_FAILURES = """
+SELECT 'price_mad' AS field,
+       CAST(count_if(price_mad IS NOT NULL AND price_mad <> ''
+            AND TRY_CAST(replace(price_mad, ',', '') AS DECIMAL(12,2)) IS NULL) AS BIGINT) AS n_failed
+FROM {source}
+UNION ALL
+SELECT 'surface_m2',
+       CAST(count_if(surface_m2 IS NOT NULL AND surface_m2 <> ''
+            AND TRY_CAST(surface_m2 AS DECIMAL(10,1)) IS NULL) AS BIGINT)
+FROM {source}
+UNION ALL
+SELECT 'transaction_date',
+       CAST(count_if(transaction_date IS NOT NULL AND transaction_date <> ''
+            AND try_strptime(transaction_date, '%Y-%m-%d') IS NULL) AS BIGINT)
+FROM {source}"""
+
+_PROFILE = "SELECT defect, n_rows, total_rows, CAST(n_rows AS DOUBLE) / CAST(total_rows AS DOUBLE) AS share FROM defects"
+
+
 def oracle_sql() -> dict[str, str]:
     clean_cols = (
         "transaction_id, listing_id, property_type, region, city, surface_m2, price_mad, "
         "registration_status, source_office, transaction_date"
     )
-    handling_values = ", ".join(f"('{d}', '{h}')" for d, h in HANDLING.items())
     sql = {
         "csv_scan_raw": _with(RAW_CSV_CTE, f"SELECT {_RAW_COLS} FROM raw_csv"),
         "raw_zone_parquet": _with(RAW_CSV_CTE, f"SELECT {_RAW_COLS} FROM raw_csv"),
@@ -311,49 +431,37 @@ SELECT property_type,
        CAST(count_if(surface_m2 IS NULL OR surface_m2 = '') AS DOUBLE) / CAST(count(*) AS DOUBLE) AS share
 FROM raw GROUP BY property_type""",
         ),
-        "parse_failures": _with(
+        "parse_failures": _with(RAW_CTE, _PARSE_FAILURES.format(source="raw")),
+        "defect_reconciliation": _with(RAW_CTE, _reconciliation("raw")),
+        "clean_dirty": _with(DIRTY_CLEAN_CTE, f"SELECT {clean_cols} FROM clean"),
+        "fact_dirty": _with(
+            DIRTY_STAR_CTE, "SELECT * FROM fact WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in _NOT_NULL)
+        ),
+        "fact_rejects_dirty": _with(
+            DIRTY_STAR_CTE,
+            "SELECT *, concat_ws(',', "
+            + ", ".join(f"CASE WHEN {c} IS NULL THEN '{c}' END" for c in _NOT_NULL)
+            + ") AS broken_rules FROM fact WHERE "
+            + " OR ".join(f"{c} IS NULL" for c in _NOT_NULL),
+        ),
+        "constraint_report_dirty": _with(DIRTY_STAR_CTE, "\nUNION ALL\n".join(_rule_sql(r) for r in RULES)),
+        "parse_failures_dirty": _with(DIRTY_CTE, _PARSE_FAILURES.format(source="raw_dirty")),
+        "defect_profile_dirty": _with(DIRTY_CTE + "," + _defect_profile_body("raw_dirty"), _PROFILE),
+        "defect_reconciliation_dirty": _with(DIRTY_CTE, _reconciliation("raw_dirty")),
+        "dedup_conflicts_dirty": _with(
+            DIRTY_CTE,
+            f"""
+SELECT CAST(sum(n) AS BIGINT) AS n_rows, CAST(count(*) AS BIGINT) AS n_keys,
+       CAST(count_if(d > 1) AS BIGINT) AS n_conflicting_keys,
+       CAST(coalesce(sum(n) FILTER (transaction_id IS NULL), 0) AS BIGINT) AS n_null_key_rows
+FROM (SELECT transaction_id, count(*) AS n, count(DISTINCT ({_RAW_COLS})) AS d FROM raw_dirty GROUP BY transaction_id)""",
+        ),
+        "csv_malformed_rows": _with(
             RAW_CTE,
-            """
-SELECT 'price_mad' AS field,
-       CAST(count_if(price_mad IS NOT NULL AND price_mad <> ''
-            AND TRY_CAST(replace(price_mad, ',', '') AS DECIMAL(12,2)) IS NULL) AS BIGINT) AS n_failed
-FROM raw
-UNION ALL
-SELECT 'surface_m2',
-       CAST(count_if(surface_m2 IS NOT NULL AND surface_m2 <> ''
-            AND TRY_CAST(surface_m2 AS DECIMAL(10,1)) IS NULL) AS BIGINT)
-FROM raw
-UNION ALL
-SELECT 'transaction_date',
-       CAST(count_if(transaction_date IS NOT NULL AND transaction_date <> ''
-            AND try_strptime(transaction_date, '%Y-%m-%d') IS NULL) AS BIGINT)
-FROM raw""",
+            f"SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(count_if({_K} % 97 = 0) AS BIGINT) AS n_malformed FROM raw",
         ),
-        "defect_reconciliation": _with(
-            CLEAN_CTE
-            + ","
-            + _defect_profile_body("raw")
-            + f""",
-clean_profile AS (
-  SELECT
-    CAST(count(*) - (count(DISTINCT transaction_id)
-         + coalesce(max(CASE WHEN transaction_id IS NULL THEN 1 ELSE 0 END), 0)) AS BIGINT) AS duplicate_rows,
-    CAST(count_if(price_mad IS NULL) AS BIGINT) AS comma_prices,
-    CAST(count_if(surface_m2 IS NULL) AS BIGINT) AS missing_surface,
-    CAST(count_if(city IS NULL) AS BIGINT) AS missing_city
-  FROM clean
-),
-clean_defects AS (
-  """
-            + "\n  UNION ALL\n  ".join(
-                f"SELECT '{d}' AS defect, {d} AS clean_rows FROM clean_profile" for d in DEFECTS
-            )
-            + f"""
-),
-handling(defect, handling) AS (VALUES {handling_values})""",
-            """
-SELECT d.defect, h.handling, d.n_rows AS raw_rows, c.clean_rows, d.n_rows - c.clean_rows AS rows_resolved
-FROM defects d JOIN clean_defects c ON d.defect = c.defect JOIN handling h ON d.defect = h.defect""",
+        "avg_price_one_year": _with(
+            CLEAN_CTE, _AVG_PRICE.replace("FROM clean", "FROM clean WHERE year(transaction_date) = 1997")
         ),
         "constraint_report": _with(STAR_CTE, "\nUNION ALL\n".join(_rule_sql(r) for r in RULES)),
         "stream_parse": EVENTS_SQL.strip(),

@@ -14,6 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from txlake.functions import date_parts
 from txlake.operators import (
     Dimensions,
     avg_price_by_region_type_quarter,
@@ -22,26 +23,33 @@ from txlake.operators import (
     clean_transactions,
     constraint_report,
     dedup_by_key,
+    dedup_conflicts,
     defect_profile,
     defect_reconciliation,
     flatten,
     missing_surface_by_type,
     null_aware_measures,
     parse_failures,
+    split_rejects,
     stage_counts,
     status_breakdown,
     with_surrogate_key,
 )
 from txlake.plans.batch import StarSchema, build_star
 from txlake.schemas import EVENT_COLUMNS
+from txlake.operators.fact import YEAR_COLUMN
 from txlake.session import shared_dir
 from txlake.sources import (
     event_messages,
+    malformed_rows,
     raw_transactions,
+    raw_transactions_dirty,
+    read_table,
     read_raw_csv,
     read_raw_zone,
     write_csv,
     write_raw_zone,
+    write_table,
 )
 from txlake.sources.streams import text_stream
 from txlake.streaming import parse_events, run_available
@@ -127,7 +135,8 @@ def dim_date_distributed_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     dim = _dims(spark, sf_dir).date
     members = dim.df.select("full_date")
     keyed = with_surrogate_key(members, "date_id", ["full_date"], rows=dim.rows, single_task_rows=256)
-    return keyed.join(dim.df.drop("date_id"), "full_date").select(*dim.df.columns)
+    parts = date_parts(F.col("full_date"), "monday")
+    return keyed.select("date_id", "full_date", *[v.alias(name) for name, v in parts.items()])
 
 
 def fact_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -135,10 +144,10 @@ def fact_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fact_transactions_shuffle_joins(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The fact with no broadcast hint (the path for dimensions over the
-    broadcast bound: shuffle joins, AQE decides at run time)."""
+    """The fact by four sort-merge joins (the path for dimensions over the
+    broadcast bounds), forced by a hint, as Spark would broadcast small ones."""
     s = _star(spark, sf_dir)
-    return build_fact(s.clean, s.dims, max_broadcast_rows=0)
+    return build_fact(s.clean, s.dims, max_broadcast_rows=0, join_hint="merge")
 
 
 def star_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -185,8 +194,7 @@ def parse_failures_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def defect_reconciliation_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = raw_transactions(spark, sf_dir)
-    return defect_reconciliation(raw, clean_transactions(raw))
+    return defect_reconciliation(raw_transactions(spark, sf_dir))
 
 
 def constraint_report_q(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -194,6 +202,62 @@ def constraint_report_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return constraint_report(s.fact, s.dims)
 
 
+# --- the dirty export ----------------------------------------------------------
+
+
+def clean_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean_transactions(raw_transactions_dirty(spark, sf_dir))
+
+
+def _dirty_star(spark: SparkSession, sf_dir: str) -> StarSchema:
+    return build_star(raw_transactions_dirty(spark, sf_dir))
+
+
+def fact_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fact rows that keep every NOT NULL rule."""
+    return split_rejects(_dirty_star(spark, sf_dir).fact)[0]
+
+
+def fact_rejects_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fact rows that break a NOT NULL rule, with the rules."""
+    return split_rejects(_dirty_star(spark, sf_dir).fact)[1]
+
+
+def constraint_report_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = _dirty_star(spark, sf_dir)
+    return constraint_report(s.fact, s.dims)
+
+
+def _dirty_raw(report: Callable[[DataFrame], DataFrame]) -> Query:
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return report(raw_transactions_dirty(spark, sf_dir))
+
+    return q
+
+
+def dedup_conflicts_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_conflicts(raw_transactions_dirty(spark, sf_dir), ["transaction_id"])
+
+
+def csv_malformed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An export in which the rows of every 97th order lack their last field."""
+    raw = raw_transactions(spark, sf_dir)
+    field = lambda c: F.concat(F.lit('"'), F.coalesce(F.col(c), F.lit("")), F.lit('"'))
+    broken = F.substring("listing_id", 4, 20).cast("long") % 97 == 0
+    lines = F.concat_ws(",", *[field(c) for c in raw.columns[:-1]], F.when(~broken, field(raw.columns[-1])))
+    path = shared_dir(spark, "csv_malformed")
+    raw.select(lines.alias("value")).write.text(path)
+    return malformed_rows(spark, path, header=False)
+
+
+def avg_price_one_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flagship for 1997 over a fact stored by year: one folder is read."""
+    s = _star(spark, sf_dir)
+    path = shared_dir(spark, "fact_by_year")
+    write_table(build_fact(s.clean, s.dims, with_year=True), path, partition_by=[YEAR_COLUMN])
+    return avg_price_by_region_type_quarter(read_table(spark, path), s.dims, year=1997)
+
+
 # --- streaming ---------------------------------------------------------------
 
 
@@ -263,6 +327,16 @@ QUERIES: dict[str, Query] = {
     "parse_failures": parse_failures_q,
     "defect_reconciliation": defect_reconciliation_q,
     "constraint_report": constraint_report_q,
+    "clean_dirty": clean_dirty,
+    "fact_dirty": fact_dirty,
+    "fact_rejects_dirty": fact_rejects_dirty,
+    "constraint_report_dirty": constraint_report_dirty,
+    "parse_failures_dirty": _dirty_raw(parse_failures),
+    "defect_profile_dirty": _dirty_raw(defect_profile),
+    "defect_reconciliation_dirty": _dirty_raw(defect_reconciliation),
+    "dedup_conflicts_dirty": dedup_conflicts_dirty,
+    "csv_malformed_rows": csv_malformed_rows,
+    "avg_price_one_year": avg_price_one_year,
     "stream_parse": stream_parse,
     "stream_to_lake": stream_to_lake,
     "stream_restart": stream_restart,

@@ -37,21 +37,6 @@ RAW_SCHEMA = StructType([StructField(c, StringType(), True) for c in RAW_COLUMNS
 SURFACE_TYPE = DecimalType(10, 1)
 PRICE_TYPE = DecimalType(12, 2)
 
-CLEAN_SCHEMA = StructType(
-    [
-        StructField("transaction_id", StringType(), True),
-        StructField("listing_id", StringType(), True),
-        StructField("property_type", StringType(), True),
-        StructField("region", StringType(), True),
-        StructField("city", StringType(), True),
-        StructField("surface_m2", SURFACE_TYPE, True),
-        StructField("price_mad", PRICE_TYPE, True),
-        StructField("registration_status", StringType(), True),
-        StructField("source_office", StringType(), True),
-        StructField("transaction_date", DateType(), True),
-    ]
-)
-
 # The stream event payload (eleven fields, two typed measures).
 EVENT_SCHEMA = StructType(
     [
@@ -70,19 +55,7 @@ EVENT_SCHEMA = StructType(
 )
 EVENT_COLUMNS = [f.name for f in EVENT_SCHEMA.fields]
 
-LANDED_EVENT_SCHEMA = StructType(EVENT_SCHEMA.fields + [StructField("ingested_at", TimestampType(), True)])
-
-DIM_DATE_SCHEMA = StructType(
-    [
-        StructField("date_id", IntegerType(), False),
-        StructField("full_date", DateType(), True),
-        StructField("year", IntegerType(), True),
-        StructField("quarter", IntegerType(), True),
-        StructField("month", IntegerType(), True),
-        StructField("day_of_week", IntegerType(), True),
-    ]
-)
-
+# The columns of the fact table, in order.
 FACT_COLUMNS = [
     "transaction_id",
     "listing_id",
@@ -95,6 +68,9 @@ FACT_COLUMNS = [
     "price_mad",
 ]
 
+# Fact columns that the warehouse declares NOT NULL.
+FACT_NOT_NULL = [c for c in FACT_COLUMNS if c != "surface_m2"]
+
 # Warehouse column limits that the database enforced on load
 # (VARCHAR lengths and SMALLINT range), re-checked by the constraint report.
 VARCHAR_LIMITS = {

@@ -2,19 +2,17 @@
 
 The library never builds a session for production callers: a job passes its
 own ``SparkSession`` (object-store, JDBC and Kafka settings belong to the
-caller's cluster config, not to code).  ``local_session`` exists for tests and
-the bench only.
+caller's cluster config, not to code).
 
 Intermediate tables (raw zone copies, checkpoints, stream sinks used by the
 registered queries) are written under the folder the cluster names in
 ``spark.checkpoint.dir`` -- a shared file system on a real cluster.  Only when
-that setting is absent (a bare local test session) do we pick a folder of our
-own and register it as the checkpoint dir.
+that setting is absent on a ``local`` master do we pick a folder of our own and
+register it; on any other master executors would not share it, so it is an error.
 """
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -38,12 +36,11 @@ def scale_conf(input_bytes: int, total_cores: int, partition_bytes: int = 256 <<
     * scans: splits of ``partition_bytes`` (row groups permitting);
     * shuffles: enough initial partitions that each holds about
       ``partition_bytes`` of the largest shuffle (the keyed dedup moves about
-      the whole clean table), capped so map-status tracking stays small; AQE
-      then coalesces small partitions to the advisory size and splits skewed
+      the whole clean table); AQE then coalesces small partitions to the advisory size and splits skewed
       ones in joins.
     """
     wanted = -(-input_bytes // partition_bytes)
-    shuffle_partitions = max(2 * total_cores, min(wanted, 100_000))
+    shuffle_partitions = max(2 * total_cores, wanted)
     return {
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),
         "spark.sql.shuffle.partitions": str(shuffle_partitions),
@@ -68,26 +65,6 @@ def object_store_conf(endpoint: str, path_style: bool = True, ssl: bool = True)
     }
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "txlake") -> SparkSession:
-    """A local session for tests and the bench (UI off, AQE on)."""
-    builder = (
-        SparkSession.builder.master(f"local[{cores}]")
-        .appName(app)
-        .config("spark.ui.enabled", "false")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.driver.memory", "16g")
-        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-    )
-    for k, v in RECOMMENDED_CONF.items():
-        builder = builder.config(k, v)
-    spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
-    for k, v in RECOMMENDED_CONF.items():
-        spark.conf.set(k, v)
-    ensure_checkpoint_dir(spark)
-    return spark
-
-
 def _context_checkpoint_dir(spark: SparkSession) -> str | None:
     try:
         sc_dir = spark.sparkContext._jsc.sc().getCheckpointDir()
@@ -112,10 +89,32 @@ def _configured_checkpoint_dir(spark: SparkSession) -> str | None:
         return None
 
 
+def _is_local(spark: SparkSession) -> bool:
+    """One machine: master ``local`` or ``local[...]`` (not ``local-cluster``)."""
+    try:
+        master = spark.sparkContext.master
+    except Exception:  # client session: the executors are elsewhere
+        return False
+    return master == "local" or master.startswith("local[")
+
+
+def size_session(spark: SparkSession, path: str) -> dict[str, str]:
+    """Apply ``scale_conf`` for the files under ``path`` to the session; settings
+    that need a number of cores take the default parallelism."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    conf = scale_conf(files.getContentSummary(hadoop).getLength(), spark.sparkContext.defaultParallelism)
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    return conf
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's checkpoint folder; set a local one only if unset."""
     d = _configured_checkpoint_dir(spark)
     if d is None:
+        if not _is_local(spark):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="txlake-ckpt-")
         try:
             spark.sparkContext.setCheckpointDir(d)
@@ -134,12 +133,3 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A fresh, unique folder under the shared checkpoint location."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return "/".join([root, "txlake", *parts, uuid.uuid4().hex])
-
-
-def local_path(uri: str) -> str:
-    """Strip a ``file:`` scheme for Python-side file access in tests."""
-    if uri.startswith("file:"):
-        uri = uri[5:]
-        while uri.startswith("//"):
-            uri = uri[1:]
-    return os.path.abspath(uri)

@@ -2,6 +2,7 @@
 stream sources, and the raw inputs derived from the driver tables."""
 
 from txlake.sources.files import (
+    malformed_rows,
     materialize,
     read_raw_csv,
     read_raw_zone,
@@ -10,7 +11,7 @@ from txlake.sources.files import (
     write_raw_zone,
     write_table,
 )
-from txlake.sources.fixtures import event_messages, event_payloads, raw_transactions, table
+from txlake.sources.fixtures import event_messages, event_payloads, raw_transactions, raw_transactions_dirty, table
 from txlake.sources.jdbc import read_jdbc, write_jdbc
 from txlake.sources.streams import kafka_stream, text_stream
 
@@ -18,8 +19,10 @@ __all__ = [
     "event_messages",
     "event_payloads",
     "kafka_stream",
+    "malformed_rows",
     "materialize",
     "raw_transactions",
+    "raw_transactions_dirty",
     "read_jdbc",
     "read_raw_csv",
     "read_raw_zone",

@@ -16,25 +16,49 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from txlake.schemas import RAW_SCHEMA
 from txlake.session import shared_dir
 
 
-def read_raw_csv(spark: SparkSession, path: str, schema=RAW_SCHEMA) -> DataFrame:
-    """Scan a raw export: header row, every column text, nothing inferred."""
-    return (
-        spark.read.option("header", True)
-        .option("mode", "PERMISSIVE")
-        .option("escape", '"')  # standard CSV: an embedded quote is doubled
-        .schema(schema)
-        .csv(path)
-    )
+def read_raw_csv(
+    spark: SparkSession,
+    path: str,
+    schema=RAW_SCHEMA,
+    header: bool = True,
+    corrupt_column: str | None = None,
+    multi_line: bool = False,
+) -> DataFrame:
+    """Scan a raw export: every column text, nothing inferred.
+
+    A header row must name the columns in the schema's order, else the scan
+    fails.  ``corrupt_column`` holds the text of rows with too few or too many
+    fields (null for good rows).  ``multi_line`` reads line breaks inside quoted
+    fields; such files cannot be split, so it is off by default."""
+    reader = spark.read.option("header", header).option("mode", "PERMISSIVE").option("multiLine", multi_line)
+    reader = reader.option("escape", '"')  # standard CSV: an embedded quote is doubled
+    reader = reader.option("enforceSchema", False)  # check the header against the schema
+    if corrupt_column:
+        schema = StructType([*schema.fields, StructField(corrupt_column, StringType(), True)])
+        reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
+    return reader.schema(schema).csv(path)
+
+
+def malformed_rows(spark: SparkSession, path: str, **options) -> DataFrame:
+    """(n_rows, n_malformed) of an export.  The export is scanned once, into a
+    table of the shared folder (Spark counts corrupt records of saved rows only)."""
+    rows = materialize(read_raw_csv(spark, path, corrupt_column="_malformed", **options), "csv_rows")
+    return rows.agg(F.count(F.lit(1)).alias("n_rows"), F.count("_malformed").alias("n_malformed"))
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Write a CSV export with a header (standard quoting of embedded commas)."""
-    df.write.mode(mode).option("header", True).option("escape", '"').csv(path)
+    """Write a CSV export with a header (standard quoting of embedded commas);
+    blanks at the ends of values are kept."""
+    writer = df.write.mode(mode).option("header", True).option("escape", '"')
+    writer = writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+    writer.csv(path)
 
 
 def write_raw_zone(raw: DataFrame, path: str) -> None:

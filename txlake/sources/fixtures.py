@@ -113,8 +113,10 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("o_orderkey")
     price = F.col("o_totalprice").cast("decimal(12,2)")
     tenths = _surface_tenths(k)
-    # every geo row is a customer row, so the customer count bounds the broadcast
-    rows = orders.join(checked_broadcast(geo, rows=customer.count()), orders.o_custkey == geo.c_custkey).select(
+    # every geo row is a customer row, so the customer count bounds the broadcast;
+    # a row is a key and two names of 25 characters at most
+    customers = customer.count()
+    rows = orders.join(checked_broadcast(geo, rows=customers, size=100 * customers), orders.o_custkey == geo.c_custkey).select(
         _padded("TX", k).alias("transaction_id"),
         _padded("LST", k).alias("listing_id"),
         _property_type(k).alias("property_type"),
@@ -164,3 +166,42 @@ def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as broker-style messages: one JSON document per row in ``value``."""
     payload = event_payloads(spark, sf_dir)
     return payload.select(F.to_json(F.struct(*payload.columns)).alias("value"))
+
+
+# Moduli and remainders of the dirty export's further defects.
+DIRTY = {
+    "bad_price": (17, 3),
+    "overflow_price": (19, 5),
+    "impossible_date": (23, 7),
+    "null_region": (29, 11),
+    "null_id": (37, 13),
+    "long_id": (41, 17),
+    "conflicting_copy": (43, 19),
+}
+
+
+def raw_transactions_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw export with values that no rule can repair, at fixed remainders of
+    the order key: prices that are no number or overflow, impossible dates, null
+    regions, null and over-long ids, and second copies that differ (no city,
+    another surface)."""
+    raw = raw_transactions(spark, sf_dir)
+    k = F.substring("listing_id", 4, 20).cast("long")
+    hit = {name: k % mod == rest for name, (mod, rest) in DIRTY.items()}
+    ids = F.when(hit["null_id"], F.lit(None)).when(
+        hit["long_id"], F.concat("transaction_id", F.lit("-"), F.repeat(F.lit("x"), F.lit(20)))
+    )
+    dirty = raw.select(
+        ids.when(~hit["null_id"], F.col("transaction_id")).alias("transaction_id"),
+        "listing_id",
+        "property_type",
+        F.when(~hit["null_region"], F.col("region")).alias("region"),
+        "city",
+        "surface_m2",
+        F.when(hit["bad_price"], "n/a").when(hit["overflow_price"], "12345678901.00").otherwise(F.col("price_mad")).alias("price_mad"),
+        "registration_status",
+        "source_office",
+        F.when(hit["impossible_date"], "2024-02-31").otherwise(F.col("transaction_date")).alias("transaction_date"),
+    )
+    copies = dirty.where(hit["conflicting_copy"]).withColumns({"city": F.lit(None).cast("string"), "surface_m2": F.lit("1.0")})
+    return dirty.unionByName(copies)

@@ -15,8 +15,11 @@ from pyspark.sql.streaming import StreamingQuery
 from txlake.streaming.events import parse_events, stamp_ingestion
 
 
-def landing_plan(messages: DataFrame, corrupt_column: str | None = None) -> DataFrame:
-    return stamp_ingestion(parse_events(messages, corrupt_column=corrupt_column))
+def landing_plan(
+    messages: DataFrame, corrupt_column: str | None = None, event_time_column: str | None = None
+) -> DataFrame:
+    events = parse_events(messages, corrupt_column=corrupt_column, event_time_column=event_time_column)
+    return stamp_ingestion(events)
 
 
 def start_stream_to_lake(
@@ -27,13 +30,17 @@ def start_stream_to_lake(
     available_now: bool = False,
     query_name: str | None = None,
     partition_by: list[str] | None = None,
+    corrupt_column: str | None = None,
+    event_time_column: str | None = None,
 ) -> StreamingQuery:
     """Start the landing query.  ``available_now`` processes what the source
     holds and stops (tests, backfills); otherwise a processing-time trigger.
     ``partition_by`` (e.g. ``["transaction_date"]``) lays the sink out in
-    folders that later scans can prune; by default the sink is flat."""
+    folders that later scans can prune; by default the sink is flat.
+    ``corrupt_column`` keeps the text of payloads that did not parse;
+    ``event_time_column`` adds the event time as a timestamp."""
     writer = (
-        landing_plan(messages)
+        landing_plan(messages, corrupt_column, event_time_column)
         .writeStream.format("parquet")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
@@ -50,11 +57,13 @@ def start_stream_to_lake(
     return writer.start()
 
 
-def run_available(messages: DataFrame, path: str, checkpoint: str, timeout_s: float = 600) -> None:
-    """Drain everything the source holds now, then stop."""
-    q = start_stream_to_lake(messages, path, checkpoint, available_now=True)
-    finished = q.awaitTermination(timeout_s)
-    if not finished:
+def run_available(messages: DataFrame, path: str, checkpoint: str, timeout_s: float | None = None, **options) -> None:
+    """Drain everything the source holds now, then stop.  There is no time limit
+    unless ``timeout_s`` sets one; ``options`` go to ``start_stream_to_lake``."""
+    q = start_stream_to_lake(messages, path, checkpoint, available_now=True, **options)
+    if timeout_s is None:
+        q.awaitTermination()
+    elif not q.awaitTermination(timeout_s):
         q.stop()
         raise TimeoutError(f"stream to {path} did not finish within {timeout_s}s")
     if q.exception() is not None:
@@ -67,13 +76,14 @@ def run_stream(
     checkpoint: str,
     processing_time: str = "10 seconds",
     timeout_s: float | None = None,
+    **options,
 ) -> StreamingQuery:
     """Run the landing query until it is stopped (or ``timeout_s`` passes).
 
     The first start reads from the source's starting position; every restart
     on the same checkpoint resumes after the last committed micro-batch.
     """
-    q = start_stream_to_lake(messages, path, checkpoint, processing_time=processing_time)
+    q = start_stream_to_lake(messages, path, checkpoint, processing_time=processing_time, **options)
     if timeout_s is None:
         q.awaitTermination()
     else:
