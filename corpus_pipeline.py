@@ -15,15 +15,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txlake.llm import bpe, decontaminate, near_dedup, quality, secrets
-from txlake.llm.common import table, written
+from txlake.llm.common import fresh, table, written
 from txlake.llm.queries import tokenizer_path
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose predicted quality is 1."""
     score = quality.score_udf(quality.fit(docs.select("doc_id", "text"), table(spark, sf_dir, "labels")))
-    scored = docs.withColumn("_quality", score(F.col("text").cast("string")))
-    return scored.where(quality.predicted(F.col("_quality")) == 1).drop("_quality")
+    name = fresh(docs, "_quality")
+    scored = docs.withColumn(name, score(F.col("text").cast("string")))
+    return scored.where(quality.predicted(F.col(name)) == 1).drop(name)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,7 +33,7 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     gone = written(groups.where("not kept").select(F.col("doc_id").alias("_id")).distinct(), "pipeline_near")
     kept = docs.join(gone, docs["doc_id"] == gone["_id"], "left_anti")
     again = written(
-        kept.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("_id")),
+        kept.select("doc_id").where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("_id")),
         "pipeline_again",
     )
     if not again.head(1):

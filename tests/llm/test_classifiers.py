@@ -88,6 +88,6 @@ def test_automaton_equals_edit_distance():
 
 
 def test_quotation_lowers_the_score():
-    model = toxicity.Model(["idiot"], {(0, 0, False): 0.98, (0, 0, True): 0.1}, np.array([-3.0, 1.5, 1.0, 0.2]))
+    model = toxicity.Model(["idiot"], {(0, 0, False): 0.98, (0, 0, True): 0.1}, np.array([-2.0, 1.5, 1.0, 0.2]))
     plain, quoted, misspelled, clean = model.scores(["you are an idiot here", 'she said "an idiot" here', "you are an id1ot here", "all is well"])
     assert plain > 0.5 > quoted and misspelled > 0.5 > clean

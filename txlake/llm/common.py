@@ -38,6 +38,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return materialize(df, f"llm_{name}")
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with underscores added until ``df`` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def text_bytes(docs: DataFrame, text_col: str = "text") -> int:
     """Bytes of all texts: one column-pruned pass that shuffles one row a task."""
     n = docs.agg(F.sum(F.octet_length(F.col(text_col)).cast("long")).alias("n")).first()["n"]

@@ -48,14 +48,21 @@ def padded(texts) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, dtype=np.uint8), halves
 
 
-def responses(table: np.ndarray, buf: np.ndarray) -> np.ndarray:
-    """(halves, positions, filters) responses of a block of whole halves."""
-    tail = np.concatenate((buf, np.zeros(WIDTH, dtype=np.uint8)))
-    n = len(buf)
+def responses(table: np.ndarray, buf: np.ndarray, halves: np.ndarray, first: int = 0, last: int | None = None) -> np.ndarray:
+    """(halves, positions, filters) responses of the bytes from ``first`` up to
+    ``last``, both at halves.  A filter that would reach into the next text
+    stands on padding alone and never responds."""
+    last = len(buf) if last is None else min(last, len(buf))
+    n = last - first
+    tail = buf[first : last + WIDTH]
+    tail = np.concatenate((tail, np.zeros(n + WIDTH - len(tail), dtype=np.uint8)))
     out = table[0][tail[0:n:STEP]]
     for k in range(1, WIDTH):
         out += table[k][tail[k : k + n : STEP]]
-    return out.reshape(-1, HALF // STEP, FILTERS)
+    out = out.reshape(-1, HALF // STEP, FILTERS)
+    ends = np.cumsum(halves) - 1 - first // HALF  # the last half of each text
+    out[ends[(ends >= 0) & (ends < len(out))], (HALF - WIDTH) // STEP + 1 :] = -np.inf
+    return out
 
 
 def chunk_rows(halves: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -81,7 +88,9 @@ class Network:
         buf, halves = padded(texts)
         if not len(halves):
             return np.empty(0)
-        top = np.concatenate([responses(self.p["table"], buf[i : i + BLOCK]).max(axis=1) for i in range(0, len(buf), BLOCK)])
+        top = np.concatenate(
+            [responses(self.p["table"], buf, halves, i, i + BLOCK).max(axis=1) for i in range(0, len(buf), BLOCK)]
+        )
         first, second, doc = chunk_rows(halves)
         pooled = np.maximum(np.maximum(top[first], top[second]) + self.p["bias"], 0)
         z = pooled @ self.p["out"] + self.p["base"]
@@ -93,7 +102,7 @@ class Network:
     def gradients(self, texts, y: np.ndarray) -> dict:
         p = self.p
         buf, halves = padded(texts)
-        r = responses(p["table"], buf)
+        r = responses(p["table"], buf, halves)
         at = r.argmax(axis=1)
         top = np.take_along_axis(r, at[:, None, :], axis=1)[:, 0]
         first, second, doc = chunk_rows(halves)

@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txlake.llm.common import written
+from txlake.llm.common import fresh, written
 
 #: Fixed values of the contract: kind, pattern, group of the value, least length
 #: of that group.
@@ -178,32 +178,41 @@ def mask_secrets(
     text = F.coalesce(F.col(text_col), F.lit(""))
     plain = docs.where(~text.rlike(ANY))
     suspect = docs.where(text.rlike(ANY))
+    key, twin, spans = (fresh(docs, name) for name in ("_live_id", "_live_twin", "_live_spans"))
     live = (
         scan_secrets(suspect, id_col, text_col, owner_col)
-        .select("doc_id", "twin", F.filter("spans", lambda s: s["kind"] == "live").alias("_live"))
-        .where(F.size("_live") > 0)
-        .select(F.col("doc_id").alias("_id"), F.col("twin").alias("_twin"), "_live")
+        .select("doc_id", "twin", F.filter("spans", lambda s: s["kind"] == "live").alias(spans))
+        .where(F.size(spans) > 0)
+        .select(F.col("doc_id").alias(key), F.col("twin").alias(twin), spans)
         .distinct()
     )
-    same = suspect[id_col].cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(text, F.col(owner_col).cast("string")) == F.col("_twin"))
+    same = suspect[id_col].cast("long").eqNullSafe(F.col(key)) & (
+        F.xxhash64(text, F.col(owner_col).cast("string")) == F.col(twin)
+    )
     cut = F.aggregate(
-        "_live",
+        spans,
         F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out")),
-        lambda acc, s: F.when(s["start"] < acc["at"], F.struct(F.greatest(acc["at"], s["stop"]).alias("at"), acc["out"].alias("out"))).otherwise(
+        lambda acc, s: F.when(
+            s["start"] < acc["at"], F.struct(F.greatest(acc["at"], s["stop"]).alias("at"), acc["out"].alias("out"))
+        ).otherwise(
             F.struct(
                 s["stop"].alias("at"),
-                F.concat(acc["out"], F.substr(text, (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int")), F.lit(mask)).alias("out"),
+                F.concat(
+                    acc["out"],
+                    F.substr(text, (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int")),
+                    F.lit(mask),
+                ).alias("out"),
             )
         ),
     )
     changed = F.concat(cut["out"], F.substr(text, (cut["at"] + 1).cast("int")))
     masked = suspect.join(live, same, "left").withColumn(
-        text_col, F.when(F.col("_live").isNull(), F.col(text_col)).otherwise(changed)
+        text_col, F.when(F.col(spans).isNull(), F.col(text_col)).otherwise(changed)
     )
     if count_col in docs.columns:
         kind = docs.schema[count_col].dataType
         masked = masked.withColumn(
-            count_col, F.when(F.col("_live").isNull(), F.col(count_col)).otherwise(F.length(F.col(text_col)).cast(kind))
+            count_col, F.when(F.col(spans).isNull(), F.col(count_col)).otherwise(F.length(F.col(text_col)).cast(kind))
         )
     return plain.unionByName(masked.select(*docs.columns))
 
