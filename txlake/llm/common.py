@@ -149,7 +149,7 @@ def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     return mix64(h + (ends - starts).astype(np.uint64))
 
 
-def doc_chunks(pdf: pd.DataFrame, text_col: str, chunk_bytes: int = 2 << 20):
+def doc_chunks(pdf: pd.DataFrame, text_col: str, chunk_bytes: int = 1 << 19):
     """Slices of ``pdf`` whose texts hold about ``chunk_bytes`` (one text at
     least), so that the arrays of a slice stay bounded but for one long text."""
     size, first = 0, 0

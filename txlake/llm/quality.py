@@ -170,7 +170,7 @@ def score_udf(net: Network | None):
         if net is None:
             return pd.Series(np.full(len(texts), 0.5))
         pdf = pd.DataFrame({"text": texts.to_numpy()})
-        parts = [net.scores(p["text"]) for p in doc_chunks(pdf, "text", 1 << 20)]
+        parts = [net.scores(p["text"]) for p in doc_chunks(pdf, "text")]
         return pd.Series(np.concatenate(parts) if parts else np.empty(0))
 
     return score
