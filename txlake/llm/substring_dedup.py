@@ -44,10 +44,10 @@ WIDTH = 100
 GRAM = 32
 BLOCK = 2 << 20
 #: Text bytes for each bucket of questions and for each shard.
-BUCKET_BYTES, SHARD_BYTES = 32 << 20, 3 << 20
+BUCKET_BYTES, SHARD_BYTES = 32 << 20, 2 << 20
 PIECE = 1 << 15
 #: Segments of one anchor in one shard.
-SEGMENTS = 2048
+SEGMENTS = 512
 
 BLOCKS = "block long, ids array<long>, ties array<long>, lens array<int>, body binary"
 
@@ -327,7 +327,7 @@ def remove_repeats(
     replacement characters in ``kept_text``; the digest is of the bytes."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     total = text_bytes(docs)
-    n_buckets, n_shards = buckets_for(total, BUCKET_BYTES), buckets_for(total, SHARD_BYTES, 24)
+    n_buckets, n_shards = buckets_for(total, BUCKET_BYTES), buckets_for(total, SHARD_BYTES, 128)
     blocks = written(docs.mapInPandas(_blocks, BLOCKS), "repeat_blocks")
     questions = blocks.mapInPandas(_ask(n_buckets, width), QUESTIONS)
     answers = written(questions.groupBy("bucket").applyInPandas(_answer, NOTES), "repeat_answers")
