@@ -39,9 +39,9 @@ from txlake.llm.bpe import _pack, _unpack
 from txlake.llm.common import buckets_for, doc_chunks, held_out_py, joined, mix64, span_hashes, text_bytes, word_spans
 
 FOLDS = 10
-BLOCK_CHARS = 8 << 20
+BLOCK_CHARS = 4 << 20
 #: Text bytes for each bucket of contexts and of words.
-BUCKET_BYTES = 32 << 20
+BUCKET_BYTES = 16 << 20
 #: Discount and strength of the context restaurants and of the word restaurant.
 DISCOUNT, STRENGTH = 0.8, 2.0
 DISCOUNT0, STRENGTH0 = 0.7, 10.0
