@@ -167,6 +167,25 @@ def test_embeddings_recall_at_the_threshold(spark, monkeypatch):
     assert sum(found.values()) >= 0.9 * sum(want.values())
 
 
+@pytest.mark.parametrize("n, inside", [(1500, 0.9), (6000, 0.9), (6000, 0.8), (24000, 0.9)])
+def test_embeddings_recall_inside_a_dense_group(spark, n, inside):
+    """A third of the vectors are one group whose cosines lie around ``inside``."""
+    rng = np.random.default_rng(n)
+    x = rng.normal(size=(n, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    m = n // 3
+    x[:m] = math.sqrt(inside) * x[-1] + math.sqrt(1 - inside) * x[:m]
+    x[m : m + 200] = 0.97 * x[:200] + 0.02 * x[m : m + 200]  # and close pairs in it
+    x = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
+    frame = vectors(spark, [(i, v, 0) for i, v in enumerate(x.tolist())])
+    found = np.array([r.n_links for r in embedding_dedup.near_vectors(frame).orderBy("vec_id").collect()])
+    v = x.astype(np.float64)
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    want = np.concatenate([(v[i : i + 2000] @ v.T >= 0.9).sum(axis=1) - 1 for i in range(0, n, 2000)])
+    assert (found <= want).all()
+    assert found.sum() >= 0.98 * want.sum()
+
+
 def test_registered_tables_match_brute_force(spark):
     frame = table(spark, SF, "documents")
     rows = [(r.doc_id, r.text) for r in frame.collect()]
