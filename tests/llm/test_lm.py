@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pytest
 from llm_cases import SF, docs, edge_rows
 
 from txlake.llm import lm
@@ -78,6 +79,25 @@ def test_gibbs_matches_the_posterior_of_tables():
     assert np.abs(seen - exact).max() < 0.015
 
 
+@pytest.mark.parametrize("c, a", [(50, 2), (50, 300), (1000, 2), (1000, 20), (2500, 20), (5000, 400), (5000, 2000), (5000, 20000)])
+def test_tables_of_frequent_pairs_match_the_posterior(c, a):
+    """The sampler as it runs, against a^t * S_d(c, t) by the plain recursion."""
+    d = lm.DISCOUNT
+    row = np.array([1.0])  # S_d(n, t) scaled, a^t included
+    for n in range(1, c):
+        t = np.arange(1, n + 1)
+        row = np.append(row * np.maximum(n - d * t, 0), 0) + np.append(0, a * row)
+        row /= row.max()
+    t = np.arange(1, c + 1)
+    mean = (row * t).sum() / row.sum()
+    sd = math.sqrt((row * t * t).sum() / row.sum() - mean * mean)
+    n = 2000
+    seen = lm.sample_tables(np.full(n, c), np.full(n, a), np.arange(n, dtype=np.uint64) * 7919, d)
+    assert seen.shape == (lm.SAMPLES, n)
+    assert abs(seen.mean() - mean) < 5 * sd / math.sqrt(seen.size) + 0.001 * mean
+    assert abs(seen.std() - sd) < 0.06 * sd + 0.01
+
+
 def test_split_contexts_give_the_same_scores(spark, monkeypatch):
     """A context in a third of the tokens is split over buckets."""
     rows = [(i, "the " + " the ".join(f"w{(i * j) % 17}" for j in range(30))) for i in range(40)]

@@ -4,11 +4,12 @@ The context restaurant of a word u seats the tokens that follow u; all context
 restaurants share one parent, the word restaurant, whose customers are their
 tables; its parent is uniform over the vocabulary and one unknown word.
 
-Seating is sampled by Gibbs: a customer is taken away and seated again, at a
-table in proportion to its size less the discount, or at a new one in proportion
-to (strength + discount * tables) * parent's probability.  Sweeps are vectorized
-over all (context, word) pairs of a task and seeded by the pair, so the result
-does not depend on how pairs are dealt out.  While a restaurant is swept, its
+Seating is sampled by blocked Gibbs: the number of tables of a pair is drawn at
+once, whatever its count, from its law given the weight of a new table, a =
+(strength + discount * tables) * parent's probability: a^t times the generalized
+Stirling number of (count, t).  Draws are vectorized over all (context, word)
+pairs of a task and seeded by the pair, so the result does not depend on how
+pairs are dealt out.  While a restaurant is drawn, its
 parent's probabilities and its number of tables are those of the round before
 (the usual approximation of distributed sampling): in the first round every
 pair has one table; its seating gives the word restaurant's customers of the
@@ -30,6 +31,9 @@ table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import math
+from functools import lru_cache
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -46,8 +50,9 @@ BUCKET_BYTES = 16 << 20
 DISCOUNT, STRENGTH = 0.8, 2.0
 DISCOUNT0, STRENGTH0 = 0.7, 10.0
 BURN, SAMPLES = 2, 2
-#: Customers of a pair that one sweep seats again, drawn at random.
-MOVES = 12
+#: Customers up to which a pair's law of tables is tabulated; larger counts are
+#: brought down to it.
+EXACT = 2048
 HASH = np.uint64((1 << 56) - 1)
 START, END = np.uint64(0x5354415254), np.uint64(0x454E44)
 
@@ -59,68 +64,86 @@ def _uniform(seed: np.ndarray, k: int) -> np.ndarray:
     return (mix64(seed + np.uint64((k * 0x9E3779B97F4A7C15) & (2**64 - 1))) >> np.uint64(11)) / float(1 << 53)
 
 
+@lru_cache(maxsize=4)
+def _table_laws(d: float) -> list[np.ndarray]:
+    """For n customers, the logarithm of q(n, t) / (t - 1)! for t = 1..n, where
+    a^t S_d(n, t) is in proportion to (a / d)^(t - 1) / (t - 1)! * q(n, t) and
+    q(n + 1, t) (n - d) = d (t - 1) q(n, t - 1) + (n - d t) q(n, t)."""
+    q, out = np.zeros(1), [np.empty(0), np.zeros(1)]
+    log_factorial = np.concatenate(([0.0], np.cumsum(np.log(np.arange(1, EXACT)))))
+    with np.errstate(divide="ignore"):
+        for n in range(1, EXACT):
+            t = np.arange(1, n + 2)
+            q = np.logaddexp(
+                np.append(-np.inf, q) + np.log(d * (t - 1)), np.append(q, -np.inf) + np.log(np.maximum(n - d * t, 1e-300))
+            ) - np.log(n - d)
+            out.append(q - log_factorial[: n + 1])
+    return out
+
+
+def _draw(c: int, a: np.ndarray, u: np.ndarray, d: float) -> np.ndarray:
+    """(samples, n) numbers of tables of n dishes with ``c`` customers each."""
+    law = _table_laws(d)[c]
+    out = np.empty(u.shape, dtype=np.int64)
+    step = max(1, (1 << 18) // c)
+    for i in range(0, len(a), step):
+        w = np.log(np.maximum(a[i : i + step], 1e-300) / d)[:, None] * np.arange(c) + law
+        w = np.cumsum(np.exp(w - w.max(axis=1, keepdims=True)), axis=1)
+        for k in range(len(u)):
+            out[k, i : i + step] = 1 + (w[:, :-1] <= (u[k, i : i + step] * w[:, -1])[:, None]).sum(axis=1)
+    return out
+
+
+def _draw_large(c: np.ndarray, a: np.ndarray, seed: np.ndarray, u: np.ndarray, d: float) -> np.ndarray:
+    """The same for more than ``EXACT`` customers.  Seen backwards from c to EXACT
+    customers, each table but one is left with the same probability pi, so t is a
+    draw for EXACT customers and weight a * pi plus a Poisson number.  Where new
+    tables are so likely that most steps add one (a > c / 10), t counts hundreds
+    and is drawn from the normal limit of the law."""
+    gamma = np.frompyfunc(math.lgamma, 1, 1)
+    ln = lambda x: gamma(x).astype(np.float64)
+    pi = np.exp(ln(c - 2 * d) - ln(c - d) + math.lgamma(EXACT - d) - math.lgamma(EXACT - 2 * d))
+    few = a <= c / 10
+    out = np.empty(u.shape, dtype=np.int64)
+    out[:, few] = _draw(EXACT, (a * pi)[few], u[:, few], d)
+    # a * x * (1 - x)^(d - 1) = c, where tables come as Poisson and sizes tilted by x
+    low, high = np.zeros(len(c)), np.ones(len(c))
+    for _ in range(60):
+        x = (low + high) / 2
+        more = a * x < c * (1 - x) ** (1 - d)
+        low, high = np.where(more, x, low), np.where(more, high, x)
+    mean = a / d * (1 - (1 - high) ** d)
+    sd = np.sqrt(np.maximum(mean - c * (1 - high) / (1 - d * high), 0))
+    for i in range(len(c)):
+        rng = np.random.default_rng(int(seed[i]))
+        if few[i]:
+            out[:, i] += rng.poisson(a[i] * (1 - pi[i]) / d, len(u))
+        else:
+            out[:, i] = np.rint(mean[i] + sd[i] * rng.standard_normal(len(u)))
+    return np.clip(out, 1, c)
+
+
 def sample_tables(c, a, seed, d: float, burn: int = BURN, samples: int = SAMPLES) -> np.ndarray:
     """(samples, n) numbers of tables of n dishes with ``c`` customers each.
 
     ``a``: weight of a new table, (strength + d * tables) * parent probability;
     a table of s customers has weight s - d.  A dish's customers sit at tables of
-    its own, so dishes are independent given ``a``."""
+    its own, so dishes are independent given ``a``, and draws are independent of
+    each other; ``burn`` of them are passed over."""
     c = np.asarray(c, dtype=np.int64)
     out = np.repeat((c > 0).astype(np.int64)[None, :], samples, axis=0)
     many = np.flatnonzero(c > 1)
     if not len(many):
         return out
-    many = many[np.argsort(-c[many], kind="stable")]
+    many = many[np.argsort(c[many], kind="stable")]
     c, a, seed = c[many], np.asarray(a, dtype=np.float64)[many], np.asarray(seed, dtype=np.uint64)[many]
-    off = np.cumsum(c) - c
-    # first seating: expected new tables of ever doubling runs of customers
-    t = np.ones(len(c), dtype=np.int64)
-    i, k = 1, 1
-    while i < c[0]:
-        m = int(np.searchsorted(-c, -i, side="left"))
-        more = np.minimum(i, c[:m] - i) * (a[:m] / (a[:m] + i - d * t[:m]))
-        t[:m] = np.minimum(t[:m] + np.floor(more + _uniform(seed[:m], k)).astype(np.int64), np.minimum(2 * i, c[:m]))
-        i, k = 2 * i, k + 1
-    slot = np.arange(int(c.sum())) - np.repeat(off, c)
-    of, tables = np.repeat(seed, c), np.repeat(t, c)
-    u = _uniform(mix64(of + slot.astype(np.uint64)), 1)
-    seat = np.where(slot < tables, slot, (tables * u * u).astype(np.int64))
-    size = np.bincount(np.repeat(off, c) + seat, minlength=len(seat))
-    # free table numbers, a stack for each dish
-    free = np.where(slot + tables < np.repeat(c, c), slot + tables, 0)
-    n_free = c - t
-    for sweep in range(burn + samples):
-        for move in range(min(int(c[0]), MOVES)):
-            m = int(np.searchsorted(-c, -move, side="left"))  # dishes with more than ``move`` customers
-            cm, om, am, sm, tm = c[:m], off[:m], a[:m], seed[:m], t[:m]
-            k += 3
-            who = (cm * _uniform(sm, k)).astype(np.int64)
-            left = om + seat[om + who]
-            size[left] -= 1
-            gone = np.flatnonzero(size[left] == 0)
-            free[om[gone] + n_free[gone]] = left[gone] - om[gone]
-            n_free[gone] += 1
-            tm[gone] -= 1
-            new = _uniform(sm, k + 1) * (am + cm - 1 - d * tm) < am
-            n = np.flatnonzero(new)
-            n_free[n] -= 1
-            seat[om[n] + who[n]] = free[om[n] + n_free[n]]
-            tm[n] += 1
-            # a table in proportion to size - d: that of another customer, kept
-            # with probability (size - d) / size, else drawn again
-            todo, tries = np.flatnonzero(~new), 0
-            while len(todo):
-                s2 = mix64(sm[todo] + np.uint64(k * 64 + tries))
-                other = ((cm[todo] - 1) * _uniform(s2, k)).astype(np.int64)
-                other += other >= who[todo]
-                table = seat[om[todo] + other]
-                n_at = size[om[todo] + table]
-                kept = (_uniform(s2, k + 2) * n_at < n_at - d) | (tries == 20)
-                seat[om[todo[kept]] + who[todo[kept]]] = table[kept]
-                todo, tries = todo[~kept], tries + 1
-            size[om + seat[om + who]] += 1
-        if sweep >= burn:
-            out[sweep - burn, many] = t
+    u = np.stack([_uniform(mix64(seed), burn + k + 1) for k in range(samples)])
+    ends = [*np.flatnonzero(np.diff(c, prepend=0)), len(c)]
+    for i, j in zip(ends[:-1], ends[1:], strict=True):
+        if c[i] > EXACT:
+            out[:, many[i:]] = _draw_large(c[i:], a[i:], seed[i:], u[:, i:], d)
+            break
+        out[:, many[i:j]] = _draw(int(c[i]), a[i:j], u[:, i:j], d)
     return out
 
 
