@@ -107,3 +107,13 @@ def test_split_contexts_give_the_same_scores(spark, monkeypatch):
     split = lm.language_model_scores(docs(spark, rows)).collect()
     assert all(abs(whole[r.doc_id] - r.base_score) < 1e-9 for r in split)
     assert all(r.score > r.base_score for r in split)
+
+
+def test_scores_do_not_depend_on_splitting(spark, monkeypatch):
+    """Seating and probabilities, not the base score alone."""
+    rng = np.random.default_rng(5)
+    rows = [(i, " ".join(f"the w{x}" if x % 3 else f"w{x}" for x in rng.zipf(1.4, 60) % 90)) for i in range(60)]
+    split = {r.doc_id: r.score for r in lm.language_model_scores(docs(spark, rows)).collect()}
+    monkeypatch.setattr(lm, "hot_contexts", lambda *_: np.empty(0, dtype=np.uint64))
+    whole = {r.doc_id: r.score for r in lm.language_model_scores(docs(spark, rows)).collect()}
+    assert all(abs(whole[i] - split[i]) < 1e-6 for i in whole)

@@ -13,15 +13,18 @@ pairs are dealt out.  While a restaurant is drawn, its
 parent's probabilities and its number of tables are those of the round before
 (the usual approximation of distributed sampling): in the first round every
 pair has one table; its seating gives the word restaurant's customers of the
-second round, whose samples' predictive probabilities are averaged.
+second round, whose samples' predictive probabilities are averaged.  A context's
+probabilities are those of its own new seating, tables and total alike.
 
 Spark's part: blocks of texts send their tokens, packed, to buckets by context;
 buckets and the word table exchange sums of customers and tables, so what is
 gathered grows with the corpus.  Contexts that hold more than a quarter of a
 bucket's share of tokens (found by exact counts of each block's commonest words)
 are split over all buckets by the pair, and their totals go through the word
-table.  The packed tokens are shuffled once and that exchange is used three
-times in one plan.
+table: those of a round before the next one, those of the last seating before the
+probabilities.  Totals of the other contexts come back to their bucket with the
+word table's replies.  So splitting changes no score.  The packed tokens are
+shuffled once and that exchange is used by every round in one plan.
 
 Defined cases: a null or empty text is one end token; null ids are scored, as
 training rows or held out by the hash of an empty text; repeated rows are rows
@@ -52,7 +55,7 @@ DISCOUNT0, STRENGTH0 = 0.7, 10.0
 BURN, SAMPLES = 2, 2
 #: Customers up to which a pair's law of tables is tabulated; larger counts are
 #: brought down to it.
-EXACT = 2048
+EXACT = 1024
 HASH = np.uint64((1 << 56) - 1)
 START, END = np.uint64(0x5354415254), np.uint64(0x454E44)
 
@@ -266,19 +269,21 @@ class Bucket:
         return total[self.u]
 
 
-SUMS = "part int, bucket int, names binary, tables binary, customers binary"
-REPLY = "bucket int, part int, customers binary, tables binary, parents binary, totals array<double>"
+SUMS = "part int, bucket int, names binary, tables binary, customers binary, own binary"
+REPLY = "bucket int, part int, customers binary, tables binary, parents binary, totals array<double>, own binary, last binary"
 
 
 def _sum_rows(bucket: int, b: Bucket, tables: np.ndarray, n_parts: int) -> pd.DataFrame:
     t, c = b.sums(tables), b.sums(b.c)
     part = mix64(b.names >> np.uint64(1)) % np.uint64(n_parts)
+    # the totals of the bucket's contexts, brought back as they are by one part
+    own = _pack(np.bincount(b.u, weights=tables, minlength=len(b.words)).astype(np.uint64))
     rows = []
     for p in range(n_parts):  # an empty row, too, brings that part's totals back
         mine = np.flatnonzero(part == p)
         mine = mine[np.argsort(b.names[mine])]
-        rows.append((p, bucket, _pack(np.diff(b.names[mine], prepend=np.uint64(0))), _pack(t[mine].round().astype(np.uint64)), _pack(c[mine].round().astype(np.uint64))))
-    return pd.DataFrame(rows, columns=["part", "bucket", "names", "tables", "customers"])
+        rows.append((p, bucket, _pack(np.diff(b.names[mine], prepend=np.uint64(0))), _pack(t[mine].round().astype(np.uint64)), _pack(c[mine].round().astype(np.uint64)), own if p == bucket % n_parts else None))
+    return pd.DataFrame(rows, columns=["part", "bucket", "names", "tables", "customers", "own"])
 
 
 def _first_sums(hot: np.ndarray, n_parts: int):
@@ -310,7 +315,8 @@ def _word_table(n_parts: int):
         for bucket, i, j in zip(pdf["bucket"], ends[:-1], ends[1:], strict=True):
             x = of[i:j]
             rows.append((bucket, pdf["part"].iloc[0], _pack(customers[x].astype(np.uint64)), _pack(tables[x].astype(np.uint64)), _pack(parents[:, x].astype(np.uint64).ravel()), totals))
-        return pd.DataFrame(rows, columns=["bucket", "part", "customers", "tables", "parents", "totals"])
+        out = pd.DataFrame(rows, columns=["bucket", "part", "customers", "tables", "parents", "totals"])
+        return out.assign(own=pdf["own"].to_numpy(), last=None)
 
     return run
 
@@ -323,7 +329,15 @@ class Parent:
         customers, tables, seated = np.zeros(n), np.zeros(n), np.zeros((SAMPLES, n))
         totals = np.zeros(3 + SAMPLES)
         part = mix64(b.names >> np.uint64(1)) % np.uint64(n_parts)
+        own, self.last = np.zeros(len(b.words)), np.zeros((SAMPLES, len(b.hots)))
         for r in replies.itertuples(index=False):
+            if r.last is not None:
+                u, t = _unpack(r.last, np.uint64).reshape(2, SAMPLES, -1)
+                at = np.searchsorted(u[0], b.words[b.hots])
+                self.last = t[:, at].astype(float)
+                continue
+            if r.own is not None:
+                own = _unpack(r.own, np.uint64).astype(float)
             mine = np.flatnonzero(part == r.part)
             mine = mine[np.argsort(b.names[mine])]
             customers[mine] = _unpack(r.customers, np.uint64)
@@ -332,6 +346,10 @@ class Parent:
             totals += np.asarray(r.totals)
         self.vocabulary, self.tokens = totals[0], totals[1]
         self.hot_customers, self.hot_tables = customers[d:], tables[d:]
+        #: tables of each pair's context after the round before
+        self.tables = own
+        self.tables[b.hots] = self.hot_tables
+        self.tables = self.tables[b.u]
         self.counts = np.zeros(len(b.words))  # training tokens of each word
         self.counts[b.dishes] = customers[:d]
         below = (STRENGTH0 + DISCOUNT0 * totals[3:]) / (STRENGTH0 + totals[2]) / (self.vocabulary + 1)
@@ -341,9 +359,9 @@ class Parent:
         self.p[:, b.dishes] = own + below[:, None]
 
 
-def _sampled(b: Bucket, parent: Parent, tables: np.ndarray, hot_tables: np.ndarray | None) -> np.ndarray:
-    """(samples, pairs) numbers of tables; ``tables``: those of the round before."""
-    a = (STRENGTH + DISCOUNT * b.contexts(tables, hot_tables)) * parent.p.mean(axis=0)[b.w]
+def _sampled(b: Bucket, parent: Parent) -> np.ndarray:
+    """(samples, pairs) numbers of tables, given those of the round before."""
+    a = (STRENGTH + DISCOUNT * parent.tables) * parent.p.mean(axis=0)[b.w]
     return sample_tables(b.c, a, b.seed, DISCOUNT)
 
 
@@ -351,26 +369,47 @@ def _second_sums(hot: np.ndarray, n_parts: int):
     def run(tokens: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
         b = Bucket(tokens, hot)
         parent = Parent(b, replies, n_parts)
-        seated = _sampled(b, parent, (b.c > 0).astype(np.int64), parent.hot_tables)
-        return _sum_rows(int(tokens["bucket"].iloc[0]), b, seated[-1], n_parts)
+        return _sum_rows(int(tokens["bucket"].iloc[0]), b, _sampled(b, parent)[-1], n_parts)
 
     return run
 
 
+LAST = "u long, tables array<long>"
+
+
+def _last_sums(hot: np.ndarray, n_parts: int):
+    """Tables of the split contexts after the last seating, by sample."""
+
+    def run(tokens: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
+        b = Bucket(tokens, hot)
+        seated = _sampled(b, Parent(b, replies, n_parts))
+        t = np.stack([np.bincount(b.u, weights=x, minlength=len(b.words))[b.hots] for x in seated], axis=1)
+        return pd.DataFrame({"u": b.words[b.hots].astype(np.int64), "tables": list(t.astype(np.int64))})
+
+    return run
+
+
+def _last_reply(pdf: pd.DataFrame) -> pd.DataFrame:
+    pdf = pdf.sort_values("u")
+    t = np.stack(pdf["tables"].tolist(), axis=1).astype(np.uint64)
+    u = np.broadcast_to(pdf["u"].to_numpy().astype(np.uint64), t.shape)
+    return pd.DataFrame({"last": [_pack(np.concatenate((u, t)).ravel())]})
+
+
 SCORES = "block long, ids array<long>, held binary, n binary, known binary, base binary, score binary, train long"
 
 
 def _scores(hot: np.ndarray, n_parts: int):
     def run(tokens: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
+        if not len(tokens):
+            return pd.DataFrame(columns=["block", "ids", "held", "n", "known", "base", "score", "train"])
         b = Bucket(tokens, hot)
         parent = Parent(b, replies, n_parts)
-        before = (b.c > 0).astype(np.int64)
-        seated = _sampled(b, parent, before, parent.hot_tables)
+        seated = _sampled(b, parent)
         c_u = b.contexts(b.c, parent.hot_customers)
         p = np.zeros(len(b.c))
         for s in range(SAMPLES):
-            # the totals of a split context are those of the round before
-            t_u = b.contexts(seated[s], parent.hot_tables)
+            t_u = b.contexts(seated[s], parent.last[s])
             own = np.maximum(b.c - DISCOUNT * seated[s], 0)
             p += (own + (STRENGTH + DISCOUNT * t_u) * parent.p[s][b.w]) / (STRENGTH + c_u)
         logp = np.log10(np.maximum(p / SAMPLES, 1e-300))
@@ -419,6 +458,14 @@ def language_model_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str
     table = lambda sums: sums.groupBy("part").applyInPandas(_word_table(n_parts), REPLY)
     replies = table(by_bucket(tokens).applyInPandas(_first_sums(hot, n_parts), SUMS))
     replies = table(by_bucket(tokens).cogroup(by_bucket(replies)).applyInPandas(_second_sums(hot, n_parts), SUMS))
+    if len(hot):
+        last = by_bucket(tokens).cogroup(by_bucket(replies)).applyInPandas(_last_sums(hot, n_parts), LAST)
+        sums = [F.sum(F.col("tables")[s]).alias(f"t{s}") for s in range(SAMPLES)]
+        last = last.groupBy("u").agg(*sums).select("u", F.array(*[f"t{s}" for s in range(SAMPLES)]).alias("tables"))
+        # at most four split contexts for each bucket; all totals go to every bucket
+        last = last.groupBy(F.lit(0).alias("all")).applyInPandas(_last_reply, "last binary")
+        last = last.select(F.explode(F.sequence(F.lit(0), F.lit(n_buckets - 1))).alias("bucket"), F.lit(-1).alias("part"), "last")
+        replies = replies.unionByName(last, allowMissingColumns=True)
     scores = by_bucket(tokens).cogroup(by_bucket(replies)).applyInPandas(_scores(hot, n_parts), SCORES)
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     return scores.groupBy("block").applyInPandas(_add_up, schema)
