@@ -4,7 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from txlake.llm import bpe, decontaminate, embedding_dedup, lm, near_dedup, quality, secrets, sharding, substring_dedup, toxicity
+from txlake.llm import (
+    bpe,
+    decontaminate,
+    embedding_dedup,
+    fingerprints,
+    lm,
+    near_dedup,
+    quality,
+    secrets,
+    sharding,
+    substring_dedup,
+    toxicity,
+)
 from txlake.llm.common import table
 
 
@@ -55,6 +67,10 @@ def op10_pivot_permutations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op11_bottom_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_pitman_yor": op1_pitman_yor,
     "op2_byte_cnn": op2_byte_cnn,
@@ -66,6 +82,7 @@ QUERIES = {
     "op8_secret_scan": op8_secret_scan,
     "op9_fuzzy_lexicon": op9_fuzzy_lexicon,
     "op10_pivot_permutations": op10_pivot_permutations,
+    "op11_bottom_k": op11_bottom_k,
 }
 
 
@@ -75,4 +92,5 @@ def oracle_sql() -> dict[str, str]:
         "op7_containment_search": decontaminate.ORACLE,
         "op8_secret_scan": secrets.oracle(),
         "op10_pivot_permutations": embedding_dedup.ORACLE,
+        "op11_bottom_k": fingerprints.oracle(),
     }
