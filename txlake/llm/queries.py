@@ -16,6 +16,7 @@ from txlake.llm import (
     sharding,
     substring_dedup,
     toxicity,
+    whitening,
 )
 from txlake.llm.common import table
 
@@ -71,6 +72,10 @@ def op11_bottom_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op12_golub_kahan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_pitman_yor": op1_pitman_yor,
     "op2_byte_cnn": op2_byte_cnn,
@@ -83,6 +88,7 @@ QUERIES = {
     "op9_fuzzy_lexicon": op9_fuzzy_lexicon,
     "op10_pivot_permutations": op10_pivot_permutations,
     "op11_bottom_k": op11_bottom_k,
+    "op12_golub_kahan": op12_golub_kahan,
 }
 
 
