@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from txlake.llm import (
+    alignment,
     bpe,
     decontaminate,
     embedding_dedup,
@@ -76,6 +77,16 @@ def op12_golub_kahan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitened(table(spark, sf_dir, "embeddings"))
 
 
+def piece_model_path() -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op13_arrow_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.aligned(table(spark, sf_dir, "documents"), tokenizer_path(), piece_model_path())
+
+
 QUERIES = {
     "op1_pitman_yor": op1_pitman_yor,
     "op2_byte_cnn": op2_byte_cnn,
@@ -89,6 +100,7 @@ QUERIES = {
     "op10_pivot_permutations": op10_pivot_permutations,
     "op11_bottom_k": op11_bottom_k,
     "op12_golub_kahan": op12_golub_kahan,
+    "op13_arrow_alignment": op13_arrow_alignment,
 }
 
 
