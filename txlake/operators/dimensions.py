@@ -22,6 +22,7 @@ No path gathers an unbounded dimension into one task.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
@@ -155,13 +156,41 @@ def dimension_members(clean: DataFrame) -> DataFrame:
     )
 
 
-def build_dimensions(clean: DataFrame, week_start: str = "monday", persist: bool = True) -> Dimensions:
-    """The four dimensions, keyed, with their member counts.
+#: Natural key column that a member must have, and the names of a dimension's columns.
+_NOT_NULL = {
+    "date": "transaction_date",
+    "property_type": "property_type",
+    "location": "region",
+    "registration_status": "registration_status",
+}
+_RENAMES = {"transaction_date": "full_date", "property_type": "property_type_name", "registration_status": "status_name"}
+KEYS = {
+    "date": "date_id",
+    "property_type": "property_type_id",
+    "location": "location_id",
+    "registration_status": "registration_status_id",
+}
+NATURAL = {
+    "date": ["full_date"],
+    "property_type": ["property_type_name"],
+    "location": ["region", "city"],
+    "registration_status": ["status_name"],
+}
 
-    With ``persist`` the member table (the sum of the four dimension sizes) is
-    written once to the shared folder, so counting and keying read a small
-    file instead of re-aggregating the clean table.
-    """
+
+def _names(name: str) -> list[tuple[str, str]]:
+    return [(c, c if name == "location" else _RENAMES[c]) for c in _GROUPING_SETS[name]]
+
+
+def date_columns(dim_date: DataFrame, week_start: str = "monday") -> DataFrame:
+    """A date dimension of key and date, with its date parts."""
+    parts = date_parts(F.col("full_date"), week_start)
+    return dim_date.select("date_id", "full_date", *[v.alias(k) for k, v in parts.items()])
+
+
+def counted_members(clean: DataFrame, persist: bool = True) -> tuple[DataFrame, dict[str, tuple[int, int]]]:
+    """The members of all dimensions and (rows, bytes) of each.  With ``persist`` they
+    are written once to the shared folder and counted by that write."""
     from txlake.sources.files import materialize
 
     members = dimension_members(clean)
@@ -178,29 +207,48 @@ def build_dimensions(clean: DataFrame, week_start: str = "monday", persist: bool
         counts = dict(obs.get)  # filled by the write, no extra scan
     else:
         counts = members.agg(*per_dim).first().asDict()
+    # counts include a possible null member; that only over-states the bound.
+    return members, {name: (counts.get(str(gid)) or 0, counts.get(f"b{gid}") or 0) for name, gid in gids.items()}
 
-    def part(name: str, not_null: str, renames: dict[str, str]) -> tuple[DataFrame, int, int]:
-        gid = _grouping_id(_GROUPING_SETS[name])
-        cols = [F.col(c).alias(renames.get(c, c)) for c in _GROUPING_SETS[name]]
-        df = members.where((F.col("_gid") == gid) & F.col(not_null).isNotNull()).select(*cols)
-        return df, counts.get(str(gid)) or 0, counts.get(f"b{gid}") or 0
 
-    d_date, n_date, b_date = part("date", "transaction_date", {"transaction_date": "full_date"})
-    d_type, n_type, b_type = part("property_type", "property_type", {"property_type": "property_type_name"})
-    d_loc, n_loc, b_loc = part("location", "region", {})
-    d_status, n_status, b_status = part("registration_status", "registration_status", {"registration_status": "status_name"})
+def members_of(members: DataFrame, name: str) -> DataFrame:
+    """The natural keys of one dimension, under the dimension's column names."""
+    cols = [F.col(c).alias(to) for c, to in _names(name)]
+    own = (F.col("_gid") == _grouping_id(_GROUPING_SETS[name])) & F.col(_NOT_NULL[name]).isNotNull()
+    return members.where(own).select(*cols)
 
-    # counts include a possible null member; that only over-states the bound.
-    date = Dimension(with_surrogate_key(d_date, "date_id", ["full_date"], rows=n_date), n_date, b_date)
-    parts = date_parts(F.col("full_date"), week_start)
-    date.df = date.df.select("date_id", "full_date", *[v.alias(k) for k, v in parts.items()])
-    return Dimensions(
-        date=date,
-        property_type=Dimension(
-            with_surrogate_key(d_type, "property_type_id", ["property_type_name"], rows=n_type), n_type, b_type
-        ),
-        location=Dimension(with_surrogate_key(d_loc, "location_id", ["region", "city"], rows=n_loc), n_loc, b_loc),
-        registration_status=Dimension(
-            with_surrogate_key(d_status, "registration_status_id", ["status_name"], rows=n_status), n_status, b_status
-        ),
-    )
+
+def build_dimensions(
+    clean: DataFrame, week_start: str = "monday", persist: bool = True, store: bool = False
+) -> Dimensions:
+    """The four dimensions, keyed, with their member counts.
+
+    With ``persist`` the member table (the sum of the four dimension sizes) is
+    written once to the shared folder, so counting and keying read a small
+    file instead of re-aggregating the clean table.  With ``store`` the keyed
+    dimensions are written too, so no consumer numbers them again: while each is
+    within ``SINGLE_TASK_ROWS``, by one window over all members and one write.
+    """
+    from txlake.session import shared_dir
+    from txlake.sources.files import write_table
+
+    members, sizes = counted_members(clean, persist)
+    keyed: dict[str, DataFrame] = {}
+    if store and all(rows <= SINGLE_TASK_ROWS for rows, _ in sizes.values()):
+        valid = [(F.col("_gid") == _grouping_id(_GROUPING_SETS[n])) & F.col(_NOT_NULL[n]).isNotNull() for n in KEYS]
+        place = F.row_number().over(Window.partitionBy("_gid").orderBy(*_ordering(_SOURCE_COLUMNS)))
+        path = shared_dir(clean.sparkSession, "dimensions")
+        numbered = members.where(reduce(lambda a, b: a | b, valid)).withColumn("_key", place)
+        write_table(numbered, path, partition_by=["_gid"])
+        # no member, no file: the declared schema stands for an empty folder
+        stored = clean.sparkSession.read.schema(numbered.schema).parquet(path)
+        for name, key in KEYS.items():
+            keyed[name] = stored.where(F.col("_gid") == _grouping_id(_GROUPING_SETS[name])).select(
+                F.col("_key").alias(key), *[F.col(c).alias(to) for c, to in _names(name)]
+            )
+    else:
+        for name, key in KEYS.items():
+            keyed[name] = with_surrogate_key(members_of(members, name), key, NATURAL[name], rows=sizes[name][0])
+    keyed["date"] = date_columns(keyed["date"], week_start)
+    dims = Dimensions(**{name: Dimension(df, *sizes[name]) for name, df in keyed.items()})
+    return dims.stored() if store and any(rows > SINGLE_TASK_ROWS for rows, _ in sizes.values()) else dims

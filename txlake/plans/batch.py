@@ -67,7 +67,7 @@ def build_star(raw: DataFrame, keep: str = "min", week_start: str = "monday", pe
     clean = clean_transactions(raw, keep=keep)
     if persist_clean:
         clean = materialize(clean, "clean")
-    dims = build_dimensions(clean, week_start=week_start).stored()
+    dims = build_dimensions(clean, week_start=week_start, store=True)
     return StarSchema(raw=raw, clean=clean, dims=dims, fact=build_fact(clean, dims))
 
 
