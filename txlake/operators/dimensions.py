@@ -115,14 +115,17 @@ class Dimensions:
             registration_status=self.registration_status.stored("dim_registration_status"),
         )
 
-    def tables(self) -> dict[str, DataFrame]:
+    def named(self) -> dict[str, Dimension]:
         return {
-            "dim_date": self.date.df,
-            "dim_property_type": self.property_type.df,
-            "dim_location": self.location.df,
-            "dim_registration_status": self.registration_status.df,
+            "dim_date": self.date,
+            "dim_property_type": self.property_type,
+            "dim_location": self.location,
+            "dim_registration_status": self.registration_status,
         }
 
+    def tables(self) -> dict[str, DataFrame]:
+        return {name: dim.df for name, dim in self.named().items()}
+
 
 # Natural-key columns of the clean table feeding each dimension, in the order
 # of the grouping sets below.

@@ -22,13 +22,17 @@ from txlake.schemas import FACT_COLUMNS, FACT_NOT_NULL
 YEAR_COLUMN = "transaction_year"
 
 
+def broken_rules(fact: DataFrame) -> DataFrame:
+    """``fact`` with the columns of its broken NOT NULL rules in ``broken_rules``."""
+    broken = F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in FACT_NOT_NULL]))
+    return fact.withColumn("broken_rules", F.array_join(broken, ","))
+
+
 def split_rejects(fact: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(accepted, rejects): rows that break a NOT NULL rule of the warehouse go to
     the rejects, with the broken rules' columns in ``broken_rules``."""
-    broken = F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in FACT_NOT_NULL]))
-    tagged = fact.withColumn("broken_rules", F.array_join(broken, ","))
     accepted = fact.where(" and ".join(f"{c} is not null" for c in FACT_NOT_NULL))
-    return accepted, tagged.where(F.col("broken_rules") != "")
+    return accepted, broken_rules(fact).where(F.col("broken_rules") != "")
 
 
 def build_fact(

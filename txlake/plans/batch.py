@@ -25,6 +25,7 @@ tripping over the keys of the previous one.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from functools import reduce
 
@@ -33,8 +34,7 @@ from pyspark.sql import functions as F
 
 from txlake.operators import Dimension, Dimensions, build_dimensions, build_fact, clean_transactions
 from txlake.operators.dimensions import SINGLE_TASK_ROWS
-from txlake.operators.fact import YEAR_COLUMN
-from txlake.operators.fact import split_rejects as fact_and_rejects
+from txlake.operators.fact import YEAR_COLUMN, broken_rules
 from txlake.operators.joins import row_bytes
 from txlake.schemas import FACT_COLUMNS
 from txlake.session import size_session
@@ -44,15 +44,18 @@ from txlake.sources import (
     read_raw_zone,
     read_table,
     write_jdbc,
-    write_raw_zone,
     write_table,
 )
+from txlake.sources.files import delete_path, path_exists, replace_path
+
+#: Column of the raw tables with the text of a malformed row.
+MALFORMED_TEXT = "malformed_text"
 
 
 @dataclass
 class StarSchema:
-    raw: DataFrame
-    clean: DataFrame
+    raw: DataFrame | None
+    clean: DataFrame | None
     dims: Dimensions
     fact: DataFrame
 
@@ -79,6 +82,20 @@ class BatchResult:
     reject_rows: int
     dim_rows: dict[str, int]
     paths: dict[str, str]
+    malformed_rows: int = 0
+
+
+TABLES = (
+    "raw",
+    "raw_malformed",
+    "clean",
+    "dim_date",
+    "dim_property_type",
+    "dim_location",
+    "dim_registration_status",
+    "fact_transactions",
+    "fact_rejects",
+)
 
 
 def run_batch(
@@ -90,41 +107,61 @@ def run_batch(
     max_records_per_file: int = 5_000_000,
     dedup_strategy: str = "shuffle",
     split_rejects: bool = True,
+    divert_malformed: bool = True,
+    **csv_options,
 ) -> BatchResult:
     """Run the whole batch load into ``lake_root`` and return the stage counts.
 
-    Partition sizes follow the bytes of the export.  The raw zone is replaced
-    only by a load that has rows: it is written beside the old one first.  With
-    ``split_rejects`` the fact rows that break a NOT NULL rule go to
-    ``fact_rejects`` with the rules' names, else they stay in the fact."""
+    Partition sizes follow the bytes of the export.  All tables are written to a
+    folder of this load and take the place of the old ones at the end, so a load that
+    fails leaves the tables as they were.  Rows of the export with too few or too many
+    fields go to ``raw_malformed`` with their text (``divert_malformed=False`` keeps
+    them, missing fields null).  With ``split_rejects`` the fact rows that break a
+    NOT NULL rule go to ``fact_rejects`` with the rules' names, else they stay in the
+    fact.  ``csv_options`` go to ``read_raw_csv``."""
     size_session(spark, csv_path)
     root = lake_root.rstrip("/")
-    paths = {
-        name: f"{root}/{name}"
-        for name in (
-            "raw",
-            "clean",
-            "dim_date",
-            "dim_property_type",
-            "dim_location",
-            "dim_registration_status",
-            "fact_transactions",
-            "fact_rejects",
+    load = f"{root}/_load/{uuid.uuid4().hex}"
+    try:
+        result = _load_tables(
+            spark, csv_path, load, keep, week_start, max_records_per_file, dedup_strategy, split_rejects, divert_malformed, csv_options
         )
-    }
+        if not result.raw_rows:
+            raise ValueError(f"no rows in {csv_path}; the tables under {root} are unchanged")
+        for name in TABLES:
+            if path_exists(spark, f"{load}/{name}"):
+                replace_path(spark, f"{load}/{name}", f"{root}/{name}")
+            else:  # a table of the load before, without rows in this one
+                delete_path(spark, f"{root}/{name}")
+    finally:
+        delete_path(spark, load)
+    result.paths = {name: f"{root}/{name}" for name in TABLES}
+    return result
+
+
+def _load_tables(
+    spark, csv_path, load, keep, week_start, max_records_per_file, dedup_strategy, split_rejects, divert_malformed, csv_options
+) -> BatchResult:
+    paths = {name: f"{load}/{name}" for name in TABLES}
+    counted = F.count(F.lit(1)).alias("rows")
     raw_obs = Observation()
-    staged = f"{root}/_raw_staged"
-    write_raw_zone(read_raw_csv(spark, csv_path).observe(raw_obs, F.count(F.lit(1)).alias("rows")), staged)
-    if not raw_obs.get["rows"]:
-        raise ValueError(f"no rows in {csv_path}; the tables under {root} are unchanged")
-    _replace(spark, staged, paths["raw"])
+    scanned = read_raw_csv(spark, csv_path, corrupt_column=MALFORMED_TEXT, **csv_options)
+    # one scan: good and malformed rows side by side, read apart by folder
+    bad = F.col(MALFORMED_TEXT).isNotNull()
+    tagged = scanned.withColumn("malformed", bad if divert_malformed else F.lit(False))
+    write_table(tagged.observe(raw_obs, counted, F.count_if(bad).alias("bad")), f"{load}/scan", partition_by=["malformed"])
+    raw_rows, malformed = raw_obs.get["rows"], raw_obs.get["bad"]
+    diverted = malformed if divert_malformed else 0
+    if raw_rows == diverted:
+        return BatchResult(0, 0, 0, 0, {}, paths, malformed)
+    replace_path(spark, f"{load}/scan/malformed=false", paths["raw"])
+    if diverted:
+        replace_path(spark, f"{load}/scan/malformed=true", paths["raw_malformed"])
     raw = read_raw_zone(spark, paths["raw"])
 
     clean_obs = Observation()
     write_table(
-        clean_transactions(raw, keep=keep, dedup_strategy=dedup_strategy).observe(
-            clean_obs, F.count(F.lit(1)).alias("rows")
-        ),
+        clean_transactions(raw, keep=keep, dedup_strategy=dedup_strategy).observe(clean_obs, counted),
         paths["clean"],
         max_records_per_file=max_records_per_file,
     )
@@ -132,56 +169,43 @@ def run_batch(
 
     built = build_dimensions(clean, week_start=week_start)
     stored = {}
-    for name, dim in zip(
-        ("dim_date", "dim_property_type", "dim_location", "dim_registration_status"),
-        (built.date, built.property_type, built.location, built.registration_status),
-    ):
+    for name, dim in built.named().items():
         # a small dimension is one file; an oversized one keeps its partitions
         write_table(dim.df.coalesce(1) if dim.rows <= SINGLE_TASK_ROWS else dim.df, paths[name])
         stored[name] = Dimension(read_table(spark, paths[name]), dim.rows, dim.size)
-    dims = Dimensions(
-        date=stored["dim_date"],
-        property_type=stored["dim_property_type"],
-        location=stored["dim_location"],
-        registration_status=stored["dim_registration_status"],
-    )
+    dims = Dimensions(**{name.removeprefix("dim_"): dim for name, dim in stored.items()})
 
-    fact_obs = Observation()
+    # the joins run once: rows of a year are brought together, a year is few files
     fact = build_fact(clean, dims, with_year=True)
-    reject_obs = Observation()
-    counted = F.count(F.lit(1)).alias("rows")
-    if split_rejects:
-        fact, rejects = fact_and_rejects(fact)
-        write_table(rejects.observe(reject_obs, counted), paths["fact_rejects"])
-    write_table(
-        # rows of a year together, so that a year is few files
-        fact.observe(fact_obs, counted).sortWithinPartitions(YEAR_COLUMN, "date_id"),
-        paths["fact_transactions"],
-        partition_by=[YEAR_COLUMN],
-        max_records_per_file=max_records_per_file,
-    )
-
+    by_year = {"partition_by": [YEAR_COLUMN], "max_records_per_file": max_records_per_file}
+    if not split_rejects:
+        fact_obs = Observation()
+        write_table(_by_year(fact.observe(fact_obs, counted)), paths["fact_transactions"], **by_year)
+        return BatchResult(raw_rows, clean_obs.get["rows"], fact_obs.get["rows"], 0, {n: d.rows for n, d in stored.items()}, paths, malformed)
+    fact_obs = Observation()
+    tagged = broken_rules(fact).observe(fact_obs, counted, F.count_if(F.col("broken_rules") != "").alias("broken"))
+    held = materialize(tagged, "fact_tagged")
+    write_table(_by_year(held.where("broken_rules = ''").drop("broken_rules")), paths["fact_transactions"], **by_year)
+    write_table(_by_year(held.where("broken_rules <> ''")), paths["fact_rejects"], **by_year)
+    rejected = fact_obs.get["broken"]
     return BatchResult(
-        raw_rows=raw_obs.get["rows"],
+        raw_rows=raw_rows,
         clean_rows=clean_obs.get["rows"],
-        fact_rows=fact_obs.get["rows"],
-        reject_rows=reject_obs.get["rows"] if split_rejects else 0,
+        fact_rows=fact_obs.get["rows"] - rejected,
+        reject_rows=rejected,
         dim_rows={name: d.rows for name, d in stored.items()},
         paths=paths,
+        malformed_rows=malformed,
     )
 
 
-def _replace(spark: SparkSession, source: str, target: str) -> None:
-    """Put the folder ``source`` in the place of ``target``."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    files = path(target).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    files.delete(path(target), True)
-    if not files.rename(path(source), path(target)):
-        raise OSError(f"could not rename {source} to {target}")
+def _by_year(fact: DataFrame) -> DataFrame:
+    return fact.hint("rebalance", YEAR_COLUMN).sortWithinPartitions(YEAR_COLUMN, "date_id")
 
 
-def load_star(spark: SparkSession, lake_root: str) -> StarSchema:
-    """Open a star written by ``run_batch`` (dimension sizes are re-counted)."""
+def load_star(spark: SparkSession, lake_root: str, fact: DataFrame | None = None) -> StarSchema:
+    """Open a star written by ``run_batch`` (dimension sizes are re-counted).  A star
+    that a stream writes has no raw and clean tables: pass its ``fact``."""
     root = lake_root.rstrip("/")
     names = ["dim_date", "dim_property_type", "dim_location", "dim_registration_status"]
     tables = {name: read_table(spark, f"{root}/{name}") for name in names}
@@ -200,6 +224,8 @@ def load_star(spark: SparkSession, lake_root: str) -> StarSchema:
         location=Dimension(tables["dim_location"], *size["dim_location"]),
         registration_status=Dimension(tables["dim_registration_status"], *size["dim_registration_status"]),
     )
+    if fact is not None:
+        return StarSchema(raw=None, clean=None, dims=dims, fact=fact)
     return StarSchema(
         raw=read_raw_zone(spark, f"{root}/raw"),
         clean=read_table(spark, f"{root}/clean"),

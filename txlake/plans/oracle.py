@@ -277,7 +277,7 @@ JOIN nation n ON e.user_id % 25 = n.n_nationkey
 JOIN region r ON n.n_regionkey = r.r_regionkey"""
 
 
-def _with(cte: str, body: str) -> str:
+def with_cte(cte: str, body: str) -> str:
     return f"WITH {cte.strip()}\n{body.strip()}"
 
 
@@ -368,30 +368,30 @@ def oracle_sql() -> dict[str, str]:
         "registration_status, source_office, transaction_date"
     )
     sql = {
-        "csv_scan_raw": _with(RAW_CSV_CTE, f"SELECT {_RAW_COLS} FROM raw_csv"),
-        "raw_zone_parquet": _with(RAW_CSV_CTE, f"SELECT {_RAW_COLS} FROM raw_csv"),
-        "raw_replay": _with(RAW_CSV_CTE + _clean_cte("raw_csv"), f"SELECT {clean_cols} FROM clean"),
-        "dedup_by_key": _with(
+        "csv_scan_raw": with_cte(RAW_CSV_CTE, f"SELECT {_RAW_COLS} FROM raw_csv"),
+        "raw_zone_parquet": with_cte(RAW_CSV_CTE, f"SELECT {_RAW_COLS} FROM raw_csv"),
+        "raw_replay": with_cte(RAW_CSV_CTE + _clean_cte("raw_csv"), f"SELECT {clean_cols} FROM clean"),
+        "dedup_by_key": with_cte(
             RAW_CTE,
             f"""SELECT {_RAW_COLS} FROM raw
 QUALIFY row_number() OVER (PARTITION BY transaction_id ORDER BY {_CLEAN_ORDER}) = 1""",
         ),
-        "price_clean": _with(CLEAN_CTE, "SELECT transaction_id, price_mad FROM clean"),
-        "surface_clean": _with(CLEAN_CTE, "SELECT transaction_id, surface_m2 FROM clean"),
-        "city_clean": _with(CLEAN_CTE, "SELECT transaction_id, city FROM clean"),
-        "date_parse": _with(CLEAN_CTE, "SELECT transaction_id, transaction_date FROM clean"),
-        "clean_transactions": _with(CLEAN_CTE, f"SELECT {clean_cols} FROM clean"),
-        "dim_date": _with(STAR_CTE, "SELECT * FROM dim_date"),
-        "dim_date_sunday_start": _with(
+        "price_clean": with_cte(CLEAN_CTE, "SELECT transaction_id, price_mad FROM clean"),
+        "surface_clean": with_cte(CLEAN_CTE, "SELECT transaction_id, surface_m2 FROM clean"),
+        "city_clean": with_cte(CLEAN_CTE, "SELECT transaction_id, city FROM clean"),
+        "date_parse": with_cte(CLEAN_CTE, "SELECT transaction_id, transaction_date FROM clean"),
+        "clean_transactions": with_cte(CLEAN_CTE, f"SELECT {clean_cols} FROM clean"),
+        "dim_date": with_cte(STAR_CTE, "SELECT * FROM dim_date"),
+        "dim_date_sunday_start": with_cte(
             CLEAN_CTE + _dim_date_cte("dayofweek(full_date) + 1"), "SELECT * FROM dim_date"
         ),
-        "dim_property_type": _with(STAR_CTE, "SELECT * FROM dim_property_type"),
-        "dim_location": _with(STAR_CTE, "SELECT * FROM dim_location"),
-        "dim_registration_status": _with(STAR_CTE, "SELECT * FROM dim_registration_status"),
-        "fact_transactions": _with(STAR_CTE, "SELECT * FROM fact"),
-        "star_flatten": _with(CLEAN_CTE, _FLAT),
-        "avg_price_region_type_quarter": _with(CLEAN_CTE, _AVG_PRICE),
-        "status_breakdown": _with(
+        "dim_property_type": with_cte(STAR_CTE, "SELECT * FROM dim_property_type"),
+        "dim_location": with_cte(STAR_CTE, "SELECT * FROM dim_location"),
+        "dim_registration_status": with_cte(STAR_CTE, "SELECT * FROM dim_registration_status"),
+        "fact_transactions": with_cte(STAR_CTE, "SELECT * FROM fact"),
+        "star_flatten": with_cte(CLEAN_CTE, _FLAT),
+        "avg_price_region_type_quarter": with_cte(CLEAN_CTE, _AVG_PRICE),
+        "status_breakdown": with_cte(
             CLEAN_CTE,
             """
 SELECT registration_status AS status_name,
@@ -400,7 +400,7 @@ SELECT registration_status AS status_name,
        CAST(sum(price_mad) AS DOUBLE) / count(price_mad) AS avg_price_mad
 FROM clean GROUP BY registration_status""",
         ),
-        "null_aware_measures": _with(
+        "null_aware_measures": with_cte(
             CLEAN_CTE,
             """
 SELECT property_type,
@@ -411,18 +411,18 @@ SELECT property_type,
        CAST(sum(surface_m2) AS DOUBLE) / count(surface_m2) AS avg_surface_m2
 FROM clean GROUP BY property_type""",
         ),
-        "stage_counts": _with(
+        "stage_counts": with_cte(
             STAR_CTE,
             """
 SELECT 'raw' AS stage, CAST(count(*) AS BIGINT) AS n_rows FROM raw
 UNION ALL SELECT 'clean', CAST(count(*) AS BIGINT) FROM clean
 UNION ALL SELECT 'fact', CAST(count(*) AS BIGINT) FROM fact""",
         ),
-        "defect_profile": _with(
+        "defect_profile": with_cte(
             RAW_CTE + "," + _defect_profile_body("raw"),
             "SELECT defect, n_rows, total_rows, CAST(n_rows AS DOUBLE) / CAST(total_rows AS DOUBLE) AS share FROM defects",
         ),
-        "missing_surface_by_type": _with(
+        "missing_surface_by_type": with_cte(
             RAW_CTE,
             """
 SELECT property_type,
@@ -431,24 +431,24 @@ SELECT property_type,
        CAST(count_if(surface_m2 IS NULL OR surface_m2 = '') AS DOUBLE) / CAST(count(*) AS DOUBLE) AS share
 FROM raw GROUP BY property_type""",
         ),
-        "parse_failures": _with(RAW_CTE, _PARSE_FAILURES.format(source="raw")),
-        "defect_reconciliation": _with(RAW_CTE, _reconciliation("raw")),
-        "clean_dirty": _with(DIRTY_CLEAN_CTE, f"SELECT {clean_cols} FROM clean"),
-        "fact_dirty": _with(
+        "parse_failures": with_cte(RAW_CTE, _PARSE_FAILURES.format(source="raw")),
+        "defect_reconciliation": with_cte(RAW_CTE, _reconciliation("raw")),
+        "clean_dirty": with_cte(DIRTY_CLEAN_CTE, f"SELECT {clean_cols} FROM clean"),
+        "fact_dirty": with_cte(
             DIRTY_STAR_CTE, "SELECT * FROM fact WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in _NOT_NULL)
         ),
-        "fact_rejects_dirty": _with(
+        "fact_rejects_dirty": with_cte(
             DIRTY_STAR_CTE,
             "SELECT *, concat_ws(',', "
             + ", ".join(f"CASE WHEN {c} IS NULL THEN '{c}' END" for c in _NOT_NULL)
             + ") AS broken_rules FROM fact WHERE "
             + " OR ".join(f"{c} IS NULL" for c in _NOT_NULL),
         ),
-        "constraint_report_dirty": _with(DIRTY_STAR_CTE, "\nUNION ALL\n".join(_rule_sql(r) for r in RULES)),
-        "parse_failures_dirty": _with(DIRTY_CTE, _PARSE_FAILURES.format(source="raw_dirty")),
-        "defect_profile_dirty": _with(DIRTY_CTE + "," + _defect_profile_body("raw_dirty"), _PROFILE),
-        "defect_reconciliation_dirty": _with(DIRTY_CTE, _reconciliation("raw_dirty")),
-        "dedup_conflicts_dirty": _with(
+        "constraint_report_dirty": with_cte(DIRTY_STAR_CTE, "\nUNION ALL\n".join(_rule_sql(r) for r in RULES)),
+        "parse_failures_dirty": with_cte(DIRTY_CTE, _PARSE_FAILURES.format(source="raw_dirty")),
+        "defect_profile_dirty": with_cte(DIRTY_CTE + "," + _defect_profile_body("raw_dirty"), _PROFILE),
+        "defect_reconciliation_dirty": with_cte(DIRTY_CTE, _reconciliation("raw_dirty")),
+        "dedup_conflicts_dirty": with_cte(
             DIRTY_CTE,
             f"""
 SELECT CAST(sum(n) AS BIGINT) AS n_rows, CAST(count(*) AS BIGINT) AS n_keys,
@@ -456,14 +456,14 @@ SELECT CAST(sum(n) AS BIGINT) AS n_rows, CAST(count(*) AS BIGINT) AS n_keys,
        CAST(coalesce(sum(n) FILTER (transaction_id IS NULL), 0) AS BIGINT) AS n_null_key_rows
 FROM (SELECT transaction_id, count(*) AS n, count(DISTINCT ({_RAW_COLS})) AS d FROM raw_dirty GROUP BY transaction_id)""",
         ),
-        "csv_malformed_rows": _with(
+        "csv_malformed_rows": with_cte(
             RAW_CTE,
             f"SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(count_if({_K} % 97 = 0) AS BIGINT) AS n_malformed FROM raw",
         ),
-        "avg_price_one_year": _with(
+        "avg_price_one_year": with_cte(
             CLEAN_CTE, _AVG_PRICE.replace("FROM clean", "FROM clean WHERE year(transaction_date) = 1997")
         ),
-        "constraint_report": _with(STAR_CTE, "\nUNION ALL\n".join(_rule_sql(r) for r in RULES)),
+        "constraint_report": with_cte(STAR_CTE, "\nUNION ALL\n".join(_rule_sql(r) for r in RULES)),
         "stream_parse": EVENTS_SQL.strip(),
         "stream_to_lake": EVENTS_SQL.strip(),
         "stream_restart": EVENTS_SQL.strip(),

@@ -90,6 +90,37 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def _folder(spark: SparkSession, path: str):
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    folder, files = _folder(spark, path)
+    return files.exists(folder)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of a table, if it is there."""
+    folder, files = _folder(spark, path)
+    files.delete(folder, True)
+
+
+def replace_path(spark: SparkSession, source: str, target: str) -> None:
+    """Put the folder ``source`` in the place of ``target``; the old one is set aside
+    first and deleted last."""
+    (new, files), (old, _) = _folder(spark, source), _folder(spark, target)
+    aside, _ = _folder(spark, target.rstrip("/") + "_replaced")
+    files.delete(aside, True)
+    files.mkdirs(old.getParent())
+    if files.exists(old) and not files.rename(old, aside):
+        raise OSError(f"could not set {target} aside")
+    if not files.rename(new, old):
+        files.rename(aside, old)
+        raise OSError(f"could not rename {source} to {target}")
+    files.delete(aside, True)
+
+
 def materialize(df: DataFrame, name: str, observation: Observation | None = None, *metrics: Column) -> DataFrame:
     """Write ``df`` to a fresh folder under the shared checkpoint dir, read it back.
 

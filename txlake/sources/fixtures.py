@@ -77,7 +77,7 @@ def _surface_tenths(k: Column) -> Column:
     return F.lit(SURFACE_BASE) + (F.lit(SURFACE_STEP) * k) % SURFACE_MOD
 
 
-def _padded(prefix: str, k: Column, width: int = 7) -> Column:
+def padded(prefix: str, k: Column, width: int = 7) -> Column:
     """``prefix`` + k zero-padded to ``width`` digits (like ``%07d`` for k >= 0;
     a wider key is kept whole, never truncated)."""
     digits = k.cast("string")
@@ -117,8 +117,8 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     # a row is a key and two names of 25 characters at most
     customers = customer.count()
     rows = orders.join(checked_broadcast(geo, rows=customers, size=100 * customers), orders.o_custkey == geo.c_custkey).select(
-        _padded("TX", k).alias("transaction_id"),
-        _padded("LST", k).alias("listing_id"),
+        padded("TX", k).alias("transaction_id"),
+        padded("LST", k).alias("listing_id"),
         _property_type(k).alias("property_type"),
         F.col("r_name").alias("region"),
         F.when(k % CITY_MISSING_MOD == 0, F.lit("")).otherwise(F.col("n_name")).alias("city"),
@@ -148,8 +148,8 @@ def event_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     e = F.col("event_id")
     return events.join(F.broadcast(geo), (events.user_id % 25) == geo.n_nationkey).select(
-        _padded("STREAM", e).alias("transaction_id"),
-        _padded("LSTS", e).alias("listing_id"),
+        padded("STREAM", e).alias("transaction_id"),
+        padded("LSTS", e).alias("listing_id"),
         _property_type(e).alias("property_type"),
         F.col("r_name").alias("region"),
         F.col("n_name").alias("city"),
