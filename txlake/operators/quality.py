@@ -263,17 +263,24 @@ def _distinct_values(rule: Rule) -> Column:
     return F.count_distinct(cols[0]) if len(cols) == 1 else F.count_distinct(F.struct(*cols))
 
 
+def broken(rule: Rule) -> Column:
+    """Whether a row breaks a row rule (false, never null)."""
+    c = F.col(rule.columns[0])
+    tests = {
+        "not_null": lambda: c.isNull(),
+        "max_length": lambda: F.length(c) > F.lit(rule.param),
+        "smallint": lambda: (c < SMALLINT_MIN) | (c > SMALLINT_MAX),
+        "foreign_key": lambda: c.isNotNull() & F.col(f"_has_{rule.param}").isNull(),
+        "check": lambda: ~F.expr(rule.param),
+        "one_of": lambda: ~c.isin(*rule.param),
+    }
+    if rule.kind not in tests:
+        raise ValueError(f"unknown rule kind {rule.kind!r}")
+    return F.coalesce(tests[rule.kind](), F.lit(False))
+
+
 def _rule_agg(rule: Rule) -> Column:
-    cols = [F.col(c) for c in rule.columns]
-    if rule.kind == "not_null":
-        return F.count_if(cols[0].isNull())
-    if rule.kind == "max_length":
-        return F.count_if(F.length(cols[0]) > F.lit(rule.param))
-    if rule.kind == "smallint":
-        return F.count_if((cols[0] < SMALLINT_MIN) | (cols[0] > SMALLINT_MAX))
-    if rule.kind == "foreign_key":
-        return F.count_if(cols[0].isNotNull() & F.col(f"_has_{rule.param}").isNull())
-    raise ValueError(f"unknown rule kind {rule.kind!r}")
+    return F.count_if(broken(rule))
 
 
 def constraint_report(
@@ -282,8 +289,12 @@ def constraint_report(
     rules: list[Rule] | None = None,
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
-    """Violations per rule: columns rule, table_name, kind, violations."""
+    """Violations per rule: columns rule, table_name, kind, violations.  The fact is
+    written once, as several aggregations read it."""
+    from txlake.sources.files import materialize
+
     rules = RULES if rules is None else rules
+    fact = materialize(fact, "report_fact")
     tables = {"fact_transactions": fact, **dims.tables()}
     dimension = {
         "dim_date": dims.date,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from txlake.plans.oracle import CLEAN_CTE, EVENTS_SQL, with_cte
+from txlake.plans.oracle import CLEAN_CTE, DIM_KEYS, DIRTY_STAR_CTE, EVENTS_SQL, RULES, SMALLINT_MAX, SMALLINT_MIN, with_cte
 
 _FLAT = (
     "transaction_id, listing_id, property_type, region, city, surface_m2, price_mad, "
@@ -74,6 +74,73 @@ SELECT p.listing_id, p.as_of, c.status
 FROM probes p ASOF LEFT JOIN changes c ON p.listing_id = c.listing_id AND p.as_of >= c.changed_on""",
 )
 
+CUBE = with_cte(
+    CLEAN_CTE
+    + """,
+named AS (
+  SELECT region, property_type, CAST(year(transaction_date) AS INTEGER) AS year,
+         CAST(quarter(transaction_date) AS INTEGER) AS quarter, price_mad FROM clean
+)""",
+    """
+SELECT region, property_type, year, quarter,
+       CAST(GROUPING(region, property_type, year, quarter) AS INTEGER) AS grouped,
+       count(*) AS n_transactions, CAST(sum(price_mad) AS DECIMAL(38,2)) AS sum_price_mad,
+       CAST(sum(price_mad) AS DOUBLE) / count(price_mad) AS avg_price_mad
+FROM named
+GROUP BY CUBE (region, property_type, (year, quarter))""",
+)
+
+_QUANTILES = [(1, 4), (1, 2), (3, 4), (99, 100)]
+MEDIAN = with_cte(
+    CLEAN_CTE
+    + """,
+ranked AS (
+  SELECT property_type, CAST(price_mad * 100 AS BIGINT) AS price_cents,
+         row_number() OVER (PARTITION BY property_type ORDER BY price_mad) AS place,
+         count(*) OVER (PARTITION BY property_type) AS n
+  FROM clean WHERE price_mad IS NOT NULL
+)""",
+    "\nUNION ALL\n".join(
+        f"SELECT property_type, {a} AS numerator, {b} AS denominator, price_cents FROM ranked WHERE place = (n * {a} + {b} - 1) // {b}"
+        for a, b in _QUANTILES
+    ),
+)
+
+# Rules beyond the warehouse's own, with their SQL condition of breach.
+_MORE_RULES = [
+    ("fact_transactions", "check", "price_mad", "price_mad < 20000"),
+    ("fact_transactions", "check", "surface_m2", "surface_m2 < 40 OR surface_m2 > 1200"),
+    ("fact_transactions", "unique", "listing_id", None),
+    ("dim_location", "one_of", "region", "region NOT IN ('AFRICA', 'AMERICA', 'ASIA', 'EUROPE')"),
+]
+
+
+def _verdict(rule: tuple) -> str:
+    name, kind, columns, param = rule
+    table = "fact" if name == "fact_transactions" else name
+    key = "transaction_id" if table == "fact" else DIM_KEYS[name]
+    c = columns.split("+")
+    head = f"SELECT '{name}' AS table_name, "
+    label = f"'{name}.{columns}:{kind}' AS rule"
+    if kind in ("primary_key", "unique"):
+        some = f"WHERE {c[0]} IS NOT NULL" if len(c) == 1 else ""
+        return (
+            f"{head}min(CAST({key} AS VARCHAR)) AS row_key, {label}, count(*) - 1 AS n_violations "
+            f"FROM {table} {some} GROUP BY {', '.join(c)} HAVING count(*) > 1"
+        )
+    broken = {
+        "not_null": f"{c[0]} IS NULL",
+        "max_length": f"length({c[0]}) > {param}",
+        "smallint": f"{c[0]} < {SMALLINT_MIN} OR {c[0]} > {SMALLINT_MAX}",
+        "foreign_key": f"{c[0]} IS NOT NULL AND {c[0]} NOT IN (SELECT {DIM_KEYS.get(param)} FROM {param})",
+        "check": param,
+        "one_of": param,
+    }[kind]
+    return f"{head}CAST({key} AS VARCHAR) AS row_key, {label}, count(*) AS n_violations FROM {table} WHERE {broken} GROUP BY {key}"
+
+
+VERDICTS = with_cte(DIRTY_STAR_CTE, "\nUNION ALL\n".join(_verdict(r) for r in RULES + _MORE_RULES))
+
 _EVENTS = f"parsed AS (SELECT ev.*, src.event_id, src.ts FROM ({EVENTS_SQL.strip()}) ev JOIN events src ON ev.transaction_id = printf('STREAM%07d', src.event_id))"
 
 STAR = with_cte(
@@ -123,6 +190,9 @@ def oracle_sql() -> dict[str, str]:
         "dim_location_second_load": SECOND_LOAD,
         "listing_status_intervals": INTERVALS,
         "listing_status_as_of": AS_OF,
+        "price_cube_incremental": CUBE,
+        "price_median_by_type": MEDIAN,
+        "rule_verdicts_dirty": VERDICTS,
         "stream_to_star": STAR,
         "stream_dedup": DEDUP,
         "stream_late_rows": LATE,

@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txlake.operators import clean_transactions, flatten
+from txlake.operators import RULES, clean_transactions, flatten, star_join
+from txlake.operators.cube import add_load, exact_quantiles, price_cells, price_cube, stored_cells
 from txlake.operators.history import as_of_join, validity_intervals
-from txlake.plans.batch import load_star, run_batch
+from txlake.operators.verdicts import compile_rules, rule_verdicts
+from txlake.plans.batch import build_star, load_star, run_batch
 from txlake.plans.incremental import extend_dimensions, reload_window
 from txlake.schemas import EVENT_COLUMNS
 from txlake.session import shared_dir
-from txlake.sources import event_messages, raw_transactions, write_csv
+from txlake.sources import event_messages, raw_transactions, raw_transactions_dirty, write_csv
 from txlake.sources.fixtures import padded, table
 from txlake.sources.streams import text_stream
 from txlake.streaming.star import load_batch, run_available_to_star, stream_facts
@@ -88,6 +90,46 @@ def listing_status_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_of_join(orders, listing_status_intervals(spark, sf_dir), ["listing_id"], "as_of", ["status"])
 
 
+# --- summaries and rules ---------------------------------------------------------
+
+
+def _cells_of_two_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells of the even and the odd listings, added one after the other; the second
+    load is added twice."""
+    star = build_star(raw_transactions(spark, sf_dir))
+    path = shared_dir(spark, "cells")
+    for load, odd in (("1", 0), ("2", 1), ("2", 1)):
+        add_load(price_cells(star.fact.where(_key() % 2 == odd), star.dims), path, load)
+    return stored_cells(spark, path)
+
+
+def price_cube_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return price_cube(_cells_of_two_loads(spark, sf_dir))
+
+
+def price_median_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact lower median, quartiles and 99th percentile of the price by type."""
+    star = build_star(raw_transactions(spark, sf_dir))
+    priced = star_join(star.fact, star.dims, use=("property_type",)).select(
+        F.col("property_type_name").alias("property_type"), (F.col("price_mad") * 100).cast("long").alias("price_cents")
+    )
+    return exact_quantiles(priced, ["property_type"], "price_cents", [(1, 4), (1, 2), (3, 4), (99, 100)])
+
+
+#: Rules beyond the warehouse's own, as data: (table, kind, columns, param).
+MORE_RULES = [
+    ("fact_transactions", "check", "price_mad", "price_mad >= 20000"),
+    ("fact_transactions", "check", "surface_m2", "surface_m2 between 40 and 1200"),
+    ("fact_transactions", "unique", "listing_id", None),
+    ("dim_location", "one_of", "region", "AFRICA|AMERICA|ASIA|EUROPE"),
+]
+
+
+def rule_verdicts_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    star = build_star(raw_transactions_dirty(spark, sf_dir))
+    return rule_verdicts(star.fact, star.dims, RULES + compile_rules(MORE_RULES))
+
+
 # --- streams -------------------------------------------------------------------
 
 
@@ -156,6 +198,9 @@ QUERIES = {
     "dim_location_second_load": dim_location_second_load,
     "listing_status_intervals": listing_status_intervals,
     "listing_status_as_of": listing_status_as_of,
+    "price_cube_incremental": price_cube_incremental,
+    "price_median_by_type": price_median_by_type,
+    "rule_verdicts_dirty": rule_verdicts_dirty,
     "stream_to_star": stream_to_star,
     "stream_dedup": stream_dedup,
     "stream_late_rows": stream_late_rows,
