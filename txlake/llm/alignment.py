@@ -40,11 +40,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from txlake.llm.bpe import _pack, _unpack, character_classes, piece_table, split_words
+from txlake.llm.bpe import _pack, _unpack, character_classes, gather, piece_table, split_words
 from txlake.llm.common import written
 
 BLOCK_CHARS = 8 << 20
-CHUNK_CHARS = 1 << 19
+CHUNK_CHARS = 1 << 20
 #: Distinct words that a task remembers before it starts anew.
 CACHE_WORDS = 200_000
 BLANK = "▁"
@@ -58,28 +58,53 @@ SCHEMA = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best l
 
 
 class Vocabulary:
-    """Bytes of each id, and the encoding of distinct slices of text."""
+    """Bytes of each id, and the encoding of distinct slices of text.  What is known is
+    kept in flat arrays, a word as its number."""
 
     def __init__(self, pieces: list[bytes], encode):
         self.pieces, self.encode = pieces, encode
-        self.size = pa.array([len(p) for p in pieces], pa.int64())
+        sizes = np.array([len(p) for p in pieces], dtype=np.int64)
+        self.pool, self.starts, self.sizes = np.frombuffer(b"".join(pieces), dtype=np.uint8), np.cumsum(sizes) - sizes, sizes
+        self.size = pa.array(sizes)
         self.name = pa.array([str(i) for i in range(len(pieces))])
-        self.known: dict[str, tuple[list[int], bool]] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.flat = np.empty(0, dtype=np.int32)
+        self.count = np.empty(0, dtype=np.int64)
+        self.same = np.empty(0, dtype=bool)
+
+    def _learn(self, words: list[str]) -> None:
+        ids = []
+        for i in range(0, len(words), 8192):
+            ids += self.encode(words[i : i + 8192])
+        count = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
+        flat = np.fromiter(chain.from_iterable(ids), dtype=np.int32, count=int(count.sum()))
+        # all words at once: their bytes and lengths are those of their pieces
+        length = np.add.reduceat(np.append(self.sizes[flat], 0), np.cumsum(count) - count) * (count > 0)
+        raw = [w.encode() for w in words]
+        same = length == np.fromiter(map(len, raw), dtype=np.int64, count=len(raw))
+        if not same.all() or gather(self.pool, self.starts[flat], self.sizes[flat]).tobytes() != b"".join(raw):
+            same = np.array([b"".join([self.pieces[t] for t in i]) == w for i, w in zip(ids, raw, strict=True)], dtype=bool)
+        self.known.update(zip(words, range(len(self.count), len(self.count) + len(words)), strict=True))
+        self.flat = np.concatenate([self.flat, flat])
+        self.count = np.concatenate([self.count, count])
+        self.same = np.concatenate([self.same, same])
 
     def lists(self, words: list[str]) -> tuple[pa.ListArray, np.ndarray]:
         """Ids of each word, and whether their bytes are the word's."""
         if len(self.known) > CACHE_WORDS:
-            self.known = {}
+            self._forget()
         new = [w for w in words if w not in self.known]
-        for i in range(0, len(new), 8192):
-            part = new[i : i + 8192]
-            for w, ids in zip(part, self.encode(part), strict=True):
-                self.known[w] = ids, b"".join([self.pieces[t] for t in ids]) == w.encode()
-        found = [self.known[w] for w in words]
-        ids = [f[0] for f in found]
-        ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
-        flat = pa.array(np.fromiter(chain.from_iterable(ids), dtype=np.int32, count=int(ends[-1])))
-        return pa.ListArray.from_arrays(pa.array(ends), flat), np.array([f[1] for f in found], dtype=bool)
+        if new:
+            self._learn(new)
+        number = np.fromiter(map(self.known.__getitem__, words), dtype=np.int64, count=len(words))
+        count = self.count[number]
+        at = np.cumsum(self.count) - self.count
+        flat = gather(self.flat, at[number], count)
+        ends = np.concatenate(([0], np.cumsum(count))).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), self.same[number]
 
 
 def byte_vocabulary(spec: str) -> Vocabulary:
