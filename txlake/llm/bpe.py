@@ -38,9 +38,9 @@ from pyspark.sql import functions as F
 
 from txlake.llm.common import buckets_for, doc_chunks, span_hashes, text_bytes
 
-BLOCK_CHARS = 8 << 20
+BLOCK_CHARS = 4 << 20
 #: Text bytes for each bucket of distinct words.
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES = 8 << 20
 
 SEP, LETTER, NUMBER, OTHER, SPACE, SPECIAL = range(6)
 #: Unicode white space (fixed values of the pattern's \\s).
