@@ -5,11 +5,12 @@
    sets form one class; only class representatives (smallest id) go on, so a
    group of copies of any size costs one row.
 2. Candidates: ``BANDS`` bands of ``BAND_ROWS`` MinHash values.  Members of a
-   band bucket are first paired with the bucket's smallest member only.
+   band bucket are led by its smallest one; each is first paired with one leader
+   only, that of most of its buckets.
 3. Verification: the signatures are compared in batches; after each batch a pair
    is dropped when the posterior probability that its similarity reaches the
-   threshold is below ``MISS`` (uniform prior: a Beta tail).  The survivors are
-   verified exactly on their full shingle sets, made again from the texts.
+   threshold is below a share of ``MISS`` (uniform prior: a Beta tail; the shares
+   of all batches add up to ``MISS``).  The survivors are verified exactly on their full shingle sets, made again from the texts.
 4. Components of the verified pairs.  In buckets whose members are still in more
    than one component, the members outside the largest one are paired with a
    random member of it, another one in every bucket and round, while that links
@@ -128,7 +129,9 @@ def least_matches(batch: int, n: int, threshold: float, miss: float) -> int:
 
 
 def bounds_table(percent: int, miss: float) -> np.ndarray:
-    return np.array([least_matches(BATCH, n, percent / 100, miss) for n in range(BATCH, N_HASHES + 1, BATCH)])
+    """``miss`` bounds the chance over all batches."""
+    each = miss / (N_HASHES // BATCH)
+    return np.array([least_matches(BATCH, n, percent / 100, each) for n in range(BATCH, N_HASHES + 1, BATCH)])
 
 
 def survives(a: np.ndarray, b: np.ndarray, least: np.ndarray) -> np.ndarray:
@@ -234,7 +237,10 @@ def near_duplicates(
         both = pairs.join(sig("a", "sig_a"), "a").join(sig("b", "sig_b"), "b")
         return both.mapInPandas(_prune(percent, miss), "a long, b long").distinct()
 
-    first = members.select(F.col("rep").alias("a"), F.col("lead").alias("b")).where("a <> b").distinct()
+    # one pair a member: with the leader of most of its buckets
+    shares = members.where("rep <> lead").groupBy("rep", "lead").agg(F.count(F.lit(1)).alias("n"))
+    best = shares.groupBy("rep").agg(F.max(F.struct("n", (-F.col("lead")).alias("low"))).alias("best"))
+    first = best.select(F.col("rep").alias("a"), (-F.col("best.low")).alias("b"))
     links = verify(surviving(first), docs, width, percent, "near_first")
     comps = written(connected_components(links, "a", "b", "near1"), "near_comps")
     salt, tried, linked = 0, 1, 1
@@ -308,7 +314,10 @@ def _random_leaders(members: DataFrame, comps: DataFrame, salt: int) -> DataFram
         .agg(F.min(F.struct(F.xxhash64("rep", "key", F.lit(salt)).alias("h"), "rep")).alias("lead"))
         .select("key", F.col("lead.rep").alias("b"))
     )
-    return open_.where("comp <> main").select("key", F.col("rep").alias("a")).join(lead, "key").select("a", "b").distinct()
+    # one pair a member and round, in a random one of its open buckets
+    one = open_.where("comp <> main").groupBy(F.col("rep").alias("a"))
+    pick = one.agg(F.min(F.struct(F.xxhash64("rep", "key", F.lit(-salt)).alias("h"), "key")).alias("pick"))
+    return pick.select("a", F.col("pick.key").alias("key")).join(lead, "key").select("a", "b")
 
 
 def _cross(members: DataFrame, classes: DataFrame, comps: DataFrame, percent: int, miss: float) -> DataFrame:
@@ -316,14 +325,14 @@ def _cross(members: DataFrame, classes: DataFrame, comps: DataFrame, percent: in
     least = bounds_table(percent, miss)
     placed, mixed = _placed(members, comps)
     open_ = written(
-        placed.join(mixed, "key").join(classes.select("rep", "sig"), "rep"),
+        placed.join(mixed, "key").join(classes.select("rep", "sig", "bands"), "rep"),
         "near_open",
     )
 
     def chunks(df: DataFrame, size: str, side: str) -> DataFrame:
         """Members of a bucket, ``CHUNK`` or so to a row."""
         part = F.pmod(F.xxhash64("rep"), F.ceil(F.col(size) / CHUNK)).alias("part")
-        columns = [F.collect_list(c).alias(f"{c}_{side}") for c in ("rep", "comp", "sig")]
+        columns = [F.collect_list(c).alias(f"{c}_{side}") for c in ("rep", "comp", "sig", "bands")]
         return df.groupBy("key", "band", part).agg(*columns).drop("part")
 
     def compare(batches):
@@ -335,8 +344,8 @@ def _cross(members: DataFrame, classes: DataFrame, comps: DataFrame, percent: in
                 if not len(i):
                     continue
                 # a pair is compared in the first bucket that it shares only
-                earlier = (x[i, : r.band * BAND_ROWS] == y[j, : r.band * BAND_ROWS]).reshape(len(i), r.band, BAND_ROWS)
-                fresh = ~earlier.all(axis=2).any(axis=1)
+                p, q = np.stack(list(r.bands_a)), np.stack(list(r.bands_b))
+                fresh = ~(p[i, : r.band] == q[j, : r.band]).any(axis=1)
                 i, j = i[fresh], j[fresh]
                 ok = survives(x[i], y[j], least)
                 a, b = np.asarray(r.rep_a)[i[ok]], np.asarray(r.rep_b)[j[ok]]
