@@ -35,7 +35,6 @@ table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import math
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -67,8 +66,17 @@ def _uniform(seed: np.ndarray, k: int) -> np.ndarray:
     return (mix64(seed + np.uint64((k * 0x9E3779B97F4A7C15) & (2**64 - 1))) >> np.uint64(11)) / float(1 << 53)
 
 
-@lru_cache(maxsize=4)
+#: Laws made before, by discount (a plain dict, as functions travel by value).
+_LAWS: dict[float, list[np.ndarray]] = {}
+
+
 def _table_laws(d: float) -> list[np.ndarray]:
+    if d not in _LAWS:
+        _LAWS[d] = _make_laws(d)
+    return _LAWS[d]
+
+
+def _make_laws(d: float) -> list[np.ndarray]:
     """For n customers, the logarithm of q(n, t) / (t - 1)! for t = 1..n, where
     a^t S_d(n, t) is in proportion to (a / d)^(t - 1) / (t - 1)! * q(n, t) and
     q(n + 1, t) (n - d) = d (t - 1) q(n, t - 1) + (n - d t) q(n, t)."""
