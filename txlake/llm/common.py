@@ -2,7 +2,7 @@
 
 * ``words`` / ``word_spans``: the word rule of the package (runs of bytes that
   are not 0x20 or 0x09-0x0D, A-Z lower-cased), as a column and in numpy.
-* ``WordHash``: 64-bit hashes of all words of a byte block, vectorized.
+* ``span_hashes``: 64-bit hashes of all words of a block, vectorized.
 * ``written``: an intermediate table in the folder of ``spark.checkpoint.dir``.
 * ``buckets_for``: number of hash buckets from the measured size of an input.
 * ``connected_components``: smallest reachable id by alternating star steps.
@@ -10,6 +10,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 
 import numpy as np
@@ -133,20 +134,36 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POW[0][:n], _POW[1][:n]
 
 
+#: Spans of more bytes are hashed one by one.
+LONG_SPAN = 1024
+
+
 def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hash of each span of bytes (or of 32-bit code points), equal for
-    equal content wherever it stands: a polynomial over random values modulo
-    2^64, shifted to exponent 0 by the inverse multiplier, then mixed with the
-    length."""
+    equal content wherever it stands: eight bytes at a time are added to the state,
+    which is mixed in between, all spans at once."""
     if not len(starts):
         return np.empty(0, dtype=np.uint64)
-    power, inverse = powers(len(buf) + 1)
-    acc = np.empty(len(buf) + 1, dtype=np.uint64)
-    acc[0] = 0
-    values = _TABLE[buf] if buf.dtype == np.uint8 else mix64(buf.astype(np.uint64) + np.uint64(_MULT))
-    np.cumsum(values * power[: len(buf)], out=acc[1:])
-    h = (acc[ends] - acc[starts]) * inverse[starts]
-    return mix64(h + (ends - starts).astype(np.uint64))
+    raw = np.ascontiguousarray(buf).view(np.uint8)
+    at = np.asarray(starts, dtype=np.int64) * buf.itemsize
+    size = np.asarray(ends, dtype=np.int64) * buf.itemsize - at
+    padded = np.concatenate([raw, np.zeros(8, dtype=np.uint8)])
+    eights = np.lib.stride_tricks.as_strided(padded[:8].view("<u8"), shape=(len(raw) + 1,), strides=(1,))
+    h = mix64(size.astype(np.uint64) + np.uint64(_MULT))
+    for i in np.flatnonzero(size > LONG_SPAN):
+        body = raw[at[i] : at[i] + size[i]].tobytes()
+        h[i] = np.frombuffer(hashlib.blake2b(body, digest_size=8).digest(), dtype="<u8")[0]
+    left = np.flatnonzero((size > 0) & (size <= LONG_SPAN))
+    k = 0
+    while len(left):
+        word = eights[at[left] + 8 * k]
+        rest = size[left] - 8 * k
+        spare = np.minimum(rest, 8).astype(np.uint64)
+        word &= np.uint64(0xFFFFFFFFFFFFFFFF) >> (np.uint64(64) - np.uint64(8) * spare)
+        h[left] = mix64((h[left] ^ word) * np.uint64(0x9FB21C651E98DF25) + np.uint64(k + 1))
+        left = left[rest > 8]
+        k += 1
+    return h
 
 
 def doc_chunks(pdf: pd.DataFrame, text_col: str, chunk_bytes: int = 1 << 19):
