@@ -37,7 +37,7 @@ from txlake.operators.dimensions import SINGLE_TASK_ROWS
 from txlake.operators.fact import YEAR_COLUMN, broken_rules
 from txlake.operators.joins import row_bytes
 from txlake.schemas import FACT_COLUMNS
-from txlake.session import size_session
+from txlake.session import scratch_tables, size_session
 from txlake.sources import (
     materialize,
     read_raw_csv,
@@ -123,9 +123,10 @@ def run_batch(
     root = lake_root.rstrip("/")
     load = f"{root}/_load/{uuid.uuid4().hex}"
     try:
-        result = _load_tables(
-            spark, csv_path, load, keep, week_start, max_records_per_file, dedup_strategy, split_rejects, divert_malformed, csv_options
-        )
+        with scratch_tables(spark):
+            result = _load_tables(
+                spark, csv_path, load, keep, week_start, max_records_per_file, dedup_strategy, split_rejects, divert_malformed, csv_options
+            )
         if not result.raw_rows:
             raise ValueError(f"no rows in {csv_path}; the tables under {root} are unchanged")
         for name in TABLES:

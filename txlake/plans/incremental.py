@@ -33,6 +33,7 @@ from txlake.operators.dimensions import (
 )
 from txlake.operators.fact import YEAR_COLUMN, broken_rules
 from txlake.operators.joins import row_bytes
+from txlake.session import scratch_tables
 from txlake.sources import materialize, read_table, write_table
 from txlake.sources.files import delete_path, path_exists
 
@@ -165,7 +166,11 @@ def reload_window(
     Rows of the export that are dated in other years (or not at all) replace their
     earlier versions there.  A row that was accepted and is rejected now leaves the
     fact, and the other way round."""
-    root = lake_root.rstrip("/")
+    with scratch_tables(spark):
+        return _reload(spark, lake_root.rstrip("/"), raw, years, keep, week_start)
+
+
+def _reload(spark: SparkSession, root: str, raw: DataFrame, years: list[int], keep: str, week_start: str) -> ReloadResult:
     obs = Observation()
     clean = materialize(clean_transactions(raw, keep=keep), "reload_clean", obs, F.count(F.lit(1)).alias("n"))
     dims = extend_dimensions(spark, root, clean, week_start)

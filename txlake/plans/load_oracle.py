@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from txlake.plans.oracle import CLEAN_CTE, DIM_KEYS, DIRTY_STAR_CTE, EVENTS_SQL, RULES, SMALLINT_MAX, SMALLINT_MIN, with_cte
+from txlake.plans.oracle import CLEAN_CTE, DIM_KEYS, DIRTY_CTE, DIRTY_STAR_CTE, EVENTS_SQL, RULES, SMALLINT_MAX, SMALLINT_MIN
+from txlake.plans.oracle import clean_cte as _clean_cte
+from txlake.plans.oracle import with_cte
 
 _FLAT = (
     "transaction_id, listing_id, property_type, region, city, surface_m2, price_mad, "
@@ -141,6 +143,54 @@ def _verdict(rule: tuple) -> str:
 
 VERDICTS = with_cte(DIRTY_STAR_CTE, "\nUNION ALL\n".join(_verdict(r) for r in RULES + _MORE_RULES))
 
+_NUMBERS = {
+    "price_mad": "CAST(price_mad * 100 AS BIGINT)",
+    "surface_m2": "CAST(surface_m2 * 10 AS BIGINT)",
+    "transaction_date": "CAST(transaction_date - DATE '1970-01-01' AS BIGINT)",
+}
+_TEXTS = ["property_type", "region", "city", "registration_status", "source_office"]
+
+
+def _long(table: str) -> str:
+    return " UNION ALL ".join(f"SELECT '{n}' AS column_name, {e} AS v FROM {table}" for n, e in _NUMBERS.items())
+
+
+def _profile(table: str) -> str:
+    numbers = f"""
+SELECT column_name, CASE WHEN v IS NULL THEN NULL ELSE 'b' || (SELECT count(*) FROM bounds b WHERE b.column_name = l.column_name AND b.v < l.v) END AS bin
+FROM ({_long(table)}) l"""
+    texts = " UNION ALL ".join(f"SELECT '{c}', {c} FROM {table}" for c in _TEXTS)
+    return f"SELECT column_name, bin, count(*) AS n FROM ({numbers} UNION ALL {texts}) GROUP BY ALL"
+
+
+# the dirty export is derived beside the clean one, under other names
+_DIRTY = _clean_cte("raw_dirty").replace("cleaned", "cleaned_dirty").replace("clean AS (", "clean_dirty AS (")
+DRIFT = with_cte(
+    DIRTY_CTE
+    + _clean_cte("raw")
+    + _DIRTY
+    + f""",
+ranked AS (
+  SELECT column_name, v, row_number() OVER (PARTITION BY column_name ORDER BY v) AS place,
+         count(*) OVER (PARTITION BY column_name) AS n
+  FROM ({_long('clean')}) WHERE v IS NOT NULL
+),
+bounds AS (
+  SELECT DISTINCT column_name, v FROM ranked, range(1, 10) AS t(i) WHERE place = (n * i + 9) // 10
+),
+one AS ({_profile('clean')}),
+two AS ({_profile('clean_dirty')}),
+joined AS (
+  SELECT coalesce(one.column_name, two.column_name) AS column_name, coalesce(one.n, 0) AS a, coalesce(two.n, 0) AS b
+  FROM one FULL JOIN two ON one.column_name = two.column_name AND one.bin IS NOT DISTINCT FROM two.bin
+),
+totals AS (SELECT column_name, sum(a)::BIGINT AS n_first, sum(b)::BIGINT AS n_second FROM joined GROUP BY ALL)""",
+    """
+SELECT column_name, n_first, n_second,
+       CAST(sum(abs(a::HUGEINT * n_second - b::HUGEINT * n_first)) AS DOUBLE) / (n_first::DOUBLE * n_second::DOUBLE * 2) AS distance
+FROM joined JOIN totals USING (column_name) GROUP BY column_name, n_first, n_second""",
+)
+
 _EVENTS = f"parsed AS (SELECT ev.*, src.event_id, src.ts FROM ({EVENTS_SQL.strip()}) ev JOIN events src ON ev.transaction_id = printf('STREAM%07d', src.event_id))"
 
 STAR = with_cte(
@@ -193,6 +243,7 @@ def oracle_sql() -> dict[str, str]:
         "price_cube_incremental": CUBE,
         "price_median_by_type": MEDIAN,
         "rule_verdicts_dirty": VERDICTS,
+        "load_drift": DRIFT,
         "stream_to_star": STAR,
         "stream_dedup": DEDUP,
         "stream_late_rows": LATE,

@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 
 from txlake.operators import RULES, clean_transactions, flatten, star_join
 from txlake.operators.cube import add_load, exact_quantiles, price_cells, price_cube, stored_cells
+from txlake.operators.drift import drift, drift_bounds, load_profile, transaction_columns
 from txlake.operators.history import as_of_join, validity_intervals
 from txlake.operators.verdicts import compile_rules, rule_verdicts
 from txlake.plans.batch import build_star, load_star, run_batch
 from txlake.plans.incremental import extend_dimensions, reload_window
 from txlake.schemas import EVENT_COLUMNS
 from txlake.session import shared_dir
-from txlake.sources import event_messages, raw_transactions, raw_transactions_dirty, write_csv
+from txlake.sources import event_messages, raw_transactions, raw_transactions_dirty, read_table, write_csv, write_table
 from txlake.sources.fixtures import padded, table
 from txlake.sources.streams import text_stream
 from txlake.streaming.star import load_batch, run_available_to_star, stream_facts
@@ -130,6 +131,17 @@ def rule_verdicts_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rule_verdicts(star.fact, star.dims, RULES + compile_rules(MORE_RULES))
 
 
+def load_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dirty export against the clean one, by stored profiles."""
+    columns, path = transaction_columns(), shared_dir(spark, "profiles")
+    clean = clean_transactions(raw_transactions(spark, sf_dir))
+    write_table(drift_bounds(clean, columns), f"{path}/bounds")
+    bounds = read_table(spark, f"{path}/bounds")
+    write_table(load_profile(clean, columns, bounds), f"{path}/first")
+    write_table(load_profile(clean_transactions(raw_transactions_dirty(spark, sf_dir)), columns, bounds), f"{path}/second")
+    return drift(read_table(spark, f"{path}/first"), read_table(spark, f"{path}/second"))
+
+
 # --- streams -------------------------------------------------------------------
 
 
@@ -201,6 +213,7 @@ QUERIES = {
     "price_cube_incremental": price_cube_incremental,
     "price_median_by_type": price_median_by_type,
     "rule_verdicts_dirty": rule_verdicts_dirty,
+    "load_drift": load_drift,
     "stream_to_star": stream_to_star,
     "stream_dedup": stream_dedup,
     "stream_late_rows": stream_late_rows,

@@ -153,7 +153,7 @@ _CLEAN_ORDER = ", ".join(
 )
 
 
-def _clean_cte(source: str) -> str:
+def clean_cte(source: str) -> str:
     return f""",
 cleaned AS (
   SELECT
@@ -171,7 +171,7 @@ clean AS (
 )"""
 
 
-CLEAN_CTE = RAW_CTE + _clean_cte("raw")
+CLEAN_CTE = RAW_CTE + clean_cte("raw")
 
 
 def _dim_date_cte(dow: str) -> str:
@@ -238,7 +238,7 @@ raw_dirty AS (
          source_office, transaction_date FROM dirty WHERE k % 43 = 19
 )"""
 )
-DIRTY_CLEAN_CTE = DIRTY_CTE + _clean_cte("raw_dirty")
+DIRTY_CLEAN_CTE = DIRTY_CTE + clean_cte("raw_dirty")
 DIRTY_STAR_CTE = DIRTY_CLEAN_CTE + _STAR
 
 _NOT_NULL = [columns for table_name, kind, columns, _ in RULES if (table_name, kind) == ("fact_transactions", "not_null")]
@@ -370,7 +370,7 @@ def oracle_sql() -> dict[str, str]:
     sql = {
         "csv_scan_raw": with_cte(RAW_CSV_CTE, f"SELECT {_RAW_COLS} FROM raw_csv"),
         "raw_zone_parquet": with_cte(RAW_CSV_CTE, f"SELECT {_RAW_COLS} FROM raw_csv"),
-        "raw_replay": with_cte(RAW_CSV_CTE + _clean_cte("raw_csv"), f"SELECT {clean_cols} FROM clean"),
+        "raw_replay": with_cte(RAW_CSV_CTE + clean_cte("raw_csv"), f"SELECT {clean_cols} FROM clean"),
         "dedup_by_key": with_cte(
             RAW_CTE,
             f"""SELECT {_RAW_COLS} FROM raw

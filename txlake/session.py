@@ -15,6 +15,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -129,7 +131,29 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+_scratch: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
+
+
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A fresh, unique folder under the shared checkpoint location."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
-    return "/".join([root, "txlake", *parts, uuid.uuid4().hex])
+    path = "/".join([root, "txlake", *parts, uuid.uuid4().hex])
+    if _scratch.get() is not None:
+        _scratch.get().append(path)
+    return path
+
+
+@contextmanager
+def scratch_tables(spark: SparkSession):
+    """Folders made by ``shared_dir`` inside are deleted at the end: for jobs whose
+    results lie elsewhere, so that no intermediate table outlives them."""
+    made: list[str] = []
+    token = _scratch.set(made)
+    try:
+        yield
+    finally:
+        _scratch.reset(token)
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in made:
+            folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(conf).delete(folder, True)

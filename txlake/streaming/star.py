@@ -17,6 +17,7 @@ from txlake.operators import build_fact, dedup_by_key
 from txlake.operators.fact import broken_rules
 from txlake.schemas import PRICE_TYPE, RAW_COLUMNS, SURFACE_TYPE
 from txlake.functions import city_clean, date_parse
+from txlake.session import scratch_tables
 from txlake.sources import materialize, write_table
 from txlake.streaming.events import parse_events
 
@@ -42,12 +43,13 @@ def load_batch(messages: DataFrame, batch_id: int, lake_root: str) -> None:
     from txlake.plans.incremental import extend_dimensions
 
     spark, root = messages.sparkSession, lake_root.rstrip("/")
-    clean = materialize(clean_events(parse_events(messages)), "stream_clean")
-    dims = extend_dimensions(spark, root, clean)
-    tagged = materialize(broken_rules(build_fact(clean, dims)), "stream_fact")
-    accepted = tagged.where("broken_rules = ''").drop("broken_rules")
-    write_table(accepted, f"{root}/fact_stream/{BATCH}={batch_id}")
-    write_table(tagged.where("broken_rules <> ''"), f"{root}/fact_stream_rejects/{BATCH}={batch_id}")
+    with scratch_tables(spark):
+        clean = materialize(clean_events(parse_events(messages)), "stream_clean")
+        dims = extend_dimensions(spark, root, clean)
+        tagged = materialize(broken_rules(build_fact(clean, dims)), "stream_fact")
+        accepted = tagged.where("broken_rules = ''").drop("broken_rules")
+        write_table(accepted, f"{root}/fact_stream/{BATCH}={batch_id}")
+        write_table(tagged.where("broken_rules <> ''"), f"{root}/fact_stream_rejects/{BATCH}={batch_id}")
 
 
 def start_stream_to_star(
