@@ -45,6 +45,8 @@ SELECT CAST((SELECT max(location_id) FROM first_load) + row_number() OVER (ORDER
 FROM (SELECT DISTINCT region, city FROM clean WHERE region NOT IN ('AMERICA', 'EUROPE'))""",
 )
 
+AGAINST_LAKE = with_cte(CLEAN_CTE, f"SELECT {_FLAT} FROM clean WHERE {_K} % 2 = 0 AND {_K} % 3 = 0")
+
 _CHANGES = """
 changes AS (
   SELECT printf('LST%07d', l_orderkey) AS listing_id, CAST(l_shipdate AS DATE) AS changed_on,
@@ -238,6 +240,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "fact_reload_window": RELOAD,
         "dim_location_second_load": SECOND_LOAD,
+        "dedup_against_lake": AGAINST_LAKE,
         "listing_status_intervals": INTERVALS,
         "listing_status_as_of": AS_OF,
         "price_cube_incremental": CUBE,

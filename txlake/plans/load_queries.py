@@ -9,12 +9,21 @@ from txlake.operators import RULES, clean_transactions, flatten, star_join
 from txlake.operators.cube import add_load, exact_quantiles, price_cells, price_cube, stored_cells
 from txlake.operators.drift import drift, drift_bounds, load_profile, transaction_columns
 from txlake.operators.history import as_of_join, validity_intervals
+from txlake.operators.lake_dedup import dedup_against_lake, store_by_id
 from txlake.operators.verdicts import compile_rules, rule_verdicts
 from txlake.plans.batch import build_star, load_star, run_batch
 from txlake.plans.incremental import extend_dimensions, reload_window
 from txlake.schemas import EVENT_COLUMNS
 from txlake.session import shared_dir
-from txlake.sources import event_messages, raw_transactions, raw_transactions_dirty, read_table, write_csv, write_table
+from txlake.sources import (
+    event_messages,
+    materialize,
+    raw_transactions,
+    raw_transactions_dirty,
+    read_table,
+    write_csv,
+    write_table,
+)
 from txlake.sources.fixtures import padded, table
 from txlake.sources.streams import text_stream
 from txlake.streaming.star import load_batch, run_available_to_star, stream_facts
@@ -62,6 +71,18 @@ def dim_location_second_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extend_dimensions(spark, root, clean_transactions(raw)).location.df
 
 
+BUCKETS = 16
+
+
+def dedup_against_lake_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lake holds two thirds of the listings; a load of every second one arrives."""
+    path = shared_dir(spark, "lake_by_id")
+    clean = clean_transactions(raw_transactions(spark, sf_dir))
+    store_by_id(clean.where(_key() % 3 != 0), path, "transaction_id", BUCKETS)
+    load = materialize(clean.where(_key() % 2 == 0), "second_load")
+    return dedup_against_lake(load, path, "transaction_id", BUCKETS)
+
+
 # --- history -------------------------------------------------------------------
 
 
@@ -208,6 +229,7 @@ def stream_hourly_by_region(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "fact_reload_window": fact_reload_window,
     "dim_location_second_load": dim_location_second_load,
+    "dedup_against_lake": dedup_against_lake_q,
     "listing_status_intervals": listing_status_intervals,
     "listing_status_as_of": listing_status_as_of,
     "price_cube_incremental": price_cube_incremental,
