@@ -205,7 +205,12 @@ def _member(x: np.ndarray, sorted_: np.ndarray) -> np.ndarray:
     return sorted_[np.minimum(np.searchsorted(sorted_, x), len(sorted_) - 1)] == x
 
 
-TOKENS = "bucket int, block long, ids array<long>, held binary, words binary, u binary, w binary, doc binary"
+#: ``texts``: numbers in the block of the texts that have tokens in the row, ``train``:
+#: whether they train, ``doc``: positions in ``texts``.  The ids of all texts of a block
+#: and whether they are held out travel once, with its first row.
+TOKENS = (
+    "bucket int, block long, ids array<long>, held binary, texts binary, train binary, words binary, u binary, w binary, doc binary"
+)
 
 
 def _tokens(n_buckets: int, hot: np.ndarray):
@@ -217,7 +222,7 @@ def _tokens(n_buckets: int, hot: np.ndarray):
             for chunk in doc_chunks(pdf, "text", BLOCK_CHARS):
                 block, seq = (part << 32) | seq, seq + 1
                 ids = [None if d is None or d != d else int(d) for d in chunk["doc_id"]]
-                held = _pack(held_out_py(chunk["doc_id"], FOLDS).astype(np.uint8))
+                held = held_out_py(chunk["doc_id"], FOLDS).astype(np.uint8)
                 u, w, doc = block_tokens(chunk["text"])
                 key = np.where(_member(u, hot), mix64(u * np.uint64(3) + w), mix64(u))
                 bucket = (key % np.uint64(n_buckets)).astype(np.int32)
@@ -230,10 +235,13 @@ def _tokens(n_buckets: int, hot: np.ndarray):
                         continue
                     words, code = np.unique(np.concatenate((u[mine], w[mine])), return_inverse=True)
                     code = code.astype(np.uint32)
+                    texts, at = np.unique(doc[mine], return_inverse=True)
+                    whole = (None, None) if rows else (ids, _pack(held))
+                    mates = _pack(np.diff(texts.astype(np.uint32), prepend=np.uint32(0))), _pack(1 - held[texts])
                     rows.append(
-                        (b, block, ids, held, _pack(np.diff(words, prepend=np.uint64(0))), _pack(np.diff(code[: len(mine)], prepend=np.uint32(0))), _pack(code[len(mine) :]), _pack(doc[mine].astype(np.uint32)))
+                        (b, block, *whole, *mates, _pack(np.diff(words, prepend=np.uint64(0))), _pack(np.diff(code[: len(mine)], prepend=np.uint32(0))), _pack(code[len(mine) :]), _pack(at.astype(np.uint32)))
                     )
-                yield pd.DataFrame(rows, columns=["bucket", "block", "ids", "held", "words", "u", "w", "doc"])
+                yield pd.DataFrame(rows, columns=["bucket", "block", "ids", "held", "texts", "train", "words", "u", "w", "doc"])
 
     return run
 
@@ -247,10 +255,10 @@ class Bucket:
         self.words = np.unique(np.concatenate(lists))
         n = len(self.words)
         keys, train = [], []
-        for words, u, w, doc, held in zip(lists, self.rows["u"], self.rows["w"], self.rows["doc"], self.rows["held"], strict=True):
+        for words, u, w, doc, trains in zip(lists, self.rows["u"], self.rows["w"], self.rows["doc"], self.rows["train"], strict=True):
             code = np.searchsorted(self.words, words)
             keys.append(code[np.cumsum(_unpack(u, np.uint32), dtype=np.uint32)] * n + code[_unpack(w, np.uint32)])
-            train.append(_unpack(held, np.uint8)[_unpack(doc, np.uint32)] == 0)
+            train.append(_unpack(trains, np.uint8)[_unpack(doc, np.uint32)] > 0)
         pair, self.of = np.unique(np.concatenate(keys), return_inverse=True)
         self.u, self.w = pair // n, pair % n
         self.c = np.bincount(self.of, weights=np.concatenate(train), minlength=len(pair)).astype(np.int64)
@@ -404,13 +412,13 @@ def _last_reply(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"last": [_pack(np.concatenate((u, t)).ravel())]})
 
 
-SCORES = "block long, ids array<long>, held binary, n binary, known binary, base binary, score binary, train long"
+SCORES = "block long, ids array<long>, held binary, texts binary, n binary, known binary, base binary, score binary, train long"
 
 
 def _scores(hot: np.ndarray, n_parts: int):
     def run(tokens: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
         if not len(tokens):
-            return pd.DataFrame(columns=["block", "ids", "held", "n", "known", "base", "score", "train"])
+            return pd.DataFrame(columns=["block", "ids", "held", "texts", "n", "known", "base", "score", "train"])
         b = Bucket(tokens, hot)
         parent = Parent(b, replies, n_parts)
         seated = _sampled(b, parent)
@@ -426,23 +434,25 @@ def _scores(hot: np.ndarray, n_parts: int):
         out, at = [], 0
         for r in b.rows.itertuples(index=False):
             doc = _unpack(r.doc, np.uint32)
-            of, n = b.of[at : at + len(doc)], len(r.ids)
+            of, n = b.of[at : at + len(doc)], int(doc.max()) + 1
             at += len(doc)
             per = lambda x: np.bincount(doc, weights=x, minlength=n)  # noqa: E731, B023
             out.append(
-                (r.block, r.ids, r.held, _pack(np.bincount(doc, minlength=n).astype(np.uint32)), _pack(per(counts[of] > 0).astype(np.uint32)), _pack(per(base[of])), _pack(per(logp[of])), int(parent.tokens))
+                (r.block, r.ids, r.held, r.texts, _pack(np.bincount(doc, minlength=n).astype(np.uint32)), _pack(per(counts[of] > 0).astype(np.uint32)), _pack(per(base[of])), _pack(per(logp[of])), int(parent.tokens))
             )
-        return pd.DataFrame(out, columns=["block", "ids", "held", "n", "known", "base", "score", "train"])
+        return pd.DataFrame(out, columns=["block", "ids", "held", "texts", "n", "known", "base", "score", "train"])
 
     return run
 
 
 def _add_up(pdf: pd.DataFrame) -> pd.DataFrame:
-    first = pdf.iloc[0]
-    total = lambda col, kind: np.sum([_unpack(x, kind).astype(np.float64) for x in pdf[col]], axis=0)
+    first = pdf[pdf["held"].notna()].iloc[0]
+    held = _unpack(first["held"], np.uint8) > 0
+    texts = np.concatenate([np.cumsum(_unpack(x, np.uint32), dtype=np.uint32) for x in pdf["texts"]])
+    total = lambda col, kind: np.bincount(texts, weights=np.concatenate([_unpack(x, kind) for x in pdf[col]]), minlength=len(held))
     out = pd.DataFrame(
         {
-            "held_out": _unpack(first["held"], np.uint8) > 0,
+            "held_out": held,
             "n_tokens": total("n", np.uint32).astype(np.int64),
             "n_known": total("known", np.uint32).astype(np.int64),
             "train_tokens": int(first["train"]),
