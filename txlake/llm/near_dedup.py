@@ -5,8 +5,8 @@
    sets form one class; only class representatives (smallest id) go on, so a
    group of copies of any size costs one row.
 2. Candidates: ``BANDS`` bands of ``BAND_ROWS`` MinHash values.  Members of a
-   band bucket are led by its smallest one; each is first paired with one leader
-   only, that of most of its buckets.
+   band bucket are led by the one that meets most others in all its buckets; each
+   is first paired with one leader only, that of most of its own buckets.
 3. Verification: the signatures are compared in batches; after each batch a pair
    is dropped when the posterior probability that its similarity reaches the
    threshold is below a share of ``MISS`` (uniform prior: a Beta tail; the shares
@@ -226,11 +226,19 @@ def near_duplicates(
     )
     rows = classes.select(F.posexplode("bands").alias("band", "key"), "rep")
     shared = written(
-        rows.groupBy("key").agg(F.min("rep").alias("lead"), F.max("rep").alias("last")).where("lead < last").drop("last"),
+        rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("low"), F.max("rep").alias("last"))
+        .where("low < last")
+        .select("key", "n"),
         "near_buckets",
     )
     # only members of buckets of two and more go on
     members = written(rows.join(shared, "key").distinct(), "near_members")
+    # a bucket is led by its member that meets most others in all its buckets: in a
+    # group of copies that differ here and there, the text they were copied from
+    mates = members.groupBy("rep").agg(F.sum("n").alias("mates"))
+    lead = F.max(F.struct("mates", (-F.col("rep")).alias("low"))).alias("lead")
+    leads = members.join(mates, "rep").groupBy("key").agg(lead).select("key", (-F.col("lead.low")).alias("lead"))
+    led = members.select("key", "rep").join(leads, "key")
     sig = lambda c, s: classes.select(F.col("rep").alias(c), F.col("sig").alias(s))
 
     def surviving(pairs: DataFrame) -> DataFrame:
@@ -238,7 +246,7 @@ def near_duplicates(
         return both.mapInPandas(_prune(percent, miss), "a long, b long").distinct()
 
     # one pair a member: with the leader of most of its buckets
-    shares = members.where("rep <> lead").groupBy("rep", "lead").agg(F.count(F.lit(1)).alias("n"))
+    shares = led.where("rep <> lead").groupBy("rep", "lead").agg(F.count(F.lit(1)).alias("n"))
     best = shares.groupBy("rep").agg(F.max(F.struct("n", (-F.col("lead")).alias("low"))).alias("best"))
     first = best.select(F.col("rep").alias("a"), (-F.col("best.low")).alias("b"))
     links = verify(surviving(first), docs, width, percent, "near_first")
