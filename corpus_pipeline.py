@@ -18,6 +18,9 @@ from txlake.llm import bpe, decontaminate, near_dedup, quality, secrets
 from txlake.llm.common import fresh, table, written
 from txlake.llm.queries import tokenizer_path
 
+#: Documents of a batch in the token stage.
+BATCH_ROWS = 500
+
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose predicted quality is 1."""
@@ -57,7 +60,10 @@ def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of every document left."""
+    """Token counts and digests of every document left.  Texts reach the tasks in
+    batches of ``BATCH_ROWS`` (a setting of the session), so that a batch of long
+    texts stays small beside the words that a task holds."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return bpe.token_digests(docs, tokenizer_path())
 
 
