@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 
 from llm_cases import docs, edge_rows
 
@@ -65,3 +66,31 @@ def test_overlapping_live_spans_are_masked_once(spark):
     value = "0123456789abcdef0123456789abcdef"
     text = f"a token={value} b"
     assert secrets.mask_secrets(docs(spark, [(1, text)])).first().text == "a token=[SECRET] b"
+
+
+def test_a_credential_of_two_owners_is_shared_and_masked(spark):
+    rows = [(1, f"token={LIVE}", "s1"), (2, f"my token={LIVE}", "s2"), (3, "token=abcdefghij", "s1"), (4, "token=abcdefghij", "s2")]
+    got = {r.doc_id: r for r in secrets.secret_digest(docs(spark, rows)).collect()}
+    assert [got[d].n_shared for d in (1, 2, 3, 4)] == [1, 1, 0, 0] and not any(r.n_live or r.n_copied for r in got.values())
+    texts = {r.doc_id: r.text for r in secrets.mask_secrets(docs(spark, rows)).collect()}
+    assert texts[1] == "token=[SECRET]" and texts[2] == "my token=[SECRET]" and texts[3] == rows[2][1]
+
+
+def test_masking_cuts_by_code_points(spark):
+    text = f"\ufeff\U0001f600 ü token={LIVE}\ufeff, \U0001f600 secret={LIVE[::-1]} \ufeffend"
+    want = "\ufeff\U0001f600 ü token=[SECRET]\ufeff, \U0001f600 secret=[SECRET] \ufeffend"
+    assert secrets.mask_secrets(docs(spark, [(1, text)])).first().text == want
+
+
+def test_a_text_of_many_matches(spark):
+    """100,000 matches: spans and masked text equal Python's, in time that grows
+    with the matches, not with their square."""
+    keys = [hashlib.md5(str(i).encode()).hexdigest() for i in range(100_000)]
+    text = "é ".join(keys)
+    start = time.time()
+    found = secrets.scan_secrets(docs(spark, [(1, text)])).first()
+    masked = secrets.mask_secrets(docs(spark, [(1, text)])).first().text
+    assert time.time() - start < 120
+    assert [(s.start, s.kind, s.stop) for s in found.base] == [(34 * i, "hex", 34 * i + 32) for i in range(len(keys))]
+    live = [any(c.isalpha() for c in k) and any(c.isdigit() for c in k) and len(set(k)) >= 8 for k in keys]
+    assert masked == "é ".join("[SECRET]" if y else k for k, y in zip(keys, live, strict=True))

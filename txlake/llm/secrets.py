@@ -2,18 +2,20 @@
 
 1. Candidates: the matches of three fixed patterns in every whole text, with
    code-point offsets.  ``split`` and ``regexp_extract_all`` run the same
-   pattern, so the lengths of the pieces and of the matches, summed up, give
-   each match its place.
+   pattern, so the running sum of the lengths of the pieces and of the matches
+   gives each match its place.  The running sums are taken in runs of ``RUN``
+   and carried on from run to run, so a text of n matches costs about n * RUN
+   steps, not n * n.
 2. Ownership: the hash of each candidate value is counted over distinct
    repositories (here a document) and distinct owners (here its source).  The
    counts are nested, (value, owner, repository) -> (value, owner) -> value,
    each step pre-aggregated, so a value in a third of all rows never meets in
    one task.
 3. Verdict: a value of at least ``copied_owners`` owners is a widely copied
-   example (span kind ``copied``); a value of one owner that looks live (enough
-   distinct characters, letters and digits) is a credential of that owner
-   (kind ``live``).  Verdict spans cover the value and are added to the base
-   spans, which all stay.
+   example (span kind ``copied``).  Of the others, those that look live (enough
+   distinct characters, letters and digits) are credentials: ``live`` under one
+   owner, ``shared`` under several.  Verdict spans cover the value and are added
+   to the base spans, which all stay.
 
 Defined cases: a null text is empty and has no spans; a null owner counts as
 one owner of its own; repeated rows give repeated result rows and count once as
@@ -38,56 +40,94 @@ KINDS = [
 #: A text without a match of this has no match of the three patterns.
 ANY = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]|AKIA[A-Z0-9]{12}|[0-9a-f]{32}"""
 
-EMPTY = "array<struct<start:long,k:int,kind:string,stop:long,vstart:long,value:string>>"
-
-
-def kind_spans(text: Column, k: int, kind: str, pattern: str, group: int, least: int) -> Column:
-    """Array of (start, k, kind, stop, vstart, value), leftmost first.
-
-    ``access`` and ``hex`` carry their least length in the pattern: a maximal
-    run below it holds no other match, so this equals dropping short matches.
-    The value always ends its match."""
-    pattern = F.lit(pattern)
-    pieces = F.transform(F.split(text, pattern, -1), lambda p: F.length(p).cast("long"))
-    whole = F.regexp_extract_all(text, pattern, F.lit(0))
-    values = F.regexp_extract_all(text, pattern, F.lit(group)) if group else whole
-    folded = F.aggregate(
-        F.arrays_zip(F.slice(pieces, 1, F.size(whole)).alias("gap"), whole.alias("hit"), values.alias("value")),
-        F.struct(F.lit(0).cast("long").alias("at"), F.expr(f"cast(array() as {EMPTY})").alias("out")),
-        lambda acc, x: F.struct(
-            (acc["at"] + x["gap"] + F.length(x["hit"])).alias("at"),
-            F.concat(
-                acc["out"],
-                F.array(
-                    F.struct(
-                        (acc["at"] + x["gap"]).alias("start"),
-                        F.lit(k).alias("k"),
-                        F.lit(kind).alias("kind"),
-                        (acc["at"] + x["gap"] + F.length(x["hit"])).alias("stop"),
-                        (acc["at"] + x["gap"] + F.length(x["hit"]) - F.length(x["value"])).alias("vstart"),
-                        x["value"].alias("value"),
-                    )
-                ),
-            ).alias("out"),
+#: Verdicts, in the order of their spans after those of ``KINDS``.
+VERDICTS = ["copied", "live", "shared"]
+#: Verdicts of values to be masked.
+CREDENTIALS = ["live", "shared"]
+#: Numbers of a run of ``running``.
+RUN = 256
+
+
+def bound(value: Column, body) -> Column:
+    """``body(value)``, with ``value`` evaluated once however often it is used:
+    the optimizer puts the expression of a column into lambdas that use it, where
+    it would be evaluated for every element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def running(values: Column, merge) -> Column:
+    """Running totals of an array of longs (none negative) under ``merge``, an
+    addition or a maximum."""
+    zero = F.lit(0).cast("long")
+    last = lambda a: F.coalesce(F.try_element_at(a, F.lit(-1)), zero)
+    total = lambda a: F.aggregate(
+        a, F.expr("cast(array() as array<long>)"), lambda out, x: F.concat(out, F.array(merge(last(out), x)))
+    )
+
+    def runs(a: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.floor(F.size(a) / RUN).cast("int"))
+        return F.transform(starts, lambda i: total(F.slice(a, i * RUN + 1, F.lit(RUN))))
+
+    def joined(parts: Column) -> Column:
+        before = F.concat(F.array(zero), total(F.transform(parts, last)))
+        carried = F.zip_with(parts, F.slice(before, F.lit(1), F.size(parts)), lambda run, c: F.transform(run, lambda x: merge(c, x)))
+        return F.flatten(carried)
+
+    return bound(values, lambda a: bound(runs(a), joined))
+
+
+def _plus(a: Column, b: Column) -> Column:
+    return a + b
+
+
+def kind_spans(k: int) -> Column:
+    """Spans of the kind numbered ``k`` from its stops, matches and values."""
+    kind, _, _, least = KINDS[k]
+    one = F.arrays_zip(F.col(f"_stop{k}").alias("stop"), F.col(f"_hit{k}").alias("hit"), F.col(f"_value{k}").alias("value"))
+    all_ = F.transform(
+        one,
+        lambda x: F.struct(
+            (x["stop"] - F.length(x["hit"])).alias("start"),
+            F.lit(k).alias("k"),
+            F.lit(kind).alias("kind"),
+            x["stop"].alias("stop"),
+            (x["stop"] - F.length(x["value"])).alias("vstart"),
+            x["value"].alias("value"),
         ),
-    )["out"]
-    return F.filter(folded, lambda s: F.length(s["value"]) >= least)
+    )
+    return F.filter(all_, lambda s: F.length(s["value"]) >= least)
 
 
 def find_candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source") -> DataFrame:
-    """(doc_id, owner, twin, spans): all base spans of a document by start, then
-    kind.  ``twin`` tells apart rows that share an id."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    none = F.expr(f"cast(array() as {EMPTY})")
-    spans = F.array_sort(F.concat(*[kind_spans(F.col("_t"), k, *kind) for k, kind in enumerate(KINDS)]))
-    return docs.select(
-        F.col(id_col).cast("long").alias("doc_id"), F.col(owner_col).cast("string").alias("owner"), text.alias("_t")
-    ).select(
-        "doc_id",
-        "owner",
-        F.xxhash64("_t", "owner").alias("twin"),
-        F.when(F.col("_t").rlike(ANY), spans).otherwise(none).alias("spans"),
+    """(doc_id, owner, twin, spans): all base spans of a document, structs (start,
+    k, kind, stop, vstart, value) by start, then kind.  ``twin`` tells apart rows
+    that share an id.
+
+    ``access`` and ``hex`` carry their least length in the pattern: a maximal run
+    below it holds no other match, so this equals dropping short matches.  The
+    value always ends its match."""
+    found = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"),
+        F.col(owner_col).cast("string").alias("owner"),
+        F.coalesce(F.col(text_col), F.lit("")).alias("_t"),
     )
+    any_ = F.col("_t").rlike(ANY)
+    none = F.expr("cast(array() as array<string>)")
+    lists = []
+    for k, (_, pattern, group, _) in enumerate(KINDS):
+        p = F.lit(pattern)
+        lists += [
+            F.when(any_, F.split("_t", p, -1)).otherwise(none).alias(f"_gap{k}"),
+            F.when(any_, F.regexp_extract_all("_t", p, F.lit(0))).otherwise(none).alias(f"_hit{k}"),
+            F.when(any_, F.regexp_extract_all("_t", p, F.lit(group))).otherwise(none).alias(f"_value{k}"),
+        ]
+    found = found.select("doc_id", "owner", F.xxhash64("_t", "owner").alias("twin"), *lists)
+    for k in range(len(KINDS)):
+        steps = F.zip_with(
+            F.slice(f"_gap{k}", F.lit(1), F.size(f"_hit{k}")), f"_hit{k}", lambda gap, hit: (F.length(gap) + F.length(hit)).cast("long")
+        )
+        found = found.withColumn(f"_stop{k}", running(steps, _plus)).drop(f"_gap{k}")
+    return found.select("doc_id", "owner", "twin", F.sort_array(F.concat(*map(kind_spans, range(len(KINDS))))).alias("spans"))
 
 
 def ownership(hits: DataFrame) -> DataFrame:
@@ -117,7 +157,7 @@ def scan_secrets(
     distinct_chars: int = 8,
 ) -> DataFrame:
     """(doc_id, twin, spans): per document its base spans and the verdict spans
-    ``copied`` and ``live``, an array of (start, k, kind, stop, n_repos, n_owners)."""
+    (``VERDICTS``), an array of (start, k, kind, stop, n_repos, n_owners)."""
     found = written(find_candidates(docs, id_col, text_col, owner_col), "secret_candidates")
     hits = (
         found.where(F.size("spans") > 0)
@@ -134,7 +174,7 @@ def scan_secrets(
             "n_repos",
             "n_owners",
             F.when(F.col("n_owners") >= copied_owners, "copied")
-            .when((F.col("n_owners") == 1) & looks_live(F.col("s.value"), distinct_chars), "live")
+            .when(looks_live(F.col("s.value"), distinct_chars), F.when(F.col("n_owners") == 1, "live").otherwise("shared"))
             .alias("verdict"),
         )
     )
@@ -142,15 +182,16 @@ def scan_secrets(
     base = F.struct("s.start", "s.k", "s.kind", "s.stop", *counts)
     verdict = F.struct(
         F.col("s.vstart").alias("start"),
-        (F.when(F.col("verdict") == "copied", len(KINDS)).otherwise(len(KINDS) + 1)).alias("k"),
+        (F.array_position(F.array(*map(F.lit, VERDICTS)), F.col("verdict")) + len(KINDS) - 1).cast("int").alias("k"),
         F.col("verdict").alias("kind"),
         F.col("s.stop").alias("stop"),
         *counts,
     )
     both = F.when(F.col("verdict").isNull(), F.array(base)).otherwise(F.array(base, verdict))
     per_doc = (
-        judged.groupBy("doc_id", "twin")
-        .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list(both)))).alias("all"))
+        judged.select("doc_id", "twin", F.explode(both).alias("one"))
+        .groupBy("doc_id", "twin")
+        .agg(F.sort_array(F.collect_set("one")).alias("all"))
         .select(F.col("doc_id").alias("_id"), F.col("twin").alias("_twin"), "all")
     )
     none = F.expr("cast(array() as array<struct<start:long,k:int,kind:string,stop:long,n_repos:long,n_owners:long>>)")
@@ -171,41 +212,45 @@ def mask_secrets(
     count_col: str | None = None,
     mask: str = MASK,
 ) -> DataFrame:
-    """``docs`` with the ``live`` spans of the text replaced by ``mask``, same
-    columns; ``count_col``, if given, is set to the new number of characters of
-    a changed text.  Rows without a live span keep every column as it was; only
-    rows with candidates are shuffled."""
+    """``docs`` with the spans of ``CREDENTIALS`` in the text replaced by
+    ``mask``, same columns; ``count_col``, if given, is set to the new number of
+    characters of a changed text.  Rows without such a span keep every column as
+    it was; only rows with candidates are shuffled.
+
+    Spans that overlap are masked once.  Texts are cut in UTF-32, where a place
+    is found without reading what stands before it."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     plain = docs.where(~text.rlike(ANY))
     suspect = docs.where(text.rlike(ANY))
-    key, twin, spans = (fresh(docs, name) for name in ("_live_id", "_live_twin", "_live_spans"))
+    key, twin, spans, reach = (fresh(docs, name) for name in ("_live_id", "_live_twin", "_live_spans", "_live_reach"))
     live = (
         scan_secrets(suspect, id_col, text_col, owner_col)
-        .select("doc_id", "twin", F.filter("spans", lambda s: s["kind"] == "live").alias(spans))
+        .select("doc_id", "twin", F.filter("spans", lambda s: s["kind"].isin(CREDENTIALS)).alias(spans))
         .where(F.size(spans) > 0)
-        .select(F.col("doc_id").alias(key), F.col("twin").alias(twin), spans)
+        .select(F.col("doc_id").alias(key), F.col("twin").alias(twin), F.col(spans).alias(spans))
         .distinct()
+        .withColumn(reach, running(F.transform(spans, lambda s: s["stop"]), F.greatest))
     )
     same = suspect[id_col].cast("long").eqNullSafe(F.col(key)) & (
         F.xxhash64(text, F.col(owner_col).cast("string")) == F.col(twin)
     )
-    cut = F.aggregate(
-        spans,
-        F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out")),
-        lambda acc, s: F.when(
-            s["start"] < acc["at"], F.struct(F.greatest(acc["at"], s["stop"]).alias("at"), acc["out"].alias("out"))
-        ).otherwise(
-            F.struct(
-                s["stop"].alias("at"),
-                F.concat(
-                    acc["out"],
-                    F.substr(text, (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int")),
-                    F.lit(mask),
-                ).alias("out"),
-            )
-        ),
-    )
-    changed = F.concat(cut["out"], F.substr(text, (cut["at"] + 1).cast("int")))
+    mark = F.lit(b"\x00\x00\xfe\xff")  # read as the mark of the encoding, so that one in the text stays
+
+    def cut(wide: Column, start: Column, stop: Column) -> Column:
+        part = F.substr(wide, (start * 4 + 1).cast("int"), ((stop - start) * 4).cast("int"))
+        return F.decode(F.concat(mark, part), "UTF-32")
+
+    def masked_text(wide: Column) -> Column:
+        before = F.concat(F.array(F.lit(0).cast("long")), F.col(reach))
+        pieces = F.zip_with(
+            spans,
+            F.slice(before, F.lit(1), F.size(spans)),
+            lambda s, at: F.when(s["start"] >= at, F.concat(cut(wide, at, s["start"]), F.lit(mask))).otherwise(""),
+        )
+        tail = cut(wide, F.element_at(reach, -1), (F.length(wide) / 4).cast("long"))
+        return F.concat(F.array_join(pieces, ""), tail)
+
+    changed = bound(F.encode(text, "UTF-32"), masked_text)
     masked = suspect.join(live, same, "left").withColumn(
         text_col, F.when(F.col(spans).isNull(), F.col(text_col)).otherwise(changed)
     )
@@ -233,8 +278,7 @@ def secret_digest(docs: DataFrame, **options) -> DataFrame:
         *[number(F.col("base"), kind).alias(f"n_{kind}") for kind, *_ in KINDS],
         F.sha2(joined_spans(F.col("base")), 256).alias("base_sha256"),
         joined_spans(F.col("spans")).alias("spans"),
-        number(F.col("spans"), "copied").alias("n_copied"),
-        number(F.col("spans"), "live").alias("n_live"),
+        *[number(F.col("spans"), kind).alias(f"n_{kind}") for kind in VERDICTS],
     )
 
 
@@ -261,21 +305,24 @@ hits as ({kinds}),
 own as (select value, count(distinct coalesce(owner, chr(0))) as n_owners from hits group by value),
 base as (select rid, (stop - n)::bigint as start, k, kind, stop::bigint as stop, length(value) as vl, h.value, n_owners
          from hits h join own using (value)),
-verdicts as (select rid, stop - vl as start,
-         case when n_owners >= {copied_owners} then {len(KINDS)} else {len(KINDS) + 1} end as k,
-         case when n_owners >= {copied_owners} then 'copied' else 'live' end as kind, stop
-         from base where n_owners >= {copied_owners} or (n_owners = 1 and regexp_matches(value, '[0-9]')
-              and regexp_matches(value, '[A-Za-z]') and len(list_distinct(string_split(value, ''))) >= {distinct_chars})),
+verdicts as (select rid, stop - vl as start, {len(KINDS)} + list_position({VERDICTS}, kind) - 1 as k, kind, stop
+         from (select *, case when n_owners >= {copied_owners} then 'copied'
+                              when regexp_matches(value, '[0-9]') and regexp_matches(value, '[A-Za-z]')
+                                   and len(list_distinct(string_split(value, ''))) >= {distinct_chars}
+                              then case when n_owners = 1 then 'live' else 'shared' end end as kind
+               from (select rid, stop, vl, value, n_owners from base)) where kind is not null),
 spans as (select rid, start, k, kind, stop, true as is_base from base
           union all select distinct rid, start, k, kind, stop, false from verdicts),
 per as (select rid, count(*) filter (kind = 'assign') as n_assign, count(*) filter (kind = 'access') as n_access,
                count(*) filter (kind = 'hex') as n_hex,
                string_agg(kind || ':' || start || ':' || stop, ',' order by start, k, stop) filter (is_base) as b,
                string_agg(kind || ':' || start || ':' || stop, ',' order by start, k, stop) as s,
-               count(*) filter (kind = 'copied') as n_copied, count(*) filter (kind = 'live') as n_live
+               count(*) filter (kind = 'copied') as n_copied, count(*) filter (kind = 'live') as n_live,
+               count(*) filter (kind = 'shared') as n_shared
         from spans group by rid)
 select doc_id, coalesce(n_assign, 0)::bigint as n_assign, coalesce(n_access, 0)::bigint as n_access,
        coalesce(n_hex, 0)::bigint as n_hex, sha256(coalesce(b, '')) as base_sha256, coalesce(s, '') as spans,
-       coalesce(n_copied, 0)::bigint as n_copied, coalesce(n_live, 0)::bigint as n_live
+       coalesce(n_copied, 0)::bigint as n_copied, coalesce(n_live, 0)::bigint as n_live,
+       coalesce(n_shared, 0)::bigint as n_shared
 from docs left join per using (rid)
 """
