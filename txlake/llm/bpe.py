@@ -2,8 +2,8 @@
 
 1. Split: tasks split whole texts into the words of the byte-level pattern,
    vectorized over character classes, in blocks of about ``BLOCK_CHARS``.  A
-   block keeps its texts as codes (positions in its own list of distinct words)
-   and sends each distinct word once, to the bucket of its hash.
+   block keeps its texts as codes (positions in its own list of distinct words),
+   given as the texts arrive, and sends each distinct word once, to the bucket of its hash.
 2. Encode: a bucket holds its share of the distinct words of the whole input and
    encodes each of them once, with the tokenizers library.
 3. Join back: the buckets' ids return to the blocks that sent the words, and the
@@ -155,19 +155,34 @@ def _split(special: list[str], n_buckets: int, want: str):
         classes = character_classes()
         part, seq = TaskContext.get().partitionId(), 0
         held, size = [], 0
+        words: list[str] = []  # the block's distinct words by code, in order of arrival
+        known, code_of, seen = np.empty(0, np.uint64), np.empty(0, np.uint32), np.empty(0, np.int64)
+
+        def coded(whole, ch, first, end):
+            """Codes of a chunk's words; words that are new to the block join its list."""
+            nonlocal known, code_of, seen
+            uniq, where, inverse, n = np.unique(span_hashes(ch, first, end), return_index=True, return_inverse=True, return_counts=True)
+            at = np.searchsorted(known, uniq)
+            old = np.zeros(len(uniq), dtype=bool)
+            inside = at < len(known)
+            old[inside] = known[at[inside]] == uniq[inside]
+            code = np.empty(len(uniq), dtype=np.uint32)
+            code[old] = code_of[at[old]]
+            code[~old] = len(words) + np.arange(int((~old).sum()), dtype=np.uint32)
+            words.extend(whole[first[w] : end[w]] for w in where[~old].tolist())
+            known, code_of = np.concatenate((known, uniq[~old])), np.concatenate((code_of, code[~old]))
+            order = np.argsort(known)
+            known, code_of = known[order], code_of[order]
+            seen = np.concatenate((seen, np.zeros(int((~old).sum()), dtype=np.int64)))
+            seen[code] += n
+            return code[inverse]
 
         def rows():
             block = (part << 32) | seq
-            hashes = np.concatenate([h["hash"] for h in held])
-            uniq, where, code, n = np.unique(hashes, return_index=True, return_inverse=True, return_counts=True)
-            rank = np.empty(len(uniq), dtype=np.uint32)  # the commonest words get the smallest codes
-            rank[np.argsort(-n, kind="stable")] = np.arange(len(uniq), dtype=np.uint32)
-            bounds = np.cumsum([0] + [len(h["hash"]) for h in held])
-            piece = np.searchsorted(bounds, where, side="right") - 1
-            words = []
-            for w, p in zip((where - bounds[piece]).tolist(), piece.tolist(), strict=True):
-                h = held[p]
-                words.append(h["whole"][h["first"][w] : h["end"][w]])
+            rank = np.empty(len(words), dtype=np.uint32)  # the commonest words get the smallest codes
+            rank[np.argsort(-seen, kind="stable")] = np.arange(len(words), dtype=np.uint32)
+            uniq = np.empty(len(words), dtype=np.uint64)
+            uniq[code_of] = known
             bucket = (uniq % np.uint64(n_buckets)).astype(np.int64)
             order = np.array(sorted(range(len(words)), key=words.__getitem__), dtype=np.int64)
             order = order[np.argsort(bucket[order], kind="stable")]
@@ -181,11 +196,7 @@ def _split(special: list[str], n_buckets: int, want: str):
                     ],
                     columns=["bucket", "block", "body"],
                 )
-            code = rank[code]
-            out = [
-                (block, "text", h["ids"], h["counts"], _pack(code[at : at + len(h["hash"])]))
-                for h, at in zip(held, bounds, strict=False)
-            ]
+            out = [(block, "text", h["ids"], h["counts"], _pack(rank[h["code"]])) for h in held]
             out.append((block, "order", None, None, _pack(rank[order])))
             return pd.DataFrame(out, columns=["block", "kind", "ids", "counts", "body"])
 
@@ -194,13 +205,13 @@ def _split(special: list[str], n_buckets: int, want: str):
                 texts = ["" if t is None or t != t else t for t in chunk["text"]]
                 whole, ch, first, end, counts = split_words(texts, classes, special)
                 ids = [None if d is None or d != d else int(d) for d in chunk["doc_id"]]
-                held.append(
-                    {"hash": span_hashes(ch, first, end), "whole": whole, "first": first, "end": end, "ids": ids, "counts": counts.astype(np.int32)}
-                )
+                held.append({"code": coded(whole, ch, first, end), "ids": ids, "counts": counts.astype(np.int32)})
                 size += len(whole)
                 if size >= BLOCK_CHARS:
                     yield rows()
                     held, size, seq = [], 0, seq + 1
+                    words.clear()
+                    known, code_of, seen = known[:0].copy(), code_of[:0].copy(), seen[:0].copy()
         if held:
             yield rows()
 
@@ -218,8 +229,12 @@ def _tokenizer(spec: str):
 
 
 def _encode(spec: str):
+    made: list = []  # the tokenizer, built once a task
+
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        tok = _tokenizer(spec)
+        if not made:
+            made.append(_tokenizer(spec))
+        tok = made[0]
         number: dict[str, int] = {}
         codes = []
         for body in pdf["body"]:
@@ -278,8 +293,12 @@ COLUMNS = {
 
 
 def _assemble(spec: str, want: list[str]):
+    made: list = []  # the piece table, built once a task
+
     def run(texts: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
-        pool, piece_at, piece_size = piece_table(spec)
+        if not made:
+            made.append(piece_table(spec))
+        pool, piece_at, piece_size = made[0]
         replies = replies.sort_values("bucket")
         order = _unpack(texts[texts["kind"] == "order"]["body"].iloc[0], np.uint32)
         sizes, flat = [np.empty(0, np.uint32)], [np.empty(0, np.uint32)]
