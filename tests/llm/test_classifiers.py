@@ -91,3 +91,46 @@ def test_quotation_lowers_the_score():
     model = toxicity.Model(["idiot"], {(0, 0, False): 0.98, (0, 0, True): 0.1}, np.array([-2.0, 1.5, 1.0, 0.2]))
     plain, quoted, misspelled, clean = model.scores(["you are an idiot here", 'she said "an idiot" here', "you are an id1ot here", "all is well"])
     assert plain > 0.5 > quoted and misspelled > 0.5 > clean
+
+
+def plain_logit(net, text):
+    """The network by loops: every filter at every second byte of every chunk."""
+    raw = text.encode()
+    halves = -(-(len(raw) + quality.WIDTH) // quality.HALF)
+    data = raw + bytes(halves * quality.HALF + quality.WIDTH - len(raw))
+    total = []
+    for c in range(max(halves - 1, 1)):
+        z = float(net.p["base"][0])
+        for f in range(quality.FILTERS):
+            best = -np.inf
+            for at in range(c * quality.HALF, min((c + 2) * quality.HALF, halves * quality.HALF), quality.STEP):
+                if at + quality.WIDTH > halves * quality.HALF:
+                    continue  # reaches into the next text
+                best = max(best, sum(float(net.p["table"][k, data[at + k], f]) for k in range(quality.WIDTH)))
+            z += max(best + float(net.p["bias"][f]), 0.0) * float(net.p["out"][f])
+        total.append(z)
+    return sum(total) / len(total)
+
+
+def test_network_equals_loops(monkeypatch):
+    monkeypatch.setattr(quality, "BLOCK", 2 * quality.HALF)
+    net = quality.Network()
+    texts = ["", "a", "ünïcode words " * 7, "abc def. " * 90, "x" * quality.HALF, "y" * (quality.HALF - quality.WIDTH)]
+    assert np.allclose(net.logits(texts), [plain_logit(net, t) for t in texts], atol=1e-3)
+
+
+def test_gradients_do_not_depend_on_blocks(monkeypatch):
+    net, y = quality.Network(), np.array([1.0, 0.0], dtype=np.float32)
+    texts = ["some words of one text " * 60, "other words " * 200]
+    whole = net.gradients(texts, y)
+    monkeypatch.setattr(quality, "BLOCK", 2 * quality.HALF)
+    blocks = net.gradients(texts, y)
+    assert all(np.allclose(whole[k], blocks[k], atol=1e-6) for k in whole)
+
+
+def test_long_labelled_texts_are_fitted(spark):
+    assert quality.admitted([5, 9, 3, 1], 9) == [0, 2, 3]
+    rows = [(i, ("good words here " if i % 2 else "%%$ zz#! ") * 4_000) for i in range(1, 40)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 40)], "doc_id long, quality int")
+    got = {r.doc_id: r.score for r in quality.score_quality(docs(spark, rows), labels).collect()}
+    assert min(got[i] for i in got if i % 2) > 0.5 > max(got[i] for i in got if not i % 2)

@@ -8,8 +8,10 @@ next).  Each filter is max-pooled over a chunk, a linear layer turns the pooled
 responses into the chunk's logit, and the mean of the chunks' logits gives the
 document's one probability.
 
-Fit: on the driver, by Adam, on at most ``MAX_FIT_ROWS`` labelled rows that are
-not held out and whose text has at most ``MAX_FIT_CHARS`` characters.  Scoring
+Fit: on the driver, by Adam, on labelled rows that are not held out: at most
+``MAX_FIT_ROWS`` in the order of a hash of their ids, admitted whole, whatever
+their length, while ``MAX_FIT_BYTES`` lasts (a text that does not fit is passed
+over, the next one may).  Both bounds are parameters.  Scoring
 runs over whole texts of any length in blocks of ``BLOCK`` bytes; the model
 (some 100 KB) travels with the tasks.  There is no shuffle.
 
@@ -34,7 +36,7 @@ HALF = 256
 BLOCK = 1 << 19
 FOLDS = 5
 MAX_FIT_ROWS = 4_000
-MAX_FIT_CHARS = 20_000
+MAX_FIT_BYTES = 32 << 20
 EPOCHS, BATCH, RATE = 10, 32, 0.01
 THRESHOLD = 0.3
 
@@ -102,9 +104,12 @@ class Network:
     def gradients(self, texts, y: np.ndarray) -> dict:
         p = self.p
         buf, halves = padded(texts)
-        r = responses(p["table"], buf, halves)
-        at = r.argmax(axis=1)
-        top = np.take_along_axis(r, at[:, None, :], axis=1)[:, 0]
+        at, top = [], []
+        for i in range(0, len(buf), BLOCK):  # long texts block by block
+            r = responses(p["table"], buf, halves, i, i + BLOCK)
+            at.append(r.argmax(axis=1))
+            top.append(np.take_along_axis(r, at[-1][:, None, :], axis=1)[:, 0])
+        at, top = np.concatenate(at), np.concatenate(top)
         first, second, doc = chunk_rows(halves)
         later = top[second] > top[first]
         half = np.where(later, second[:, None], first[:, None])
@@ -143,7 +148,17 @@ class Network:
                     self.p[k] -= (rate * (m[k] / (1 - 0.9**steps)) / (np.sqrt(s[k] / (1 - 0.99**steps)) + 1e-8)).astype(np.float32)
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_FIT_ROWS) -> Network | None:
+def admitted(sizes, budget: int) -> list[int]:
+    """Positions whose sizes fit the budget, taken in order."""
+    out = []
+    for i, n in enumerate(sizes):
+        if n <= budget:
+            out.append(i)
+            budget -= n
+    return out
+
+
+def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_FIT_ROWS, max_bytes: int = MAX_FIT_BYTES) -> Network | None:
     """Network from ``docs`` (doc_id, text) and ``labels`` (doc_id, quality)."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")).where(
         "doc_id is not null and quality in (0, 1)"
@@ -151,10 +166,24 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_FIT_ROWS) -> Net
     known = known.where(~held_out(F.col("doc_id"), FOLDS)).groupBy("doc_id").agg(F.max("quality").alias("quality"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)  # the documented bound
     sample = written(
-        docs.where(F.length("text") <= MAX_FIT_CHARS).select("doc_id", "text").join(F.broadcast(chosen), "doc_id"),
+        docs.where(F.col("text").isNotNull())
+        .select("doc_id", "text", F.octet_length("text").alias("bytes"), F.xxhash64("text").alias("twin"))
+        .join(F.broadcast(chosen), "doc_id"),
         "quality_sample",
     )
-    rows = sample.orderBy("doc_id", "text").limit(max_rows).toPandas()  # the bounded sample
+    order = [F.xxhash64("doc_id"), "doc_id", "twin"]
+    sizes = sample.select("doc_id", "twin", "bytes").orderBy(*order).limit(max_rows).toPandas()  # numbers of the bounded sample
+    fits = sizes.iloc[admitted(sizes["bytes"].tolist(), max_bytes)][["doc_id", "twin"]]
+    if not len(fits):
+        return None
+    keys = docs.sparkSession.createDataFrame(fits.drop_duplicates(), "doc_id long, twin long")
+    rows = (
+        sample.join(F.broadcast(keys), ["doc_id", "twin"])
+        .groupBy("doc_id", "twin")
+        .agg(F.first("text").alias("text"), F.max("quality").alias("quality"))
+        .toPandas()  # within both bounds
+        .sort_values(["doc_id", "twin"])
+    )
     if not len(rows):
         return None
     net = Network()
