@@ -3,6 +3,7 @@
 import datetime as dt
 import random
 
+from txlake.operators import history
 from txlake.operators.history import DAY, as_of_join, validity_intervals
 
 D0 = dt.datetime(2020, 1, 1)
@@ -80,3 +81,26 @@ def test_hot_key_is_spread(spark):
     plan = validity_intervals(c, ["k"], "t", ["s"], bucket=DAY)._jdf.queryExecution().optimizedPlan().toString()
     windows = [line for line in plan.splitlines() if "Window [" in line]
     assert len(windows) == 6 and sum("_bucket" in w.rsplit("[", 2)[1] for w in windows) == 3
+
+
+def test_keys_with_few_rows_take_one_window_and_hot_ones_buckets(spark, monkeypatch):
+    """Rows of other keys are shuffled once, without a self-join; both ways give the same."""
+    changes, probes = make(4)
+    c, p = frames(spark, changes, probes)
+    want = plain_intervals(changes)
+
+    def held(key, at):
+        found = [s for k, s, a, b in want if k == key and at is not None and a <= at and (b is None or at < b)]
+        return found[0] if found else None
+
+    few = validity_intervals(c, ["k"], "t", ["s"])
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 1
+    for rows, slots in ((1000, 0), (60, 1), (1, 11)):
+        monkeypatch.setattr(history, "HOT_ROWS", rows)
+        hot = history.hot_keys(["k"], c)
+        assert len(hot.slots) == slots and hot.others == (slots < 11)
+        intervals = validity_intervals(c, ["k"], "t", ["s"], bucket=20 * DAY)
+        assert sorted(map(str, [tuple(r) for r in intervals.collect()])) == sorted(map(str, want))
+        got = as_of_join(p, intervals, ["k"], "at", ["s"], bucket=20 * DAY).collect()
+        assert sorted(map(str, [tuple(r) for r in got])) == sorted(str((k, t, n, held(k, t))) for k, t, n in probes)

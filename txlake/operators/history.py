@@ -1,6 +1,11 @@
 """History of attributes: validity intervals, and the state at a point in time.
 
-Both are done by time buckets, so that one key with a third of all changes is spread
+Keys are told apart by their number of rows.  Rows are counted by a hash of the key
+(``SLOTS`` groups, one light pass); the keys of a group with many more rows than others
+are hot.  The rows of all other keys are shuffled once, by key, and one window looks at
+neighbours.
+
+Hot keys are done by time buckets, so that one key with a third of all changes is spread
 over many tasks.  Inside a (key, bucket) a window looks at neighbours; what lies beyond
 a bucket comes from one row for each (key, bucket), passed on by a window over the
 buckets of a key.  A key's rows in one bucket meet in one task, so choose ``bucket``
@@ -10,10 +15,51 @@ equality joins on (key, bucket); nothing is compared range by range.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass, field
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DAY = 86_400
+#: Groups of keys by hash, of which rows are counted.
+SLOTS = 16_384
+#: Keys of a group are hot from this many rows on, and from HOT_SHARE times the mean.
+HOT_ROWS, HOT_SHARE = 1_000, 8
+
+
+@dataclass
+class Hot:
+    """Groups of keys that hold hot keys, and whether there are rows of others."""
+
+    slots: list[int] = field(default_factory=list)
+    others: bool = True
+
+
+def _slot(keys: list[str]) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(SLOTS))
+
+
+def hot_keys(keys: list[str], *frames: DataFrame) -> Hot:
+    """The hot keys of all ``frames`` together: at most SLOTS rows reach the driver."""
+    counts = None
+    for df in frames:
+        n = df.select(_slot(keys).alias("slot")).groupBy("slot").agg(F.count(F.lit(1)).alias("n"))
+        counts = n if counts is None else counts.unionByName(n)
+    found = {r["slot"]: r["n"] for r in counts.groupBy("slot").agg(F.sum("n").alias("n")).collect()}
+    least = max(HOT_ROWS, HOT_SHARE * sum(found.values()) / SLOTS)
+    slots = sorted(s for s, n in found.items() if n >= least)
+    return Hot(slots, len(slots) < len(found) or not found)
+
+
+def _each_way(keys: list[str], hot: Hot, plain: Callable, bucketed: Callable, *frames: DataFrame) -> DataFrame:
+    """``plain`` for the rows of most keys, ``bucketed`` for those of hot ones."""
+    if not hot.slots:
+        return plain(*frames)
+    if not hot.others:
+        return bucketed(*frames)
+    is_hot = _slot(keys).isin(hot.slots)
+    return plain(*[f.where(~is_hot) for f in frames]).unionByName(bucketed(*[f.where(is_hot) for f in frames]))
 
 
 def _bucket(time: str, seconds: int) -> Column:
@@ -28,14 +74,40 @@ def _equal(keys: list[str], a: str, b: str) -> Column:
 
 
 def validity_intervals(
-    changes: DataFrame, keys: list[str], time: str, attributes: list[str], bucket: int = 90 * DAY
+    changes: DataFrame, keys: list[str], time: str, attributes: list[str], bucket: int = 90 * DAY, hot: Hot | None = None
 ) -> DataFrame:
     """(*keys, *attributes, valid_from, valid_to): one row for each run of equal
     attributes, from its first change up to the next run (exclusive; null: open).
 
     Changes without a time are left out.  Of several changes of a key at one time the
     smallest combination of attributes (nulls first) counts.  Repeated rows and changes
-    to what holds already make no new row."""
+    to what holds already make no new row.  ``hot``: the hot keys, if they are known."""
+    hot = hot_keys(keys, changes) if hot is None else hot
+    return _each_way(
+        keys,
+        hot,
+        lambda c: _intervals(c, keys, time, attributes),
+        lambda c: _bucketed_intervals(c, keys, time, attributes, bucket),
+        changes,
+    )
+
+
+def _intervals(changes: DataFrame, keys: list[str], time: str, attributes: list[str]) -> DataFrame:
+    rows = changes.where(F.col(time).isNotNull()).select(*keys, F.col(time).alias("_time"), F.struct(*attributes).alias("_state"))
+    # all windows share one shuffle and one order
+    ordered = Window.partitionBy(*keys).orderBy("_time", "_state")
+    each = rows.select("*", F.lag("_time").over(ordered).alias("_prev")).where("_prev is null or _prev <> _time").drop("_prev")
+    seen = each.select("*", F.lag(F.struct("_state")).over(ordered).alias("_prev"))
+    changed = seen.where(F.col("_prev").isNull() | ~F.col("_prev._state").eqNullSafe(F.col("_state"))).drop("_prev")
+    return changed.select(
+        *keys,
+        *[F.col(f"_state.{a}").alias(a) for a in attributes],
+        F.col("_time").alias("valid_from"),
+        F.lead("_time").over(ordered).alias("valid_to"),
+    )
+
+
+def _bucketed_intervals(changes: DataFrame, keys: list[str], time: str, attributes: list[str], bucket: int) -> DataFrame:
     state = F.struct(*attributes)
     each = (
         changes.where(F.col(time).isNotNull())
@@ -68,13 +140,19 @@ def validity_intervals(
 
 
 def as_of_join(
-    probes: DataFrame, intervals: DataFrame, keys: list[str], time: str, attributes: list[str], bucket: int = 90 * DAY
+    probes: DataFrame,
+    intervals: DataFrame,
+    keys: list[str],
+    time: str,
+    attributes: list[str],
+    bucket: int = 90 * DAY,
+    hot: Hot | None = None,
 ) -> DataFrame:
     """Every row of ``probes`` with the ``attributes`` that held for its key at ``time``
     (from ``valid_from``, before ``valid_to``); null where none did or the time is null.
 
     ``intervals`` of a key must not overlap.  Columns of ``probes`` keep their names;
-    the attributes must have others."""
+    the attributes must have others.  ``hot``: the hot keys of both, if they are known."""
     columns = probes.columns
     state = F.struct(*attributes, "valid_to")
     none = F.lit(None)
@@ -84,11 +162,31 @@ def as_of_join(
     wanted = probes.select(
         *keys, F.col(time).cast("timestamp").alias("_time"), none.alias("_state"), F.lit(1).alias("_probe"), F.struct(*columns).alias("_row")
     )
-    # a row without a time has no bucket; -1 keeps its window apart by key only if
-    # there are such rows, so they are set aside
+    # rows without a time are set aside: they have no bucket, and need no state
     timeless = wanted.where("_time is null").select("_row", *[F.lit(None).cast(intervals.schema[a].dataType).alias(a) for a in attributes])
-    both = starts.unionByName(wanted.where("_time is not null")).withColumn("_bucket", _bucket("_time", bucket))
+    hot = hot_keys(keys, starts, wanted) if hot is None else hot
+    held = _each_way(
+        keys,
+        hot,
+        lambda a, b: _held(a, b, keys),
+        lambda a, b: _bucketed_held(a, b, keys, bucket),
+        starts,
+        wanted.where("_time is not null"),
+    )
+    valid = F.col("_s.valid_to").isNull() | (F.col("_time") < F.col("_s.valid_to").cast("timestamp"))
+    timed = held.select("_row", *[F.when(valid, F.col(f"_s.{a}")).alias(a) for a in attributes])
+    return timed.unionByName(timeless).select("_row.*", *attributes)
 
+
+def _held(starts: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
+    """(_row, _time, _s) of the probes: the state that began last."""
+    before = Window.partitionBy(*keys).orderBy("_time", "_probe").rowsBetween(Window.unboundedPreceding, 0)
+    found = starts.unionByName(wanted).select("*", F.last("_state", ignorenulls=True).over(before).alias("_s"))
+    return found.where("_probe = 1").select("_row", "_time", "_s")
+
+
+def _bucketed_held(starts: DataFrame, wanted: DataFrame, keys: list[str], bucket: int) -> DataFrame:
+    both = starts.unionByName(wanted).withColumn("_bucket", _bucket("_time", bucket))
     last = both.groupBy(*keys, "_bucket").agg(
         F.max_by("_state", F.when(F.col("_probe") == 0, F.col("_time"))).alias("_last")
     )
@@ -98,7 +196,4 @@ def as_of_join(
     inside = Window.partitionBy(*keys, "_bucket").orderBy("_time", "_probe").rowsBetween(Window.unboundedPreceding, 0)
     found = both.select("*", F.last("_state", ignorenulls=True).over(inside).alias("_found")).where("_probe = 1")
     joined = found.alias("l").join(carry.alias("r"), _equal(keys, "l", "r"), "left")
-    held = joined.select(F.col("l._row").alias("_row"), F.col("l._time").alias("_time"), F.coalesce("l._found", "r._carry").alias("_s"))
-    valid = F.col("_s.valid_to").isNull() | (F.col("_time") < F.col("_s.valid_to").cast("timestamp"))
-    timed = held.select("_row", *[F.when(valid, F.col(f"_s.{a}")).alias(a) for a in attributes])
-    return timed.unionByName(timeless).select("_row.*", *attributes)
+    return joined.select(F.col("l._row").alias("_row"), F.col("l._time").alias("_time"), F.coalesce("l._found", "r._carry").alias("_s"))
