@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from txlake.operators import RULES, clean_transactions, flatten, star_join
 from txlake.operators.cube import add_load, exact_quantiles, price_cells, price_cube, stored_cells
 from txlake.operators.drift import drift, drift_bounds, load_profile, transaction_columns
-from txlake.operators.history import as_of_join, validity_intervals
+from txlake.operators.history import as_of_join, hot_keys, validity_intervals
 from txlake.operators.lake_dedup import dedup_against_lake, store_by_id
 from txlake.operators.verdicts import compile_rules, rule_verdicts
 from txlake.plans.batch import build_star, load_star, run_batch
@@ -109,7 +109,11 @@ def listing_status_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
         padded("LST", F.col("o_orderkey")).alias("listing_id"),
         F.date_add(F.col("o_orderdate").cast("date"), 60).alias("as_of"),
     )
-    return as_of_join(orders, listing_status_intervals(spark, sf_dir), ["listing_id"], "as_of", ["status"])
+    changes, keys = listing_changes(spark, sf_dir), ["listing_id"]
+    # a key has no more intervals than changes: counted once for both steps
+    hot = hot_keys(keys, changes, orders)
+    intervals = validity_intervals(changes, keys, "changed_on", ["status"], hot=hot)
+    return as_of_join(orders, intervals, keys, "as_of", ["status"], hot=hot)
 
 
 # --- summaries and rules ---------------------------------------------------------
