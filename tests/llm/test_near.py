@@ -81,6 +81,50 @@ def test_hot_group_of_near_copies(spark):
     assert sorted(map(tuple, result), key=repr) == near_brute_force(rows, 2)
 
 
+def test_bitmaps_leave_out_no_link_and_most_others():
+    """Sets around the threshold and of any size: no link is lost, few others stay."""
+    rng = np.random.default_rng(8)
+    near_dedup.MOST_BITS, most = 1 << 12, near_dedup.MOST_BITS  # some bitmaps are full
+    try:
+        sets = [rng.integers(0, 2**64, n, dtype=np.uint64) for n in (1, 2, 9, 60, 250, 250, 700, 3000)]
+        for s in list(sets):
+            sets += [np.append(s[rng.random(len(s)) > drop], rng.integers(0, 2**64, k, dtype=np.uint64)) for drop, k in ((0.1, 1), (0.1, len(s) // 9), (0.15, 2), (0.3, 3))]
+        sets = [np.unique(s) for s in sets if len(s)]
+        bits, size = [near_dedup.set_bitmap(s) for s in sets], np.array([len(s) for s in sets])
+        i, j = (x.ravel() for x in np.meshgrid(np.arange(len(sets)), np.arange(len(sets))))
+        common = np.array([len(np.intersect1d(sets[a], sets[b])) for a, b in zip(i, j)])
+        linked = 100 * common >= 80 * (size[i] + size[j] - common)
+        ok = near_dedup.can_reach(bits, size, bits, size, i, j, 80)
+        assert linked.sum() > len(sets) and ok[linked].all()
+        assert ok[~linked].sum() < 0.1 * (~linked).sum()
+    finally:
+        near_dedup.MOST_BITS = most
+
+
+def test_few_pairs_leave_a_group_of_copies_below_the_threshold(spark, monkeypatch):
+    """Copies of one text that are alike, but not enough: pairs that are verified stay
+    in proportion to the copies, not to their square."""
+    rng, checked = random.Random(12), []
+    ws = words(rng, 200, 5000).split()
+    rows = []
+    for k in range(240):
+        copy = list(ws)
+        for at in rng.sample(range(len(copy)), 8):
+            copy[at] = f"y{k}x{at}"
+        rows.append((k, " ".join(copy)))
+    verify = near_dedup.verify
+
+    def counted(pairs, *args):
+        pairs = pairs.persist()
+        checked.append(pairs.count())
+        return verify(pairs, *args)
+
+    monkeypatch.setattr(near_dedup, "verify", counted)
+    result = near_dedup.near_duplicates(docs(spark, rows), width=2).collect()
+    assert sorted(map(tuple, result), key=repr) == near_brute_force(rows, 2)
+    assert sum(checked) < 4 * len(rows)
+
+
 def test_bayesian_bounds():
     """The bound keeps all pairs whose posterior chance reaches the miss level."""
     for n in (20, 60, 200):

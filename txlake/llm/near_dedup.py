@@ -15,8 +15,9 @@
    than one component, the members outside the largest one are paired with a
    random member of it, another one in every bucket and round, while that links
    many of them.  A last round compares all members with those outside the
-   bucket's largest component, in chunks, signatures only; survivors are
-   verified exactly.  Every candidate pair is therefore either inside one
+   bucket's largest component, in chunks: signatures, then bitmaps of the whole
+   shingle sets, which bound the similarity from above, so that next to the links
+   few pairs leave a chunk; survivors are verified exactly.  Every candidate pair is therefore either inside one
    component or compared; pairs inside one component are never emitted.
 
 A pair at the threshold is missed by all bands with probability 1.2e-7.
@@ -46,6 +47,8 @@ MISS = 1e-4
 MAX_BROADCAST_IDS = 1_000_000
 #: Members of a bucket that are compared with as many others at a time.
 CHUNK = 32
+#: Bits of a set's bitmap: a power of two, ``SET_BITS`` a shingle or more, up to a bound.
+SET_BITS, MOST_BITS = 8, 1 << 16
 
 _RNG = np.random.default_rng(6)
 _A = _RNG.integers(0, 2**32, N_HASHES, dtype=np.uint32) | np.uint32(1)
@@ -180,6 +183,49 @@ def _exact(percent: int):
     return run
 
 
+def set_bitmap(shingles: np.ndarray) -> np.ndarray:
+    """A bit for each shingle, at its hash modulo a power of two; as 64-bit words."""
+    m = min(MOST_BITS, max(64, 1 << (SET_BITS * len(shingles) - 1).bit_length()))
+    bits = np.zeros(m, dtype=np.uint8)
+    bits[(shingles & np.uint64(m - 1)).astype(np.int64)] = 1
+    return np.packbits(bits, bitorder="little").view("<u8")
+
+
+def can_reach(bits_a: list, n_a: np.ndarray, bits_b: list, n_b: np.ndarray, i: np.ndarray, j: np.ndarray, percent: int) -> np.ndarray:
+    """Which pairs (i, j) of two lists of bitmaps, of sets of ``n_a`` and ``n_b``
+    shingles, may reach the threshold.  No pair that does is left out: each bit
+    that one bitmap has alone is a shingle, at least, that the other set lacks."""
+    size_a, size_b = (np.array([len(x) for x in bits], dtype=np.int64) for bits in (bits_a, bits_b))
+    size = np.minimum(size_a[i], size_b[j])
+    ok = np.zeros(len(i), dtype=bool)
+
+    def folded(bits: list, at: np.ndarray, words: int) -> np.ndarray:
+        which, back = np.unique(at, return_inverse=True)
+        return np.stack([np.bitwise_or.reduce(bits[k].reshape(-1, words), axis=0) for k in which])[back]
+
+    for words in np.unique(size):
+        at = np.flatnonzero(size == words)
+        for at in np.array_split(at, -(-len(at) * int(words) // (1 << 20))):  # 8 MB a side at a time
+            x, y = folded(bits_a, i[at], words), folded(bits_b, j[at], words)
+            common = np.minimum(
+                n_a[i[at]] - np.bitwise_count(x & ~y).sum(axis=1, dtype=np.int64),
+                n_b[j[at]] - np.bitwise_count(y & ~x).sum(axis=1, dtype=np.int64),
+            )
+            ok[at] = 100 * common >= percent * (n_a[i[at]] + n_b[j[at]] - common)
+    return ok
+
+
+def _bitmaps(width: int):
+    def run(batches):
+        for pdf in batches:
+            for part in doc_chunks(pdf, "text"):
+                sets = shingle_sets(part["text"], width)
+                rows = [(int(d), len(s), set_bitmap(s).tobytes()) for d, s in zip(part["doc_id"], sets, strict=True) if len(s)]
+                yield pd.DataFrame(rows, columns=["rep", "size", "bits"])
+
+    return run
+
+
 def _sets(width: int):
     def run(batches):
         for pdf in batches:
@@ -190,16 +236,19 @@ def _sets(width: int):
     return run
 
 
+def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The documents with these ids, each once in the written table ``ids``."""
+    if ids.count() <= MAX_BROADCAST_IDS:
+        ids = F.broadcast(ids)  # 8 bytes each, counted just above
+    return docs.join(ids, "doc_id", "left_semi")
+
+
 def verify(pairs: DataFrame, docs: DataFrame, width: int, percent: int, name: str) -> DataFrame:
     """The pairs (a, b) whose full shingle sets reach the threshold."""
     pairs = written(pairs, f"{name}_pairs")
     ids = written(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), f"{name}_ids")
-    if ids.count() <= MAX_BROADCAST_IDS:
-        ids = F.broadcast(ids)  # 8 bytes each, counted just above
     sets = written(
-        docs.join(ids, "doc_id", "left_semi").mapInPandas(_sets(width), "doc_id long, shingles binary").where(
-            F.length("shingles") > 0
-        ),
+        _texts_of(docs, ids).mapInPandas(_sets(width), "doc_id long, shingles binary").where(F.length("shingles") > 0),
         f"{name}_sets",
     )
     side = lambda c, s: sets.select(F.col("doc_id").alias(c), F.col("shingles").alias(s))
@@ -265,7 +314,7 @@ def near_duplicates(
         links = links.union(more)
         comps = written(connected_components(links, "a", "b", f"near_r{salt}"), "near_comps")
     # without a bucket of several components there is nothing left to compare
-    last = verify(_cross(members, classes, comps, percent, miss), docs, width, percent, "near_last") if tried else None
+    last = verify(_cross(members, classes, comps, docs, width, percent, miss), docs, width, percent, "near_last") if tried else None
     if last is not None and last.head(1):
         comps = written(connected_components(links.union(last), "a", "b", "near_last"), "near_comps")
     # a row's component is that of its class's representative, or of its own id
@@ -328,19 +377,24 @@ def _random_leaders(members: DataFrame, comps: DataFrame, salt: int) -> DataFram
     return pick.select("a", F.col("pick.key").alias("key")).join(lead, "key").select("a", "b")
 
 
-def _cross(members: DataFrame, classes: DataFrame, comps: DataFrame, percent: int, miss: float) -> DataFrame:
-    """Surviving pairs across components inside one bucket."""
+def _cross(
+    members: DataFrame, classes: DataFrame, comps: DataFrame, docs: DataFrame, width: int, percent: int, miss: float
+) -> DataFrame:
+    """Pairs across components inside one bucket that survive the signatures and the
+    bitmaps of their sets."""
     least = bounds_table(percent, miss)
     placed, mixed = _placed(members, comps)
-    open_ = written(
-        placed.join(mixed, "key").join(classes.select("rep", "sig", "bands"), "rep"),
-        "near_open",
-    )
+    found_in = written(placed.join(mixed, "key"), "near_open")
+    ids = written(found_in.select(F.col("rep").alias("doc_id")).distinct(), "near_open_ids")
+    # an id of several texts has a bitmap for each: every combination is compared
+    bitmaps = _texts_of(docs, ids).mapInPandas(_bitmaps(width), "rep long, size long, bits binary")
+    carried = written(classes.select("rep", "sig", "bands").join(bitmaps, "rep"), "near_open_sets")
+    open_ = found_in.join(carried, "rep")
 
     def chunks(df: DataFrame, size: str, side: str) -> DataFrame:
         """Members of a bucket, ``CHUNK`` or so to a row."""
         part = F.pmod(F.xxhash64("rep"), F.ceil(F.col(size) / CHUNK)).alias("part")
-        columns = [F.collect_list(c).alias(f"{c}_{side}") for c in ("rep", "comp", "sig", "bands")]
+        columns = [F.collect_list(c).alias(f"{c}_{side}") for c in ("rep", "comp", "sig", "bands", "size", "bits")]
         return df.groupBy("key", "band", part).agg(*columns).drop("part")
 
     def compare(batches):
@@ -356,7 +410,12 @@ def _cross(members: DataFrame, classes: DataFrame, comps: DataFrame, percent: in
                 fresh = ~(p[i, : r.band] == q[j, : r.band]).any(axis=1)
                 i, j = i[fresh], j[fresh]
                 ok = survives(x[i], y[j], least)
-                a, b = np.asarray(r.rep_a)[i[ok]], np.asarray(r.rep_b)[j[ok]]
+                i, j = i[ok], j[ok]
+                if len(i):
+                    bits_a, bits_b = ([np.frombuffer(b, dtype="<u8") for b in bits] for bits in (r.bits_a, r.bits_b))
+                    ok = can_reach(bits_a, np.asarray(r.size_a), bits_b, np.asarray(r.size_b), i, j, percent)
+                    i, j = i[ok], j[ok]
+                a, b = np.asarray(r.rep_a)[i], np.asarray(r.rep_b)[j]
                 found.append(np.stack((np.maximum(a, b), np.minimum(a, b)), axis=1))
             pairs = np.unique(np.concatenate(found), axis=0) if found else np.empty((0, 2), dtype=np.int64)
             yield pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
