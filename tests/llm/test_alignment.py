@@ -104,3 +104,21 @@ def test_documents_in_many_blocks(spark, monkeypatch):
     table = spark.read.parquet(f"{SF}/documents.parquet")
     rows = [(r.doc_id, r.text) for r in table.collect()]
     check(table, rows)
+
+
+def test_cache_keeps_the_words_of_most_lists(monkeypatch):
+    """When the cache is full, words that came often are not encoded again."""
+    monkeypatch.setattr(alignment, "CACHE_WORDS", 20)
+    asked = []
+
+    def encode(words):
+        asked.extend(words)
+        return [list(w.encode()) for w in words]
+
+    vocabulary = alignment.Vocabulary([bytes([i]) for i in range(256)], encode)
+    for n in range(40):
+        words = ["the", "of", *(f"w{n}_{i}" for i in range(5))]
+        lists, same = vocabulary.lists(words)
+        assert lists.to_pylist() == [list(w.encode()) for w in words] and same.all()
+    assert asked.count("the") == asked.count("of") == 1
+    assert len(vocabulary.known) == len(vocabulary.count) == len(vocabulary.uses) <= 20 + 2 * 5 + 2

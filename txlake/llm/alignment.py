@@ -45,7 +45,7 @@ from txlake.llm.common import written
 
 BLOCK_CHARS = 8 << 20
 CHUNK_CHARS = 1 << 20
-#: Distinct words that a task remembers before it starts anew.
+#: Distinct words that a task remembers before it forgets those that came once.
 CACHE_WORDS = 200_000
 BLANK = "▁"
 
@@ -74,6 +74,20 @@ class Vocabulary:
         self.flat = np.empty(0, dtype=np.int32)
         self.count = np.empty(0, dtype=np.int64)
         self.same = np.empty(0, dtype=bool)
+        self.uses = np.empty(0, dtype=np.int32)
+
+    def _forget_rare(self) -> None:
+        """The words of most lists are kept, half of ``CACHE_WORDS`` at most; all count anew."""
+        most = CACHE_WORDS // 2
+        often = np.flatnonzero(self.uses > 1)
+        if len(often) > most:
+            often = np.sort(often[np.argpartition(-self.uses[often], most)[:most]])
+        at = np.cumsum(self.count) - self.count
+        words = list(self.known)  # in the order of their numbers
+        self.known = {words[k]: i for i, k in enumerate(often.tolist())}
+        self.flat = gather(self.flat, at[often], self.count[often])
+        self.count, self.same = self.count[often], self.same[often]
+        self.uses = np.zeros(len(often), dtype=np.int32)
 
     def _learn(self, words: list[str]) -> None:
         ids = []
@@ -91,15 +105,17 @@ class Vocabulary:
         self.flat = np.concatenate([self.flat, flat])
         self.count = np.concatenate([self.count, count])
         self.same = np.concatenate([self.same, same])
+        self.uses = np.concatenate([self.uses, np.zeros(len(words), dtype=np.int32)])
 
     def lists(self, words: list[str]) -> tuple[pa.ListArray, np.ndarray]:
         """Ids of each word, and whether their bytes are the word's."""
         if len(self.known) > CACHE_WORDS:
-            self._forget()
+            self._forget_rare()
         new = [w for w in words if w not in self.known]
         if new:
             self._learn(new)
         number = np.fromiter(map(self.known.__getitem__, words), dtype=np.int64, count=len(words))
+        self.uses[number] += 1  # ``words`` are distinct
         count = self.count[number]
         at = np.cumsum(self.count) - self.count
         flat = gather(self.flat, at[number], count)
@@ -173,6 +189,12 @@ def _tokens(cuts: np.ndarray, data: pa.Buffer, vocabulary: Vocabulary, starts: n
     return pa.table({"doc": doc, "end": ends, "id": flat}), odd
 
 
+def _place(table: pa.Table) -> pa.Array:
+    """(document, end) as one number, in the same order."""
+    doc = table["doc"].combine_chunks().cast(pa.int64())
+    return pc.bit_wise_or(pc.shift_left(doc, pa.scalar(32, pa.int64())), table["end"].combine_chunks())
+
+
 def _joined(table: pa.Table, doc: int, vocabulary: Vocabulary) -> bytes:
     ids = table.filter(pc.equal(table["doc"], doc))["id"].to_pylist()
     return b"".join([vocabulary.pieces[i] for i in ids])
@@ -219,10 +241,10 @@ def _align(texts: list[str], classes: np.ndarray, va: Vocabulary, vb: Vocabulary
         ta, tb = (t.filter(pc.invert(pc.is_in(t["doc"], wrong))) for t in (ta, tb))
 
     a_id, b_id = (t["id"].to_numpy() for t in (ta, tb))
-    ta, tb = ta.rename_columns(["doc", "end", "a"]), tb.rename_columns(["doc", "end", "b"])
-    every = ta.join(tb, ["doc", "end"], join_type="full outer", use_threads=False).sort_by([("doc", "ascending"), ("end", "ascending")])
+    ta, tb = (pa.table({"place": _place(t), name: t["id"]}) for t, name in ((ta, "a"), (tb, "b")))
+    every = ta.join(tb, "place", join_type="full outer", use_threads=False).sort_by("place")
     is_a, is_b = (pc.is_valid(every[c]).to_numpy().astype(np.int64) for c in ("a", "b"))
-    doc = every["doc"].to_numpy()
+    doc = every["place"].to_numpy() >> 32
     common = is_a & is_b
     link_a, link_b = a_id[_before(is_a)], b_id[_before(is_b)]
 
