@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from txlake.operators import clean_transactions, flatten
 from txlake.operators.dimensions import KEYS
 from txlake.plans import extend_dimensions, load_star, reload_window, replace_partitions, run_batch
-from txlake.plans import load_queries
+from txlake.plans import incremental, load_queries
 from txlake.schemas import RAW_COLUMNS
-from txlake.session import shared_dir
+from txlake.session import scale_conf, shared_dir
 from txlake.sources import raw_transactions, write_csv
 
 
@@ -101,6 +101,33 @@ def test_rows_without_key_or_partition(spark):
         assert (done.written, done.emptied) == (([None], [1]) if turn == 0 else ([], []))
 
 
+def test_rows_that_stay_are_not_written_beside_the_table(spark, monkeypatch):
+    path, schema = shared_dir(spark, "t_stay"), "id string, v int, p int"
+    first = spark.createDataFrame([(f"k{i}", i, 1 if i < 5 else 2) for i in range(100)], schema)
+    replace_partitions(spark, path, first, first.select("id"), "id", "p", [])
+    beside, write = [], incremental.materialize
+
+    def counted(*args):
+        beside.append(write(*args))
+        return beside[-1]
+
+    monkeypatch.setattr(incremental, "materialize", counted)
+    second = spark.createDataFrame([("k0", 7, 1), ("k9", 9, 1)], schema)  # k9 was in 2
+    after = sorted([("k0", 7, 1), ("k9", 9, 1), *((f"k{i}", i, 2) for i in range(5, 100) if i != 9)])
+    for turn in range(2):
+        done = replace_partitions(spark, path, second, second.select("id"), "id", "p", [1])
+        assert sorted(map(tuple, spark.read.schema(schema).parquet(path).collect())) == after
+        assert sorted(done.written) == ([1, 2] if turn == 0 else []) and done.emptied == []
+    assert [df.count() for df in beside] == [1, 0]  # of all rows outside the window the key of k9, once
+
+
+def test_a_rebalanced_partition_has_several_files():
+    conf = scale_conf(10**9, total_cores=12)
+    assert 12 * int(conf["spark.sql.adaptive.advisoryPartitionSizeInBytes"]) < 10**9 // 2
+    large = scale_conf(10**14, total_cores=12)  # never above half a split
+    assert int(large["spark.sql.adaptive.advisoryPartitionSizeInBytes"]) == 128 << 20
+
+
 def test_keys_stay_and_new_members_follow(spark):
     root = shared_dir(spark, "t_dims")
     one = extend_dimensions(spark, root, clean_transactions(raw(spark, [(1, "N", "b", "1", "2020-02-02"), (2, "N", None, "1", "2021-01-01")])))

@@ -107,6 +107,25 @@ class Replaced:
     unchanged: list = field(default_factory=list)
 
 
+def _moved(spark: SparkSession, stored: DataFrame, known_by: Column, listed: DataFrame, key: str, partition: str):
+    """(rows of ``stored`` that are ``listed``, as written (partition, _known), and their bound for a broadcast);
+    None if nothing is stored.  Rows with a key are found by the key column alone."""
+    if stored.isEmpty():
+        return None
+    bound = listed.agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes(["_known"])).alias("b")).first()
+    gone = checked_broadcast(listed.distinct(), rows=bound["n"], size=bound["b"] or 0)
+    named = stored.where(F.col(key).isNotNull()).select(partition, F.concat(F.lit("k"), F.col(key)).alias("_known"))
+    unnamed = stored.where(F.col(key).isNull()).select(partition, known_by.alias("_known"))
+    obs = Observation()
+    counted = [F.count(F.lit(1)).alias("n"), F.sum(row_bytes(["_known"])).alias("b")]
+    found = materialize(named.union(unnamed).join(gone, "_known", "left_semi"), "moved_rows", obs, *counted)
+    return found, {"rows": obs.get["n"], "size": obs.get["b"] or 0}
+
+
+def _counts(df: DataFrame, partition: str) -> dict:
+    return {r[partition]: r["count"] for r in df.groupBy(partition).count().collect()}
+
+
 def replace_partitions(
     spark: SparkSession, path: str, rows: DataFrame, keys: DataFrame, key: str, partition: str, window: list
 ) -> Replaced:
@@ -115,7 +134,11 @@ def replace_partitions(
     Stored rows go when their partition is in ``window`` or their ``key`` is among
     ``keys`` (a column of that name; the keys of ``rows``, and of rows that left the
     table).  Rows without a key are known by all their columns.  ``rows`` and ``keys``
-    are read several times: pass written tables."""
+    are read several times: pass written tables.
+
+    Outside the window one scan of the keys finds the rows that go.  They are few, so
+    they, not all ``keys``, are joined with whole rows; and only rows that go and rows
+    that come are compared, as those that stay are the same before and after."""
     if not path_exists(spark, path):
         write_table(rows.hint("rebalance", partition), path, partition_by=[partition])
         return Replaced(written=sorted(_content(rows, partition), key=str))
@@ -123,28 +146,38 @@ def replace_partitions(
     names = F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
     known_by = F.coalesce(F.concat(F.lit("k"), F.col(key)), F.concat(F.lit("r"), F.sha2(names, 256)))
     # a table without rows has no file to take a schema from
-    stored = spark.read.schema(rows.schema).parquet(path).select(*rows.columns).withColumn("_known", known_by)
+    stored = spark.read.schema(rows.schema).parquet(path).select(*rows.columns)
     listed = keys.where(F.col(key).isNotNull()).select(F.concat(F.lit("k"), F.col(key)).alias("_known"))
-    listed = listed.union(rows.where(F.col(key).isNull()).select(known_by.alias("_known"))).distinct()
-    gone = checked_broadcast(materialize(listed, "reload_keys"))
-
-    # a third scan at most: keys alone, of the partitions outside the window
-    moved = stored.where(~_in(partition, window)).join(gone, "_known", "left_semi").select(partition).distinct()
-    arrived = rows.select(partition).distinct()
-    touched = list({*window, *(r[0] for r in moved.collect()), *(r[0] for r in arrived.collect())})
-
-    before = stored.where(_in(partition, touched))
-    kept = before.where(~_in(partition, window)).join(gone, "_known", "left_anti").drop("_known")
-    staged = materialize(kept.unionByName(rows), "reload_rows")
-    old, new = _content(before.drop("_known"), partition), _content(staged, partition)
+    listed = listed.union(rows.where(F.col(key).isNull()).select(known_by.alias("_known")))
+    found = _moved(spark, stored.where(~_in(partition, window)), known_by, listed, key, partition)
+    moved = list(_counts(found[0], partition)) if found else []
+
+    def outside(partitions: list, join: str) -> DataFrame:
+        """Rows of ``partitions`` outside the window that stay (``left_anti``) or go (``left_semi``)."""
+        part = stored.where(_in(partition, partitions))
+        leaving = checked_broadcast(found[0].select("_known"), **found[1])
+        return part.withColumn("_known", known_by).join(leaving, "_known", join).select(*rows.columns)
+
+    gone = stored.where(_in(partition, window))
+    gone = gone.unionByName(outside(moved, "left_semi")) if moved else gone
+    old, new = _content(gone, partition), _content(rows, partition)
+    touched = list({*window, *moved, *new})
     result = Replaced(unchanged=[p for p in touched if old.get(p) == new.get(p)])
-    result.written = [p for p in new if p not in result.unchanged]
-    result.emptied = [p for p in old if p not in new]
+    changed = [p for p in touched if p not in result.unchanged]
+    left = [p for p in changed if p not in new]  # rows go, none come
+    held = _counts(stored.where(_in(partition, left)), partition) if left else {}
+    result.emptied = [p for p in left if held[p] == old[p][0]]
+    result.written = [p for p in changed if p not in result.emptied]
     if result.written:
-        # rows of a partition together, large ones in several files
-        changed = staged.where(_in(partition, result.written)).hint("rebalance", partition)
-        writer = changed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition)
-        writer.parquet(path)
+        after = rows.where(_in(partition, result.written))
+        others = [p for p in result.written if p not in window]
+        if others:
+            stay = outside(others, "left_anti") if moved else stored.where(_in(partition, others))
+            after = stay.unionByName(after)
+        # rows of a partition together, large ones in several files; a dynamic overwrite
+        # moves its files into place when all are written, so it may read the same table
+        writer = after.hint("rebalance", partition).write.mode("overwrite")
+        writer.option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
     for p in result.emptied:  # an overwrite leaves partitions without new rows alone
         delete_path(spark, f"{path}/{partition}={NULL_PARTITION if p is None else p}")
     return result

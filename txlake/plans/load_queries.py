@@ -54,8 +54,9 @@ def fact_reload_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     csv, lake = shared_dir(spark, "reload_csv"), shared_dir(spark, "reload_lake")
     write_csv(raw_transactions(spark, sf_dir), csv)
     run_batch(spark, csv, lake)
+    corrected = materialize(corrected_1997(spark, sf_dir), "corrected_export")
     for _ in range(2):
-        reload_window(spark, lake, corrected_1997(spark, sf_dir), [1997])
+        reload_window(spark, lake, corrected, [1997])
     star = load_star(spark, lake)
     return flatten(star.fact, star.dims)
 

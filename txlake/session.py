@@ -39,14 +39,18 @@ def scale_conf(input_bytes: int, total_cores: int, partition_bytes: int = 256 <<
     * shuffles: enough initial partitions that each holds about
       ``partition_bytes`` of the largest shuffle (the keyed dedup moves about
       the whole clean table); AQE then coalesces small partitions to the advisory size and splits skewed
-      ones in joins.
+      ones in joins;
+    * files of a rebalanced table: the advisory size is at most an eighth of a core's
+      share of the input, so that a partition of the table (a year) is written and read
+      by several tasks, and 16 MB at least.
     """
     wanted = -(-input_bytes // partition_bytes)
     shuffle_partitions = max(2 * total_cores, wanted)
+    advisory = min(partition_bytes // 2, max(16 << 20, input_bytes // (8 * total_cores)))
     return {
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),
         "spark.sql.shuffle.partitions": str(shuffle_partitions),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes // 2),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(advisory),
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes * 4),
     }
 
