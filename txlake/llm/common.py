@@ -93,7 +93,6 @@ def word_spans(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 _MULT = 0x9E3779B97F4A7C15 | 1
-_TABLE = np.random.default_rng(20240229).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -106,34 +105,6 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the multiplier and of its inverse modulo 2^64."""
-    inv = pow(_MULT, -1, 1 << 64)
-    out = []
-    for base in (_MULT, inv):
-        p = np.empty(n, dtype=np.uint64)
-        p[0] = 1
-        if n > 1:
-            p[1] = base
-        k = 1
-        while k < n:  # doubling: p[k..2k) = p[k] * p[0..k)
-            m = min(k, n - k)
-            pk = np.uint64(pow(base, k, 1 << 64))
-            p[k : k + m] = p[:m] * pk
-            k *= 2
-        out.append(p)
-    return out[0], out[1]
-
-
-_POW = [np.empty(0, dtype=np.uint64)] * 2
-
-
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_POW[0]) < n:
-        _POW[0], _POW[1] = _powers(n)
-    return _POW[0][:n], _POW[1][:n]
-
-
 #: Spans of more bytes are hashed one by one.
 LONG_SPAN = 1024
 
