@@ -49,7 +49,7 @@ from txlake.llm.suffix_array import permuted_common_prefixes, suffix_array
 
 WIDTH = 100
 GRAM = 32
-BLOCK = 16 << 20
+BLOCK = 8 << 20
 #: Text bytes for each bucket of questions; bytes to sort for each bin and shard.
 BUCKET_BYTES, BIN_BYTES, SHARD_BYTES = 32 << 20, 8 << 20, 1 << 20
 #: Windows whose grams are held at a time, and whose minima stay in a core's cache.
@@ -102,7 +102,7 @@ def _blocks(batches):
         order = np.lexsort((ties, key))
         lens = np.array([len(raw[i]) for i in order], dtype=np.int64)
         null = np.array([ids[i] is None for i in order], dtype=bool)
-        body = zstandard.ZstdCompressor(level=1).compress(b"".join([raw[i] for i in order]))
+        body = zstandard.ZstdCompressor(level=1).compress(b"".join([*(raw[i] for i in order), bytes(GRAM)]))
         values = (part << 32) | seq, size, _planes(key[order]), null.tobytes(), _planes(ties[order]), _planes(lens), body
         kinds = [pa.int64()] * 2 + [pa.binary()] * 5
         return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds, strict=True)], _BLOCKS)
@@ -123,14 +123,15 @@ def _blocks(batches):
 
 
 class Block:
-    """A block's documents in order and their bytes, one after another."""
+    """A block's documents in order and their bytes, one after another and then
+    ``GRAM`` zeros."""
 
     def __init__(self, r):
         self.ids, self.ties = _from_planes(r.ids, np.int64), _from_planes(r.ties, np.int64)
         self.null = np.frombuffer(r.null_ids, dtype=bool)
         self.lens = _from_planes(r.lens, np.int64)
         self.starts = np.cumsum(self.lens) - self.lens
-        self.body = zstandard.ZstdDecompressor().decompress(r.body) if self.lens.any() else b""
+        self.body = zstandard.ZstdDecompressor().decompress(r.body)
 
     def documents(self, at: np.ndarray) -> np.ndarray:
         """Document by position; empty texts share their start with the next one."""
@@ -176,11 +177,12 @@ class Segments:
 
     def __init__(self, block: Block, width: int):
         want = width - GRAM + 1
-        raw = np.frombuffer(block.body + bytes(GRAM), dtype=np.uint8)
+        raw = np.frombuffer(block.body, dtype=np.uint8)
         fits = np.flatnonzero(block.lens >= width)
         begin, last = block.starts[fits], block.starts[fits] + block.lens[fits] - width
-        windows = max(0, len(block.body) - width + 1)
-        found = [[np.empty(0, dtype=t)] for t in (np.int64, np.int64, np.int64, np.int64, np.uint64, np.uint64)]
+        windows = max(0, len(raw) - GRAM - width + 1)
+        kinds = np.int32, np.uint32, np.uint16, np.uint16, np.uint64, np.uint64
+        found = [[np.empty(0, dtype=t)] for t in kinds]
         for s in range(0, windows if len(fits) else 0, SLAB):
             lo, hi = max(0, s - 1), min(windows, s + SLAB + want)
             grams = _grams(raw, lo, hi + want - 1)
@@ -207,7 +209,7 @@ class Segments:
             place = where[a]
             content = _span_hashes(grams, a, b - a + width, 2 * width - GRAM)
             for x, y in zip(found, (fits[doc], a + lo, b - a + 1, place - a, mix64(grams[place]), content), strict=True):
-                x.append(y)
+                x.append(y.astype(x[0].dtype, copy=False))
         self.doc, self.a, self.n, self.place, self.anchor, self.content = map(np.concatenate, found)
 
     def questions(self) -> tuple[np.ndarray, np.ndarray]:
@@ -246,6 +248,7 @@ def _runs(part: np.ndarray):
 
 
 def _gone(block: int, a: np.ndarray, n: np.ndarray) -> tuple:
+    """A note on the segments that begin at ``a`` and have ``n`` windows."""
     return block, GONE, 0, _planes(a.astype(np.uint32)), _planes(n.astype(np.uint32)), None, None, None
 
 
@@ -260,8 +263,8 @@ def _ask(n_buckets: int, width: int):
                 if len(again):  # goes through a bucket unseen, to the notes
                     note = _gone(r.block, seg.a[again], seg.n[again])
                     rows.append((r.block % n_buckets, r.block, None, None, None, note[3], note[4], None, None, None))
-                doc, a, n = seg.doc[first], seg.a[first].astype(np.uint32), seg.n[first].astype(np.uint16)
-                place, anchor, content = seg.place[first].astype(np.uint16), seg.anchor[first], seg.content[first]
+                doc, a, n, place, anchor, content = (x[first] for x in (seg.doc, seg.a, seg.n, seg.place, seg.anchor, seg.content))
+                del seg
                 for b, q in _runs(_part(anchor, n_buckets)):
                     rows.append((b, r.block, *block.table(doc[q]), *(_planes(x[q]) for x in (a, n, place)), anchor[q].tobytes(), content[q].tobytes()))
                 yield pd.DataFrame(rows, columns=_QUESTIONS)
@@ -353,7 +356,7 @@ def _send(n_bins: int, width: int):
 
 def _window_hashes(body: bytes, at: np.ndarray, width: int) -> np.ndarray:
     """Hashes of the windows at ``at``, a few thousand bytes of them at a time."""
-    raw = np.frombuffer(body + bytes(GRAM), dtype=np.uint8)
+    raw = np.frombuffer(body, dtype=np.uint8)
     out = np.empty(len(at), dtype=np.uint64)
     for p in range(0, len(at), SLAB):
         chosen = at[p : p + SLAB]
@@ -368,16 +371,14 @@ def _alone(raw: np.ndarray, at: np.ndarray, n: np.ndarray, place: np.ndarray, wi
     """Segments that share no window with another one: a window that two of them
     share has the anchor at one of ``width`` - ``GRAM`` + 1 places, and with it
     one of ``CORES`` strings that each hold the anchor at a fixed place.  Those
-    that share none of these strings are alone."""
+    that share none of these strings are alone.  ``raw`` ends with ``GRAM`` bytes more."""
     places = width - GRAM + 1
     step = -(-places // CORES)
     core, befores = width - step + 1, range(0, places, step)
     found = np.empty((len(befores), len(at)), dtype=np.uint64)
     # windows with the anchor at ``before`` to ``before + step - 1`` hold the core
     fits = np.array([(place >= x) & (place - x + core <= n + width - 1) for x in befores])
-    raw = np.append(raw, np.zeros(GRAM, dtype=np.uint8))
-    piece = at // SLAB
-    for _, q in _runs(piece):
+    for _, q in _runs(at // SLAB):
         lo, hi = at[q][0], at[q][-1] + n[q][-1] + width - 1
         grams = _grams(raw, lo, hi - GRAM + 1)
         for k, x in enumerate(befores):
@@ -400,13 +401,17 @@ def _sorted_bin(width: int):
         block = np.repeat(pdf["block"].to_numpy(), sizes)
         a, n, place = (_of_rows(pdf[c], t).astype(np.int64) for c, t in (("a", np.uint32), ("n", np.uint16), ("place", np.uint16)))
         home = _of_rows(pdf["home"], np.uint16).astype(np.int64)
-        raw = np.frombuffer(b"".join([zstandard.ZstdDecompressor().decompress(b) for b in pdf["body"]]), dtype=np.uint8)
+        texts = [zstandard.ZstdDecompressor().decompress(b) for b in pdf["body"]]
+        raw = np.frombuffer(b"".join([*texts, bytes(GRAM)]), dtype=np.uint8)
+        del texts
         at = np.cumsum(n + width - 1) - (n + width - 1)
         stays = ~_alone(raw, at, n, place, width)
         shards = -(-int((n[stays] + width).sum()) // SHARD_BYTES)
         seg, start = [], []
         for s in range(shards):
             mine = np.flatnonzero(stays & (home * shards >> 16 == s))
+            if not len(mine):
+                continue
             of, k = _repeated(raw, at[mine], n[mine], a[mine], block[mine], ties[mine], ids[mine], width)
             seg.append(mine[of])
             start.append(a[mine[of]] + k)
@@ -434,10 +439,11 @@ def _repeated(raw, at, n, a, block, ties, ids, width: int) -> tuple[np.ndarray,
     size = n + width - 1
     # letters 2..257; every segment ends with a 1
     to = np.cumsum(size + 1) - (size + 1)
-    inside = np.arange(int(size.sum()))
     t = np.ones(int((size + 1).sum()), dtype=np.uint16)
-    shift = np.cumsum(size) - size
-    t[inside + np.repeat(to - shift, size)] = raw[inside + np.repeat(at - shift, size)].astype(np.uint16) + 2
+    inside = np.ones(len(t), dtype=bool)
+    inside[to + size] = False
+    pieces = [raw[x:y] for x, y in zip(at.tolist(), (at + size).tolist(), strict=True)]
+    t[inside] = np.add(np.concatenate(pieces), 2, dtype=np.uint16)
     sa = suffix_array(t, width)
     seg = np.repeat(np.arange(len(n)), n)
     k = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
